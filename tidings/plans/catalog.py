@@ -67,3 +67,110 @@ def q_asof_forward(spark, sf_dir):
     return rounded(r.select("name", iso(F.col("date")).alias("date"),
                             iso(F.col("price_day")).alias("next_date"), F.col("close").alias("next_close")),
                    {"next_close"})
+
+
+# ---------------------------------------------------------------- series
+
+from tidings.operators import series as ser  # noqa: E402
+
+
+def _market_series(spark, sf_dir):
+    """Whole-market close: total price of the highest order key per day."""
+    o = st.table(spark, sf_dir, "orders")
+    return o.groupBy(F.to_date("o_orderdate").alias("date")).agg(
+        F.max_by("o_totalprice", "o_orderkey").alias("close")).withColumn("name", F.lit("MARKET"))
+
+
+@query("series_returns")
+def q_series_returns(spark, sf_dir):
+    r = ser.returns(st.sparse_prices(spark, sf_dir))
+    return rounded(r.select("name", iso(F.col("date")).alias("date"), "ret"), {"ret"})
+
+
+@query("calendar_returns")
+def q_calendar_returns(spark, sf_dir):
+    r = ser.calendar_returns(st.sparse_prices(spark, sf_dir))
+    return rounded(r.select("name", iso(F.col("date")).alias("date"), "ret"), {"ret"})
+
+
+@query("rolling_volatility")
+def q_rolling(spark, sf_dir):
+    r = ser.rolling(st.sparse_prices(spark, sf_dir), "name", "date", "close", n=90, block=256)
+    return r.select("name", iso(F.col("date")).alias("date"), F.round("rolling_std", 3).alias("rolling_std"))
+
+
+@query("indexed_performance")
+def q_indexed(spark, sf_dir):
+    r = ser.normalize_base(st.bars(spark, sf_dir))
+    return rounded(r.select("name", iso(F.col("date")).alias("date"), "indexed"), {"indexed"})
+
+
+@query("final_performance")
+def q_final_perf(spark, sf_dir):
+    return ser.final_performance(st.bars(spark, sf_dir))
+
+
+@query("latest_change")
+def q_latest_change(spark, sf_dir):
+    r = ser.latest_change(st.sparse_prices(spark, sf_dir))
+    return rounded(r.withColumn("last_date", iso(F.col("last_date"))), {"last_value", "prev_value", "change_pct"})
+
+
+@query("describe_returns")
+def q_describe(spark, sf_dir):
+    return ser.describe(ser.returns(st.bars(spark, sf_dir)), "name", "ret")
+
+
+@query("noise_share")
+def q_noise(spark, sf_dir):
+    return ser.noise_share(ser.returns(st.bars(spark, sf_dir)), "name", "ret")
+
+
+@query("sector_volatility")
+def q_sector_vol(spark, sf_dir):
+    r = ser.sector_volatility(ser.returns(st.sparse_prices(spark, sf_dir)), st.nation_dim(spark, sf_dir))
+    return rounded(r, {"avg_volatility"})
+
+
+@query("sector_returns")
+def q_sector_returns(spark, sf_dir):
+    r = ser.sector_returns(ser.returns(st.sparse_prices(spark, sf_dir)), st.nation_dim(spark, sf_dir))
+    return rounded(r.withColumn("date", iso(F.col("date"))), {"sector_ret"})
+
+
+@query("sector_market_corr")
+def q_sector_corr(spark, sf_dir):
+    sec = ser.sector_returns(ser.returns(st.sparse_prices(spark, sf_dir)), st.nation_dim(spark, sf_dir))
+    mkt = ser.returns(_market_series(spark, sf_dir))
+    return rounded(ser.corr_with(sec, mkt, "sector", "date", "sector_ret", "ret"), {"corr"})
+
+
+@query("corr_matrix")
+def q_corr_matrix(spark, sf_dir):
+    names = [r[0] for r in st.table(spark, sf_dir, "nation").select("n_name").collect()]
+    r = ser.corr_matrix(ser.returns(st.sparse_prices(spark, sf_dir)), names)
+    return rounded(r, {"corr"})
+
+
+@query("return_histogram")
+def q_histogram(spark, sf_dir):
+    r = ser.histogram(ser.returns(st.sparse_prices(spark, sf_dir)), "ret", 80)
+    return rounded(r, {"lower", "upper"})
+
+
+@query("series_coverage")
+def q_coverage(spark, sf_dir):
+    r = ser.coverage(st.sparse_prices(spark, sf_dir), "name", "date", "close")
+    return r.withColumn("first_date", iso(F.col("first_date"))).withColumn("last_date", iso(F.col("last_date")))
+
+
+@query("overlay_series")
+def q_overlay(spark, sf_dir):
+    o = st.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    c = st.table(spark, sf_dir, "customer")
+    n = st.table(spark, sf_dir, "nation")
+    fresh = (o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+             .groupBy(F.col("n_name").alias("name"), F.to_date("o_orderdate").alias("date"))
+             .agg(F.min_by("o_totalprice", "o_orderkey").alias("close")))
+    r = ser.overlay(st.sparse_prices(spark, sf_dir), fresh, ["name", "date"], "close")
+    return rounded(r.withColumn("date", iso(F.col("date"))), {"close"})

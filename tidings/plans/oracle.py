@@ -62,3 +62,127 @@ ORACLE["asof_forward_strict"] = with_(SPARSE_PRICES, SHIP_PROBES) + """
 SELECT p.name, CAST(p.date AS VARCHAR) AS date, CAST(s.date AS VARCHAR) AS next_date,
        round(s.close, 6) AS next_close
 FROM ship_probes p ASOF LEFT JOIN sparse_prices s ON p.name = s.name AND s.date > p.date"""
+
+BARS = """
+bars AS (
+  SELECT event_type AS name, CAST(ts AS DATE) AS date, arg_min(value, event_id) AS open,
+         max(value) AS high, min(value) AS low, arg_max(value, event_id) AS close, count(*) AS volume
+  FROM events GROUP BY 1, 2)"""
+
+NATION_DIM = """
+nation_dim AS (
+  SELECT CAST(n.n_nationkey AS VARCHAR) AS ticker, n.n_name AS name, r.r_name AS sector
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+SPARSE_RETURNS = """
+sparse_returns AS (
+  SELECT name, date, close,
+         CASE WHEN lag(close) OVER w <> 0 THEN (close / lag(close) OVER w - 1) * 100 END AS ret
+  FROM sparse_prices WHERE close IS NOT NULL WINDOW w AS (PARTITION BY name ORDER BY date))"""
+
+BAR_RETURNS = """
+bar_returns AS (
+  SELECT name, date, close,
+         CASE WHEN lag(close) OVER w <> 0 THEN (close / lag(close) OVER w - 1) * 100 END AS ret
+  FROM bars WHERE close IS NOT NULL WINDOW w AS (PARTITION BY name ORDER BY date))"""
+
+MARKET = """
+market AS (
+  SELECT CAST(o_orderdate AS DATE) AS date, arg_max(o_totalprice, o_orderkey) AS close
+  FROM orders GROUP BY 1),
+market_returns AS (
+  SELECT date, CASE WHEN lag(close) OVER (ORDER BY date) <> 0
+                    THEN (close / lag(close) OVER (ORDER BY date) - 1) * 100 END AS ret
+  FROM market)"""
+
+ORACLE["series_returns"] = with_(SPARSE_PRICES, SPARSE_RETURNS) + """
+SELECT name, CAST(date AS VARCHAR) AS date, round(ret, 6) AS ret FROM sparse_returns"""
+
+ORACLE["calendar_returns"] = with_(SPARSE_PRICES) + """,
+cal AS (SELECT date, lag(date) OVER (ORDER BY date) AS prev FROM (SELECT DISTINCT date FROM sparse_prices))
+SELECT s.name, CAST(s.date AS VARCHAR) AS date,
+       round(CASE WHEN p.close <> 0 THEN (s.close / p.close - 1) * 100 END, 6) AS ret
+FROM sparse_prices s JOIN cal ON s.date = cal.date
+LEFT JOIN sparse_prices p ON p.name = s.name AND p.date = cal.prev"""
+
+ORACLE["rolling_volatility"] = with_(SPARSE_PRICES) + """
+SELECT name, CAST(date AS VARCHAR) AS date,
+       round(CASE WHEN count(close) OVER w >= 90 THEN stddev_samp(close) OVER w END, 3) AS rolling_std
+FROM sparse_prices WHERE close IS NOT NULL
+WINDOW w AS (PARTITION BY name ORDER BY date ROWS BETWEEN 89 PRECEDING AND CURRENT ROW)"""
+
+ORACLE["indexed_performance"] = with_(BARS) + """
+SELECT name, CAST(date AS VARCHAR) AS date,
+       round(CASE WHEN f <> 0 THEN close / f * 100 END, 6) AS indexed
+FROM bars JOIN (SELECT name AS n, arg_min(close, date) AS f FROM bars WHERE close IS NOT NULL GROUP BY 1) ON name = n"""
+
+ORACLE["final_performance"] = with_(BARS) + """
+SELECT name, round(CASE WHEN arg_min(close, date) <> 0
+                        THEN arg_max(close, date) / arg_min(close, date) * 100 - 100 END, 1) AS performance_pct
+FROM bars WHERE close IS NOT NULL GROUP BY name"""
+
+ORACLE["latest_change"] = with_(SPARSE_PRICES) + """,
+r AS (SELECT name, date, close, row_number() OVER (PARTITION BY name ORDER BY date DESC) AS k
+      FROM sparse_prices WHERE close IS NOT NULL)
+SELECT a.name, CAST(a.date AS VARCHAR) AS last_date, round(a.close, 6) AS last_value,
+       round(b.close, 6) AS prev_value,
+       round(CASE WHEN b.close <> 0 THEN (a.close / b.close - 1) * 100 END, 6) AS change_pct
+FROM r a LEFT JOIN r b ON a.name = b.name AND b.k = 2 WHERE a.k = 1"""
+
+ORACLE["describe_returns"] = with_(BARS, BAR_RETURNS) + """
+SELECT name, round(avg(ret), 3) AS mean, round(stddev_samp(ret), 3) AS std, round(min(ret), 3) AS min,
+       round(max(ret), 3) AS max, count(ret) AS n
+FROM bar_returns GROUP BY name"""
+
+ORACLE["noise_share"] = with_(BARS, BAR_RETURNS) + """
+SELECT name, count(*) FILTER (WHERE abs(ret) > 0.5) AS n_noisy, count(*) AS n_days,
+       round(count(*) FILTER (WHERE abs(ret) > 0.5) / count(*) * 100, 1) AS noise_pct
+FROM bar_returns WHERE ret IS NOT NULL GROUP BY name"""
+
+ORACLE["sector_volatility"] = with_(SPARSE_PRICES, SPARSE_RETURNS, NATION_DIM) + """
+SELECT d.sector, round(avg(s.sd), 6) AS avg_volatility, count(*) AS n_members
+FROM (SELECT name, stddev_samp(ret) AS sd FROM sparse_returns GROUP BY name) s
+JOIN nation_dim d ON s.name = d.name GROUP BY d.sector"""
+
+ORACLE["sector_returns"] = with_(SPARSE_PRICES, SPARSE_RETURNS, NATION_DIM) + """
+SELECT d.sector, CAST(s.date AS VARCHAR) AS date, round(avg(s.ret), 6) AS sector_ret
+FROM sparse_returns s JOIN nation_dim d ON s.name = d.name GROUP BY 1, 2"""
+
+ORACLE["sector_market_corr"] = with_(SPARSE_PRICES, SPARSE_RETURNS, NATION_DIM, MARKET) + """,
+sec AS (SELECT d.sector, s.date, avg(s.ret) AS sector_ret
+        FROM sparse_returns s JOIN nation_dim d ON s.name = d.name GROUP BY 1, 2)
+SELECT sec.sector, round(corr(sec.sector_ret, m.ret), 6) AS corr, count(*) AS n_dates
+FROM sec JOIN market_returns m ON sec.date = m.date GROUP BY 1"""
+
+ORACLE["corr_matrix"] = with_(SPARSE_PRICES, SPARSE_RETURNS) + """,
+pairs AS (SELECT na.n_name AS a, nb.n_name AS b FROM nation na JOIN nation nb ON na.n_name <= nb.n_name),
+stats AS (SELECT x.name AS a, y.name AS b, corr(x.ret, y.ret) AS c,
+                 count(x.ret * y.ret) AS n
+          FROM sparse_returns x JOIN sparse_returns y ON x.date = y.date AND x.name <= y.name
+          GROUP BY 1, 2)
+SELECT p.a AS name_a, p.b AS name_b, round(s.c, 6) AS corr, coalesce(s.n, 0) AS n_dates
+FROM pairs p LEFT JOIN stats s ON p.a = s.a AND p.b = s.b"""
+
+ORACLE["return_histogram"] = with_(SPARSE_PRICES, SPARSE_RETURNS) + """,
+lh AS (SELECT min(ret) AS lo, max(ret) AS hi FROM sparse_returns),
+b AS (SELECT least(CAST(floor(80 * (ret - lo) / (hi - lo)) AS BIGINT) + 1, 80) AS bin, lo, hi
+      FROM sparse_returns, lh WHERE ret IS NOT NULL)
+SELECT CAST(bin AS INTEGER) AS bin, round(any_value(lo) + (bin - 1) * (any_value(hi) - any_value(lo)) / 80, 6) AS lower,
+       round(any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 80, 6) AS upper, count(*) AS n
+FROM b GROUP BY bin"""
+
+ORACLE["series_coverage"] = with_(SPARSE_PRICES) + """
+SELECT name, CAST(min(date) FILTER (WHERE close IS NOT NULL) AS VARCHAR) AS first_date,
+       CAST(max(date) FILTER (WHERE close IS NOT NULL) AS VARCHAR) AS last_date,
+       count(close) AS n_rows, round(count(close) / 252, 2) AS years,
+       CAST(count(close) > 0 AS INTEGER) AS loaded
+FROM sparse_prices GROUP BY name"""
+
+ORACLE["overlay_series"] = with_(SPARSE_PRICES) + """,
+fresh AS (
+  SELECT n.n_name AS name, CAST(o.o_orderdate AS DATE) AS date, arg_min(o.o_totalprice, o.o_orderkey) AS close
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE o.o_orderstatus = 'F' GROUP BY 1, 2)
+SELECT coalesce(f.name, e.name) AS name, CAST(coalesce(f.date, e.date) AS VARCHAR) AS date,
+       round(coalesce(f.close, e.close), 6) AS close
+FROM sparse_prices e FULL JOIN fresh f ON e.name = f.name AND e.date = f.date"""

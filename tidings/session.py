@@ -19,6 +19,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
 }
+# Static settings, only applied when this helper creates the session.
+BUILDER_CONF = {"spark.ui.showConsoleProgress": "false"}
 
 
 def get_session(master: str | None = None, app: str = "tidings",
@@ -27,6 +29,7 @@ def get_session(master: str | None = None, app: str = "tidings",
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    conf.update(BUILDER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
