@@ -174,3 +174,61 @@ def q_overlay(spark, sf_dir):
              .agg(F.min_by("o_totalprice", "o_orderkey").alias("close")))
     r = ser.overlay(st.sparse_prices(spark, sf_dir), fresh, ["name", "date"], "close")
     return rounded(r.withColumn("date", iso(F.col("date"))), {"close"})
+
+
+# ---------------------------------------------------------------- text: rules, matching, routing
+
+from tidings.operators import routing as rt  # noqa: E402
+from tidings.operators import text as tx  # noqa: E402
+
+
+def _news(spark, sf_dir):
+    return st.news(spark, sf_dir)
+
+
+def _routed(spark, sf_dir):
+    news = rt.labeled_news(_news(spark, sf_dir))
+    return rt.route(news, st.entity_dim(spark), st.topic_map(spark), st.INDEX_TICKER, "id", "body")
+
+
+@query("label_rules")
+def q_label_rules(spark, sf_dir):
+    """L1 on whole article bodies: corrected label, original, rule fired."""
+    r = tx.apply_label_rules(_news(spark, sf_dir), text="body")
+    return r.select("id", "sentiment_label_original", "sentiment_label", "rule")
+
+
+@query("rule_counts")
+def q_rule_counts(spark, sf_dir):
+    """Corrections per rule."""
+    r = tx.correction_log(tx.apply_label_rules(_news(spark, sf_dir), text="body"))
+    return r.groupBy("rule", "original_label", "corrected_label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("term_matches")
+def q_term_matches(spark, sf_dir):
+    """J11 + J12: dictionary names in article bodies, contained names dropped."""
+    members = st.entity_dim(spark).where(F.col("sector") != "Index")
+    m = tx.match_terms(_news(spark, sf_dir).select("id", "body"), "id", "body", members)
+    m = tx.suppress_contained(m, "id", "ticker")
+    return m.select(F.col("id").alias("article_id"), "ticker", "start", "end")
+
+
+@query("routed_events")
+def q_routed(spark, sf_dir):
+    """L2: routed (article, entity) rows."""
+    r = _routed(spark, sf_dir)
+    return r.withColumn("published_at", iso(F.col("published_at"))) \
+        .withColumn("sentiment_confidence", round6(F.col("sentiment_confidence")))
+
+
+@query("routing_summary")
+def q_routing_summary(spark, sf_dir):
+    return rt.routing_summary(_routed(spark, sf_dir))
+
+
+@query("unrouted_articles")
+def q_unrouted(spark, sf_dir):
+    """Labelled articles that no branch routed."""
+    news = rt.labeled_news(_news(spark, sf_dir))
+    return rt.unrouted(news, _routed(spark, sf_dir)).select("id", "topic", "source")

@@ -186,3 +186,111 @@ fresh AS (
 SELECT coalesce(f.name, e.name) AS name, CAST(coalesce(f.date, e.date) AS VARCHAR) AS date,
        round(coalesce(f.close, e.close), 6) AS close
 FROM sparse_prices e FULL JOIN fresh f ON e.name = f.name AND e.date = f.date"""
+
+# ---------------------------------------------------------------- text
+import re as _re  # noqa: E402
+
+from tidings.operators.text import LABEL_RULES, RULE_PATTERNS  # noqa: E402
+from tidings.sources.standins import ENTITY_TERMS, INDEX_TICKER, TOPIC_SECTORS  # noqa: E402
+
+NW = r"[^\p{L}\p{N}_]"  # a non-word character (Unicode), RE2 has no Unicode \b
+
+
+def re2_words(alts: str) -> str:
+    return f"(?i)(^|{NW})(?:{alts})({NW}|$)"
+
+
+def sql_str(s) -> str:
+    return "NULL" if s is None else "'" + str(s).replace("'", "''") + "'"
+
+
+NEWS = """
+news AS (
+  SELECT d.doc_id AS id, d.lang AS topic, substr(d.text, 1, 120) AS headline, d.text AS body, d.source,
+         TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(d.doc_id % 30 AS INTEGER)) AS published_at,
+         CASE WHEN l.quality = 1 THEN 'positive' WHEN l.quality = 0 THEN 'negative' ELSE 'neutral' END
+           AS sentiment_label,
+         round(0.5 + (d.doc_id % 50) / 100.0, 6) AS sentiment_confidence
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+def _rule_case() -> str:
+    flags = {k: f"regexp_matches(body, '{re2_words(p)}')" for k, p in RULE_PATTERNS.items()}
+    whens = []
+    for name, need, absent, applies, new in LABEL_RULES:
+        conds = ["sentiment_label IN (" + ", ".join(sql_str(a) for a in applies) + ")"]
+        conds += [flags[p] for p in need] + [f"NOT {flags[p]}" for p in absent]
+        whens.append((" AND ".join(conds), new, name))
+    lab = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for c, n, _ in whens) + " ELSE sentiment_label END"
+    rule = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, _, r in whens) + " ELSE NULL END"
+    return f"""
+ruled AS (
+  SELECT id, sentiment_label AS sentiment_label_original, {lab} AS new_label, {rule} AS rule FROM news)"""
+
+
+RULED = _rule_case()
+
+ORACLE["label_rules"] = with_(NEWS, RULED) + """
+SELECT id, sentiment_label_original, new_label AS sentiment_label, rule FROM ruled"""
+
+ORACLE["rule_counts"] = with_(NEWS, RULED) + """
+SELECT rule, sentiment_label_original AS original_label, new_label AS corrected_label, count(*) AS n
+FROM ruled WHERE rule IS NOT NULL AND new_label <> sentiment_label_original GROUP BY 1, 2, 3"""
+
+DICT = "dict(ticker, name, sector, pat) AS (VALUES " + ", ".join(
+    f"({sql_str(t)}, {sql_str(n)}, {sql_str(s)}, {sql_str(_re.escape(n))})" for t, n, s in ENTITY_TERMS) + ")"
+TOPICS = "topics(topic, sector) AS (VALUES " + ", ".join(
+    f"({sql_str(t)}, {sql_str(s)})" for t, s in TOPIC_SECTORS) + ")"
+
+MATCHES = r"""
+raw_matches AS (
+  SELECT n.id, d.ticker, d.name, d.sector,
+         length(regexp_extract(n.body, '(?s)^(.*?(?:^|' || '""" + NW + r"""' || '))(?i:' || d.pat || ')(?:'
+                || '""" + NW + r"""' || '|$)', 1)) + 1 AS start,
+         length(d.name) AS len
+  FROM news n, dict d
+  WHERE d.sector <> 'Index'
+    AND regexp_matches(n.body, '(?i)(?:^|' || '""" + NW + r"""' || ')(?:' || d.pat || ')(?:' || '""" + NW + r"""'
+                       || '|$)')),
+matches AS (
+  SELECT a.id, a.ticker, a.name, a.sector, a.start, a.start + a.len AS "end" FROM raw_matches a
+  WHERE NOT EXISTS (
+    SELECT 1 FROM raw_matches b
+    WHERE b.id = a.id AND b.ticker <> a.ticker AND b.start <= a.start AND b.start + b.len >= a.start + a.len
+      AND (b.len > a.len OR (b.start = a.start AND b.len = a.len AND b.ticker < a.ticker))))"""
+
+ORACLE["term_matches"] = with_(NEWS, DICT, MATCHES) + """
+SELECT id AS article_id, ticker, start, "end" FROM matches"""
+
+ROUTED = """
+labeled AS (SELECT * FROM news WHERE sentiment_label IS NOT NULL),
+by_name AS (
+  SELECT n.id AS article_id, n.headline, n.topic, n.source, n.published_at, n.sentiment_label,
+         n.sentiment_confidence, m.ticker, m.name AS company_name, m.sector, 'company_name' AS matched_via
+  FROM matches m JOIN labeled n ON m.id = n.id),
+fan AS (
+  SELECT n.id AS article_id, n.headline, n.topic, n.source, n.published_at, n.sentiment_label,
+         n.sentiment_confidence, d.ticker, d.name AS company_name, t.sector
+  FROM labeled n JOIN topics t ON n.topic = t.topic
+  JOIN dict d ON (t.sector <> 'Index' AND d.sector = t.sector)
+              OR (t.sector = 'Index' AND d.ticker = '""" + INDEX_TICKER + """')),
+by_topic AS (
+  SELECT f.*, 'topic_macro' AS matched_via FROM fan f
+  WHERE NOT EXISTS (SELECT 1 FROM matches m WHERE m.id = f.article_id AND m.ticker = f.ticker)),
+routed AS (SELECT * FROM by_name UNION ALL SELECT * FROM by_topic)"""
+
+ORACLE["routed_events"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED) + """
+SELECT article_id, headline, topic, source, strftime(published_at, '%Y-%m-%d') AS published_at, sentiment_label,
+       round(sentiment_confidence, 6) AS sentiment_confidence, ticker, company_name, sector, matched_via
+FROM routed"""
+
+ORACLE["routing_summary"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED) + """
+SELECT 'matched_via' AS dimension, matched_via AS value, count(*) AS n_rows, count(DISTINCT article_id) AS n_articles
+FROM routed GROUP BY 2
+UNION ALL
+SELECT 'sector', sector, count(*), count(DISTINCT article_id) FROM routed GROUP BY 2
+UNION ALL
+SELECT 'sentiment_label', sentiment_label, count(*), count(DISTINCT article_id) FROM routed GROUP BY 2"""
+
+ORACLE["unrouted_articles"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED) + """
+SELECT id, topic, source FROM labeled WHERE id NOT IN (SELECT article_id FROM routed)"""
