@@ -232,3 +232,35 @@ def q_unrouted(spark, sf_dir):
     """Labelled articles that no branch routed."""
     news = rt.labeled_news(_news(spark, sf_dir))
     return rt.unrouted(news, _routed(spark, sf_dir)).select("id", "topic", "source")
+
+
+# ---------------------------------------------------------------- features (A1, L3)
+
+from tidings.operators import features as fe  # noqa: E402
+
+FEATURE_COLS = ["ticker", "date", "n_headlines", "n_positive", "n_negative", "n_neutral", "avg_confidence",
+                "net_sentiment", "pct_positive", "pct_negative", "pct_neutral", "sector", "next_session_return",
+                "label", "prior_1d_return", "prior_3d_return", "market_net_sentiment"] + \
+    list(st.MARKET_SERIES.values()) + ["day_of_week"]
+FEATURE_DOUBLES = {"avg_confidence", "net_sentiment", "pct_positive", "pct_negative", "pct_neutral",
+                   "next_session_return", "prior_1d_return", "prior_3d_return", "market_net_sentiment"} | \
+    set(st.MARKET_SERIES.values())
+
+
+def _dataset(spark, sf_dir):
+    return fe.build_dataset(_routed(spark, sf_dir), st.entity_prices(spark, sf_dir), st.entity_dim(spark),
+                            st.MARKET_SERIES, st.INDEX_TICKER, st.market_prices(spark, sf_dir))
+
+
+@query("daily_sentiment")
+def q_daily_sentiment(spark, sf_dir):
+    d = fe.daily_sentiment(_routed(spark, sf_dir))
+    return rounded(d.withColumn("date", iso(F.col("date"))),
+                   {"avg_confidence", "net_sentiment", "pct_positive", "pct_negative", "pct_neutral"})
+
+
+@query("daily_features")
+def q_daily_features(spark, sf_dir):
+    """L3: the model's feature table (flagship of the feature stage)."""
+    d = _dataset(spark, sf_dir).select(*FEATURE_COLS)
+    return rounded(d.withColumn("date", iso(F.col("date"))), FEATURE_DOUBLES)

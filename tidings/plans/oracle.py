@@ -294,3 +294,100 @@ SELECT 'sentiment_label', sentiment_label, count(*), count(DISTINCT article_id)
 
 ORACLE["unrouted_articles"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED) + """
 SELECT id, topic, source FROM labeled WHERE id NOT IN (SELECT article_id FROM routed)"""
+
+# ---------------------------------------------------------------- features
+from tidings.sources.standins import MARKET_SERIES, TICKER_SERIES  # noqa: E402
+
+
+def ctx_sql(name: str, source: str) -> str:
+    return f"""
+{name} AS (
+  SELECT name, date, close, row_number() OVER w AS rn, lag(close, 1) OVER w AS prev1_close,
+         lag(close, 3) OVER w AS prev3_close, lead(close, 1) OVER w AS next_close
+  FROM {source} WHERE close IS NOT NULL WINDOW w AS (PARTITION BY name ORDER BY date))"""
+
+
+TSERIES = "tseries(ticker, series) AS (VALUES " + ", ".join(
+    f"({sql_str(t)}, {sql_str(s)})" for t, s in TICKER_SERIES) + ")"
+MSERIES = "mseries(series, col) AS (VALUES " + ", ".join(
+    f"({sql_str(s)}, {sql_str(c)})" for s, c in MARKET_SERIES.items()) + ")"
+
+DAILY = """
+rt AS (
+  SELECT *, CAST(published_at AS DATE) AS date,
+         CASE sentiment_label WHEN 'positive' THEN 1 WHEN 'negative' THEN -1 WHEN 'neutral' THEN 0 END
+           * sentiment_confidence AS w
+  FROM routed),
+daily AS (
+  SELECT ticker, date, count(headline) AS n_headlines,
+         count(*) FILTER (WHERE sentiment_label = 'positive') AS n_positive,
+         count(*) FILTER (WHERE sentiment_label = 'negative') AS n_negative,
+         count(*) FILTER (WHERE sentiment_label = 'neutral') AS n_neutral,
+         avg(sentiment_confidence) AS avg_confidence, avg(w) AS net_sentiment
+  FROM rt GROUP BY 1, 2),
+daily2 AS (
+  SELECT *, n_positive / n_headlines AS pct_positive, n_negative / n_headlines AS pct_negative,
+         n_neutral / n_headlines AS pct_neutral FROM daily)"""
+
+ORACLE["daily_sentiment"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED, DAILY) + """
+SELECT ticker, CAST(date AS VARCHAR) AS date, n_headlines, n_positive, n_negative, n_neutral,
+       round(avg_confidence, 6) AS avg_confidence, round(net_sentiment, 6) AS net_sentiment,
+       round(pct_positive, 6) AS pct_positive, round(pct_negative, 6) AS pct_negative,
+       round(pct_neutral, 6) AS pct_neutral
+FROM daily2"""
+
+_mk_cols = ",\n         ".join(
+    f"coalesce(max(r) FILTER (WHERE col = '{c}'), 0.0) AS {c}" for c in MARKET_SERIES.values())
+
+FEATURES = """
+eprices AS (
+  SELECT d.name, b.date, b.close FROM bars b JOIN tseries t ON b.name = t.series JOIN dict d ON d.ticker = t.ticker),
+""" + ctx_sql("ectx", "eprices").strip() + """,
+""" + ctx_sql("mctx", "bars").strip() + """,
+pairs AS (
+  SELECT DISTINCT r.ticker, r.company_name, r.date, coalesce(d.name, r.ticker) AS mom_name
+  FROM rt r LEFT JOIN dict d ON r.ticker = d.ticker),
+nxt AS (
+  SELECT p.ticker, p.date,
+         CASE WHEN c.close <> 0 THEN (c.next_close / c.close - 1) * 100 END AS next_session_return
+  FROM pairs p ASOF LEFT JOIN ectx c ON c.name = p.company_name AND p.date >= c.date),
+mom AS (
+  SELECT DISTINCT p.ticker, p.date,
+         CASE WHEN c.rn >= 4 AND c.prev1_close <> 0 THEN (c.close / c.prev1_close - 1) * 100 END AS p1,
+         CASE WHEN c.rn >= 4 AND c.prev3_close <> 0 THEN (c.close / c.prev3_close - 1) * 100 END AS p3
+  FROM pairs p ASOF LEFT JOIN ectx c ON c.name = p.mom_name AND p.date >= c.date),
+mdates AS (SELECT DISTINCT date FROM daily2),
+mret AS (
+  SELECT p.date, p.col,
+         CASE WHEN c.rn >= 4 AND c.prev1_close <> 0 THEN (c.close / c.prev1_close - 1) * 100 END AS r
+  FROM (SELECT m.date, s.series, s.col FROM mdates m, mseries s) p
+  ASOF LEFT JOIN mctx c ON c.name = p.series AND p.date >= c.date),
+mk AS (
+  SELECT date,
+         """ + _mk_cols + """
+  FROM mret GROUP BY date),
+idx AS (SELECT date, net_sentiment AS mns FROM daily2 WHERE ticker = '""" + INDEX_TICKER + """'),
+feat AS (
+  SELECT f.*, d.sector, n.next_session_return,
+         CASE WHEN n.next_session_return IS NULL THEN NULL WHEN n.next_session_return > 0.3 THEN 'UP'
+              WHEN n.next_session_return < -0.3 THEN 'DOWN' ELSE 'FLAT' END AS label,
+         coalesce(m.p1, 0.0) AS prior_1d_return, coalesce(m.p3, 0.0) AS prior_3d_return,
+         coalesce(i.mns, 0.0) AS market_net_sentiment, mk.* EXCLUDE (date),
+         isodow(f.date) - 1 AS day_of_week
+  FROM daily2 f LEFT JOIN dict d ON f.ticker = d.ticker
+  LEFT JOIN nxt n ON f.ticker = n.ticker AND f.date = n.date
+  LEFT JOIN mom m ON f.ticker = m.ticker AND f.date = m.date
+  LEFT JOIN idx i ON f.date = i.date
+  LEFT JOIN mk ON f.date = mk.date)"""
+
+ORACLE["daily_features"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED, DAILY, BARS, TSERIES, MSERIES,
+                                 FEATURES) + """
+SELECT ticker, CAST(date AS VARCHAR) AS date, n_headlines, n_positive, n_negative, n_neutral,
+       round(avg_confidence, 6) AS avg_confidence, round(net_sentiment, 6) AS net_sentiment,
+       round(pct_positive, 6) AS pct_positive, round(pct_negative, 6) AS pct_negative,
+       round(pct_neutral, 6) AS pct_neutral, sector, round(next_session_return, 6) AS next_session_return,
+       label, round(prior_1d_return, 6) AS prior_1d_return, round(prior_3d_return, 6) AS prior_3d_return,
+       round(market_net_sentiment, 6) AS market_net_sentiment, """ + ", ".join(
+    f"round({c}, 6) AS {c}" for c in MARKET_SERIES.values()) + """,
+       CAST(day_of_week AS INTEGER) AS day_of_week
+FROM feat"""
