@@ -264,3 +264,90 @@ def q_daily_features(spark, sf_dir):
     """L3: the model's feature table (flagship of the feature stage)."""
     d = _dataset(spark, sf_dir).select(*FEATURE_COLS)
     return rounded(d.withColumn("date", iso(F.col("date"))), FEATURE_DOUBLES)
+
+
+# ---------------------------------------------------------------- evaluation
+
+from tidings.functions.columns import label_from_return  # noqa: E402
+from tidings.operators import evaluate as ev  # noqa: E402
+
+
+def _predictions(spark, sf_dir):
+    """Resolved as-of probes with a momentum forecast as the prediction:
+    predicted = direction of the prior 1-step return."""
+    r = asof.session_returns(st.ship_probes(spark, sf_dir), st.sparse_prices(spark, sf_dir))
+    return r.where(F.col("label").isNotNull() & F.col("prior_1d_return").isNotNull()) \
+        .withColumn("predicted_label", label_from_return(F.col("prior_1d_return")))
+
+
+@query("prediction_agreement")
+def q_agreement(spark, sf_dir):
+    return rounded(ev.agreement(_predictions(spark, sf_dir), "label", "predicted_label"), {"accuracy"})
+
+
+@query("confusion_matrix")
+def q_confusion(spark, sf_dir):
+    return ev.confusion_matrix(_predictions(spark, sf_dir), "label", "predicted_label")
+
+
+@query("classification_report")
+def q_class_report(spark, sf_dir):
+    return rounded(ev.classification_report(_predictions(spark, sf_dir), "label", "predicted_label"),
+                   {"precision", "recall", "f1"})
+
+
+@query("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    """Time split, model (momentum forecast) accuracy on the test
+    part, majority baseline from the train part, lift in points."""
+    p = ev.time_split(_predictions(spark, sf_dir), "date")
+    train, test = p.where(F.col("part") == "train"), p.where(F.col("part") == "test")
+    base = ev.majority_baseline(train, test, "label")
+    model = test.agg(F.avg((F.col("label") == F.col("predicted_label")).cast("int")).alias("model_accuracy"))
+    counts = p.agg(F.count(F.lit(1)).alias("n_labeled_rows"), F.count_distinct("date").alias("n_dates"),
+                   F.count_if(F.col("part") == "train").alias("train_rows"),
+                   F.count_if(F.col("part") == "test").alias("test_rows"),
+                   F.min(F.when(F.col("part") == "test", F.col("date"))).alias("split_date"))
+    m = model.first()["model_accuracy"]
+    b = base.first()
+    return rounded(counts.withColumn("split_date", iso(F.col("split_date")))
+                   .withColumn("model_accuracy", F.lit(m).cast("double"))
+                   .withColumn("baseline_accuracy", F.lit(b["baseline_accuracy"]).cast("double"))
+                   .withColumn("majority_label", F.lit(b["majority_label"]))
+                   .withColumn("lift_pts", (F.col("model_accuracy") - F.col("baseline_accuracy")) * 100),
+                   {"model_accuracy", "baseline_accuracy", "lift_pts"})
+
+
+def _human_labels(spark, sf_dir):
+    return st.table(spark, sf_dir, "labels")
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    return rounded(ev.class_weights(_human_labels(spark, sf_dir), "quality"), {"weight"})
+
+
+@query("stratified_folds")
+def q_folds(spark, sf_dir):
+    f = ev.stratified_folds(_human_labels(spark, sf_dir), "doc_id", "quality", 5, 42)
+    return f.groupBy("fold", "quality").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("fold_summary")
+def q_fold_summary(spark, sf_dir):
+    """Per-fold agreement of quality with non-toxicity, mean and
+    population std over the 5 folds."""
+    f = ev.stratified_folds(_human_labels(spark, sf_dir), "doc_id", "quality", 5, 42)
+    per = f.groupBy("fold").agg(F.avg((F.col("quality") == 1 - F.col("toxic")).cast("int")).alias("accuracy"))
+    return rounded(ev.fold_summary(per), {"mean", "std"})
+
+
+@query("holdout_split")
+def q_holdout(spark, sf_dir):
+    h = ev.holdout(st.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 0.2, 42)
+    return h.groupBy("holdout", "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("training_guard")
+def q_guard(spark, sf_dir):
+    return ev.training_guard(_dataset(spark, sf_dir), "label", 40)

@@ -391,3 +391,103 @@ SELECT ticker, CAST(date AS VARCHAR) AS date, n_headlines, n_positive, n_negativ
     f"round({c}, 6) AS {c}" for c in MARKET_SERIES.values()) + """,
        CAST(day_of_week AS INTEGER) AS day_of_week
 FROM feat"""
+
+# ---------------------------------------------------------------- evaluation
+PREDICTIONS = """
+preds AS (
+  SELECT name, date, label, next_session_return,
+         CASE WHEN prior_1d_return > 0.3 THEN 'UP' WHEN prior_1d_return < -0.3 THEN 'DOWN' ELSE 'FLAT' END
+           AS predicted_label
+  FROM labelled WHERE label IS NOT NULL AND prior_1d_return IS NOT NULL)"""
+
+_PRED = with_(SPARSE_PRICES, SHIP_PROBES, PRICE_CONTEXT, SESSION_RETURNS, PREDICTIONS)
+
+ORACLE["prediction_agreement"] = _PRED + """
+SELECT label AS class, round(avg(CAST(label = predicted_label AS INTEGER)), 6) AS accuracy, count(*) AS n
+FROM preds GROUP BY label
+UNION ALL
+SELECT 'ALL', round(avg(CAST(label = predicted_label AS INTEGER)), 6), count(*) FROM preds"""
+
+ORACLE["confusion_matrix"] = _PRED + """
+SELECT label AS actual, count(*) FILTER (WHERE predicted_label = 'DOWN') AS "DOWN",
+       count(*) FILTER (WHERE predicted_label = 'FLAT') AS "FLAT",
+       count(*) FILTER (WHERE predicted_label = 'UP') AS "UP"
+FROM preds GROUP BY label"""
+
+ORACLE["classification_report"] = _PRED + """,
+cls(class) AS (VALUES ('DOWN'), ('FLAT'), ('UP')),
+t AS (
+  SELECT c.class,
+         (SELECT count(*) FROM preds WHERE label = c.class) AS support,
+         (SELECT count(*) FROM preds WHERE label = c.class AND predicted_label = c.class) AS tp,
+         (SELECT count(*) FROM preds WHERE predicted_label = c.class) AS predicted
+  FROM cls c),
+m AS (
+  SELECT class, support,
+         CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+         CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall
+  FROM t),
+per AS (
+  SELECT class, precision, recall,
+         CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1,
+         support FROM m)
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM per
+UNION ALL
+SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM per
+UNION ALL
+SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+       round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM per"""
+
+ORACLE["run_metrics"] = _PRED + """,
+dates AS (SELECT date, row_number() OVER (ORDER BY date) AS rn FROM (SELECT DISTINCT date FROM preds)),
+nd AS (SELECT count(*) AS n FROM dates),
+sd AS (SELECT d.date AS split FROM dates d, nd
+       WHERE d.rn = least(greatest(1, CAST(floor(nd.n * 0.8) AS BIGINT)) + 1, nd.n)),
+p AS (SELECT preds.*, CASE WHEN date < sd.split THEN 'train' ELSE 'test' END AS part FROM preds, sd),
+maj AS (SELECT label AS majority_label FROM p WHERE part = 'train' GROUP BY label
+        ORDER BY count(*) DESC, label LIMIT 1)
+SELECT count(*) AS n_labeled_rows, count(DISTINCT date) AS n_dates,
+       count(*) FILTER (WHERE part = 'train') AS train_rows, count(*) FILTER (WHERE part = 'test') AS test_rows,
+       CAST(min(date) FILTER (WHERE part = 'test') AS VARCHAR) AS split_date,
+       round(avg(CAST(label = predicted_label AS INTEGER)) FILTER (WHERE part = 'test'), 6) AS model_accuracy,
+       round(avg(CAST(label = (SELECT majority_label FROM maj) AS INTEGER)) FILTER (WHERE part = 'test'), 6)
+         AS baseline_accuracy,
+       (SELECT majority_label FROM maj) AS majority_label,
+       round((avg(CAST(label = predicted_label AS INTEGER)) FILTER (WHERE part = 'test')
+              - avg(CAST(label = (SELECT majority_label FROM maj) AS INTEGER)) FILTER (WHERE part = 'test')) * 100, 6)
+         AS lift_pts
+FROM p"""
+
+ORACLE["class_weights"] = """
+SELECT quality, count(*) AS n_c,
+       round((SELECT count(*) FROM labels) / ((SELECT count(DISTINCT quality) FROM labels) * count(*)), 6) AS weight
+FROM labels GROUP BY quality"""
+
+FOLDS = """
+folds AS (
+  SELECT *, CAST((row_number() OVER (PARTITION BY quality ORDER BY ((doc_id + 42) * 2654435761) % 4294967296) - 1)
+                 % 5 AS INTEGER) AS fold
+  FROM labels)"""
+
+ORACLE["stratified_folds"] = with_(FOLDS) + """
+SELECT fold, quality, count(*) AS n FROM folds GROUP BY 1, 2"""
+
+ORACLE["fold_summary"] = with_(FOLDS) + """,
+per AS (SELECT fold, avg(CAST(quality = 1 - toxic AS INTEGER)) AS accuracy FROM folds GROUP BY fold)
+SELECT round(avg(accuracy), 6) AS mean, round(stddev_pop(accuracy), 6) AS std, count(*) AS n_folds FROM per"""
+
+ORACLE["holdout_split"] = """
+SELECT CAST(rn <= greatest(1, CAST(floor((SELECT count(*) FROM documents) * 0.2) AS BIGINT)) AS INTEGER) AS holdout,
+       lang, count(*) AS n
+FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY ((doc_id + 42) * 2654435761) % 4294967296) AS rn
+      FROM documents)
+GROUP BY 1, 2"""
+
+ORACLE["training_guard"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED, DAILY, BARS, TSERIES, MSERIES,
+                                 FEATURES) + """
+SELECT CAST(count(*) >= 40 AND count(DISTINCT label) >= 2 AS INTEGER) AS ok,
+       CASE WHEN count(*) < 40 THEN 'only ' || count(*) || ' labelled rows (< 40)'
+            WHEN count(DISTINCT label) < 2 THEN 'fewer than 2 classes' END AS reason,
+       count(*) AS n, count(DISTINCT label) AS k
+FROM feat WHERE label IS NOT NULL"""
