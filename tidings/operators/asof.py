@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions.columns import label_from_return, pct
-from tidings.session import bounded_broadcast
 
 DEFAULT_BUCKET_DAYS = 32
 DEFAULT_BUCKET_SECONDS = 32 * 86400
@@ -71,7 +70,8 @@ def sequence(df: DataFrame, by, t: str, rn: str = "rn", bucket_width: int | None
     width = bucket_width or width
     b = df.withColumn("_bkt", F.floor(ordv / F.lit(width)).cast("long"))
     local = b.withColumn("_local", F.row_number().over(Window.partitionBy(*by, "_bkt").orderBy(t)))
-    counts = b.groupBy(*by, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    # counts come from the windowed rows, so both sides share one shuffle
+    counts = local.groupBy(*by, "_bkt").agg(F.max("_local").alias("_n"))
     offsets = counts.withColumn(
         "_off",
         F.coalesce(F.sum("_n").over(Window.partitionBy(*by).orderBy("_bkt")
@@ -123,8 +123,7 @@ def _intervals(ref: DataFrame, by: list[str], t: str, values: list[str], directi
 
 def asof_join(left: DataFrame, right: DataFrame, by, left_on: str, right_on: str,
               values: Sequence[str], direction: str = "backward", allow_exact: bool = True,
-              bucket_width: int | None = None, broadcast_rows: int = 2_000_000,
-              right_neighbour: str | None = None) -> DataFrame:
+              bucket_width: int | None = None, right_neighbour: str | None = None) -> DataFrame:
     """Attach to every ``left`` row the ``values`` of one ``right`` row of the
     same ``by`` group: for ``backward`` the last row at (``allow_exact``) or
     strictly before the left time, for ``forward`` the first row at or
@@ -133,7 +132,10 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_on: str, right_on: str
 
     The as-of lookup runs on the distinct (group, time) keys of ``left``
     (map-side combined, so hot keys collapse early); the result is joined
-    back on equality, broadcast when it is provably small.
+    back on equality. That result grows with the data, so no broadcast is
+    forced: AQE turns the join into a broadcast when the runtime size is
+    under ``spark.sql.autoBroadcastJoinThreshold`` and splits skewed
+    partitions otherwise.
 
     ``right_neighbour`` names a column of ``right`` that already holds the
     next (backward) or previous (forward) time of the group, which saves
@@ -187,7 +189,7 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_on: str, right_on: str
         cond = cond & (nb.isNull() | ((nb < p) if allow_exact else (nb <= p)))
     matched = (keys.join(iv, by + ["_bkt"], "inner").where(cond)
                .select(*by, F.col("_p").alias(left_on), *values))
-    return left.join(bounded_broadcast(matched, broadcast_rows), by + [left_on], "left")
+    return left.join(matched, by + [left_on], "left")
 
 
 def price_context(prices: DataFrame, by: str = "name", t: str = "date", close: str = "close",
