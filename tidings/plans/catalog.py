@@ -351,3 +351,136 @@ def q_holdout(spark, sf_dir):
 @query("training_guard")
 def q_guard(spark, sf_dir):
     return ev.training_guard(_dataset(spark, sf_dir), "label", 40)
+
+
+# ---------------------------------------------------------------- learning loop
+
+from tidings.operators import learning as lr  # noqa: E402
+
+SIGNAL_KEYS = ["name", "signal"]
+
+
+def _signal_outcomes(spark, sf_dir):
+    """Per (entity, judged signal, day) outcomes of the momentum forecast:
+    the judged signal is the momentum horizon with the larger move."""
+    p = _predictions(spark, sf_dir)
+    sig = F.when(F.abs("prior_1d_return") >= F.abs(F.coalesce("prior_3d_return", F.lit(0.0))),
+                 F.lit("momentum_1d")).otherwise(F.lit("momentum_3d"))
+    return p.select("name", sig.alias("signal"), "date",
+                    (F.col("label") == F.col("predicted_label")).cast("int").alias("correct"))
+
+
+@query("signal_weights")
+def q_signal_weights(spark, sf_dir):
+    """Final weight state per (entity, signal)."""
+    s = lr.adjust_weights(_signal_outcomes(spark, sf_dir), SIGNAL_KEYS)
+    return rounded(s.drop("log"), {"current_weight", "pre_decay_weight", "drift"})
+
+
+@query("weight_changes")
+def q_weight_changes(spark, sf_dir):
+    """L6 change log: every weight change (decay, restore, -10 %, +10 %)."""
+    s = lr.adjust_weights(_signal_outcomes(spark, sf_dir), SIGNAL_KEYS)
+    w = lr.weight_changes(s, SIGNAL_KEYS)
+    return rounded(w.withColumn("date", iso(F.col("date"))), {"weight_before", "weight_after"})
+
+
+@query("outcome_streaks")
+def q_streaks(spark, sf_dir):
+    """Current run length of right/wrong outcomes per entity and day."""
+    o = _signal_outcomes(spark, sf_dir)
+    s = lr.streaks(o, ["name"], "date", "correct")
+    return s.select("name", iso(F.col("date")).alias("date"), "correct", "streak")
+
+
+INDEX_SERIES = "view"
+
+
+def _index_log(spark, sf_dir):
+    """Prediction log of the index series (bars of one event type): the
+    prediction for the next session is the direction of the prior-day
+    return; top signals are the three market series with the largest
+    prior-day moves; the precedent similarity is |prior 3-day move| / 10,
+    capped at 1."""
+    bars = st.market_prices(spark, sf_dir)
+    idx = bars.where(F.col("name") == INDEX_SERIES)
+    r = asof.session_returns(idx.select("name", "date"), idx)
+    mk = asof.market_features(idx.select("date"), bars, st.MARKET_SERIES, "date")
+    sig_names = {c: c.replace("_prior_1d_return", "") for c in st.MARKET_SERIES.values()}
+    items = F.array(*[F.struct(F.lit(n).alias("signal"), F.col(c).alias("contribution"))
+                      for c, n in sig_names.items()])
+    top = F.slice(F.array_sort(items, lambda a, b: F.when(F.abs(a["contribution"]) > F.abs(b["contribution"]), -1)
+                               .when(F.abs(a["contribution"]) < F.abs(b["contribution"]), 1)
+                               .when(a["signal"] < b["signal"], -1).when(a["signal"] > b["signal"], 1)
+                               .otherwise(0)), 1, 3)
+    sim = F.when(F.col("prior_3d_return").isNotNull(), F.array(F.struct(
+        F.lit(None).cast("string").alias("headline"), F.lit(None).cast("string").alias("date"),
+        F.round(F.least(F.abs("prior_3d_return") / 10, F.lit(1.0)), 3).alias("similarity"),
+        F.lit(None).cast("double").alias("next_session_return"), F.lit(None).cast("string").alias("outcome"))))\
+        .otherwise(F.array().cast("array<struct<headline:string,date:string,similarity:double,"
+                                  "next_session_return:double,outcome:string>>"))
+    log = r.join(mk, "date").select(
+        F.date_add("date", 1).alias("date"), label_from_return(F.col("prior_1d_return")).alias("prediction"),
+        top.alias("top_signals"), sim.alias("similar"), F.col("date").alias("news_date"))
+    actual = r.select(F.col("date").alias("news_date"), F.col("next_session_return").alias("actual_pct_change"))
+    return log.where(F.col("prediction").isNotNull()), actual
+
+
+def _index_outcomes(spark, sf_dir):
+    log, actual = _index_log(spark, sf_dir)
+    first_week = log.where(F.col("news_date") < F.lit("2024-01-05").cast("date")).select("date")
+    return lr.resolve_outcomes(log, first_week, actual)
+
+
+@query("resolved_outcomes")
+def q_resolved(spark, sf_dir):
+    """Outcomes of the index predictions not resolved before."""
+    o = _index_outcomes(spark, sf_dir)
+    return rounded(o.withColumn("date", iso(F.col("date"))).withColumn("news_date", iso(F.col("news_date"))),
+                   {"actual_pct_change", "error_magnitude"})
+
+
+@query("source_credibility")
+def q_sources(spark, sf_dir):
+    """Running credibility of news sources routed to the index."""
+    c = lr.source_credibility(_index_outcomes(spark, sf_dir), _routed(spark, sf_dir), st.INDEX_TICKER)
+    return rounded(c.withColumn("date", iso(F.col("date"))), {"accuracy_rate", "current_weight"})
+
+
+@query("retrain_trigger")
+def q_retrain(spark, sf_dir):
+    """L4: trigger check from the labelled-headline count, the drift of the
+    index signal weights and the last 10 index outcomes."""
+    outcomes = _index_outcomes(spark, sf_dir)
+    drift = lr.adjust_weights(outcomes.withColumnRenamed("judged_signal", "signal"), ["signal"]) \
+        .agg(F.coalesce(F.sum("drift"), F.lit(0.0)).alias("cumulative_weight_drift")) \
+        .withColumn("last_retrain_headline_count", F.lit(0).cast("long"))
+    labeled = rt.labeled_news(_news(spark, sf_dir)).agg(F.count(F.lit(1)).alias("total_labeled"))
+    recent = lr.last_n_accuracy(outcomes, 10)
+    return rounded(lr.retrain_trigger(drift, labeled, recent), {"cumulative_weight_drift", "last_n_accuracy"})
+
+
+# Forward-signal rules on the stand-in market series
+# (reference: crude > 2 -> Aviation (no members), S&P < -1 -> IT,
+# gold > 1 -> FMCG and Pharma, |USD/INR| > 0.5 -> IT).
+FORWARD_RULES = [
+    ("crude_oil_spike", "purchase", ">", 2.0, ["Aviation"], 5.0),
+    ("us_markets_fell", "click", "<", -1.0, ["Beta"], 3.0),
+    ("risk_off_gold", "error", ">", 1.0, ["Gamma", "Delta"], 3.0),
+    ("usdinr_move", "signup", "abs>", 0.5, ["Beta"], 1.5),
+]
+WATCH_TOPIC, WATCH_SECTOR = "de", "Gamma"
+
+
+@query("forward_signals")
+def q_forward(spark, sf_dir):
+    """Watch-list rows from the latest moves of the market series and
+    the watched topic's headlines on the last price date."""
+    bars = st.market_prices(spark, sf_dir)
+    ch = ser.latest_change(bars).select(F.col("name").alias("series"), "change_pct", "last_date")
+    rules = spark.createDataFrame(FORWARD_RULES, lr.FORWARD_RULE_SCHEMA)
+    last_day = bars.agg(F.max("date").alias("d"))
+    topic = rt.labeled_news(_news(spark, sf_dir)).where(F.col("topic") == WATCH_TOPIC) \
+        .withColumn("d", F.to_date("published_at")).join(last_day, "d", "left_semi").select("headline", "id")
+    f = lr.forward_signals(ch, rules, st.entity_dim(spark), topic.select("headline"), WATCH_SECTOR)
+    return rounded(f, {"confidence"})

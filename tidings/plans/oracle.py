@@ -395,7 +395,7 @@ FROM feat"""
 # ---------------------------------------------------------------- evaluation
 PREDICTIONS = """
 preds AS (
-  SELECT name, date, label, next_session_return,
+  SELECT name, date, label, next_session_return, prior_1d_return, prior_3d_return,
          CASE WHEN prior_1d_return > 0.3 THEN 'UP' WHEN prior_1d_return < -0.3 THEN 'DOWN' ELSE 'FLAT' END
            AS predicted_label
   FROM labelled WHERE label IS NOT NULL AND prior_1d_return IS NOT NULL)"""
@@ -491,3 +491,190 @@ SELECT CAST(count(*) >= 40 AND count(DISTINCT label) >= 2 AS INTEGER) AS ok,
             WHEN count(DISTINCT label) < 2 THEN 'fewer than 2 classes' END AS reason,
        count(*) AS n, count(DISTINCT label) AS k
 FROM feat WHERE label IS NOT NULL"""
+
+# ---------------------------------------------------------------- learning
+SIG_OUTCOMES = """
+sig_outcomes AS (
+  SELECT name, CASE WHEN abs(prior_1d_return) >= abs(coalesce(prior_3d_return, 0.0)) THEN 'momentum_1d'
+                    ELSE 'momentum_3d' END AS signal, date,
+         CAST(label = predicted_label AS INTEGER) AS c
+  FROM preds)"""
+
+_CL = "least(greatest({x}, 0.2), 2.0)"
+
+
+def _fold_sql(source: str = "sig_outcomes", name: str = "name") -> str:
+    cl = _CL.format
+    return f"""
+o AS (SELECT {name} AS name, signal, date, c, row_number() OVER (PARTITION BY {name}, signal ORDER BY date) AS k
+      FROM {source}),
+st AS (
+  SELECT DISTINCT name, signal, CAST(0 AS BIGINT) AS k, NULL::DATE AS date, 1.0::DOUBLE AS w, 0 AS cw, 0 AS cc,
+         0 AS wa, 0 AS ca, NULL::DOUBLE AS pd, 0.0::DOUBLE AS drift,
+         NULL::VARCHAR AS e1, NULL::DOUBLE AS b1, NULL::DOUBLE AS a1,
+         NULL::VARCHAR AS e2, NULL::DOUBLE AS b2, NULL::DOUBLE AS a2
+  FROM o
+  UNION ALL
+  SELECT name, signal, k, date, w3, cw2, cc2, wa3, ca3, pd2, drift + abs(w2 - w0) + abs(w3 - w2),
+         CASE WHEN dec THEN 'decay' WHEN res THEN 'restore' END, CASE WHEN dec OR res THEN w0 END,
+         CASE WHEN dec OR res THEN w2 END,
+         CASE WHEN dn THEN 'down' WHEN up THEN 'up' END, CASE WHEN dn OR up THEN w2 END,
+         CASE WHEN dn OR up THEN w3 END
+  FROM (
+    SELECT *, CASE WHEN dn THEN {cl(x='0.9 * w2')} WHEN up THEN {cl(x='1.1 * w2')} ELSE w2 END AS w3,
+           CASE WHEN dn THEN 0 ELSE wa1 END AS wa3, CASE WHEN up THEN 0 ELSE ca1 END AS ca3
+    FROM (
+      SELECT *, CASE WHEN dec THEN {cl(x='0.5 * w0')} WHEN res THEN {cl(x='pd0')} ELSE w0 END AS w2,
+             CASE WHEN dec THEN w0 WHEN res THEN NULL ELSE pd0 END AS pd2,
+             CASE WHEN dec THEN 0 ELSE cw1 END AS cw2, CASE WHEN res THEN 0 ELSE cc1 END AS cc2,
+             wa1 >= 5 AS dn, wa1 < 5 AND ca1 >= 5 AS up
+      FROM (
+        SELECT *, cw1 >= 3 AND pd0 IS NULL AS dec, NOT (cw1 >= 3 AND pd0 IS NULL) AND cc1 >= 2 AND pd0 IS NOT NULL AS res
+        FROM (
+          SELECT st.name, st.signal, o.k, o.date, st.w AS w0, st.pd AS pd0, st.drift,
+                 CASE WHEN o.c = 1 THEN 0 ELSE st.cw + 1 END AS cw1,
+                 CASE WHEN o.c = 1 THEN st.cc + 1 ELSE 0 END AS cc1,
+                 st.wa + 1 - o.c AS wa1, st.ca + o.c AS ca1
+          FROM st JOIN o ON o.name = st.name AND o.signal = st.signal AND o.k = st.k + 1)))))"""
+
+
+FOLD = _fold_sql()
+_LEARN_HEAD = ("WITH RECURSIVE " + ",\n".join(c.strip() for c in (
+    SPARSE_PRICES, SHIP_PROBES, PRICE_CONTEXT, SESSION_RETURNS, PREDICTIONS, SIG_OUTCOMES, FOLD)) + "\n")
+
+ORACLE["signal_weights"] = _LEARN_HEAD + """
+SELECT name, signal, round(w, 6) AS current_weight, cw AS consecutive_wrong, cc AS consecutive_correct,
+       wa AS wrong_since_adjustment, ca AS correct_since_adjustment, round(pd, 6) AS pre_decay_weight,
+       round(drift, 6) AS drift, k AS n_outcomes
+FROM st WHERE (name, signal, k) IN (SELECT name, signal, max(k) FROM st GROUP BY 1, 2)"""
+
+ORACLE["weight_changes"] = _LEARN_HEAD + """
+SELECT name, signal, CAST(date AS VARCHAR) AS date,
+       CASE e1 WHEN 'decay' THEN '3 consecutive wrong predictions' ELSE 'restored after 2 consecutive correct' END
+         AS reason, round(b1, 6) AS weight_before, round(a1, 6) AS weight_after,
+       CASE e1 WHEN 'decay' THEN 1 ELSE 0 END AS decay_triggered, e1 AS kind
+FROM st WHERE e1 IS NOT NULL
+UNION ALL
+SELECT name, signal, CAST(date AS VARCHAR),
+       CASE e2 WHEN 'down' THEN '5 wrong attributions reached' ELSE '5 correct attributions reached' END,
+       round(b2, 6), round(a2, 6), 0, e2
+FROM st WHERE e2 IS NOT NULL"""
+
+ORACLE["outcome_streaks"] = with_(SPARSE_PRICES, SHIP_PROBES, PRICE_CONTEXT, SESSION_RETURNS, PREDICTIONS,
+                                  SIG_OUTCOMES) + """,
+g AS (SELECT name, date, c, row_number() OVER (PARTITION BY name ORDER BY date)
+             - row_number() OVER (PARTITION BY name, c ORDER BY date) AS isl FROM sig_outcomes)
+SELECT name, CAST(date AS VARCHAR) AS date, c AS correct,
+       CAST(row_number() OVER (PARTITION BY name, c, isl ORDER BY date) AS INTEGER) AS streak
+FROM g"""
+
+_sig = {c: c.replace("_prior_1d_return", "") for c in MARKET_SERIES.values()}
+INDEX_LOG = """
+""" + ctx_sql("ictx", "bars").strip() + """,
+iret AS (
+  SELECT name, date,
+         CASE WHEN rn >= 4 AND prev1_close <> 0 THEN (close / prev1_close - 1) * 100 END AS p1,
+         CASE WHEN rn >= 4 AND prev3_close <> 0 THEN (close / prev3_close - 1) * 100 END AS p3,
+         CASE WHEN close <> 0 THEN (next_close / close - 1) * 100 END AS nsr
+  FROM ictx),
+sigs AS (
+  SELECT i.date, m.signal, coalesce(j.p1, 0.0) AS contribution
+  FROM iret i, (VALUES """ + ", ".join(f"('{s}', '{n}')" for s, n in zip(MARKET_SERIES, _sig.values())) + """)
+       m(series, signal)
+  LEFT JOIN iret j ON j.name = m.series AND j.date = i.date
+  WHERE i.name = 'view'),
+top1 AS (SELECT date, arg_min(signal, (-abs(contribution), signal)) AS top_signal FROM sigs GROUP BY date),
+ilog AS (
+  SELECT i.date + 1 AS date, CASE WHEN i.p1 > 0.3 THEN 'UP' WHEN i.p1 < -0.3 THEN 'DOWN' ELSE 'FLAT' END AS prediction,
+         t.top_signal, CASE WHEN i.p3 IS NOT NULL THEN round(least(abs(i.p3) / 10, 1.0), 3) END AS sim,
+         i.date AS news_date, i.nsr
+  FROM iret i JOIN top1 t ON t.date = i.date WHERE i.name = 'view' AND i.p1 IS NOT NULL),
+outc AS (
+  SELECT date, prediction AS predicted,
+         CASE WHEN nsr > 0.3 THEN 'UP' WHEN nsr < -0.3 THEN 'DOWN' ELSE 'FLAT' END AS actual_direction,
+         nsr AS actual_pct_change,
+         CAST((CASE WHEN nsr > 0.3 THEN 'UP' WHEN nsr < -0.3 THEN 'DOWN' ELSE 'FLAT' END) = prediction AS INTEGER)
+           AS correct, top_signal, sim, news_date
+  FROM ilog WHERE nsr IS NOT NULL AND news_date >= DATE '2024-01-05'),
+outcomes AS (
+  SELECT date, predicted, actual_direction, actual_pct_change, correct,
+         CASE WHEN correct = 1 THEN 0.0 ELSE abs(actual_pct_change) END AS error_magnitude,
+         CASE WHEN correct = 1 THEN NULL WHEN sim IS NULL OR sim < 0.15 THEN 'no_precedent' ELSE top_signal END
+           AS main_error_signal,
+         top_signal AS judged_signal, news_date
+  FROM outc)"""
+
+ORACLE["resolved_outcomes"] = with_(BARS, INDEX_LOG) + """
+SELECT CAST(date AS VARCHAR) AS date, predicted, actual_direction, round(actual_pct_change, 6) AS actual_pct_change,
+       correct, round(error_magnitude, 6) AS error_magnitude, main_error_signal, judged_signal,
+       CAST(news_date AS VARCHAR) AS news_date
+FROM outcomes"""
+
+ORACLE["source_credibility"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED, BARS, INDEX_LOG) + """,
+srcs AS (SELECT DISTINCT source, CAST(published_at AS DATE) AS news_date FROM routed
+         WHERE ticker = '""" + INDEX_TICKER + """' AND source IS NOT NULL),
+ev AS (
+  SELECT s.source, o.date, o.correct,
+         count(*) OVER w AS total_predictions, sum(o.correct) OVER w AS correct_predictions
+  FROM srcs s JOIN outcomes o ON s.news_date = o.news_date
+  WINDOW w AS (PARTITION BY s.source ORDER BY o.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ev2 AS (
+  SELECT *, correct_predictions / total_predictions AS acc,
+         CASE WHEN total_predictions >= 20 AND correct_predictions / total_predictions < 0.4 THEN 0.3
+              WHEN total_predictions >= 20 AND correct_predictions / total_predictions > 0.65 THEN 1.5 END AS t
+  FROM ev)
+SELECT source AS source_name, CAST(date AS VARCHAR) AS date, total_predictions,
+       CAST(correct_predictions AS BIGINT) AS correct_predictions, round(acc, 6) AS accuracy_rate,
+       round(coalesce(last_value(t IGNORE NULLS) OVER (PARTITION BY source ORDER BY date
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 1.0), 6) AS current_weight
+FROM ev2"""
+
+IDX_SIG = """
+idx_sig AS (SELECT 'all' AS grp, judged_signal AS signal, CAST(date AS DATE) AS date, correct AS c FROM outcomes)"""
+
+ORACLE["retrain_trigger"] = ("WITH RECURSIVE " + ",\n".join(c.strip() for c in (
+    NEWS, BARS, INDEX_LOG, IDX_SIG, _fold_sql("idx_sig", "grp"))) + """,
+drift AS (SELECT coalesce(sum(drift), 0.0) AS d FROM st WHERE (name, signal, k) IN
+          (SELECT name, signal, max(k) FROM st GROUP BY 1, 2)),
+lab AS (SELECT count(*) AS n FROM news WHERE sentiment_label IS NOT NULL),
+rec AS (SELECT avg(correct) AS acc, count(*) AS n FROM (SELECT correct FROM outcomes ORDER BY date DESC LIMIT 10)),
+r AS (
+  SELECT lab.n AS new_rows, drift.d, rec.acc, rec.n AS last_n,
+         CASE WHEN lab.n >= 50 THEN lab.n || ' new labeled headlines since last training'
+              WHEN drift.d > 0.2 THEN 'cumulative signal weight drift ' || printf('%.2f', drift.d) || ' > 0.20'
+              WHEN rec.n >= 10 AND rec.acc < 0.38
+                THEN 'accuracy over last 10 predictions (' || CAST(round(rec.acc * 100) AS INTEGER) || '%) below 38%'
+         END AS reason
+  FROM lab, drift, rec)
+SELECT CAST(reason IS NOT NULL AS INTEGER) AS should_retrain, reason, CAST(new_rows AS BIGINT) AS new_rows,
+       round(d, 6) AS cumulative_weight_drift, round(acc, 6) AS last_n_accuracy, last_n
+FROM r""")
+
+_FWD_RULES = [
+    ("crude_oil_spike", "purchase", ">", 2.0, ["Aviation"], 5.0),
+    ("us_markets_fell", "click", "<", -1.0, ["Beta"], 3.0),
+    ("risk_off_gold", "error", ">", 1.0, ["Gamma", "Delta"], 3.0),
+    ("usdinr_move", "signup", "abs>", 0.5, ["Beta"], 1.5),
+]
+FWD = "rules(signal_type, series, op, threshold, sector, divisor) AS (VALUES " + ", ".join(
+    f"('{t}', '{s}', '{o}', {th}, '{sec}', {d})" for t, s, o, th, secs, d in _FWD_RULES for sec in secs) + ")"
+
+ORACLE["forward_signals"] = with_(NEWS, BARS, DICT, FWD) + """,
+lc AS (
+  SELECT name AS series, arg_max(close, date) AS last_v,
+         arg_max(close, date) FILTER (WHERE date < (SELECT max(date) FROM bars b2 WHERE b2.name = bars.name)) AS prev_v
+  FROM bars WHERE close IS NOT NULL GROUP BY name),
+ch AS (SELECT series, CASE WHEN prev_v <> 0 THEN (last_v / prev_v - 1) * 100 END AS change_pct FROM lc),
+fired AS (
+  SELECT r.signal_type, r.sector, least(abs(ch.change_pct) / r.divisor, 1.0) AS confidence,
+         NULL AS source_headline, printf('%s moved %+.2f%%', ch.series, ch.change_pct) AS reasoning
+  FROM rules r JOIN ch ON r.series = ch.series
+  WHERE (r.op = '>' AND ch.change_pct > r.threshold) OR (r.op = '<' AND ch.change_pct < r.threshold)
+     OR (r.op = 'abs>' AND abs(ch.change_pct) > r.threshold)
+  UNION ALL
+  SELECT 'rbi_news', 'Gamma', 0.6, min(headline), 'topic news on the last price date'
+  FROM news WHERE sentiment_label IS NOT NULL AND topic = 'de'
+    AND CAST(published_at AS DATE) = (SELECT max(date) FROM bars)
+  HAVING count(*) > 0)
+SELECT f.sector, d.ticker AS stock, f.signal_type, f.reasoning, f.source_headline, round(f.confidence, 6) AS confidence
+FROM fired f LEFT JOIN dict d ON d.sector = f.sector"""
