@@ -484,3 +484,43 @@ def q_forward(spark, sf_dir):
         .withColumn("d", F.to_date("published_at")).join(last_day, "d", "left_semi").select("headline", "id")
     f = lr.forward_signals(ch, rules, st.entity_dim(spark), topic.select("headline"), WATCH_SECTOR)
     return rounded(f, {"confidence"})
+
+
+# ---------------------------------------------------------------- similarity
+
+from tidings.operators import similarity as sim  # noqa: E402
+
+
+@query("tfidf_vocabulary")
+def q_vocab(spark, sf_dir):
+    """M5: vocabulary (top 2000 terms by corpus frequency) and smoothed idf
+    over all document texts."""
+    d = st.table(spark, sf_dir, "documents")
+    v = sim.vocabulary(sim.term_counts(d, "doc_id", "text"), "doc_id")
+    return rounded(v, {"idf"})
+
+
+@query("similar_documents")
+def q_similar(spark, sf_dir):
+    """M6 + M7: the 3 documents most similar to any benchmark passage, with
+    the index's next-session return after the document's day."""
+    d = st.table(spark, sf_dir, "documents")
+    b = st.table(spark, sf_dir, "benchmark")
+    top = sim.similar_docs(b, d, "item_id", "text", "doc_id", "text")
+    news = _news(spark, sf_dir).select(F.col("id").alias("doc_id"), F.to_date("published_at").alias("date"))
+    top = top.join(news, "doc_id")
+    idx = st.market_prices(spark, sf_dir).where(F.col("name") == INDEX_SERIES)
+    r = asof.session_returns(top.select(F.lit(INDEX_SERIES).alias("name"), "date"), idx)
+    out = top.join(r.select("date", "next_session_return", "label"), "date", "left")
+    return rounded(out.select("doc_id", "similarity", "rank", iso(F.col("date")).alias("date"),
+                              F.round("next_session_return", 2).alias("next_session_return"),
+                              F.coalesce("label", F.lit("unresolved")).alias("outcome")), {"similarity"})
+
+
+@query("similar_per_query")
+def q_similar_per_query(spark, sf_dir):
+    """The 3 most similar documents for each benchmark passage."""
+    d = st.table(spark, sf_dir, "documents")
+    b = st.table(spark, sf_dir, "benchmark")
+    r = sim.similar_per_query(b, d, "item_id", "text", "doc_id", "text")
+    return rounded(r, {"similarity"})

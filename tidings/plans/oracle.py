@@ -678,3 +678,48 @@ fired AS (
   HAVING count(*) > 0)
 SELECT f.sector, d.ticker AS stock, f.signal_type, f.reasoning, f.source_headline, round(f.confidence, 6) AS confidence
 FROM fired f LEFT JOIN dict d ON d.sector = f.sector"""
+
+# ---------------------------------------------------------------- similarity
+from tidings.operators.similarity import english_stop_words  # noqa: E402
+
+STOP = "stop(term) AS (VALUES " + ", ".join(f"({sql_str(w)})" for w in english_stop_words()) + ")"
+WORD_RUN = r"[\p{L}\p{N}_]{2,}"
+
+TFIDF = """
+ctok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '""" + WORD_RUN + """')) AS term FROM documents),
+ctf AS (SELECT doc_id, term, count(*) AS tf FROM ctok WHERE term NOT IN (SELECT term FROM stop) GROUP BY 1, 2),
+ndocs AS (SELECT count(DISTINCT doc_id) AS n FROM ctf),
+vocab AS (
+  SELECT term, sum(tf) AS cf, count(*) AS df FROM ctf GROUP BY term ORDER BY cf DESC, term ASC LIMIT 2000),
+vocab2 AS (SELECT vocab.*, ln((1 + n) / (1 + df)) + 1 AS idf, n AS n_docs FROM vocab, ndocs),
+cw0 AS (SELECT c.doc_id, c.term, c.tf * v.idf AS w FROM ctf c JOIN vocab2 v ON c.term = v.term),
+cw AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM cw0),
+qtok AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '""" + WORD_RUN + """')) AS term FROM benchmark),
+qtf AS (SELECT item_id, term, count(*) AS tf FROM qtok WHERE term NOT IN (SELECT term FROM stop) GROUP BY 1, 2),
+qw0 AS (SELECT q.item_id, q.term, q.tf * v.idf AS w FROM qtf q JOIN vocab2 v ON q.term = v.term),
+qw AS (SELECT item_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS weight FROM qw0),
+sims AS (SELECT q.item_id, c.doc_id, sum(q.weight * c.weight) AS similarity
+         FROM qw q JOIN cw c ON q.term = c.term GROUP BY 1, 2)"""
+
+ORACLE["tfidf_vocabulary"] = with_(STOP, TFIDF) + """
+SELECT term, cf, df, round(idf, 6) AS idf, n_docs FROM vocab2"""
+
+ORACLE["similar_documents"] = with_(STOP, TFIDF, BARS) + """,
+best AS (SELECT doc_id, max(similarity) AS similarity FROM sims GROUP BY doc_id HAVING max(similarity) > 0),
+top AS (SELECT doc_id, similarity, CAST(row_number() OVER (ORDER BY round(similarity, 10) DESC, doc_id) AS INTEGER) AS rank
+        FROM best QUALIFY rank <= 3),
+""" + ctx_sql("vctx", "bars").strip() + """,
+dated AS (SELECT t.*, CAST(TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(t.doc_id % 30 AS INTEGER)) AS DATE) AS date
+          FROM top t),
+res AS (SELECT d.*, CASE WHEN c.close <> 0 THEN (c.next_close / c.close - 1) * 100 END AS nsr
+        FROM dated d ASOF LEFT JOIN (SELECT * FROM vctx WHERE name = 'view') c ON d.date >= c.date)
+SELECT doc_id, round(similarity, 6) AS similarity, rank, CAST(date AS VARCHAR) AS date,
+       round(nsr, 2) AS next_session_return,
+       CASE WHEN nsr IS NULL THEN 'unresolved' WHEN nsr > 0.3 THEN 'UP' WHEN nsr < -0.3 THEN 'DOWN' ELSE 'FLAT' END
+         AS outcome
+FROM res"""
+
+ORACLE["similar_per_query"] = with_(STOP, TFIDF) + """
+SELECT item_id, doc_id, round(similarity, 6) AS similarity,
+       CAST(row_number() OVER (PARTITION BY item_id ORDER BY round(similarity, 10) DESC, doc_id) AS INTEGER) AS rank
+FROM sims WHERE similarity > 0 QUALIFY rank <= 3"""
