@@ -524,3 +524,90 @@ def q_similar_per_query(spark, sf_dir):
     b = st.table(spark, sf_dir, "benchmark")
     r = sim.similar_per_query(b, d, "item_id", "text", "doc_id", "text")
     return rounded(r, {"similarity"})
+
+
+# ---------------------------------------------------------------- ingest and table maintenance
+
+import uuid  # noqa: E402
+
+from tidings.session import scratch_path  # noqa: E402
+from tidings.sources import feeds as fd  # noqa: E402
+from tidings.sources import tables as tb  # noqa: E402
+
+
+@query("feed_roundtrip")
+def q_feed(spark, sf_dir):
+    """Articles written as JSON feeds (one folder per topic) into the
+    shared scratch folder, read back and flattened."""
+    news = _news(spark, sf_dir).select("topic", "headline", "source", "published_at",
+                                       F.lit(None).cast("string").alias("url"),
+                                       F.lit(None).cast("string").alias("description"))
+    path = scratch_path(spark, f"feed-{uuid.uuid4().hex}")
+    fd.to_feed(news).write.mode("overwrite").partitionBy("topic").json(path)
+    flat = fd.flatten_articles(fd.read_feed(spark, path, multi_line=False))
+    return flat.select("topic", "headline", "source", "published_at", "url")
+
+
+def _stored_and_batch(spark, sf_dir):
+    news = _news(spark, sf_dir)
+    return news.where(F.col("topic") == "en"), news
+
+
+@query("dedup_append")
+def q_dedup_append(spark, sf_dir):
+    """Articles of the incoming batch (all) to add to the stored table
+    (English articles): first copy per whole text, text not stored yet."""
+    stored, batch = _stored_and_batch(spark, sf_dir)
+    new = tb.append_new(stored, batch, "body", ["id"])
+    return new.select("id", "topic", "source")
+
+
+@query("ingest_stats")
+def q_ingest_stats(spark, sf_dir):
+    stored, batch = _stored_and_batch(spark, sf_dir)
+    return tb.ingest_stats(stored, batch, "body", ["id"])
+
+
+@query("first_copy")
+def q_first_copy(spark, sf_dir):
+    """The first document (by id) of every distinct text."""
+    d = st.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return tb.first_by_key(d, ["text"], ["doc_id"]).select("doc_id", "lang", "source")
+
+
+def _label_versions(spark, sf_dir):
+    target = st.table(spark, sf_dir, "labels").withColumn("version", F.lit(0))
+    d = st.table(spark, sf_dir, "documents").where(F.col("lang") == "de")
+    updates = d.select("doc_id", (F.col("n_chars") > 2000).cast("int").alias("quality"),
+                       F.lit(0).alias("toxic"), F.lit(1).alias("version"))
+    return target, updates
+
+
+@query("upsert_labels")
+def q_upsert(spark, sf_dir):
+    """Label table after an upsert (last version wins per doc)."""
+    t, u = _label_versions(spark, sf_dir)
+    return tb.upsert(t, u, ["doc_id"], "version")
+
+
+@query("insert_ignore_labels")
+def q_insert_ignore(spark, sf_dir):
+    """Existing labels win, new docs are added."""
+    t, u = _label_versions(spark, sf_dir)
+    return tb.insert_ignore(t, u, ["doc_id"])
+
+
+@query("patch_labels")
+def q_patch(spark, sf_dir):
+    """Quality patched where a patch row exists."""
+    t, u = _label_versions(spark, sf_dir)
+    return tb.update_columns(t, u.select("doc_id", "quality"), ["doc_id"], ["quality"])
+
+
+@query("seed_signal_weights")
+def q_seed(spark, sf_dir):
+    """S14 + S15: default weight rows for every judged signal seen."""
+    empty = tb.empty_table(spark, "signal_name string, current_weight double, consecutive_wrong int, "
+                                  "pre_decay_weight double")
+    keys = _signal_outcomes(spark, sf_dir).select(F.col("signal").alias("signal_name"))
+    return tb.seed_defaults(empty, keys, "signal_name", {"current_weight": 1.0, "consecutive_wrong": 0})

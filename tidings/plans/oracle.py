@@ -723,3 +723,55 @@ ORACLE["similar_per_query"] = with_(STOP, TFIDF) + """
 SELECT item_id, doc_id, round(similarity, 6) AS similarity,
        CAST(row_number() OVER (PARTITION BY item_id ORDER BY round(similarity, 10) DESC, doc_id) AS INTEGER) AS rank
 FROM sims WHERE similarity > 0 QUALIFY rank <= 3"""
+
+# ---------------------------------------------------------------- ingest and tables
+ORACLE["feed_roundtrip"] = with_(NEWS) + """
+SELECT topic, coalesce(headline, '') AS headline, coalesce(source, 'Unknown') AS source,
+       strftime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS published_at, '' AS url
+FROM news"""
+
+APPEND = """
+batch AS (SELECT * FROM news WHERE body IS NOT NULL AND length(body) > 0),
+firsts AS (SELECT arg_min(id, id) AS id FROM batch GROUP BY body),
+newrows AS (SELECT b.* FROM batch b JOIN firsts f ON b.id = f.id
+            WHERE b.body NOT IN (SELECT body FROM news WHERE topic = 'en' AND body IS NOT NULL))"""
+
+ORACLE["dedup_append"] = with_(NEWS, APPEND) + """
+SELECT id, topic, source FROM newrows"""
+
+ORACLE["ingest_stats"] = with_(NEWS, APPEND) + """
+SELECT (SELECT count(*) FROM news) AS fetched,
+       (SELECT count(*) FROM news WHERE body IS NULL OR length(body) = 0) AS skipped,
+       (SELECT count(*) FROM newrows) AS inserted,
+       (SELECT count(*) FROM news) - (SELECT count(*) FROM news WHERE body IS NULL OR length(body) = 0)
+         - (SELECT count(*) FROM newrows) AS duplicates,
+       (SELECT count(*) FROM news WHERE topic = 'en') + (SELECT count(*) FROM newrows) AS total"""
+
+ORACLE["first_copy"] = """
+SELECT d.doc_id, d.lang, d.source FROM documents d
+JOIN (SELECT min(doc_id) AS doc_id FROM documents GROUP BY text) f ON d.doc_id = f.doc_id"""
+
+VERSIONS = """
+target AS (SELECT doc_id, quality, toxic, 0 AS version FROM labels),
+updates AS (SELECT doc_id, CAST(n_chars > 2000 AS INTEGER) AS quality, 0 AS toxic, 1 AS version
+            FROM documents WHERE lang = 'de')"""
+
+ORACLE["upsert_labels"] = with_(VERSIONS) + """
+SELECT doc_id, arg_max(quality, (version, src)) AS quality, arg_max(toxic, (version, src)) AS toxic,
+       max(version) AS version
+FROM (SELECT *, 0 AS src FROM target UNION ALL SELECT *, 1 AS src FROM updates) GROUP BY doc_id"""
+
+ORACLE["insert_ignore_labels"] = with_(VERSIONS) + """
+SELECT * FROM target
+UNION ALL
+SELECT * FROM updates WHERE doc_id NOT IN (SELECT doc_id FROM target)"""
+
+ORACLE["patch_labels"] = with_(VERSIONS) + """
+SELECT t.doc_id, coalesce(u.quality, t.quality) AS quality, t.toxic, t.version
+FROM target t LEFT JOIN updates u ON t.doc_id = u.doc_id"""
+
+ORACLE["seed_signal_weights"] = with_(SPARSE_PRICES, SHIP_PROBES, PRICE_CONTEXT, SESSION_RETURNS, PREDICTIONS,
+                                      SIG_OUTCOMES) + """
+SELECT DISTINCT signal AS signal_name, 1.0 AS current_weight, 0 AS consecutive_wrong,
+       CAST(NULL AS DOUBLE) AS pre_decay_weight
+FROM sig_outcomes"""
