@@ -611,3 +611,90 @@ def q_seed(spark, sf_dir):
                                   "pre_decay_weight double")
     keys = _signal_outcomes(spark, sf_dir).select(F.col("signal").alias("signal_name"))
     return tb.seed_defaults(empty, keys, "signal_name", {"current_weight": 1.0, "consecutive_wrong": 0})
+
+
+# ---------------------------------------------------------------- views
+
+from tidings.operators import views as vw  # noqa: E402
+
+LABEL_ORDER = ["positive", "neutral", "negative"]
+
+
+@query("sentiment_by_day")
+def q_sent_by_day(spark, sf_dir):
+    """Routed rows per UTC day and label, zeros filled."""
+    r = _routed(spark, sf_dir).withColumn("day", iso(F.to_date("published_at")))
+    return vw.daily_counts(r, "day", "sentiment_label", LABEL_ORDER)
+
+
+@query("sector_sentiment")
+def q_sector_sentiment(spark, sf_dir):
+    return rounded(vw.sector_sentiment(_routed(spark, sf_dir)), {"mean_sign"})
+
+
+@query("top_sources")
+def q_top_sources(spark, sf_dir):
+    """O3: the 10 sources with most routed rows."""
+    return vw.top_n(_routed(spark, sf_dir), "source", 10)
+
+
+@query("latest_events")
+def q_latest_events(spark, sf_dir):
+    """The 50 latest routed events."""
+    r = vw.latest(_routed(spark, sf_dir), [F.col("published_at").desc(), F.col("article_id").desc(),
+                                           F.col("ticker").asc()], 50)
+    return r.select("article_id", "ticker", iso(F.col("published_at")).alias("published_at"), "matched_via")
+
+
+@query("label_frequency")
+def q_label_freq(spark, sf_dir):
+    """A3: routed rows per label in a fixed order."""
+    return vw.value_counts(_routed(spark, sf_dir), "sentiment_label", LABEL_ORDER)
+
+
+@query("selected_events")
+def q_selected(spark, sf_dir):
+    """Routed rows of two sectors with a non-neutral label."""
+    r = vw.select_in(_routed(spark, sf_dir), {"sector": ["Alpha", "Gamma"], "sentiment_label": ["positive",
+                                                                                                  "negative"]})
+    return r.select("article_id", "ticker", "sector", "sentiment_label")
+
+
+@query("recent_prices")
+def q_recent(spark, sf_dir):
+    """P10: closes within 180 days of the latest date, per series."""
+    r = vw.lookback(st.sparse_prices(spark, sf_dir), "date", 180)
+    return r.groupBy("name").agg(F.count(F.lit(1)).alias("n"), iso(F.min("date")).alias("first_date"))
+
+
+# Stand-in event markers for the bar calendar.
+EVENT_MARKERS = [("2024-01-08", "second week"), ("2024-01-15", "mid-month"), ("2024-01-29", "last week")]
+
+
+@query("annotated_bars")
+def q_annotated(spark, sf_dir):
+    """Bars with the event marker of their day, if any."""
+    ev = spark.createDataFrame(EVENT_MARKERS, "d string, marker string").select(
+        F.to_date("d").alias("date"), "marker")
+    b = vw.annotate(st.bars(spark, sf_dir), ev, "date")
+    return rounded(b.withColumn("date", iso(F.col("date"))), {"open", "high", "low", "close"})
+
+
+@query("routing_coverage")
+def q_coverage_counts(spark, sf_dir):
+    """Distinct tickers, sources, articles and days; first and
+    last day of the routed rows."""
+    r = _routed(spark, sf_dir).withColumn("day", F.to_date("published_at"))
+    return r.agg(F.count_distinct("ticker").alias("n_tickers"), F.count_distinct("source").alias("n_sources"),
+                 F.count_distinct("article_id").alias("n_articles"), F.count_distinct("day").alias("n_days"),
+                 iso(F.min("day")).alias("first_day"), iso(F.max("day")).alias("last_day"),
+                 F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("latest_in_flight")
+def q_in_flight(spark, sf_dir):
+    """P12 + P13: per entity the last probe whose next close is unknown."""
+    r = asof.session_returns(st.ship_probes(spark, sf_dir), st.sparse_prices(spark, sf_dir))
+    fl = vw.in_flight(r)
+    return rounded(fl.groupBy("name").agg(F.max("date").alias("date"), F.max_by("close", "date").alias("close"))
+                   .withColumn("date", iso(F.col("date"))), {"close"})

@@ -775,3 +775,60 @@ ORACLE["seed_signal_weights"] = with_(SPARSE_PRICES, SHIP_PROBES, PRICE_CONTEXT,
 SELECT DISTINCT signal AS signal_name, 1.0 AS current_weight, 0 AS consecutive_wrong,
        CAST(NULL AS DOUBLE) AS pre_decay_weight
 FROM sig_outcomes"""
+
+# ---------------------------------------------------------------- views
+_ROUT = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED)
+
+ORACLE["sentiment_by_day"] = _ROUT + """
+SELECT CAST(CAST(published_at AS DATE) AS VARCHAR) AS day,
+       count(*) FILTER (WHERE sentiment_label = 'positive') AS positive,
+       count(*) FILTER (WHERE sentiment_label = 'neutral') AS neutral,
+       count(*) FILTER (WHERE sentiment_label = 'negative') AS negative
+FROM routed GROUP BY 1"""
+
+ORACLE["sector_sentiment"] = _ROUT + """
+SELECT sector, round(avg(CASE sentiment_label WHEN 'positive' THEN 1 WHEN 'negative' THEN -1
+                                               WHEN 'neutral' THEN 0 END), 6) AS mean_sign, count(*) AS n,
+       CASE WHEN avg(CASE sentiment_label WHEN 'positive' THEN 1 WHEN 'negative' THEN -1 WHEN 'neutral' THEN 0 END) > 0.05
+            THEN 'positive'
+            WHEN avg(CASE sentiment_label WHEN 'positive' THEN 1 WHEN 'negative' THEN -1 WHEN 'neutral' THEN 0 END) < -0.05
+            THEN 'negative' ELSE 'neutral' END AS band
+FROM routed GROUP BY sector"""
+
+ORACLE["top_sources"] = _ROUT + """
+SELECT source, count(*) AS n FROM routed GROUP BY source ORDER BY n DESC, source LIMIT 10"""
+
+ORACLE["latest_events"] = _ROUT + """
+SELECT article_id, ticker, strftime(published_at, '%Y-%m-%d') AS published_at, matched_via
+FROM routed ORDER BY published_at DESC, article_id DESC, ticker LIMIT 50"""
+
+ORACLE["label_frequency"] = _ROUT + """
+SELECT r.sentiment_label, count(*) AS n, any_value(o.position) AS position
+FROM routed r JOIN (VALUES ('positive', 0), ('neutral', 1), ('negative', 2)) o(label, position)
+  ON r.sentiment_label = o.label
+GROUP BY 1"""
+
+ORACLE["selected_events"] = _ROUT + """
+SELECT article_id, ticker, sector, sentiment_label FROM routed
+WHERE sector IN ('Alpha', 'Gamma') AND sentiment_label IN ('positive', 'negative')"""
+
+ORACLE["recent_prices"] = with_(SPARSE_PRICES) + """
+SELECT name, count(*) AS n, CAST(min(date) AS VARCHAR) AS first_date FROM sparse_prices
+WHERE date >= (SELECT max(date) FROM sparse_prices) - INTERVAL 180 DAY GROUP BY name"""
+
+ORACLE["annotated_bars"] = with_(BARS) + """
+SELECT name, CAST(b.date AS VARCHAR) AS date, round(open, 6) AS open, round(high, 6) AS high,
+       round(low, 6) AS low, round(close, 6) AS close, volume, e.marker
+FROM bars b LEFT JOIN (VALUES (DATE '2024-01-08', 'second week'), (DATE '2024-01-15', 'mid-month'),
+                              (DATE '2024-01-29', 'last week')) e(date, marker) ON b.date = e.date"""
+
+ORACLE["routing_coverage"] = _ROUT + """
+SELECT count(DISTINCT ticker) AS n_tickers, count(DISTINCT source) AS n_sources,
+       count(DISTINCT article_id) AS n_articles, count(DISTINCT CAST(published_at AS DATE)) AS n_days,
+       CAST(min(CAST(published_at AS DATE)) AS VARCHAR) AS first_day,
+       CAST(max(CAST(published_at AS DATE)) AS VARCHAR) AS last_day, count(*) AS n_rows
+FROM routed"""
+
+ORACLE["latest_in_flight"] = with_(SPARSE_PRICES, SHIP_PROBES, PRICE_CONTEXT, SESSION_RETURNS) + """
+SELECT name, CAST(max(date) AS VARCHAR) AS date, round(arg_max(close, date), 6) AS close
+FROM labelled WHERE label IS NULL GROUP BY name"""
