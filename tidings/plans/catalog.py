@@ -698,3 +698,68 @@ def q_in_flight(spark, sf_dir):
     fl = vw.in_flight(r)
     return rounded(fl.groupBy("name").agg(F.max("date").alias("date"), F.max_by("close", "date").alias("close"))
                    .withColumn("date", iso(F.col("date"))), {"close"})
+
+
+# ---------------------------------------------------------------- streaming
+
+from tidings.streaming import ingest as sm  # noqa: E402
+from tidings.streaming import state as ss  # noqa: E402
+
+
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Feed files arrive one topic at a time; each
+    micro-batch appends articles whose whole text was never stored, after
+    the label rules. Result: one row per distinct text (its SHA-256)."""
+    src, sink, ckpt = _scratch(spark, "feed-src"), _scratch(spark, "feed-sink"), _scratch(spark, "feed-ckpt")
+    news = _news(spark, sf_dir)
+    feed = fd.to_feed(news.select("topic", F.col("body").alias("headline"), "source", "published_at",
+                                  F.lit(None).cast("string").alias("url"),
+                                  F.col("sentiment_label").alias("description")))
+    for (t,) in news.select("topic").distinct().orderBy("topic").collect():
+        feed.where(F.col("topic") == t).drop("topic").write.mode("overwrite").json(f"{src}/topic={t}")
+    stream = sm.feed_stream(spark, src, max_files=1)
+
+    def enrich(df):
+        return tx.apply_label_rules(df.withColumn("sentiment_label", F.col("description")), text="headline")
+
+    q = sm.append_batches(stream, sink, "headline", ["published_at", "source", "topic"], ckpt, once=True,
+                          enrich=enrich)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select(F.sha2(F.col("headline"), 256).alias("text_sha256"))
+
+
+@query("stream_daily_counts")
+def q_stream_daily(spark, sf_dir):
+    """One-day tumbling windows per topic over the article stream."""
+    src, sink, ckpt = _scratch(spark, "news-src"), _scratch(spark, "daily-sink"), _scratch(spark, "daily-ckpt")
+    news = _news(spark, sf_dir).select("id", "topic", "published_at", "sentiment_label", "sentiment_confidence")
+    news.write.mode("overwrite").parquet(src)
+    stream = spark.readStream.schema(news.schema).parquet(src).withColumnRenamed("published_at", "published_ts")
+    agg = sm.daily_sentiment_stream(stream, "topic")
+    sm.to_table_each_batch(agg, sink, ckpt, "complete", once=True).awaitTermination()
+    r = spark.read.parquet(sink)
+    return rounded(r.select(iso(F.col("window.start")).alias("day"), "topic", "n_headlines", "n_positive",
+                            "n_negative", "n_neutral", "avg_confidence", "net_sentiment"),
+                   {"avg_confidence", "net_sentiment"})
+
+
+@query("stream_signal_weights")
+def q_stream_weights(spark, sf_dir):
+    """The weight state machine as a stateful stream over outcome files
+    arriving year by year; final states equal the batch fold."""
+    src, sink, ckpt = _scratch(spark, "outc-src"), _scratch(spark, "w-sink"), _scratch(spark, "w-ckpt")
+    o = _signal_outcomes(spark, sf_dir).withColumn("year", F.year("date"))
+    for (y,) in o.select("year").distinct().orderBy("year").collect():
+        o.where(F.col("year") == y).drop("year").write.mode("overwrite").parquet(f"{src}/part={y}")
+    schema = o.drop("year").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/part=*")
+    st_ = ss.weight_stream(stream, SIGNAL_KEYS)
+    sm.on_each_batch(st_, lambda b, e: b.write.mode("append").parquet(sink), ckpt, once=True,
+                     mode="update").awaitTermination()
+    final = lr.latest_by_key(spark.read.parquet(sink), SIGNAL_KEYS, "n_outcomes")
+    return rounded(final, {"current_weight", "pre_decay_weight", "drift"})

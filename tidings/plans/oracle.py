@@ -832,3 +832,19 @@ FROM routed"""
 ORACLE["latest_in_flight"] = with_(SPARSE_PRICES, SHIP_PROBES, PRICE_CONTEXT, SESSION_RETURNS) + """
 SELECT name, CAST(max(date) AS VARCHAR) AS date, round(arg_max(close, date), 6) AS close
 FROM labelled WHERE label IS NULL GROUP BY name"""
+
+# ---------------------------------------------------------------- streaming
+ORACLE["stream_ingest"] = with_(NEWS) + """
+SELECT DISTINCT sha256(body) AS text_sha256 FROM news WHERE body IS NOT NULL AND length(body) > 0"""
+
+ORACLE["stream_daily_counts"] = with_(NEWS) + """
+SELECT CAST(CAST(published_at AS DATE) AS VARCHAR) AS day, topic, count(*) AS n_headlines,
+       count(*) FILTER (WHERE sentiment_label = 'positive') AS n_positive,
+       count(*) FILTER (WHERE sentiment_label = 'negative') AS n_negative,
+       count(*) FILTER (WHERE sentiment_label = 'neutral') AS n_neutral,
+       round(avg(sentiment_confidence), 6) AS avg_confidence,
+       round(avg(CASE sentiment_label WHEN 'positive' THEN 1 WHEN 'negative' THEN -1 WHEN 'neutral' THEN 0 END
+                 * sentiment_confidence), 6) AS net_sentiment
+FROM news GROUP BY 1, 2"""
+
+ORACLE["stream_signal_weights"] = ORACLE["signal_weights"]
