@@ -123,7 +123,8 @@ def _intervals(ref: DataFrame, by: list[str], t: str, values: list[str], directi
 
 def asof_join(left: DataFrame, right: DataFrame, by, left_on: str, right_on: str,
               values: Sequence[str], direction: str = "backward", allow_exact: bool = True,
-              bucket_width: int | None = None, right_neighbour: str | None = None) -> DataFrame:
+              bucket_width: int | None = None, right_neighbour: str | None = None,
+              time_source: DataFrame | None = None) -> DataFrame:
     """Attach to every ``left`` row the ``values`` of one ``right`` row of the
     same ``by`` group: for ``backward`` the last row at (``allow_exact``) or
     strictly before the left time, for ``forward`` the first row at or
@@ -139,7 +140,10 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_on: str, right_on: str
 
     ``right_neighbour`` names a column of ``right`` that already holds the
     next (backward) or previous (forward) time of the group, which saves
-    sequencing ``right`` again.
+    sequencing ``right`` again. ``time_source`` (a frame with a
+    ``right_on`` column covering the same times, e.g. the raw rows ``right``
+    was derived from) is used for the global time range instead of
+    ``right``, so that range does not recompute ``right``.
     """
     by = _keys(by)
     values = [v for v in values if v not in by and v != right_on]
@@ -160,26 +164,22 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_on: str, right_on: str
 
     # Open-ended intervals (after the last / before the first row) reach to
     # a cap one bucket past the reference data; probes further out are
-    # clamped to the cap, where only open intervals live.
-    lo_hi = ref.agg(F.min(ordv).alias("lo"), F.max(ordv).alias("hi")).first()
-    if lo_hi is None or lo_hi["lo"] is None:
-        out = left
-        for v in values:
-            out = out.withColumn(v, F.lit(None).cast(right.schema[v].dataType))
-        return out
-    lo_cap = int(lo_hi["lo"]) // width - 1
-    hi_cap = int(lo_hi["hi"]) // width + 1
+    # clamped to the cap, where only open intervals live. The caps are
+    # scalar subqueries over the reference side (no driver round trip).
+    span = ref if time_source is None else time_source.select(F.col(right_on).alias("_t"))
+    caps = span.select(F.struct((F.floor(F.min(ordv) / F.lit(width)) - 1).cast("long").alias("lo"),
+                               (F.floor(F.max(ordv) / F.lit(width)) + 1).cast("long").alias("hi"))).scalar()
+    lo_cap, hi_cap = caps["lo"], caps["hi"]
     if direction == "backward":
-        start_b, end_b = own_b, F.coalesce(nb_b, F.lit(hi_cap))
+        start_b, end_b = own_b, F.coalesce(nb_b, hi_cap)
     else:
-        start_b, end_b = F.coalesce(nb_b, F.lit(lo_cap)), own_b
+        start_b, end_b = F.coalesce(nb_b, lo_cap), own_b
     iv = (seq.withColumn("_bkt", F.explode(F.sequence(start_b, end_b)))
           .select(*by, "_bkt", F.col("_t").alias("_own_t"), F.col("_nb_t"), *values))
 
     keys = left.select(*by, F.col(left_on).alias("_p")).where(F.col("_p").isNotNull()).distinct()
     p_o = _ordinal(keys, "_p")[0]
-    keys = keys.withColumn("_bkt", F.least(F.greatest(F.floor(p_o / F.lit(width)).cast("long"),
-                                                      F.lit(lo_cap)), F.lit(hi_cap)))
+    keys = keys.withColumn("_bkt", F.least(F.greatest(F.floor(p_o / F.lit(width)).cast("long"), lo_cap), hi_cap))
     p, own, nb = F.col("_p"), F.col("_own_t"), F.col("_nb_t")
     if direction == "backward":
         cond = (own <= p) if allow_exact else (own < p)
@@ -219,9 +219,10 @@ def session_returns(probes: DataFrame, prices: DataFrame, by: str = "name", t: s
     """
     ctx = price_context(prices, by, t, close, bucket_width)
     ctx = ctx.withColumnRenamed(t, "_price_t")
+    raw = prices.where(F.col(close).isNotNull()).select(F.col(t).alias("_price_t"))
     joined = asof_join(probes, ctx, by, t, "_price_t",
                        [close, "next_close", "prev1_close", "prev3_close", "rn"],
-                       "backward", True, bucket_width, right_neighbour="next_t")
+                       "backward", True, bucket_width, right_neighbour="next_t", time_source=raw)
     ret = pct(F.col("next_close"), F.col(close))
     return (joined
             .withColumn("next_session_return", ret)

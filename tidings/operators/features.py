@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +15,12 @@ SENTIMENT_FEATURES = ["n_headlines", "pct_positive", "pct_negative", "pct_neutra
 
 
 def daily_sentiment(routed: DataFrame, key: str = "ticker", ts: str = "published_at",
-                    label: str = "sentiment_label", conf: str = "sentiment_confidence") -> DataFrame:
+                    label: str = "sentiment_label", conf: str = "sentiment_confidence",
+                    carry: list[str] | None = None) -> DataFrame:
     """A1: per (entity, UTC day) headline count, label counts, mean
     confidence, mean signed confidence and label shares. Partial
-    aggregation runs map-side, so hot entities collapse before the shuffle."""
+    aggregation runs map-side, so hot entities collapse before the shuffle.
+    ``carry`` columns (functionally dependent on the key) ride along."""
     r = routed.withColumn("date", to_utc_day(F.col(ts))) \
         .withColumn("_w", sentiment_sign(F.col(label)) * F.col(conf))
     agg = r.groupBy(key, "date").agg(
@@ -26,7 +29,8 @@ def daily_sentiment(routed: DataFrame, key: str = "ticker", ts: str = "published
         F.count_if(F.col(label) == "negative").alias("n_negative"),
         F.count_if(F.col(label) == "neutral").alias("n_neutral"),
         F.avg(conf).alias("avg_confidence"),
-        F.avg("_w").alias("net_sentiment"))
+        F.avg("_w").alias("net_sentiment"),
+        *[F.min(c).alias(c) for c in (carry or [])])
     n = F.col("n_headlines")
     return (agg.withColumn("pct_positive", F.try_divide(F.col("n_positive"), n))
             .withColumn("pct_negative", F.try_divide(F.col("n_negative"), n))
@@ -42,16 +46,21 @@ def build_dataset(routed: DataFrame, prices: DataFrame, dim: DataFrame, market_s
     prior-day return of each market series (0 if absent) and day of week.
     Rows whose next close is not known yet keep a NULL label.
     """
-    feats = daily_sentiment(routed)
+    # one pass over the routed rows: the company name is fixed by the
+    # ticker (both routing branches take it from the dimension)
+    feats = daily_sentiment(routed, carry=["company_name"])
     dimb = bounded_broadcast(dim.select("ticker", "name", "sector").dropDuplicates(["ticker"]))
-    feats = feats.join(dimb.select("ticker", "sector"), "ticker", "left")
+    # One row per (ticker, day): every later branch reads this table, so it
+    # is kept (memory, spilling to disk; lost blocks are rebuilt from
+    # lineage) instead of re-running routing once per branch.
+    feats = feats.join(dimb.select("ticker", "sector"), "ticker", "left").persist(StorageLevel.MEMORY_AND_DISK)
 
-    pairs = routed.select("ticker", "company_name", to_utc_day(F.col("published_at")).alias("date")).distinct()
+    pairs = feats.select("ticker", "company_name", "date")
     pairs = pairs.join(dimb.select("ticker", F.col("name").alias("_dim_name")), "ticker", "left") \
         .withColumn("_mom_name", F.coalesce(F.col("_dim_name"), F.col("ticker")))
     probes = (pairs.select(F.col("company_name").alias("name"), "date")
               .unionByName(pairs.select(F.col("_mom_name").alias("name"), "date")).distinct())
-    asof = session_returns(probes, prices, "name", "date", "close", flat)
+    asof = session_returns(probes, prices, "name", "date", "close", flat).persist(StorageLevel.MEMORY_AND_DISK)
     nxt = pairs.join(asof.select(F.col("name").alias("company_name"), "date", "next_session_return", "label"),
                      ["company_name", "date"], "left") \
         .groupBy("ticker", "date").agg(F.max_by("next_session_return", "company_name").alias("next_session_return"),
@@ -60,7 +69,7 @@ def build_dataset(routed: DataFrame, prices: DataFrame, dim: DataFrame, market_s
         .join(asof.select(F.col("name").alias("_mom_name"), "date", "prior_1d_return", "prior_3d_return"),
               ["_mom_name", "date"], "left").drop("_mom_name")
 
-    ds = feats.join(nxt, ["ticker", "date"], "left").join(mom, ["ticker", "date"], "left") \
+    ds = feats.drop("company_name").join(nxt, ["ticker", "date"], "left").join(mom, ["ticker", "date"], "left") \
         .fillna({"prior_1d_return": 0.0, "prior_3d_return": 0.0})
 
     idx = feats.where(F.col("ticker") == index_ticker).select("date", F.col("net_sentiment").alias("_mns"))

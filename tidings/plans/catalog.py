@@ -530,7 +530,7 @@ def q_similar_per_query(spark, sf_dir):
 
 import uuid  # noqa: E402
 
-from tidings.session import scratch_path  # noqa: E402
+from tidings.session import cut_lineage, scratch_path  # noqa: E402
 from tidings.sources import feeds as fd  # noqa: E402
 from tidings.sources import tables as tb  # noqa: E402
 
@@ -763,3 +763,120 @@ def q_stream_weights(spark, sf_dir):
                      mode="update").awaitTermination()
     final = lr.latest_by_key(spark.read.parquet(sink), SIGNAL_KEYS, "n_outcomes")
     return rounded(final, {"current_weight", "pre_decay_weight", "drift"})
+
+
+# ---------------------------------------------------------------- models
+
+from tidings.operators import model as md  # noqa: E402
+
+NO_ORACLE = {"boosted_direction_model", "feature_importance", "live_predictions", "text_classifier_cv",
+             "text_scoring", "train_excluding_eval", "model_roundtrip"}
+
+
+def _model_input(spark, sf_dir):
+    """The feature table written to the shared checkpoint folder once:
+    iterative training reads it many times, so its lineage is cut."""
+    return cut_lineage(_dataset(spark, sf_dir))
+
+
+def _labelled_split(spark, sf_dir):
+    ds = _model_input(spark, sf_dir).where(F.col("label").isNotNull())
+    return ev.time_split(ds, "date")
+
+
+@query("boosted_direction_model")
+def q_boosted(spark, sf_dir):
+    """M8 + M13: one-vs-rest boosted trees fitted on the train part of the
+    time split; predictions for the test part."""
+    p = _labelled_split(spark, sf_dir)
+    train, test = p.where(F.col("part") == "train"), p.where(F.col("part") == "test")
+    m = md.train_boosted(train)
+    out = md.predict(m, test)
+    return out.select("ticker", iso(F.col("date")).alias("date"), "sector", "label", "predicted_label")
+
+
+@query("feature_importance")
+def q_importance(spark, sf_dir):
+    """Importances of the boosted model fitted on all labelled rows."""
+    ds = _model_input(spark, sf_dir).where(F.col("label").isNotNull())
+    imp = md.feature_importance(md.train_boosted(ds))
+    return spark.createDataFrame(imp, "feature string, importance double")
+
+
+@query("live_predictions")
+def q_live(spark, sf_dir):
+    """M9 + M10 + M11 + O9: the signal-weighted model fitted on resolved
+    rows scores the in-flight rows: direction, confidence and top 3 signals,
+    ranked by confidence."""
+    ds = _model_input(spark, sf_dir)
+    m = md.train_weighted(ds.where(F.col("label").isNotNull()))
+    scored = md.contributions(m, md.predict(m, ds.where(F.col("label").isNull())))
+    return scored.select("ticker", iso(F.col("date")).alias("date"), "predicted_label",
+                         F.round("confidence", 6).alias("confidence"),
+                         F.col("top_signals")[0]["signal"].alias("top_signal")) \
+        .orderBy(F.col("confidence").desc(), "ticker", "date")
+
+
+def _text_labels(spark, sf_dir):
+    d = st.table(spark, sf_dir, "documents").select("doc_id", "text")
+    lab = st.table(spark, sf_dir, "labels")
+    j = d.join(lab, "doc_id").withColumn("label_idx", F.col("quality").cast("double"))
+    w = ev.class_weights(j, "quality").select("quality", "weight")
+    return j.join(F.broadcast(w), "quality")
+
+
+@query("text_classifier_cv")
+def q_text_cv(spark, sf_dir):
+    """M2 + M3 + A25: 5-fold stratified CV of the text classifier on the
+    human quality labels; per-fold accuracy, mean and population std."""
+    data = cut_lineage(ev.stratified_folds(_text_labels(spark, sf_dir), "doc_id", "quality", 5, 42))
+    rows = []
+    for k in range(5):
+        m = md.text_pipeline().fit(data.where(F.col("fold") != k))
+        acc = m.transform(data.where(F.col("fold") == k)).agg(
+            F.avg((F.col("prediction") == F.col("label_idx")).cast("int"))).first()[0]
+        rows.append((k, float(acc)))
+    per = spark.createDataFrame(rows, "fold int, accuracy double")
+    return _with_summary(per)
+
+
+def _with_summary(per):
+    s = ev.fold_summary(per).first()
+    return per.withColumn("mean", F.lit(s["mean"])).withColumn("std", F.lit(s["std"]))
+
+
+@query("text_scoring")
+def q_text_scoring(spark, sf_dir):
+    """M1: documents without a human label scored by the classifier fitted
+    on the labelled ones; count and mean score per predicted class."""
+    lab = _text_labels(spark, sf_dir)
+    m = md.text_pipeline().fit(lab)
+    d = st.table(spark, sf_dir, "documents").select("doc_id", "text")
+    todo = d.join(lab.select("doc_id"), "doc_id", "left_anti")
+    s = md.score_text(m, todo, ["low", "high"])
+    return s.groupBy("predicted").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 4).alias("mean_score"))
+
+
+@query("train_excluding_eval")
+def q_train_excluding(spark, sf_dir):
+    """M4 + J17: evaluation set = a seeded 20 % hold-out of the labelled
+    documents; training pool = labelled documents whose text is not in it."""
+    lab = ev.holdout(_text_labels(spark, sf_dir), "doc_id", 0.2, 42)
+    evl = lab.where(F.col("holdout") == 1)
+    pool = lab.where(F.col("holdout") == 0).join(evl.select("text"), "text", "left_anti")
+    m = md.text_pipeline().fit(pool)
+    pred = m.transform(evl)
+    return ev.agreement(pred.withColumn("a", F.col("label_idx").cast("int").cast("string"))
+                        .withColumn("p", F.col("prediction").cast("int").cast("string")), "a", "p")
+
+
+@query("model_roundtrip")
+def q_roundtrip(spark, sf_dir):
+    """The weighted model saved to the shared folder, loaded back and
+    used to score the labelled rows."""
+    ds = _model_input(spark, sf_dir).where(F.col("label").isNotNull())
+    m = md.train_weighted(ds)
+    path = _scratch(spark, "model")
+    md.save_model(m, path)
+    m2 = md.load_model(path)
+    return md.predict(m2, ds).groupBy("label", "predicted_label").agg(F.count(F.lit(1)).alias("n"))
