@@ -42,11 +42,13 @@ def route(news: DataFrame, dim: DataFrame, topic_map: DataFrame, index_ticker: s
 
     tm = bounded_broadcast(topic_map.select("topic", F.col("sector").alias("_sector")).dropDuplicates(["topic"]))
     topical = base.join(tm, "topic")
-    sector_members = bounded_broadcast(members.select("ticker", "name", F.col("sector").alias("_sector")))
-    index_row = bounded_broadcast(dim.where(F.col("ticker") == index_ticker)
-                                  .select("ticker", "name").limit(1).withColumn("_sector", F.lit(INDEX_SECTOR)))
-    fan = (topical.where(F.col("_sector") != INDEX_SECTOR).join(sector_members, "_sector")
-           .unionByName(topical.where(F.col("_sector") == INDEX_SECTOR).join(index_row, "_sector")))
+    # Fan-out targets: every member of a sector under its sector, plus the
+    # one index row under "Index"; one equi-join on the topic's sector.
+    index_row = dim.where(F.col("ticker") == index_ticker).select("ticker", "name").limit(1) \
+        .withColumn("_sector", F.lit(INDEX_SECTOR))
+    targets = bounded_broadcast(members.select("ticker", "name", F.col("sector").alias("_sector"))
+                                .unionByName(index_row))
+    fan = topical.join(targets, "_sector")
     by_topic = (fan.join(m.select("article_id", "ticker"), ["article_id", "ticker"], "left_anti")
                 .select(*ARTICLE_COLS, "ticker", F.col("name").alias("company_name"),
                         F.col("_sector").alias("sector"), F.lit("topic_macro").alias("matched_via")))

@@ -58,10 +58,12 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], order: str) -
         .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*target.columns)
 
 
-def insert_ignore(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Existing keys win; new keys are added (first per key)."""
+def insert_ignore(target: DataFrame, updates: DataFrame, keys: list[str],
+                  order: list[str] | None = None) -> DataFrame:
+    """Existing keys win; new keys are added, the first row per key in
+    ``order`` (default: the other columns) when a key repeats."""
     new = updates.select(*target.columns).join(target.select(*keys), keys, "left_anti")
-    new = first_by_key(new, keys, keys)
+    new = first_by_key(new, keys, order or [c for c in target.columns if c not in keys])
     return target.unionByName(new)
 
 
