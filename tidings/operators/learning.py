@@ -303,3 +303,10 @@ def forward_signals(changes: DataFrame, rules: DataFrame, dim: DataFrame, topic_
     members = bounded_broadcast(dim.select("sector", F.col("ticker").alias("stock")))
     return fired.join(members, "sector", "left").select("sector", "stock", "signal_type", "reasoning",
                                                         "source_headline", "confidence")
+
+
+def snapshot_map(df: DataFrame, keys: list[str], k: str, v: str) -> DataFrame:
+    """per key a MAP<k, v> snapshot (e.g. the signal weights of a day).
+    The map holds one entry per configured signal or source, so the
+    collected group is bounded by that configuration."""
+    return df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col(k), F.col(v)))).alias("snapshot"))

@@ -137,10 +137,11 @@ def load_model(path: str) -> PipelineModel:
 # ---------------------------------------------------------------- text classifier (M1-M4)
 
 def text_pipeline(text: str = "text", label_idx: str = "label_idx", weight: str | None = "weight",
-                  num_features: int = 1 << 18, reg: float = 0.01) -> Pipeline:
+                  num_features: int = 1 << 18, reg: float = 0.01, max_iter: int = 25) -> Pipeline:
     """M2: tokens -> stop words out -> hashed term counts -> idf ->
     multinomial logistic regression (class-weighted)."""
-    lr = LogisticRegression(featuresCol="tfidf", labelCol=label_idx, family="multinomial", regParam=reg, maxIter=50)
+    lr = LogisticRegression(featuresCol="tfidf", labelCol=label_idx, family="multinomial", regParam=reg,
+                            maxIter=max_iter)
     if weight:
         lr = lr.setWeightCol(weight)
     return Pipeline(stages=[

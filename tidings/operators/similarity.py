@@ -13,6 +13,7 @@ import glob
 import os
 import zipfile
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,20 +39,21 @@ def english_stop_words() -> tuple[str, ...]:
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str, stop_words=None) -> DataFrame:
     """(doc, term, tf): lower-cased tokens of >= 2 word characters, stop
-    words removed, counted per document (whole texts)."""
+    words removed, counted per document (whole texts). Kept (memory and
+    disk) because vocabulary, weights and norms all read it."""
     sw = docs.sparkSession.createDataFrame([(w,) for w in (stop_words or english_stop_words())], "term string")
     toks = docs.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0))
                        .alias("term"))
     toks = toks.join(F.broadcast(sw), "term", "left_anti")
-    return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def vocabulary(tf: DataFrame, id_col: str, max_terms: int = MAX_TERMS) -> DataFrame:
+def vocabulary(tf: DataFrame, id_col: str, max_terms: int = MAX_TERMS, n_docs: int | None = None) -> DataFrame:
     """M5 vocabulary: the ``max_terms`` terms with the highest corpus
     frequency (ties by term), with document frequency and the smoothed
-    idf = ln((1 + n) / (1 + df)) + 1. The vocabulary is a top-k, so it is
-    bounded by ``max_terms``; n is one scalar."""
-    n = tf.select(id_col).distinct().count()
+    idf = ln((1 + n) / (1 + df)) + 1, n = number of corpus documents. The
+    vocabulary is a top-k, so it is bounded by ``max_terms``."""
+    n = n_docs if n_docs is not None else tf.select(id_col).distinct().count()
     stats = tf.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
     top = stats.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_terms)
     return top.withColumn("idf", F.log((F.lit(1.0 + n)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)) \
@@ -61,10 +63,12 @@ def vocabulary(tf: DataFrame, id_col: str, max_terms: int = MAX_TERMS) -> DataFr
 def tfidf(tf: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
     """(doc, term, weight): tf * idf over the vocabulary, L2-normalised per
     document (documents without vocabulary terms drop out)."""
-    v = bounded_broadcast(vocab.select("term", "idf"), MAX_TERMS * 10)
+    v = F.broadcast(vocab.select("term", "idf"))  # bounded: a top-k of MAX_TERMS rows
     w = tf.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norm, id_col).where(F.col("_norm") > 0) \
+    # norm per document: a window over the document's own terms (bounded by
+    # its distinct terms), rows stay partitioned by document
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return w.withColumn("_norm", norm).where(F.col("_norm") > 0) \
         .select(id_col, "term", (F.col("w") / F.col("_norm")).alias("weight"))
 
 
@@ -101,11 +105,11 @@ def similar_docs(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str,
     10 places, then id, so equal texts rank by id), vocabulary and idf fitted on
     the corpus; empty when the corpus has fewer than ``min_corpus`` rows.
     Returns (doc, similarity, rank)."""
-    ctf = term_counts(corpus, c_id, c_text)
-    vocab = vocabulary(ctf, c_id, max_terms)
-    n = vocab.select("n_docs").first()
-    if n is None or n["n_docs"] < min_corpus:
+    n_docs = corpus.count()
+    if n_docs < min_corpus:
         return corpus.sparkSession.createDataFrame([], f"{c_id} long, similarity double, rank int")
+    ctf = term_counts(corpus, c_id, c_text)
+    vocab = vocabulary(ctf, c_id, max_terms, n_docs)
     cw = tfidf(ctf, vocab, c_id)
     qw = tfidf(term_counts(queries, q_id, q_text), vocab, q_id)
     sims = cosine(qw, cw, q_id, c_id)
@@ -119,7 +123,7 @@ def similar_per_query(queries: DataFrame, corpus: DataFrame, q_id: str, q_text:
                       k: int = TOP_K, max_terms: int = MAX_TERMS) -> DataFrame:
     """For every query its ``k`` most similar corpus documents (> 0)."""
     ctf = term_counts(corpus, c_id, c_text)
-    vocab = vocabulary(ctf, c_id, max_terms)
+    vocab = vocabulary(ctf, c_id, max_terms, corpus.count())
     cw = tfidf(ctf, vocab, c_id)
     qw = tfidf(term_counts(queries, q_id, q_text), vocab, q_id)
     sims = cosine(qw, cw, q_id, c_id).where(F.col("similarity") > 0)

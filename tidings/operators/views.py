@@ -110,3 +110,26 @@ def latest_in_flight(df: DataFrame, entity_col: str, entity: str, date_col: str
 def latest_run(metrics: DataFrame, ts: str = "run_at") -> DataFrame:
     """The latest record of a run table."""
     return metrics.agg(F.max_by(F.struct(*metrics.columns), F.col(ts)).alias("_r")).select("_r.*")
+
+
+def influential(df: DataFrame, keys: list[str], k: int = 5, label: str = "sentiment_label",
+                conf: str = "sentiment_confidence", id_col: str = "article_id") -> DataFrame:
+    """Per group the ``k`` headlines of highest strength =
+    confidence x max(|sign|, 0.01) (ties by id), via the salted top-k."""
+    from tidings.operators.similarity import top_k_per_group
+    s = df.withColumn("strength", F.col(conf) * F.greatest(F.abs(sentiment_sign(F.col(label))), F.lit(0.01)))
+    return top_k_per_group(s, keys, [F.col("strength").desc(), F.col(id_col).asc()], k,
+                           salt_col=F.xxhash64(F.col(id_col)))
+
+
+def json_field(c, schema: str) -> Column:
+    """decode a JSON text column with an explicit schema."""
+    return F.from_json(F.col(c) if isinstance(c, str) else c, schema)
+
+
+def validate_labels(df: DataFrame, human: str, model: str) -> tuple[DataFrame, DataFrame]:
+    """Agreement per human class and overall, and the disagreements."""
+    ok = (F.col(human) == F.col(model)).cast("int")
+    per = df.groupBy(F.col(human).alias("class")).agg(F.avg(ok).alias("agreement"), F.count(F.lit(1)).alias("n"))
+    allr = df.agg(F.avg(ok).alias("agreement"), F.count(F.lit(1)).alias("n")).withColumn("class", F.lit("ALL"))
+    return per.unionByName(allr), df.where(F.col(human) != F.col(model))

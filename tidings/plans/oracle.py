@@ -688,7 +688,7 @@ WORD_RUN = r"[\p{L}\p{N}_]{2,}"
 TFIDF = """
 ctok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '""" + WORD_RUN + """')) AS term FROM documents),
 ctf AS (SELECT doc_id, term, count(*) AS tf FROM ctok WHERE term NOT IN (SELECT term FROM stop) GROUP BY 1, 2),
-ndocs AS (SELECT count(DISTINCT doc_id) AS n FROM ctf),
+ndocs AS (SELECT count(*) AS n FROM documents),
 vocab AS (
   SELECT term, sum(tf) AS cf, count(*) AS df FROM ctf GROUP BY term ORDER BY cf DESC, term ASC LIMIT 2000),
 vocab2 AS (SELECT vocab.*, ln((1 + n) / (1 + df)) + 1 AS idf, n AS n_docs FROM vocab, ndocs),
@@ -848,3 +848,17 @@ SELECT CAST(CAST(published_at AS DATE) AS VARCHAR) AS day, topic, count(*) AS n_
 FROM news GROUP BY 1, 2"""
 
 ORACLE["stream_signal_weights"] = ORACLE["signal_weights"]
+
+ORACLE["influential_headlines"] = _ROUT + """,
+s AS (SELECT *, sentiment_confidence * greatest(abs(CASE sentiment_label WHEN 'positive' THEN 1
+             WHEN 'negative' THEN -1 WHEN 'neutral' THEN 0 END), 0.01) AS strength,
+             CAST(published_at AS DATE) AS d FROM routed),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY ticker, d ORDER BY strength DESC, article_id) AS INTEGER) AS rank
+      FROM s)
+SELECT ticker, CAST(d AS VARCHAR) AS date, article_id, source, sentiment_label, round(strength, 6) AS strength, rank
+FROM r WHERE rank <= 5"""
+
+ORACLE["event_props"] = """
+SELECT event_type, round(avg(CAST(json_extract(props, '$.k') AS INTEGER)), 6) AS mean_k,
+       max(CAST(json_extract(props, '$.k') AS INTEGER)) AS max_k, count(*) AS n
+FROM events GROUP BY event_type"""
