@@ -24,7 +24,9 @@ def test_session_returns_edges(spark):
         ("C", D(2024, 1, 3)),  # unknown name
         ("B", D(2024, 1, 3)),  # zero baseline
     ], "name string, date date")
+    big = {(x.name, x.date): x for x in asof.session_returns(probes, prices, small_rows=None).collect()}
     r = {(x.name, x.date): x for x in asof.session_returns(probes, prices).collect()}
+    assert big == r
     assert r[("A", D(2024, 1, 1))].close is None and r[("A", D(2024, 1, 1))].label is None
     a3 = r[("A", D(2024, 1, 3))]
     assert a3.close == 101.0 and a3.next_close == 99.0
@@ -70,9 +72,11 @@ def test_asof_matches_brute_force(spark):
     for direction in ("backward", "forward"):
         for exact in (True, False):
             for width in (None, 3):  # small buckets exercise intervals spanning many buckets
-                got = asof.asof_join(left, right, "name", "t", "t", ["v"], direction, exact, bucket_width=width)
-                g = {(r.name, r.t): r.v for r in got.collect()}
-                assert g == _brute(prices, probes, direction, exact), (direction, exact, width)
+                for small in (None, 1_000_000):  # bucketed shuffle path and broadcast path
+                    got = asof.asof_join(left, right, "name", "t", "t", ["v"], direction, exact, bucket_width=width,
+                                         small_rows=small)
+                    g = {(r.name, r.t): r.v for r in got.collect()}
+                    assert g == _brute(prices, probes, direction, exact), (direction, exact, width, small)
 
 
 def test_sequence_and_neighbours(spark):

@@ -34,10 +34,10 @@ DIM = [("SBIN", "SBI", "Banking"), ("SBILIFE", "SBI Life", "Finance"), ("TCS", "
        ("IDX", "NIFTY 50 Index", "Index")]
 
 
-def _route_names(spark, texts):
+def _route_names(spark, texts, small_dictionary=tx.SMALL_DICTIONARY):
     dim = spark.createDataFrame(DIM, "ticker string, name string, sector string").where(F.col("sector") != "Index")
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
-    m = tx.suppress_contained(tx.match_terms(df, "id", "text", dim), "id", "ticker")
+    m = tx.suppress_contained(tx.match_terms(df, "id", "text", dim, small_dictionary=small_dictionary), "id", "ticker")
     out = {}
     for r in m.collect():
         out.setdefault(r.id, set()).add(r.ticker)
@@ -75,7 +75,9 @@ def test_dictionary_match_equals_greedy_loop(spark):
     rnd = random.Random(3)
     words = ["SBI", "Life", "TCS", "tcs", "ITC", "PITCH", "Mahindra", "&", "Dr", "Reddy's", "é", "and", "x"]
     texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 12))) for _ in range(400)]
-    assert _route_names(spark, texts) == _greedy(texts, DIM)
+    want = _greedy(texts, DIM)
+    assert _route_names(spark, texts) == want
+    assert _route_names(spark, texts, small_dictionary=0) == want  # token join path
 
 
 def test_route_branches(spark):

@@ -85,21 +85,39 @@ def _first_word(term: Column) -> Column:
     return F.lower(F.regexp_extract(term, r"(?U)\w+", 0))
 
 
+SMALL_DICTIONARY = 10_000
+
+
 def match_terms(texts: DataFrame, id_col: str, text_col: str, dim: DataFrame, term_col: str = "name",
-                max_broadcast_terms: int = 2_000_000) -> DataFrame:
+                max_broadcast_terms: int = 2_000_000, small_dictionary: int = SMALL_DICTIONARY) -> DataFrame:
     """Every dictionary term found in a text as a whole word,
     case-insensitively; first occurrence only. Returns (id, dictionary
     columns..., start, end) with 1-based start and exclusive end.
 
-    Candidates come from an equi-join of each text's distinct word tokens
-    with each term's first word (the dictionary side is broadcast after a
-    size check); only candidates run the exact regex. Terms must contain a
-    word character.
+    Candidates are the terms whose first word is one of the text's word
+    tokens; only candidates run the exact regex. Terms must contain a word
+    character.
+
+    - Dictionary proven small (bounded count <= ``small_dictionary``): each
+      text's distinct tokens are intersected in-row with the dictionary's
+      first words, only the hits are exploded and joined to the broadcast
+      dictionary. No shuffle; the text is not copied per token.
+    - Larger dictionary: (id, token) pairs are exploded without the text,
+      joined to the dictionary (broadcast up to ``max_broadcast_terms``,
+      else a shuffle join with AQE skew handling for common words), and the
+      candidates are joined back to their text by id.
     """
     d = dim.withColumn("_w", _first_word(F.col(term_col))).where(F.col("_w") != "")
-    toks = texts.select(id_col, text_col, F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(?U)\w+"), 0))).alias("_w"))
-    cand = toks.join(bounded_broadcast(d, max_broadcast_terms), "_w")
+    tokens = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(?U)\w+"), 0))
+    n_terms = d.limit(small_dictionary + 1).count()
+    if n_terms <= small_dictionary:
+        firsts = sorted({r[0] for r in d.select("_w").distinct().collect()})
+        hits = F.array_intersect(tokens, F.array(*[F.lit(w) for w in firsts])) if firsts else F.array()
+        cand = texts.select(id_col, text_col, F.explode(hits).alias("_w")).join(F.broadcast(d), "_w")
+    else:
+        toks = texts.select(id_col, F.explode(tokens).alias("_w"))
+        pairs = toks.join(bounded_broadcast(d, max_broadcast_terms), "_w")
+        cand = pairs.join(texts.select(id_col, text_col), id_col)
     pat = F.concat(F.lit(r"(?iU)\b\Q"), F.replace(F.col(term_col), F.lit(r"\E"), F.lit(r"\E\\E\Q")),
                    F.lit(r"\E\b"))
     start = F.regexp_instr(F.col(text_col), pat)
