@@ -101,11 +101,15 @@ def _entry(date, reason, before, after, decay, kind) -> Column:
                     F.lit(decay).cast("int").alias("decay_triggered"), F.lit(kind).alias("kind"))
 
 
-def _step(s: Column, x: Column) -> Column:
-    """One outcome applied to the state (the reference's order of checks)."""
+def _step(s: Column, x: Column, with_log: bool = True) -> Column:
+    """One outcome applied to the state (the reference's order of checks).
+    Without ``with_log`` the change log stays empty (cheaper state)."""
     ok = x["correct"] == 1
     lo, hi = MIN_WEIGHT, MAX_WEIGHT
 
+    def logged(log, entry):
+        return F.array_append(log, entry) if with_log else log
+
     def tallies(s):
         return F.struct(
             s["w"].alias("w"),
@@ -123,13 +127,13 @@ def _step(s: Column, x: Column) -> Column:
         after_decay = F.struct(
             w_dec.alias("w"), F.lit(0).alias("cw"), s["cc"].alias("cc"), s["wa"].alias("wa"), s["ca"].alias("ca"),
             s["w"].alias("pd"), (s["drift"] + F.abs(w_dec - s["w"])).alias("drift"),
-            F.array_append(s["log"], _entry(x["date"], f"{DECAY_STREAK} consecutive wrong predictions",
-                                            s["w"], w_dec, 1, "decay")).alias("log")).cast(_STATE)
+            logged(s["log"], _entry(x["date"], f"{DECAY_STREAK} consecutive wrong predictions",
+                                    s["w"], w_dec, 1, "decay")).alias("log")).cast(_STATE)
         after_restore = F.struct(
             w_res.alias("w"), s["cw"].alias("cw"), F.lit(0).alias("cc"), s["wa"].alias("wa"), s["ca"].alias("ca"),
             F.lit(None).cast("double").alias("pd"), (s["drift"] + F.abs(w_res - s["w"])).alias("drift"),
-            F.array_append(s["log"], _entry(x["date"], f"restored after {RESTORE_STREAK} consecutive correct",
-                                            s["w"], w_res, 0, "restore")).alias("log")).cast(_STATE)
+            logged(s["log"], _entry(x["date"], f"restored after {RESTORE_STREAK} consecutive correct",
+                                    s["w"], w_res, 0, "restore")).alias("log")).cast(_STATE)
         return F.when(decay, after_decay).when(restore, after_restore).otherwise(s)
 
     def periodic(s):
@@ -140,20 +144,20 @@ def _step(s: Column, x: Column) -> Column:
         after_dn = F.struct(
             w_dn.alias("w"), s["cw"].alias("cw"), s["cc"].alias("cc"), F.lit(0).alias("wa"), s["ca"].alias("ca"),
             s["pd"].alias("pd"), (s["drift"] + F.abs(w_dn - s["w"])).alias("drift"),
-            F.array_append(s["log"], _entry(x["date"], f"{ADJUSTMENT_EVERY} wrong attributions reached",
-                                            s["w"], w_dn, 0, "down")).alias("log")).cast(_STATE)
+            logged(s["log"], _entry(x["date"], f"{ADJUSTMENT_EVERY} wrong attributions reached",
+                                    s["w"], w_dn, 0, "down")).alias("log")).cast(_STATE)
         after_up = F.struct(
             w_up.alias("w"), s["cw"].alias("cw"), s["cc"].alias("cc"), s["wa"].alias("wa"), F.lit(0).alias("ca"),
             s["pd"].alias("pd"), (s["drift"] + F.abs(w_up - s["w"])).alias("drift"),
-            F.array_append(s["log"], _entry(x["date"], f"{ADJUSTMENT_EVERY} correct attributions reached",
-                                            s["w"], w_up, 0, "up")).alias("log")).cast(_STATE)
+            logged(s["log"], _entry(x["date"], f"{ADJUSTMENT_EVERY} correct attributions reached",
+                                    s["w"], w_up, 0, "up")).alias("log")).cast(_STATE)
         return F.when(down, after_dn).when(up, after_up).otherwise(s)
 
     return _let(_let(tallies(s), decay_or_restore), periodic)
 
 
 def adjust_weights(outcomes: DataFrame, keys: list[str], date_col: str = "date",
-                   correct_col: str = "correct") -> DataFrame:
+                   correct_col: str = "correct", with_log: bool = True) -> DataFrame:
     """Run the weight state machine over each key's outcomes in date
     order, starting from weight 1.0 with zero counters.
 
@@ -172,7 +176,8 @@ def adjust_weights(outcomes: DataFrame, keys: list[str], date_col: str = "date",
     init = F.struct(F.lit(DEFAULT_WEIGHT).alias("w"), F.lit(0).alias("cw"), F.lit(0).alias("cc"),
                     F.lit(0).alias("wa"), F.lit(0).alias("ca"), F.lit(None).cast("double").alias("pd"),
                     F.lit(0.0).alias("drift"), F.array().cast(T.ArrayType(_LOG_ITEM)).alias("log")).cast(_STATE)
-    final = hist.select(*keys, F.aggregate("_h", init, _step).alias("_s"), F.size("_h").alias("n_outcomes"))
+    final = hist.select(*keys, F.aggregate("_h", init, lambda s, x: _step(s, x, with_log)).alias("_s"),
+                        F.size("_h").alias("n_outcomes"))
     return final.select(*keys, F.col("_s.w").alias("current_weight"), F.col("_s.cw").alias("consecutive_wrong"),
                         F.col("_s.cc").alias("consecutive_correct"), F.col("_s.wa").alias("wrong_since_adjustment"),
                         F.col("_s.ca").alias("correct_since_adjustment"), F.col("_s.pd").alias("pre_decay_weight"),

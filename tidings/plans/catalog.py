@@ -373,7 +373,7 @@ def _signal_outcomes(spark, sf_dir):
 @query("signal_weights")
 def q_signal_weights(spark, sf_dir):
     """Final weight state per (entity, signal)."""
-    s = lr.adjust_weights(_signal_outcomes(spark, sf_dir), SIGNAL_KEYS)
+    s = lr.adjust_weights(_signal_outcomes(spark, sf_dir), SIGNAL_KEYS, with_log=False)
     return rounded(s.drop("log"), {"current_weight", "pre_decay_weight", "drift"})
 
 
