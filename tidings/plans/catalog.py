@@ -920,3 +920,33 @@ def q_validation(spark, sf_dir):
 
 
 NO_ORACLE = NO_ORACLE | {"text_label_validation"}
+
+
+from tidings.operators import cycle as cy  # noqa: E402
+
+NO_ORACLE = NO_ORACLE | {"retrain_cycle", "prediction_log"}
+
+
+@query("retrain_cycle")
+def q_retrain_cycle(spark, sf_dir):
+    """Retrain on the labelled feature rows with the signal weights of
+    the weight fold (one per signal, 1.0 when unseen), history row out."""
+    ds = _model_input(spark, sf_dir).where(F.col("label").isNotNull())
+    _, hist = cy.retrain(spark, ds, {s: 1.0 for s in lr.SIGNAL_FEATURES}, "50 new labeled headlines", None,
+                         "2024-02-01T00:00:00")
+    return hist.select("at", "trigger", "old_accuracy", F.round("new_accuracy", 6).alias("new_accuracy"), "n_rows")
+
+
+@query("prediction_log")
+def q_prediction_log(spark, sf_dir):
+    """The explained prediction of the index entity's latest
+    unresolved day."""
+    ds = _model_input(spark, sf_dir)
+    m = md.train_weighted(ds.where(F.col("label").isNotNull()))
+    routed = _routed(spark, sf_dir).join(_news(spark, sf_dir).select(F.col("id").alias("article_id"), "body"),
+                                         "article_id")
+    log = cy.predict_and_explain(ds, m, st.INDEX_TICKER, routed)
+    return log.select("ticker", iso(F.col("news_date")).alias("news_date"), "prediction", "confidence",
+                      F.to_json("top_signals").alias("top_signals"),
+                      F.to_json("influential_headlines").alias("influential_headlines"),
+                      F.to_json("similar_past_events").alias("similar_past_events"))
