@@ -67,3 +67,13 @@ def test_latest_run_and_snapshot(spark):
     snap = lr.snapshot_map(w, ["day"], "s", "w").first().snapshot
     assert snap == {"sentiment": 1.0, "sp500": 0.5}
     assert F is not None
+
+
+def test_write_table_roundtrip(spark):
+    d = tempfile.mkdtemp(prefix="tidings-test-")
+    df = spark.createDataFrame([("a", "x, \"y\"", 1)], "k string, v string, part int")
+    tb.write_table(df, os.path.join(d, "p"), "parquet", ["part"])
+    assert spark.read.parquet(os.path.join(d, "p")).first().v == 'x, "y"'
+    tb.write_table(df.drop("part"), os.path.join(d, "c"), "csv")
+    back = spark.read.option("header", True).option("escape", '"').csv(os.path.join(d, "c")).first()
+    assert back.v == 'x, "y"'
