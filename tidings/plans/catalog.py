@@ -761,7 +761,8 @@ def q_stream_weights(spark, sf_dir):
     st_ = ss.weight_stream(stream, SIGNAL_KEYS)
     sm.on_each_batch(st_, lambda b, e: b.write.mode("append").parquet(sink), ckpt, once=True,
                      mode="update").awaitTermination()
-    final = lr.latest_by_key(spark.read.parquet(sink), SIGNAL_KEYS, "n_outcomes")
+    final = lr.latest_by_key(spark.read.parquet(sink), SIGNAL_KEYS, "n_outcomes") \
+        .withColumn("n_outcomes", F.col("n_outcomes").cast("int"))
     return rounded(final, {"current_weight", "pre_decay_weight", "drift"})
 
 

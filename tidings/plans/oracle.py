@@ -260,7 +260,7 @@ matches AS (
       AND (b.len > a.len OR (b.start = a.start AND b.len = a.len AND b.ticker < a.ticker))))"""
 
 ORACLE["term_matches"] = with_(NEWS, DICT, MATCHES) + """
-SELECT id AS article_id, ticker, start, "end" FROM matches"""
+SELECT id AS article_id, ticker, CAST(start AS INTEGER) AS start, CAST("end" AS INTEGER) AS "end" FROM matches"""
 
 ROUTED = """
 labeled AS (SELECT * FROM news WHERE sentiment_label IS NOT NULL),
@@ -545,7 +545,7 @@ _LEARN_HEAD = ("WITH RECURSIVE " + ",\n".join(c.strip() for c in (
 ORACLE["signal_weights"] = _LEARN_HEAD + """
 SELECT name, signal, round(w, 6) AS current_weight, cw AS consecutive_wrong, cc AS consecutive_correct,
        wa AS wrong_since_adjustment, ca AS correct_since_adjustment, round(pd, 6) AS pre_decay_weight,
-       round(drift, 6) AS drift, k AS n_outcomes
+       round(drift, 6) AS drift, CAST(k AS INTEGER) AS n_outcomes
 FROM st WHERE (name, signal, k) IN (SELECT name, signal, max(k) FROM st GROUP BY 1, 2)"""
 
 ORACLE["weight_changes"] = _LEARN_HEAD + """
@@ -625,8 +625,8 @@ ev2 AS (
   FROM ev)
 SELECT source AS source_name, CAST(date AS VARCHAR) AS date, total_predictions,
        CAST(correct_predictions AS BIGINT) AS correct_predictions, round(acc, 6) AS accuracy_rate,
-       round(coalesce(last_value(t IGNORE NULLS) OVER (PARTITION BY source ORDER BY date
-             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 1.0), 6) AS current_weight
+       CAST(round(coalesce(last_value(t IGNORE NULLS) OVER (PARTITION BY source ORDER BY date
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 1.0), 6) AS DOUBLE) AS current_weight
 FROM ev2"""
 
 IDX_SIG = """
@@ -702,7 +702,7 @@ sims AS (SELECT q.item_id, c.doc_id, sum(q.weight * c.weight) AS similarity
          FROM qw q JOIN cw c ON q.term = c.term GROUP BY 1, 2)"""
 
 ORACLE["tfidf_vocabulary"] = with_(STOP, TFIDF) + """
-SELECT term, cf, df, round(idf, 6) AS idf, n_docs FROM vocab2"""
+SELECT term, CAST(cf AS BIGINT) AS cf, df, round(idf, 6) AS idf, n_docs FROM vocab2"""
 
 ORACLE["similar_documents"] = with_(STOP, TFIDF, BARS) + """,
 best AS (SELECT doc_id, max(similarity) AS similarity FROM sims GROUP BY doc_id HAVING max(similarity) > 0),
@@ -772,7 +772,7 @@ FROM target t LEFT JOIN updates u ON t.doc_id = u.doc_id"""
 
 ORACLE["seed_signal_weights"] = with_(SPARSE_PRICES, SHIP_PROBES, PRICE_CONTEXT, SESSION_RETURNS, PREDICTIONS,
                                       SIG_OUTCOMES) + """
-SELECT DISTINCT signal AS signal_name, 1.0 AS current_weight, 0 AS consecutive_wrong,
+SELECT DISTINCT signal AS signal_name, CAST(1.0 AS DOUBLE) AS current_weight, 0 AS consecutive_wrong,
        CAST(NULL AS DOUBLE) AS pre_decay_weight
 FROM sig_outcomes"""
 
