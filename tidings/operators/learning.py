@@ -165,12 +165,12 @@ def adjust_weights(outcomes: DataFrame, keys: list[str], date_col: str = "date",
     pre-decay weight, drift) and ``log``, the list of weight changes.
 
     The fold is one JVM expression (``aggregate`` over the key's outcomes
-    sorted by date). A key holds at most one outcome per date (enforced by
-    the de-duplication below), so a group is bounded by the calendar, not
-    by the data volume.
+    sorted by date, then outcome, so it is deterministic). Outcomes are
+    keyed by date (one prediction per day and key), so a group is bounded by
+    the calendar, not by the data volume. No row is dropped.
     """
     o = outcomes.select(*keys, F.col(date_col).cast("date").alias("_d"), F.col(correct_col).cast("int").alias("_c")) \
-        .where(F.col("_c").isNotNull()).dropDuplicates(keys + ["_d"])
+        .where(F.col("_c").isNotNull())
     hist = o.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("_d").alias("date"),
                                                                      F.col("_c").alias("correct")))).alias("_h"))
     init = F.struct(F.lit(DEFAULT_WEIGHT).alias("w"), F.lit(0).alias("cw"), F.lit(0).alias("cc"),
