@@ -8,15 +8,11 @@ of vectors is an equi-join on term followed by a sum per pair, with the
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidings.functions.stopwords import ENGLISH_STOP_WORDS
 from tidings.session import bounded_broadcast
 
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"  # tokens of at least two word characters
@@ -25,23 +21,11 @@ TOP_K = 3
 MIN_CORPUS = 5
 
 
-@functools.lru_cache(maxsize=None)
-def english_stop_words() -> tuple[str, ...]:
-    """Spark's built-in English stop-word list (the list behind
-    ``StopWordsRemover.loadDefaultStopWords("english")``), read from the
-    Spark ML jar so it is available without a session."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        words = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
-    return tuple(words)
-
-
 def term_counts(docs: DataFrame, id_col: str, text_col: str, stop_words=None) -> DataFrame:
     """(doc, term, tf): lower-cased tokens of >= 2 word characters, stop
     words removed, counted per document (whole texts). Kept (memory and
     disk) because vocabulary, weights and norms all read it."""
-    sw = docs.sparkSession.createDataFrame([(w,) for w in (stop_words or english_stop_words())], "term string")
+    sw = docs.sparkSession.createDataFrame([(w,) for w in (stop_words or ENGLISH_STOP_WORDS)], "term string")
     toks = docs.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0))
                        .alias("term"))
     toks = toks.join(F.broadcast(sw), "term", "left_anti")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidings.functions.stopwords import ENGLISH_STOP_WORDS
+
 # Stand-in tables as SQL, mirroring tidings.sources.standins.
 SPARSE_PRICES = """
 sparse_prices AS (
@@ -680,9 +682,7 @@ SELECT f.sector, d.ticker AS stock, f.signal_type, f.reasoning, f.source_headlin
 FROM fired f LEFT JOIN dict d ON d.sector = f.sector"""
 
 # ---------------------------------------------------------------- similarity
-from tidings.operators.similarity import english_stop_words  # noqa: E402
-
-STOP = "stop(term) AS (VALUES " + ", ".join(f"({sql_str(w)})" for w in english_stop_words()) + ")"
+STOP = "stop(term) AS (VALUES " + ", ".join(f"({sql_str(w)})" for w in ENGLISH_STOP_WORDS) + ")"
 WORD_RUN = r"[\p{L}\p{N}_]{2,}"
 
 TFIDF = """

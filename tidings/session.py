@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 # Static settings, only applied when this helper creates the session.
 BUILDER_CONF = {"spark.ui.showConsoleProgress": "false"}
@@ -46,12 +47,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is set by the deployment (a shared file system
-    every executor can reach). Only when it is unset, as in local tests, a
-    fresh temporary folder is used.
+    every executor can reach); without it this raises. Only a local master,
+    as in tests, gets a fresh temporary folder when it is unset.
     """
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tidings-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
@@ -70,6 +75,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: lineage is cut, the files outlive any executor, and the size on
+    disk lets Catalyst choose between broadcast and shuffle joins."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast ``df`` only when it holds at most ``max_rows`` rows.
 
