@@ -19,6 +19,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 # Static settings, only applied when this helper creates the session.
 BUILDER_CONF = {"spark.ui.showConsoleProgress": "false"}
@@ -37,10 +38,21 @@ def get_session(master: str | None = None, app: str = "tidings",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    apply_settings(spark)
+    return spark
+
+
+def apply_settings(spark: SparkSession) -> None:
+    """Set BASE_CONF, and let Python workers import this package from where
+    the driver has it (a cluster ships it with --py-files instead)."""
     for k, v in BASE_CONF.items():
         spark.conf.set(k, v)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if os.path.isdir(root) and root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     ensure_checkpoint_dir(spark)
-    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
