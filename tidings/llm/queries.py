@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import linefreq, mixing, packing, pfor, tokencount
+from tidings.llm import chunkprints, langid, linefreq, mixing, packing, pfor, tokencount
 from tidings.sources.standins import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hyperdimensional profiles, learned from what is not held out."""
+    docs = table(spark, sf_dir, "documents")
+    prototypes = langid.train(docs.where(~langid.held_out()))
+    found = langid.identify(docs.select("doc_id", "text"), prototypes)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patched frame-of-reference shards, written and read back."""
     return pfor.token_shards(table(spark, sf_dir, "documents"))
@@ -28,6 +36,11 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content-defined chunks, against the edited text and the next document."""
+    return chunkprints.compare_following(table(spark, sf_dir, "documents"))
+
+
 def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines above a tenth of a source's documents dropped there; the source
     plays the host."""
@@ -35,5 +48,6 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_shards, op3_source_mix, op4_token_counts, op7_best_fit, op10_line_frequency)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_source_mix, op4_token_counts, op7_best_fit,
+                                 op8_chunk_prints, op10_line_frequency)}
 ORACLE: dict[str, str] = {}
