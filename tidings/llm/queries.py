@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import chunkprints, langid, linefreq, mixing, packing, pfor, tokencount
+from tidings.llm import chunkprints, hostpaths, langid, linefreq, mixing, multiindex, packing, pfor, tokencount
 from tidings.sources.standins import table
 
 
@@ -31,6 +31,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.9 and more through the inverted multi-index."""
+    return multiindex.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounded-space online best fit into sequences of 1024 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -41,6 +46,11 @@ def op8_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunkprints.compare_following(table(spark, sf_dir, "documents"))
 
 
+def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text by the consensus paths of each host."""
+    return hostpaths.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines above a tenth of a source's documents dropped there; the source
     plays the host."""
@@ -48,6 +58,6 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_source_mix, op4_token_counts, op7_best_fit,
-                                 op8_chunk_prints, op10_line_frequency)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_source_mix, op4_token_counts, op5_multi_index, op7_best_fit,
+                                 op8_chunk_prints, op9_host_paths, op10_line_frequency)}
 ORACLE: dict[str, str] = {}
