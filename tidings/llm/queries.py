@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import chunkprints, hostpaths, langid, linefreq, mixing, multiindex, packing, pfor, tokencount
+from tidings.llm import (chunkprints, hostpaths, langid, linefreq, mixing, multiindex, packing, pfor, tokencount,
+                         weightedhash)
 from tidings.sources.standins import table
 
 
@@ -36,6 +37,11 @@ def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op6_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of weighted Jaccard similarity 0.8 and more."""
+    return weightedhash.near_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounded-space online best fit into sequences of 1024 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -58,6 +64,6 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_source_mix, op4_token_counts, op5_multi_index, op7_best_fit,
-                                 op8_chunk_prints, op9_host_paths, op10_line_frequency)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_source_mix, op4_token_counts, op5_multi_index, op6_weighted_minhash,
+                                 op7_best_fit, op8_chunk_prints, op9_host_paths, op10_line_frequency)}
 ORACLE: dict[str, str] = {}
