@@ -1,4 +1,56 @@
-STAGES = []
+"""A training corpus from ``documents``: language ID, line de-duplication,
+near-duplicate removal, mixing of sources, packing.
+
+Each stage takes all that its predecessor kept, as the Parquet table that was
+written for it. All but the last return the columns of ``documents``; the
+last returns the packed pieces.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidings.llm import langid, linefreq, mixing, packing, weightedhash
+from tidings.session import written
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a letter, and those that resemble no language."""
+    return langid.accepted(docs, langid.train(docs.where(~langid.held_out())))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops lines that are boilerplate of their source; every document stays."""
+    clean = linefreq.drop_boilerplate(docs)
+    return clean.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves the document with the smallest id of each near-duplicate group."""
+    return weightedhash.keep_one(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats and leaves out documents so that sources near their targets."""
+    return mixing.mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences of 1024."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("language ID", language), ("line dedup", line_dedup), ("MinHash near-dedup", near_dedup),
+          ("source mix", source_mix), ("best-fit packing", pack)]
+
+#: Language vectors, sampling and tokens are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each over the written result of the one before."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), "stage-" + name.lower().replace(" ", "-"))
+    return docs

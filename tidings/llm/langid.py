@@ -36,6 +36,8 @@ DIMS = 512
 NGRAM = 3
 SYMBOLS = 128
 SEED = 20
+MIN_SCORE = 0.05  # about the cosine that unrelated vectors of DIMS dimensions reach by chance
+MIN_CHARS = 200  # shorter texts have too few n-grams to be rejected by their score
 BLOCK = 1024  # n-grams expanded at once
 BATCH_CHARS = 1 << 19
 
@@ -162,3 +164,12 @@ def held_out(id_col: str = "doc_id"):
     """The documents that are never learned from: crc32 of the id, as text,
     leaves 2 when divided by 4 (a null id is learned from)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def accepted(docs: DataFrame, prototypes: list[tuple[str, np.ndarray]], text_col: str = "text",
+             min_score: float = MIN_SCORE, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The documents in one of the languages: with a letter and, unless they
+    are short, closer to a prototype than chance."""
+    found = identify(docs, prototypes, text_col, "_lang", "_score")
+    clear = (F.col("_score") >= min_score) | (F.char_length(F.col(text_col)) < min_chars)
+    return found.where((F.col("_lang") != UNKNOWN) & clear).select(*docs.columns)

@@ -14,7 +14,7 @@ host is spread over all tasks; only the key of a very common line meets in
 one task, as one row per map task.
 
 Blank lines are never counted or dropped. Lines are compared without outer
-white space. Null hosts form one host; null text stays null and counts as a
+blanks. Null hosts form one host; null text stays null and counts as a
 page without lines; repeated rows count as separate pages.
 """
 

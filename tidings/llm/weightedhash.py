@@ -273,3 +273,14 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return (found.unionByName(alone)
             .select(F.col("id").alias(id_col), "n_copies", "component_id",
                     F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The documents with one of each group left, the one with the smallest
+    id; of rows that share an id one stays. Rows with a null id stay."""
+    found = written(near_documents(docs, id_col, text_col, similarity).where(F.col(id_col).isNotNull()), "near-documents")
+    gone = written(found.where(~F.col("kept")).select(id_col).distinct(), "near-dropped")
+    twice = written(found.where("kept").groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_col), "near-repeated")
+    left = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    return (left.join(twice, id_col, "left_anti").select(*docs.columns)
+            .unionByName(left.join(twice, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])))
