@@ -57,3 +57,12 @@ def test_folds_are_balanced(spark):
     assert set(counts.values()) == {20}
     h = ev.holdout(df, "id", 0.1)
     assert h.where("holdout = 1").count() == 30
+
+
+def test_folds_and_holdout_with_large_ids(spark):
+    ids = [5, 5 + (1 << 32), 4_000_000_000, 9_000_000_000_000_000_000, -7, 12, 13, 14, 15, 16]
+    df = spark.createDataFrame([(i, "a") for i in ids], "id long, label string")
+    f = [r.fold for r in ev.stratified_folds(df, "id", "label", 5).collect()]
+    assert sorted(f) == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
+    one = {r.id for r in ev.holdout(df, "id", 0.3).where("holdout = 1").collect()}
+    assert len(one) == 3 and one == {r.id for r in ev.holdout(df.repartition(3), "id", 0.3).where("holdout = 1").collect()}

@@ -13,7 +13,24 @@ def _weights(spark, seqs):
         for i, ch in enumerate(seq):
             rows.append((key, dt.date(2024, 1, 1) + dt.timedelta(days=i), 1 if ch == "C" else 0))
     df = spark.createDataFrame(rows, "signal string, date date, correct int")
-    return {r.signal: r for r in lr.adjust_weights(df, ["signal"]).collect()}
+    return {r.signal: r for r in lr.adjust_weights(df, ["signal"], signals=list(seqs)).collect()}
+
+
+def test_weights_skip_and_stored_state(spark):
+    rows = [(s, dt.date(2024, 1, i), 0) for s in ("sector", None, "sp500", "usdinr") for i in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "signal string, date date, correct int")
+    stored = spark.createDataFrame([("usdinr", 0.7, 0, 0, 3, 0, 1.4)], "signal string, current_weight double, "
+                                   "consecutive_wrong int, consecutive_correct int, wrong_since_adjustment int, "
+                                   "correct_since_adjustment int, pre_decay_weight double")
+    state = lr.adjust_weights(df, ["signal"], stored=stored)
+    got = {r.signal: r for r in state.collect()}
+    assert set(got) == {"sp500", "usdinr"}  # "sector" and NULL are not judged
+    assert got["sp500"].current_weight == 0.5
+    # already decayed: no second decay; the 5th wrong attribution takes 10 % off
+    assert abs(got["usdinr"].current_weight - 0.63) < 1e-12 and got["usdinr"].pre_decay_weight == 1.4
+    assert abs(lr.drift_since(state, ["signal"], None).first()[0] - 0.57) < 1e-12
+    assert abs(lr.drift_since(state, ["signal"], "2024-01-02").first()[0] - 0.5) < 1e-12
+    assert lr.drift_since(state, ["signal"], "2024-01-03").first()[0] == 0.0
 
 
 def test_weight_machine_examples(spark):

@@ -31,7 +31,7 @@ def test_corr_matrix_pairwise_complete(spark):
             if rnd.random() < 0.8:
                 rows.append((n, dt.date(2024, 1, 1) + dt.timedelta(days=i), rnd.random()))
     df = spark.createDataFrame(rows, "name string, date date, ret double")
-    got = {(r.name_a, r.name_b): r.corr for r in ser.corr_matrix(df, ["A", "B", "C"]).collect()}
+    got = {(r.name_a, r.name_b): r.corr for r in ser.corr_matrix(df, block=2, dates_per_part=16).collect()}
     by = {}
     for n, d, v in rows:
         by.setdefault(n, {})[d] = v
@@ -57,7 +57,7 @@ def test_similarity_small_corpus_and_copies(spark):
 def test_idf_formula(spark):
     docs = spark.createDataFrame([(1, "alpha beta"), (2, "alpha gamma"), (3, "alpha alpha delta")],
                                  "id long, text string")
-    v = {r.term: r for r in sim.vocabulary(sim.term_counts(docs, "id", "text"), "id").collect()}
+    v = {r.term: r for r in sim.vocabulary(docs, "text").collect()}
     assert v["alpha"].cf == 4 and v["alpha"].df == 3
     assert abs(v["beta"].idf - (math.log(4 / 2) + 1)) < 1e-12
 
@@ -69,3 +69,35 @@ def test_top_k_per_group_salted(spark):
     top = sim.top_k_per_group(df, ["g"], [F.col("s").desc(), F.col("id")], 3)
     got = sorted((r.g, r.id) for r in top.collect())
     assert got == [("cold", 0), ("cold", 1), ("cold", 2), ("hot", 4997), ("hot", 4998), ("hot", 4999)]
+
+
+def test_returns_pad_and_none(spark):
+    d = [dt.date(2024, 1, i) for i in range(1, 6)]
+    rows = [("A", x, v) for x, v in zip(d, [10.0, 11.0, 12.0, 12.0, 6.0])]
+    rows += [("B", d[1], 4.0), ("B", d[3], 5.0)]  # leading gap, gap in the middle, trailing gap
+    df = spark.createDataFrame(rows, "name string, date date, close double")
+    pad = {x.date: x.ret for x in ser.returns(df).where("name = 'B'").collect()}
+    assert pad[d[0]] is None and pad[d[1]] is None and pad[d[2]] == 0.0
+    assert abs(pad[d[3]] - 25.0) < 1e-12 and pad[d[4]] == 0.0
+    none = {x.date: x.ret for x in ser.returns(df, fill="none").collect() if x.name == "B"}
+    assert set(none) == set(d) and all(v is None for v in none.values())
+    a = {x.date: x.ret for x in ser.returns(df, fill="none").collect() if x.name == "A"}
+    assert abs(a[d[1]] - 10.0) < 1e-12 and abs(a[d[4]] + 50.0) < 1e-12
+
+
+def test_similar_per_query_against_brute_force(spark):
+    rnd = random.Random(11)
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"]
+    docs = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 9)))) for i in range(60)]
+    asked = [(i, " ".join(rnd.choice(words) for _ in range(3))) for i in range(5)]
+    n = len(docs)
+    df = {w: sum(w in t.split() for _, t in docs) for w in words}
+
+    def vec(t):
+        v = np.array([t.split().count(w) * (math.log((1 + n) / (1 + df[w])) + 1) for w in words])
+        return v / np.linalg.norm(v)
+    want = {(q, r): c for q, qt in asked for r, (_, c) in enumerate(sorted(
+        (-round(float(vec(qt) @ vec(t)), 10), c) for c, t in docs if float(vec(qt) @ vec(t)) > 0)[:3], 1)}
+    got = sim.similar_per_query(spark.createDataFrame(asked, "q long, text string"),
+                                spark.createDataFrame(docs, "c long, text string").repartition(4), "q", "text", "c", "text")
+    assert {(r.q, r.rank): r.c for r in got.collect()} == want

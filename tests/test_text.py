@@ -34,10 +34,10 @@ DIM = [("SBIN", "SBI", "Banking"), ("SBILIFE", "SBI Life", "Finance"), ("TCS", "
        ("IDX", "NIFTY 50 Index", "Index")]
 
 
-def _route_names(spark, texts, small_dictionary=tx.SMALL_DICTIONARY):
+def _route_names(spark, texts):
     dim = spark.createDataFrame(DIM, "ticker string, name string, sector string").where(F.col("sector") != "Index")
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
-    m = tx.suppress_contained(tx.match_terms(df, "id", "text", dim, small_dictionary=small_dictionary), "id", "ticker")
+    m = tx.suppress_contained(tx.match_terms(df, "id", "text", dim), "id", "ticker")
     out = {}
     for r in m.collect():
         out.setdefault(r.id, set()).add(r.ticker)
@@ -55,29 +55,25 @@ def test_dictionary_match_examples(spark):
     assert 5 not in got
 
 
-def _greedy(texts, dim):
+def _all_spans(texts, dim):
+    """Every name's first span, then without those inside a longer one."""
     res = {}
-    order = sorted([d for d in dim if d[2] != "Index"], key=lambda d: -len(d[1]))
     for i, t in enumerate(texts):
-        spans, hit = [], set()
-        for tick, name, _ in order:
-            m = re.search(r"\b" + re.escape(name) + r"\b", t, re.IGNORECASE)
-            if not m or any(m.start() >= s and m.end() <= e for s, e in spans):
-                continue
-            hit.add(tick)
-            spans.append((m.start(), m.end()))
-        if hit:
-            res[i] = hit
+        first = {tick: re.search(r"(?i)\b" + re.escape(name) + r"\b", t) for tick, name, sector in dim if sector != "Index"}
+        spans = {tick: m.span() for tick, m in first.items() if m}
+        kept = {tick for tick, (s, e) in spans.items()
+                if not any(a <= s and e <= b and b - a > e - s for a, b in spans.values())}
+        if kept:
+            res[i] = kept
     return res
 
 
-def test_dictionary_match_equals_greedy_loop(spark):
+def test_dictionary_match_equals_all_spans(spark):
     rnd = random.Random(3)
     words = ["SBI", "Life", "TCS", "tcs", "ITC", "PITCH", "Mahindra", "&", "Dr", "Reddy's", "é", "and", "x"]
     texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 12))) for _ in range(400)]
-    want = _greedy(texts, DIM)
+    want = _all_spans(texts, DIM)
     assert _route_names(spark, texts) == want
-    assert _route_names(spark, texts, small_dictionary=0) == want  # token join path
 
 
 def test_route_branches(spark):

@@ -29,8 +29,7 @@ def col_of(c) -> Column:
 
 def to_utc_day(c) -> Column:
     """ISO text or timestamp -> DATE of the UTC day (session zone UTC)."""
-    c = col_of(c)
-    return F.to_date(F.try_to_timestamp(c.cast("string")))
+    return F.to_date(col_of(c).try_cast("timestamp"))
 
 
 def day_of_week(c) -> Column:

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,25 +58,11 @@ def _keys(by: str | Sequence[str]) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-SMALL_REFERENCE_ROWS = 1_000_000
-
-
-def _small(df: DataFrame, max_rows: int | None) -> DataFrame | None:
-    """``df`` persisted when a bounded count proves it has at most
-    ``max_rows`` rows (the count reads at most ``max_rows + 1`` rows and
-    fills the cache), else None."""
-    if not max_rows:
-        return None
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return kept
-    kept.unpersist()
-    return None
-
-
-def sequence(df: DataFrame, by, t: str, rn: str = "rn", bucket_width: int | None = None) -> DataFrame:
+def sequence(df: DataFrame, by, t: str, rn: str = "rn", bucket_width: int | None = None,
+             ties: Sequence[str] = ()) -> DataFrame:
     """Add ``rn``: the 1-based position of each row within its ``by`` group
-    ordered by ``t`` (``t`` unique within a group, e.g. one close per day).
+    ordered by ``t``, then ``ties`` (together unique within a group, e.g. one
+    close per day).
 
     Only the (group, bucket) count table is windowed per group; it holds
     one row per non-empty bucket, so its size is span / width per group.
@@ -86,7 +71,7 @@ def sequence(df: DataFrame, by, t: str, rn: str = "rn", bucket_width: int | None
     ordv, width = _ordinal(df, t)
     width = bucket_width or width
     b = df.withColumn("_bkt", F.floor(ordv / F.lit(width)).cast("long"))
-    local = b.withColumn("_local", F.row_number().over(Window.partitionBy(*by, "_bkt").orderBy(t)))
+    local = b.withColumn("_local", F.row_number().over(Window.partitionBy(*by, "_bkt").orderBy(t, *ties)))
     # counts come from the windowed rows, so both sides share one shuffle
     counts = local.groupBy(*by, "_bkt").agg(F.max("_local").alias("_n"))
     offsets = counts.withColumn(
@@ -141,7 +126,7 @@ def _intervals(ref: DataFrame, by: list[str], t: str, values: list[str], directi
 def asof_join(left: DataFrame, right: DataFrame, by, left_on: str, right_on: str,
               values: Sequence[str], direction: str = "backward", allow_exact: bool = True,
               bucket_width: int | None = None, right_neighbour: str | None = None,
-              time_source: DataFrame | None = None, small_rows: int | None = SMALL_REFERENCE_ROWS) -> DataFrame:
+              time_source: DataFrame | None = None) -> DataFrame:
     """Attach to every ``left`` row the ``values`` of one ``right`` row of the
     same ``by`` group: for ``backward`` the last row at (``allow_exact``) or
     strictly before the left time, for ``forward`` the first row at or
@@ -172,17 +157,7 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_on: str, right_on: str
     ordv, default_width = _ordinal(ref, "_t")
     width = bucket_width or default_width
 
-    small = _small(ref, small_rows)
-    if small is not None:
-        ref = small
-    if right_neighbour:
-        seq = ref
-    elif small is not None:
-        w = Window.partitionBy(*by).orderBy("_t")
-        nb = F.lead("_t").over(w) if direction == "backward" else F.lag("_t").over(w)
-        seq = ref.withColumn("_nb_t", nb)
-    else:
-        seq = _intervals(ref, by, "_t", values, direction, width)
+    seq = ref if right_neighbour else _intervals(ref, by, "_t", values, direction, width)
     tdtype = ref.schema["_t"].dataType
     own_o = _ord_expr(F.col("_t"), tdtype)
     nb_o = _ord_expr(F.col("_nb_t"), tdtype)
@@ -204,22 +179,6 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_on: str, right_on: str
     iv = (seq.withColumn("_bkt", F.explode(F.sequence(start_b, end_b)))
           .select(*by, "_bkt", F.col("_t").alias("_own_t"), F.col("_nb_t"), *values))
 
-    if small is not None:
-        # map-side: left rows probe the broadcast intervals directly
-        p_o = _ordinal(left, left_on)[0]
-        lb = F.least(F.greatest(F.floor(p_o / F.lit(width)).cast("long"), lo_cap), hi_cap)
-        lft = left.withColumn("_bkt", lb).withColumn("_p", F.col(left_on))
-        ivb = F.broadcast(iv.select(*[F.col(c).alias(f"_iv_{c}") for c in by], F.col("_bkt").alias("_iv_bkt"),
-                                    "_own_t", "_nb_t", *[F.col(v).alias(f"_iv_{v}") for v in values]))
-        on = [F.col(c) == F.col(f"_iv_{c}") for c in by] + [
-            F.col("_bkt") == F.col("_iv_bkt"),
-            _interval_cond(F.col("_p"), F.col("_own_t"), F.col("_nb_t"), direction, allow_exact)]
-        cond = on[0]
-        for c in on[1:]:
-            cond = cond & c
-        j = lft.join(ivb, on=cond, how="left")
-        return j.select(*left.columns, *[F.col(f"_iv_{v}").alias(v) for v in values])
-
     keys = left.select(*by, F.col(left_on).alias("_p")).where(F.col("_p").isNotNull()).distinct()
     p_o = _ordinal(keys, "_p")[0]
     keys = keys.withColumn("_bkt", F.least(F.greatest(F.floor(p_o / F.lit(width)).cast("long"), lo_cap), hi_cap))
@@ -240,18 +199,11 @@ def _interval_cond(p: Column, own: Column, nb: Column, direction: str, allow_exa
 
 
 def price_context(prices: DataFrame, by: str = "name", t: str = "date", close: str = "close",
-                  bucket_width: int | None = None, small_rows: int | None = SMALL_REFERENCE_ROWS) -> DataFrame:
+                  bucket_width: int | None = None) -> DataFrame:
     """Per price row: its position ``rn`` in the entity's history, the
     previous close, the close three rows back and the next close (W7),
-    over non-null closes only. A price table proven small (bounded count)
-    uses one per-entity window; a large one the bucketed sequence."""
+    over non-null closes only."""
     clean = prices.select(by, t, close).where(F.col(close).isNotNull())
-    small = _small(clean, small_rows)
-    if small is not None:
-        w = Window.partitionBy(by).orderBy(t)
-        return small.select(by, t, close, F.row_number().over(w).cast("long").alias("rn"),
-                            F.lag(close, 1).over(w).alias("prev1_close"), F.lag(close, 3).over(w).alias("prev3_close"),
-                            F.lead(close, 1).over(w).alias("next_close"), F.lead(t, 1).over(w).alias("next_t"))
     seq = sequence(clean, by, t, "rn", bucket_width)
     return with_neighbours(seq, by, "rn", [t, close], {"prev1": 1, "prev3": 3, "next1": -1}) \
         .select(by, t, close, "rn", F.col(f"prev1_{close}").alias("prev1_close"),
@@ -260,8 +212,7 @@ def price_context(prices: DataFrame, by: str = "name", t: str = "date", close: s
 
 
 def session_returns(probes: DataFrame, prices: DataFrame, by: str = "name", t: str = "date",
-                    close: str = "close", flat: float = 0.3, bucket_width: int | None = None,
-                    small_rows: int | None = SMALL_REFERENCE_ROWS) -> DataFrame:
+                    close: str = "close", flat: float = 0.3, bucket_width: int | None = None) -> DataFrame:
     """J8 + J9 + F14 for every probe (``by``, ``t``) row:
 
     - ``close``: last close at or before ``t`` (baseline),
@@ -272,13 +223,12 @@ def session_returns(probes: DataFrame, prices: DataFrame, by: str = "name", t: s
       baseline row over 1 / 3 earlier rows, NULL with fewer than 4 rows at
       or before ``t``.
     """
-    ctx = price_context(prices, by, t, close, bucket_width, small_rows)
+    ctx = price_context(prices, by, t, close, bucket_width)
     ctx = ctx.withColumnRenamed(t, "_price_t")
     raw = prices.where(F.col(close).isNotNull()).select(F.col(t).alias("_price_t"))
     joined = asof_join(probes, ctx, by, t, "_price_t",
                        [close, "next_close", "prev1_close", "prev3_close", "rn"],
-                       "backward", True, bucket_width, right_neighbour="next_t", time_source=raw,
-                       small_rows=small_rows)
+                       "backward", True, bucket_width, right_neighbour="next_t", time_source=raw)
     ret = pct(F.col("next_close"), F.col(close))
     return (joined
             .withColumn("next_session_return", ret)

@@ -17,14 +17,21 @@ from tidings.operators.asof import sequence
 TEST_FRACTION = 0.2
 MIN_ROWS = 40
 LIVE_MIN_ROWS = 20
-_HASH_BUCKET = 1 << 22
+ROWS_PER_BUCKET = 4096
 
 
 def seeded_order(id_col, seed: int = 42) -> Column:
     """A reproducible pseudo-random order key for integer ids: a
-    multiplicative hash of (id + seed) in [0, 2^32)."""
+    multiplicative hash of (id + seed) in [0, 2^32). The id is reduced to 31
+    bits first, so no id overflows; ids that then tie are ordered by id."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.pmod((c.cast("long") + F.lit(seed)) * F.lit(2654435761), F.lit(4294967296))
+    small = F.pmod(F.pmod(c.cast("long"), F.lit(1 << 31)) + F.lit(seed), F.lit(1 << 31))
+    return F.pmod(small * F.lit(2654435761), F.lit(1 << 32))
+
+
+def _bucket_width(rows: int) -> int:
+    """Hash range per bucket so that one holds about ROWS_PER_BUCKET rows."""
+    return max(1, (1 << 32) * ROWS_PER_BUCKET // max(rows, ROWS_PER_BUCKET))
 
 
 def agreement(df: DataFrame, actual: str, pred: str) -> DataFrame:
@@ -122,7 +129,7 @@ def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, seed: i
     """fold = (position within the class in seeded hash order - 1) mod
     k, so every class is spread evenly over the folds."""
     h = df.withColumn("_h", seeded_order(id_col, seed))
-    seq = sequence(h, label, "_h", "_rn", bucket_width=_HASH_BUCKET)
+    seq = sequence(h, label, "_h", "_rn", _bucket_width(df.count()), [id_col])
     return seq.withColumn("fold", ((F.col("_rn") - 1) % k).cast("int")).drop("_h", "_rn")
 
 
@@ -130,8 +137,8 @@ def holdout(df: DataFrame, id_col: str, fraction: float, seed: int = 42) -> Data
     """``holdout`` = 1 for the first max(1, floor(n * fraction)) rows in
     seeded hash order."""
     h = df.withColumn("_h", seeded_order(id_col, seed)).withColumn("_g", F.lit(1))
-    seq = sequence(h, "_g", "_h", "_rn", bucket_width=_HASH_BUCKET)
     n = df.count()
+    seq = sequence(h, "_g", "_h", "_rn", _bucket_width(n), [id_col])
     cut = max(1, int(n * fraction))
     return seq.withColumn("holdout", (F.col("_rn") <= cut).cast("int")).drop("_h", "_g", "_rn")
 

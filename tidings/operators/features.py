@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.functions.columns import day_of_week, sentiment_sign, to_utc_day
 from tidings.operators.asof import market_features, session_returns
-from tidings.session import bounded_broadcast
+from tidings.session import written
 
 SENTIMENT_FEATURES = ["n_headlines", "pct_positive", "pct_negative", "pct_neutral", "avg_confidence",
                       "net_sentiment"]
@@ -49,18 +48,18 @@ def build_dataset(routed: DataFrame, prices: DataFrame, dim: DataFrame, market_s
     # one pass over the routed rows: the company name is fixed by the
     # ticker (both routing branches take it from the dimension)
     feats = daily_sentiment(routed, carry=["company_name"])
-    dimb = bounded_broadcast(dim.select("ticker", "name", "sector").dropDuplicates(["ticker"]))
+    dimb = dim.select("ticker", "name", "sector").dropDuplicates(["ticker"])
     # One row per (ticker, day): every later branch reads this table, so it
-    # is kept (memory, spilling to disk; lost blocks are rebuilt from
-    # lineage) instead of re-running routing once per branch.
-    feats = feats.join(dimb.select("ticker", "sector"), "ticker", "left").persist(StorageLevel.MEMORY_AND_DISK)
+    # is written once instead of re-running routing once per branch.
+    feats = written(feats.join(dimb.select("ticker", "sector"), "ticker", "left"), "daily-sentiment")
 
     pairs = feats.select("ticker", "company_name", "date")
     pairs = pairs.join(dimb.select("ticker", F.col("name").alias("_dim_name")), "ticker", "left") \
         .withColumn("_mom_name", F.coalesce(F.col("_dim_name"), F.col("ticker")))
     probes = (pairs.select(F.col("company_name").alias("name"), "date")
               .unionByName(pairs.select(F.col("_mom_name").alias("name"), "date")).distinct())
-    asof = session_returns(probes, prices, "name", "date", "close", flat).persist(StorageLevel.MEMORY_AND_DISK)
+    asof = session_returns(probes, prices, "name", "date", "close", flat)
+    asof = written(asof, "session-returns")
     nxt = pairs.join(asof.select(F.col("name").alias("company_name"), "date", "next_session_return", "label"),
                      ["company_name", "date"], "left") \
         .groupBy("ticker", "date").agg(F.max_by("next_session_return", "company_name").alias("next_session_return"),

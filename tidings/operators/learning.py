@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions.columns import clamp, label_from_return
-from tidings.session import bounded_broadcast
 
 # Fixed values of the reference.
 MIN_WEIGHT, MAX_WEIGHT, DEFAULT_WEIGHT = 0.2, 2.0, 1.0
@@ -156,26 +155,40 @@ def _step(s: Column, x: Column, with_log: bool = True) -> Column:
     return _let(_let(tallies(s), decay_or_restore), periodic)
 
 
-def adjust_weights(outcomes: DataFrame, keys: list[str], date_col: str = "date",
-                   correct_col: str = "correct", with_log: bool = True) -> DataFrame:
+STORED_STATE = {"current_weight": "w", "consecutive_wrong": "cw", "consecutive_correct": "cc",
+                "wrong_since_adjustment": "wa", "correct_since_adjustment": "ca", "pre_decay_weight": "pd"}
+
+
+def adjust_weights(outcomes: DataFrame, keys: list[str], date_col: str = "date", correct_col: str = "correct",
+                   with_log: bool = True, stored: DataFrame | None = None, signal_col: str = "signal",
+                   signals=tuple(SIGNAL_FEATURES)) -> DataFrame:
     """Run the weight state machine over each key's outcomes in date
-    order, starting from weight 1.0 with zero counters.
+    order. A key starts from its row of ``stored`` (the keys and the columns
+    of STORED_STATE), else from weight 1.0 with zero counters. Outcomes
+    whose ``signal_col`` is NULL or not one of ``signals`` are skipped.
 
     Returns one row per key with the final state (weight, counters,
-    pre-decay weight, drift) and ``log``, the list of weight changes.
+    pre-decay weight, drift of this run) and ``log``, the list of weight
+    changes.
 
     The fold is one JVM expression (``aggregate`` over the key's outcomes
     sorted by date, then outcome, so it is deterministic). Outcomes are
     keyed by date (one prediction per day and key), so a group is bounded by
-    the calendar, not by the data volume. No row is dropped.
+    the calendar, not by the data volume. No judged row is dropped.
     """
-    o = outcomes.select(*keys, F.col(date_col).cast("date").alias("_d"), F.col(correct_col).cast("int").alias("_c")) \
+    o = outcomes.where(F.col(signal_col).isin(list(signals))) \
+        .select(*keys, F.col(date_col).cast("date").alias("_d"), F.col(correct_col).cast("int").alias("_c")) \
         .where(F.col("_c").isNotNull())
     hist = o.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("_d").alias("date"),
                                                                      F.col("_c").alias("correct")))).alias("_h"))
-    init = F.struct(F.lit(DEFAULT_WEIGHT).alias("w"), F.lit(0).alias("cw"), F.lit(0).alias("cc"),
-                    F.lit(0).alias("wa"), F.lit(0).alias("ca"), F.lit(None).cast("double").alias("pd"),
-                    F.lit(0.0).alias("drift"), F.array().cast(T.ArrayType(_LOG_ITEM)).alias("log")).cast(_STATE)
+    first = {"w": F.lit(DEFAULT_WEIGHT), "cw": F.lit(0), "cc": F.lit(0), "wa": F.lit(0), "ca": F.lit(0),
+             "pd": F.lit(None).cast("double")}
+    if stored is not None:
+        s = stored.select(*keys, *[F.col(c).alias(f"_s_{f}") for c, f in STORED_STATE.items()])
+        hist = hist.join(s, keys, "left")
+        first = {f: F.coalesce(F.col(f"_s_{f}"), v) for f, v in first.items()}
+    init = F.struct(*[v.alias(f) for f, v in first.items()], F.lit(0.0).alias("drift"),
+                    F.array().cast(T.ArrayType(_LOG_ITEM)).alias("log")).cast(_STATE)
     final = hist.select(*keys, F.aggregate("_h", init, lambda s, x: _step(s, x, with_log)).alias("_s"),
                         F.size("_h").alias("n_outcomes"))
     return final.select(*keys, F.col("_s.w").alias("current_weight"), F.col("_s.cw").alias("consecutive_wrong"),
@@ -184,6 +197,16 @@ def adjust_weights(outcomes: DataFrame, keys: list[str], date_col: str = "date",
                         F.col("_s.drift").alias("drift"), "n_outcomes", F.col("_s.log").alias("log"))
 
 
+def drift_since(state: DataFrame, keys: list[str], last_retrain) -> DataFrame:
+    """One row with the sum of absolute weight changes after the last
+    retrain (a date; None counts all of them)."""
+    rows = weight_changes(state, keys)
+    if last_retrain is not None:
+        rows = rows.where(F.col("date") > F.lit(last_retrain).cast("date"))
+    return rows.agg(F.coalesce(F.sum(F.abs(F.col("weight_after") - F.col("weight_before"))), F.lit(0.0))
+                    .alias("cumulative_weight_drift"))
+
+
 def weight_changes(state: DataFrame, keys: list[str], decay_restore_only: bool = False) -> DataFrame:
     """Change log of ``adjust_weights`` as rows (prediction_errors rows when
     ``decay_restore_only``)."""
@@ -305,7 +328,7 @@ def forward_signals(changes: DataFrame, rules: DataFrame, dim: DataFrame, topic_
             F.lit(topic_confidence).alias("confidence"), F.col("h").alias("source_headline"),
             F.lit("topic news on the last price date").alias("reasoning"))
         fired = fired.unionByName(t)
-    members = bounded_broadcast(dim.select("sector", F.col("ticker").alias("stock")))
+    members = dim.select("sector", F.col("ticker").alias("stock"))
     return fired.join(members, "sector", "left").select("sector", "stock", "signal_type", "reasoning",
                                                         "source_headline", "confidence")
 

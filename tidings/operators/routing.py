@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.operators.text import match_terms, suppress_contained
-from tidings.session import bounded_broadcast
+from tidings.operators.text import drop_contained, with_matches
 
 ARTICLE_COLS = ["article_id", "headline", "topic", "source", "published_at", "sentiment_label",
                 "sentiment_confidence"]
@@ -29,30 +28,29 @@ def route(news: DataFrame, dim: DataFrame, topic_map: DataFrame, index_ticker: s
     - by topic: the topic's sector fans out to all its members, except
       members already tagged by name; a topic mapped to ``Index`` yields the
       one ``index_ticker`` row; unmapped topics yield nothing.
+
+    Both come from the article's own row, so the article columns are read
+    once and shuffled once (by id, to meet the dictionary hits).
     """
     arts = news.select(F.col(id_col).alias("article_id"), *[c for c in ARTICLE_COLS if c != "article_id"],
                        *([text_col] if text_col not in ARTICLE_COLS else []))
     members = dim.where(F.col("sector") != INDEX_SECTOR).select("ticker", "name", "sector")
-    m = match_terms(arts.select("article_id", text_col), "article_id", text_col, members, "name")
-    m = suppress_contained(m, "article_id", "ticker").select("article_id", "ticker", "name", "sector")
-    base = arts.select(*ARTICLE_COLS)
-    by_name = (m.join(base, "article_id")
-               .select(*ARTICLE_COLS, "ticker", F.col("name").alias("company_name"), "sector",
-                       F.lit("company_name").alias("matched_via")))
-
-    tm = bounded_broadcast(topic_map.select("topic", F.col("sector").alias("_sector")).dropDuplicates(["topic"]))
-    topical = base.join(tm, "topic")
-    # Fan-out targets: every member of a sector under its sector, plus the
-    # one index row under "Index"; one equi-join on the topic's sector.
+    # each topic's fan-out targets as one array: the members of its sector,
+    # or the one index row
     index_row = dim.where(F.col("ticker") == index_ticker).select("ticker", "name").limit(1) \
-        .withColumn("_sector", F.lit(INDEX_SECTOR))
-    targets = bounded_broadcast(members.select("ticker", "name", F.col("sector").alias("_sector"))
-                                .unionByName(index_row))
-    fan = topical.join(targets, "_sector")
-    by_topic = (fan.join(m.select("article_id", "ticker"), ["article_id", "ticker"], "left_anti")
-                .select(*ARTICLE_COLS, "ticker", F.col("name").alias("company_name"),
-                        F.col("_sector").alias("sector"), F.lit("topic_macro").alias("matched_via")))
-    return by_name.unionByName(by_topic)
+        .withColumn("sector", F.lit(INDEX_SECTOR))
+    targets = (topic_map.dropDuplicates(["topic"]).join(members.unionByName(index_row), "sector")
+               .groupBy("topic").agg(F.collect_list(F.struct("ticker", "name", "sector")).alias("_targets")))
+    m = with_matches(arts, "article_id", text_col, members, "name", "_all")
+    m = m.withColumn("_named", F.transform(drop_contained(F.col("_all"), "ticker"), lambda x: x["term"])) \
+        .join(targets, "topic", "left")
+    named = F.transform("_named", lambda x: x.withField("matched_via", F.lit("company_name")))
+    tickers = F.transform("_named", lambda x: x["ticker"])
+    fan = F.transform(F.filter(F.coalesce("_targets", F.array()), lambda t: ~F.array_contains(tickers, t["ticker"])),
+                      lambda t: t.withField("matched_via", F.lit("topic_macro")))
+    return (m.select(*ARTICLE_COLS, F.explode(F.concat(named, fan)).alias("_r"))
+            .select(*ARTICLE_COLS, F.col("_r.ticker").alias("ticker"), F.col("_r.name").alias("company_name"),
+                    F.col("_r.sector").alias("sector"), F.col("_r.matched_via").alias("matched_via")))
 
 
 def unrouted(news: DataFrame, routed: DataFrame, id_col: str = "id") -> DataFrame:

@@ -9,40 +9,60 @@ that carry a halo of the previous ``n - 1`` rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.functions.columns import pct
 from tidings.operators.asof import sequence, with_neighbours
-from tidings.session import bounded_broadcast
 
 NOISE_THRESHOLD = 0.5   # percent, strict
 ROLLING_WINDOW = 90     # rows
 TRADING_DAYS = 252
 
 
-def returns(df: DataFrame, by: str = "name", t: str = "date", value: str = "close",
-            k: int = 1, out: str = "ret") -> DataFrame:
-    """W1/W2 (fill="pad" on observed rows): k-step percent change over each
-    entity's own non-null rows; NULL for the first k rows."""
-    clean = df.select(by, t, value).where(F.col(value).isNotNull())
-    seq = sequence(clean, by, t, "_rn")
-    nb = with_neighbours(seq, by, "_rn", [t, value], {"_p": k})
-    return nb.select(by, t, value, pct(F.col(value), F.col(f"_p_{value}")).alias(out))
+def returns(df: DataFrame, by: str = "name", t: str = "date", value: str = "close", out: str = "ret",
+            fill: str = "pad") -> DataFrame:
+    """Percent change from one date of the shared calendar (all dates
+    of ``df``) to the next, for every entity on every date.
 
+    With ``fill="pad"`` a missing value counts as the last one before it, so
+    a gap day's change is 0 and the next value is compared with the last
+    observed one. With ``fill="none"`` a change needs values on both dates.
+    Dates before an entity's first value have NULL, and so has its first.
 
-def calendar_returns(df: DataFrame, by: str = "name", t: str = "date", value: str = "close",
-                     out: str = "ret") -> DataFrame:
-    """W2 with fill="none": change against the entity's value on the
-    previous date of the shared calendar (all dates of the panel); NULL when
-    the entity has no value there. The calendar holds one row per distinct
-    date, so it is bounded by the calendar, not by the data."""
-    cal = df.select(t).distinct()
-    cal = cal.withColumn("_prev", F.lag(t).over(Window.orderBy(t)))
-    cur = df.select(by, t, value).join(bounded_broadcast(cal), t)
-    prev = df.select(by, F.col(t).alias("_prev"), F.col(value).alias("_pv"))
-    return (cur.join(prev, [by, "_prev"], "left")
-            .select(by, t, value, pct(F.col(value), F.col("_pv")).alias(out)))
+    Calendar positions come from ``sequence`` over the distinct dates; each
+    observation knows its own position and its neighbours', and gives the
+    rows of the gap behind it (and before the first one), so nothing is
+    joined all with all and no task holds an entity.
+    """
+    if fill not in ("pad", "none"):
+        raise ValueError("fill must be 'pad' or 'none'")
+    cal = sequence(df.select(t).distinct().withColumn("_g", F.lit(1)), "_g", t, "_pos").select(t, "_pos")
+    last = cal.agg(F.max("_pos")).scalar()
+    obs = df.select(by, t, value).where(F.col(value).isNotNull()).join(cal, t)
+    seq = sequence(obs, by, t, "_rn")
+    nb = with_neighbours(seq, by, "_rn", [value, "_pos"], {"_b": 1, "_a": -1})
+    prev = F.col(f"_b_{value}")
+    own = pct(F.col(value), prev)
+    if fill == "none":
+        own = F.when(F.col("_b__pos") == F.col("_pos") - 1, own)
+    gap_value = F.col(value) if fill == "pad" else F.lit(None).cast("double")
+    gap_ret = F.when(F.col(value) != 0, F.lit(0.0)) if fill == "pad" else F.lit(None).cast("double")
+
+    def rows(first: Column, end: Column, v: Column, r: Column) -> Column:
+        return F.when(first <= end, F.transform(F.sequence(first, end), lambda p: F.struct(
+            p.alias("pos"), v.cast("double").alias("v"), r.cast("double").alias("r")))).otherwise(F.array())
+
+    here = F.array(F.struct(F.col("_pos").alias("pos"), F.col(value).cast("double").alias("v"), own.cast("double").alias("r")))
+    behind = rows(F.col("_pos") + 1, F.col("_end"), gap_value, gap_ret)
+    ahead = F.when(F.col("_b__pos").isNull(), rows(F.lit(1).cast("long"), F.col("_pos") - 1, F.lit(None), F.lit(None))) \
+        .otherwise(F.array())
+    return (nb.withColumn("_end", F.coalesce(F.col("_a__pos") - 1, last))
+            .select(by, F.explode(F.concat(ahead, here, behind)).alias("_x"))
+            .select(by, F.col("_x.pos").alias("_pos"), F.col("_x.v").alias(value), F.col("_x.r").alias(out))
+            .join(cal, "_pos").select(by, t, value, out))
 
 
 def rolling(df: DataFrame, by: str, t: str, value: str, n: int = ROLLING_WINDOW,
@@ -77,7 +97,7 @@ def normalize_base(df: DataFrame, by: str = "name", t: str = "date", value: str
     """Value / first non-null value * base, per entity."""
     first = df.where(F.col(value).isNotNull()).groupBy(by) \
         .agg(F.min_by(value, t).alias("_first"))
-    return df.join(bounded_broadcast(first), by, "left") \
+    return df.join(first, by, "left") \
         .withColumn(out, F.when(F.col("_first") != 0, F.col(value) / F.col("_first") * base)) \
         .drop("_first")
 
@@ -94,7 +114,7 @@ def latest_change(df: DataFrame, by: str = "name", t: str = "date", value: str =
     """Last value, previous value and their percent change per entity."""
     clean = df.where(F.col(value).isNotNull())
     last = clean.groupBy(by).agg(F.max(t).alias("_last_t"), F.max_by(value, t).alias("last_value"))
-    prev = clean.join(bounded_broadcast(last.select(by, "_last_t")), by) \
+    prev = clean.join(last.select(by, "_last_t"), by) \
         .where(F.col(t) < F.col("_last_t")).groupBy(by).agg(F.max_by(value, t).alias("prev_value"))
     return last.join(prev, by, "left").select(
         by, F.col("_last_t").alias("last_date"), "last_value", "prev_value",
@@ -120,14 +140,14 @@ def sector_volatility(rets: DataFrame, dim: DataFrame, by: str = "name", value:
                       sector: str = "sector") -> DataFrame:
     """Mean over a sector's members of each member's return std."""
     per = rets.groupBy(by).agg(F.stddev_samp(value).alias("_std"))
-    return per.join(bounded_broadcast(dim.select(by, sector).dropDuplicates([by])), by) \
+    return per.join(dim.select(by, sector).dropDuplicates([by]), by) \
         .groupBy(sector).agg(F.avg("_std").alias("avg_volatility"), F.count(F.lit(1)).alias("n_members"))
 
 
 def sector_returns(rets: DataFrame, dim: DataFrame, by: str = "name", t: str = "date",
                    value: str = "ret", sector: str = "sector") -> DataFrame:
     """Per (sector, date) mean of the members' returns, NULLs skipped."""
-    return rets.join(bounded_broadcast(dim.select(by, sector).dropDuplicates([by])), by) \
+    return rets.join(dim.select(by, sector).dropDuplicates([by]), by) \
         .groupBy(sector, t).agg(F.avg(value).alias("sector_ret"))
 
 
@@ -139,55 +159,51 @@ def corr_with(series: DataFrame, ref: DataFrame, key: str, t: str, value: str, r
                                                F.count(F.lit(1)).alias("n_dates"))
 
 
-def corr_matrix(df: DataFrame, names: list[str], by: str = "name", t: str = "date",
-                value: str = "ret") -> DataFrame:
+def corr_matrix(df: DataFrame, by: str = "name", t: str = "date", value: str = "ret",
+                block: int = 128, dates_per_part: int = 1024) -> DataFrame:
     """A9 (+ A10 lower triangle): pairwise-complete Pearson correlation of
-    every pair of the given series, as long rows (name_a <= name_b).
+    every pair of series, as long rows (name_a <= name_b).
 
-    The panel is pivoted to one row per date (the series list is a bounded
-    configuration). Each partition then adds up, per pair, the sums over the
-    dates where both series exist (n, sums, sums of squares and of products)
-    as numpy matrix products, and one aggregation by pair combines them.
-    No pair rows are materialised per date.
+    Series are numbered and cut into blocks; every pair of blocks and part
+    of the dates is one bounded group, whose sums per pair (n, sums, sums of
+    squares and of products over dates where both exist) are numpy matrix
+    products. One aggregation by pair adds the parts up. The number of
+    series is not limited, and no pair rows exist per date.
     """
-    names = sorted(names)
-    k = len(names)
-    if k > 2000:
-        raise ValueError("corr_matrix: too many series for a dense matrix")
-    wide = df.groupBy(t).pivot(by, names).agg(F.first(value, ignorenulls=True))
-    cols = [f"_c{i}" for i in range(k)]
-    wide = wide.select(*[F.col(f"`{n}`").cast("double").alias(c) for n, c in zip(names, cols)])
-    schema = "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double"
-
-    def partial_sums(batches):
-        import numpy as np
-        import pandas as pd
-        acc = None
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype="float64")
-            m = (~np.isnan(x)).astype("float64")
-            x0 = np.nan_to_num(x)
-            part = (m.T @ m, x0.T @ m, (x0 * x0).T @ m, x0.T @ x0)
-            acc = part if acc is None else tuple(p + q for p, q in zip(acc, part))
-        if acc is None:
-            return
-        n, s_am, ss_am, sab = acc
-        ia, ib = np.triu_indices(k)
-        yield pd.DataFrame({"a": ia.astype("int32"), "b": ib.astype("int32"), "n": n[ia, ib],
-                            "sa": s_am[ia, ib], "sb": s_am[ib, ia], "saa": ss_am[ia, ib],
-                            "sbb": ss_am[ib, ia], "sab": sab[ia, ib]})
-
-    sums = wide.mapInPandas(partial_sums, schema).groupBy("a", "b").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    names = sequence(df.select(by).distinct().withColumn("_g", F.lit(1)).withColumn("_h", F.xxhash64(by)),
+                     "_g", "_h", "_i", 1 << 52, [by]).select(by, (F.col("_i") - 1).alias("_i"))
+    size = df.agg(F.count_distinct(by).alias("k"), F.count_distinct(t).alias("d")).first()
+    blocks, parts = -(-max(1, size["k"]) // block), -(-max(1, size["d"]) // dates_per_part)
+    own = F.floor(F.col("_i") / block).cast("int")
+    pair = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)),
+                       lambda o: F.struct(F.least(own, o).alias("a"), F.greatest(own, o).alias("b")))
+    x = (df.select(by, t, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull()).join(names, by)
+         .select("_i", F.xxhash64(t).alias("_t"), "_v", F.pmod(F.xxhash64(t), F.lit(parts)).alias("_part"),
+                 F.explode(pair).alias("_p")).select("_i", "_t", "_v", "_part", "_p.a", "_p.b"))
+
+    def sums(g: pd.DataFrame) -> pd.DataFrame:
+        a, b = int(g["a"].iloc[0]), int(g["b"].iloc[0])
+        day, days = pd.factorize(g["_t"])
+        i = g["_i"].to_numpy()
+        dense = np.full((2, len(days), block), np.nan)
+        for side, at in enumerate((a, b)):
+            here = i // block == at
+            dense[side, day[here], i[here] % block] = g["_v"].to_numpy()[here]
+        m, v = (~np.isnan(dense)).astype(float), np.nan_to_num(dense)
+        out = {"n": m[0].T @ m[1], "sa": v[0].T @ m[1], "sb": m[0].T @ v[1], "saa": (v[0] ** 2).T @ m[1],
+               "sbb": m[0].T @ v[1] ** 2, "sab": v[0].T @ v[1]}
+        ia, ib = np.nonzero(m[0].any(0)[:, None] & m[1].any(0)[None, :] & ((a < b) | (np.arange(block)[:, None] <= np.arange(block))))
+        return pd.DataFrame({"i": ia + a * block, "j": ib + b * block} | {k: z[ia, ib] for k, z in out.items()})
+
+    total = (x.groupBy("a", "b", "_part").applyInPandas(sums, "i long, j long, n double, sa double, sb double, saa double, "
+                                                              "sbb double, sab double")
+             .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")]))
     num = F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")
     den = F.sqrt((F.col("n") * F.col("saa") - F.col("sa") ** 2) * (F.col("n") * F.col("sbb") - F.col("sb") ** 2))
-    lookup = df.sparkSession.createDataFrame(list(enumerate(names)), "i int, name string")
-    la = F.broadcast(lookup.select(F.col("i").alias("a"), F.col("name").alias("name_a")))
-    lb = F.broadcast(lookup.select(F.col("i").alias("b"), F.col("name").alias("name_b")))
-    return (sums.join(la, "a").join(lb, "b")
-            .select("name_a", "name_b",
-                    F.when((F.col("n") >= 2) & (den > 0), num / den).alias("corr"),
-                    F.col("n").cast("long").alias("n_dates")))
+    named = (total.join(names.select(F.col("_i").alias("i"), F.col(by).alias("_a")), "i")
+             .join(names.select(F.col("_i").alias("j"), F.col(by).alias("_b")), "j"))
+    return named.select(F.least("_a", "_b").alias("name_a"), F.greatest("_a", "_b").alias("name_b"),
+                        F.when((F.col("n") >= 2) & (den > 0), num / den).alias("corr"), F.col("n").cast("long").alias("n_dates"))
 
 
 def histogram(df: DataFrame, value: str, bins: int = 80) -> DataFrame:

@@ -1,70 +1,98 @@
 """TF-IDF weights and cosine similarity as relational operators (M5-M7),
 plus a skew-safe per-group top-k (O5-O7).
 
-Sparse vectors are (doc, term, weight) rows. The dot product of two sets
-of vectors is an equi-join on term followed by a sum per pair, with the
-(small) query side broadcast after a size check.
+A document's vector is built where its text is read and multiplied with a
+block of query vectors there; only the best documents leave a task.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.functions.stopwords import ENGLISH_STOP_WORDS
-from tidings.session import bounded_broadcast
+from tidings.session import literal_table
 
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"  # tokens of at least two word characters
 MAX_TERMS = 2000
 TOP_K = 3
 MIN_CORPUS = 5
+QUERY_BLOCK = 512
 
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str, stop_words=None) -> DataFrame:
-    """(doc, term, tf): lower-cased tokens of >= 2 word characters, stop
-    words removed, counted per document (whole texts). Kept (memory and
-    disk) because vocabulary, weights and norms all read it."""
-    sw = docs.sparkSession.createDataFrame([(w,) for w in (stop_words or ENGLISH_STOP_WORDS)], "term string")
-    toks = docs.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0))
-                       .alias("term"))
-    toks = toks.join(F.broadcast(sw), "term", "left_anti")
-    return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")).persist(StorageLevel.MEMORY_AND_DISK)
+def tokens(text: Column) -> Column:
+    """Lower-cased tokens of at least two word characters."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 
 
-def vocabulary(tf: DataFrame, id_col: str, max_terms: int = MAX_TERMS, n_docs: int | None = None) -> DataFrame:
+def vocabulary(docs: DataFrame, text_col: str, max_terms: int = MAX_TERMS, n_docs: int | None = None,
+               stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """M5 vocabulary: the ``max_terms`` terms with the highest corpus
-    frequency (ties by term), with document frequency and the smoothed
-    idf = ln((1 + n) / (1 + df)) + 1, n = number of corpus documents. The
-    vocabulary is a top-k, so it is bounded by ``max_terms``."""
-    n = n_docs if n_docs is not None else tf.select(id_col).distinct().count()
-    stats = tf.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
-    top = stats.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_terms)
-    return top.withColumn("idf", F.log((F.lit(1.0 + n)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)) \
+    frequency (ties by term) without stop words, with document frequency and
+    the smoothed idf = ln((1 + n) / (1 + df)) + 1, n = number of corpus
+    documents. One pass; counts combine map-side by (term, in a document)."""
+    n = n_docs if n_docs is not None else docs.count()
+    words = tokens(F.col(text_col))
+    seen = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+    held = docs.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    stop = literal_table(docs.sparkSession, [(w,) for w in stop_words], "term string")
+    top = seen.join(stop, "term", "left_anti").orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_terms)
+    return top.join(held, "term").withColumn("idf", F.log((F.lit(1.0 + n)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)) \
         .withColumn("n_docs", F.lit(n).cast("long"))
 
 
-def tfidf(tf: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
-    """(doc, term, weight): tf * idf over the vocabulary, L2-normalised per
-    document (documents without vocabulary terms drop out)."""
-    v = F.broadcast(vocab.select("term", "idf"))  # bounded: a top-k of MAX_TERMS rows
-    w = tf.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    # norm per document: a window over the document's own terms (bounded by
-    # its distinct terms), rows stay partitioned by document
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return w.withColumn("_norm", norm).where(F.col("_norm") > 0) \
-        .select(id_col, "term", (F.col("w") / F.col("_norm")).alias("weight"))
-
-
-def cosine(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, max_query_rows: int = 5_000_000) -> DataFrame:
-    """(query, doc, similarity) for every pair sharing a term: the join on
-    term with the query vectors broadcast when they fit, then a sum per
-    pair (combined map-side)."""
-    q = bounded_broadcast(queries.select(F.col(q_id).alias("_q"), "term", F.col("weight").alias("_qw")),
-                          max_query_rows)
-    pairs = corpus.select(F.col(c_id).alias("_c"), "term", "weight").join(q, "term")
-    return pairs.groupBy("_q", "_c").agg(F.sum(F.col("weight") * F.col("_qw")).alias("similarity")) \
-        .select(F.col("_q").alias(q_id), F.col("_c").alias(c_id), "similarity")
+def _matrix(words, index: dict[str, int], idf: np.ndarray) -> np.ndarray:
+    """Normalised tf-idf rows over the vocabulary; rows without a term are 0."""
+    x = np.zeros((len(words), len(idf)))
+    for row, terms in zip(x, words):
+        at = [index[w] for w in terms if w in index]
+        row += np.bincount(at, minlength=len(idf)) if at else 0
+    x *= idf
+    norm = np.sqrt((x * x).sum(1, keepdims=True))
+    return np.divide(x, norm, out=x, where=norm > 0)
+
+
+def best_matches(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str, c_id: str, c_text: str, k: int,
+                 per_query: bool, max_terms: int = MAX_TERMS, n_docs: int | None = None) -> DataFrame:
+    """Candidates for the ``k`` most similar documents: per task the best k
+    of each query (``per_query``: query, document, similarity), or the best k
+    by the maximum over the queries (document, similarity).
+
+    A document's vector stays where its text is read: each batch is
+    multiplied with the matrix of a block of queries, so no (query, document)
+    pair is shuffled. What travels to the tasks is bounded: the vocabulary by
+    ``max_terms``, a block by QUERY_BLOCK x ``max_terms``. Queries are a
+    stated set; each block is one pass over the corpus.
+    """
+    vocab = vocabulary(corpus, c_text, max_terms, n_docs).select("term", "idf").orderBy("term").toPandas()
+    index, idf = {t: i for i, t in enumerate(vocab["term"])}, vocab["idf"].to_numpy()
+    asked = queries.select(F.col(q_id).alias("q"), tokens(F.coalesce(q_text, F.lit(""))).alias("w")).orderBy("q").toPandas()
+    docs = corpus.select(F.col(c_id).alias("c"), tokens(F.coalesce(c_text, F.lit(""))).alias("w"))
+    found = None
+    for start in range(0, max(1, len(asked)), QUERY_BLOCK):
+        part = asked.iloc[start:start + QUERY_BLOCK]
+        ids, matrix = part["q"].to_numpy(), _matrix(part["w"], index, idf)
+
+        def score(batches: Iterator[pd.DataFrame], ids=ids, matrix=matrix) -> Iterator[pd.DataFrame]:
+            held = pd.DataFrame({"q": [], "c": [], "similarity": []})
+            for b in batches:
+                sims = _matrix(b["w"], index, idf) @ matrix.T
+                if not per_query:
+                    sims = sims.max(axis=1, initial=0.0)[:, None]
+                i, j = np.nonzero(sims > 0)
+                now = pd.DataFrame({"q": ids[j] if per_query else 0, "c": b["c"].to_numpy()[i], "similarity": sims[i, j]})
+                held = pd.concat([held, now]) if len(held) else now
+                held = held.assign(r=-held["similarity"].round(10)).sort_values(["q", "r", "c"]).groupby("q").head(k).drop(columns="r")
+            yield held
+
+        q_type, c_type = queries.schema[q_id].dataType.simpleString(), corpus.schema[c_id].dataType.simpleString()
+        one = docs.mapInPandas(score, f"q {q_type if per_query else 'int'}, c {c_type}, similarity double")
+        found = one if found is None else found.unionByName(one)
+    return found.select(*([F.col("q").alias(q_id)] if per_query else []), F.col("c").alias(c_id), "similarity")
 
 
 def top_k_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int, salt_col: Column | None = None,
@@ -92,25 +120,15 @@ def similar_docs(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str,
     n_docs = corpus.count()
     if n_docs < min_corpus:
         return corpus.sparkSession.createDataFrame([], f"{c_id} long, similarity double, rank int")
-    ctf = term_counts(corpus, c_id, c_text)
-    vocab = vocabulary(ctf, c_id, max_terms, n_docs)
-    cw = tfidf(ctf, vocab, c_id)
-    qw = tfidf(term_counts(queries, q_id, q_text), vocab, q_id)
-    sims = cosine(qw, cw, q_id, c_id)
-    best = sims.groupBy(c_id).agg(F.max("similarity").alias("similarity")).where(F.col("similarity") > 0)
+    best = best_matches(queries, corpus, q_id, q_text, c_id, c_text, k, False, max_terms, n_docs) \
+        .groupBy(c_id).agg(F.max("similarity").alias("similarity"))
     key = [F.round("similarity", 10).desc(), F.col(c_id).asc()]
-    top = best.orderBy(*key).limit(k)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*key)).cast("int"))
+    return best.orderBy(*key).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*key)).cast("int"))
 
 
 def similar_per_query(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str, c_id: str, c_text: str,
                       k: int = TOP_K, max_terms: int = MAX_TERMS) -> DataFrame:
     """For every query its ``k`` most similar corpus documents (> 0)."""
-    ctf = term_counts(corpus, c_id, c_text)
-    vocab = vocabulary(ctf, c_id, max_terms, corpus.count())
-    cw = tfidf(ctf, vocab, c_id)
-    qw = tfidf(term_counts(queries, q_id, q_text), vocab, q_id)
-    sims = cosine(qw, cw, q_id, c_id).where(F.col("similarity") > 0)
+    sims = best_matches(queries, corpus, q_id, q_text, c_id, c_text, k, True, max_terms)
     return top_k_per_group(sims, [q_id], [F.round("similarity", 10).desc(), F.col(c_id).asc()], k,
                            salt_col=F.xxhash64(F.col(c_id)))
-

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.functions.columns import col_of, fill_once, word_pattern
-from tidings.session import bounded_broadcast
 
 # The rule vocabulary of the reference, as regex alternations
 # matched as whole words, case-insensitively.
@@ -85,45 +84,49 @@ def _first_word(term: Column) -> Column:
     return F.lower(F.regexp_extract(term, r"(?U)\w+", 0))
 
 
-SMALL_DICTIONARY = 10_000
+def _spans(text: Column, candidates: Column, term_col: str) -> Column:
+    """The candidate structs whose term occurs in ``text`` as a whole word,
+    with the first occurrence's 1-based start and exclusive end."""
+    def located(c: Column) -> Column:
+        pat = F.concat(F.lit(r"(?iU)\b\Q"), F.replace(c[term_col], F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E\b"))
+        start = F.regexp_instr(text, pat)
+        return F.struct(c.alias("term"), start.alias("start"), (start + F.length(c[term_col])).alias("end"))
+    return F.filter(F.transform(F.coalesce(candidates, F.array()), located), lambda m: m["start"] > 0)
 
 
-def match_terms(texts: DataFrame, id_col: str, text_col: str, dim: DataFrame, term_col: str = "name",
-                max_broadcast_terms: int = 2_000_000, small_dictionary: int = SMALL_DICTIONARY) -> DataFrame:
-    """Every dictionary term found in a text as a whole word,
-    case-insensitively; first occurrence only. Returns (id, dictionary
-    columns..., start, end) with 1-based start and exclusive end.
+def with_matches(texts: DataFrame, id_col: str, text_col: str, dim: DataFrame, term_col: str = "name",
+                 out: str = "matches") -> DataFrame:
+    """Every text (all its columns) with the array of dictionary terms
+    found in it as whole words, case-insensitively, first occurrence only:
+    struct(term struct<dictionary columns>, start, end).
 
     Candidates are the terms whose first word is one of the text's word
-    tokens; only candidates run the exact regex. Terms must contain a word
-    character.
-
-    - Dictionary proven small (bounded count <= ``small_dictionary``): each
-      text's distinct tokens are intersected in-row with the dictionary's
-      first words, only the hits are exploded and joined to the broadcast
-      dictionary. No shuffle; the text is not copied per token.
-    - Larger dictionary: (id, token) pairs are exploded without the text,
-      joined to the dictionary (broadcast up to ``max_broadcast_terms``,
-      else a shuffle join with AQE skew handling for common words), and the
-      candidates are joined back to their text by id.
+    tokens: distinct (id, token) pairs meet the dictionary by an equi-join
+    (Catalyst broadcasts a dictionary that it knows to be small and shuffles
+    otherwise), and the hits, a few per text, are gathered per id. Only
+    candidates run the exact regex, in the text's own row. Terms must
+    contain a word character; ids must be unique.
     """
-    d = dim.withColumn("_w", _first_word(F.col(term_col))).where(F.col("_w") != "")
+    d = dim.select(F.struct(*dim.columns).alias("_term"), _first_word(F.col(term_col)).alias("_w")).where(F.col("_w") != "")
     tokens = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(?U)\w+"), 0))
-    n_terms = d.limit(small_dictionary + 1).count()
-    if n_terms <= small_dictionary:
-        firsts = sorted({r[0] for r in d.select("_w").distinct().collect()})
-        hits = F.array_intersect(tokens, F.array(*[F.lit(w) for w in firsts])) if firsts else F.array()
-        cand = texts.select(id_col, text_col, F.explode(hits).alias("_w")).join(F.broadcast(d), "_w")
-    else:
-        toks = texts.select(id_col, F.explode(tokens).alias("_w"))
-        pairs = toks.join(bounded_broadcast(d, max_broadcast_terms), "_w")
-        cand = pairs.join(texts.select(id_col, text_col), id_col)
-    pat = F.concat(F.lit(r"(?iU)\b\Q"), F.replace(F.col(term_col), F.lit(r"\E"), F.lit(r"\E\\E\Q")),
-                   F.lit(r"\E\b"))
-    start = F.regexp_instr(F.col(text_col), pat)
-    return (cand.withColumn("start", start).where(F.col("start") > 0)
-            .withColumn("end", F.col("start") + F.length(term_col))
-            .drop("_w", text_col))
+    hits = (texts.select(id_col, F.explode(tokens).alias("_w")).join(d, "_w")
+            .groupBy(id_col).agg(F.collect_list("_term").alias("_terms")))
+    return (texts.join(hits, id_col, "left").select(*texts.columns, "_terms")
+            .withColumn(out, _spans(F.col(text_col), F.col("_terms"), term_col)).drop("_terms"))
+
+
+def match_terms(texts: DataFrame, id_col: str, text_col: str, dim: DataFrame, term_col: str = "name") -> DataFrame:
+    """J11 as rows (id, dictionary columns..., start, end)."""
+    m = with_matches(texts.select(id_col, text_col), id_col, text_col, dim, term_col)
+    return m.select(id_col, F.explode("matches").alias("_m")).select(id_col, "_m.term.*", "_m.start", "_m.end")
+
+
+def drop_contained(matches: Column, tie: str) -> Column:
+    """J12 on a text's array of matches: see ``suppress_contained``."""
+    def inside(a: Column, b: Column) -> Column:
+        shorter = (b["end"] - b["start"]) > (a["end"] - a["start"])
+        return (b["start"] <= a["start"]) & (b["end"] >= a["end"]) & (shorter | (b["term"][tie] < a["term"][tie]))
+    return F.filter(matches, lambda a: ~F.exists(matches, lambda b: inside(a, b)))
 
 
 def suppress_contained(matches: DataFrame, id_col: str, tie: str) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidings.functions.columns import nonblank, norm_text, sentiment_sign
-from tidings.session import bounded_broadcast
 
 SECTOR_BAND = 0.05
 
@@ -78,7 +77,7 @@ def sector_sentiment(df: DataFrame, sector: str = "sector", label: str = "sentim
 
 def rename_by_map(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_name: str, out: str) -> DataFrame:
     """Look up a display name, falling back to the key."""
-    d = bounded_broadcast(dim.select(F.col(dim_key).alias(key), F.col(dim_name).alias("_nm")).dropDuplicates([key]))
+    d = dim.select(F.col(dim_key).alias(key), F.col(dim_name).alias("_nm")).dropDuplicates([key])
     return df.join(d, key, "left").withColumn(out, F.coalesce(F.col("_nm"), F.col(key))).drop("_nm")
 
 
@@ -91,7 +90,7 @@ def flatten_dim(nested: DataFrame, map_col: str, default_sector: str = "Index")
 
 def annotate(df: DataFrame, events: DataFrame, on: str) -> DataFrame:
     """Attach fixed event markers (a small table) by date."""
-    return df.join(bounded_broadcast(events), on, "left")
+    return df.join(events, on, "left")
 
 
 def in_flight(df: DataFrame, label: str = "label") -> DataFrame:

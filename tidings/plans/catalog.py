@@ -89,13 +89,13 @@ def q_series_returns(spark, sf_dir):
 
 @query("calendar_returns")
 def q_calendar_returns(spark, sf_dir):
-    r = ser.calendar_returns(st.sparse_prices(spark, sf_dir))
+    r = ser.returns(st.sparse_prices(spark, sf_dir), fill="none")
     return rounded(r.select("name", iso(F.col("date")).alias("date"), "ret"), {"ret"})
 
 
 @query("rolling_volatility")
 def q_rolling(spark, sf_dir):
-    r = ser.rolling(st.sparse_prices(spark, sf_dir), "name", "date", "close", n=90, block=256)
+    r = ser.rolling(ser.returns(st.sparse_prices(spark, sf_dir)), "name", "date", "ret", n=90, block=256)
     return r.select("name", iso(F.col("date")).alias("date"), F.round("rolling_std", 3).alias("rolling_std"))
 
 
@@ -147,8 +147,7 @@ def q_sector_corr(spark, sf_dir):
 
 @query("corr_matrix")
 def q_corr_matrix(spark, sf_dir):
-    names = [r[0] for r in st.table(spark, sf_dir, "nation").select("n_name").collect()]
-    r = ser.corr_matrix(ser.returns(st.sparse_prices(spark, sf_dir)), names)
+    r = ser.corr_matrix(ser.returns(st.sparse_prices(spark, sf_dir)))
     return rounded(r, {"corr"})
 
 
@@ -361,26 +360,38 @@ SIGNAL_KEYS = ["name", "signal"]
 
 
 def _signal_outcomes(spark, sf_dir):
-    """Per (entity, judged signal, day) outcomes of the momentum forecast:
-    the judged signal is the momentum horizon with the larger move."""
+    """Per (entity, judged signal, day) outcomes of the momentum forecast.
+    The judged signal follows from the two momentum horizons; ``sector`` and
+    NULL are judged, too, and must be skipped by the weights."""
     p = _predictions(spark, sf_dir)
-    sig = F.when(F.abs("prior_1d_return") >= F.abs(F.coalesce("prior_3d_return", F.lit(0.0))),
-                 F.lit("momentum_1d")).otherwise(F.lit("momentum_3d"))
+    one, three = F.col("prior_1d_return"), F.coalesce("prior_3d_return", F.lit(0.0))
+    sig = (F.when(F.abs(one) >= F.abs(three), F.when(one > 0, "stock_momentum").otherwise("nifty_momentum"))
+           .when(three > 20, F.lit(None).cast("string")).when(three > 0, "sector").otherwise("market_sentiment"))
     return p.select("name", sig.alias("signal"), "date",
                     (F.col("label") == F.col("predicted_label")).cast("int").alias("correct"))
 
 
+def _stored_weights(spark, sf_dir):
+    """A stored state of the stock momentum signal for every second nation."""
+    n = st.table(spark, sf_dir, "nation").where(F.col("n_nationkey") % 2 == 0)
+    return n.select(F.col("n_name").alias("name"), F.lit("stock_momentum").alias("signal"),
+                    F.lit(0.7).alias("current_weight"), F.lit(1).alias("consecutive_wrong"),
+                    F.lit(0).alias("consecutive_correct"), F.lit(2).alias("wrong_since_adjustment"),
+                    F.lit(3).alias("correct_since_adjustment"), F.lit(1.4).alias("pre_decay_weight"))
+
+
 @query("signal_weights")
 def q_signal_weights(spark, sf_dir):
-    """Final weight state per (entity, signal)."""
-    s = lr.adjust_weights(_signal_outcomes(spark, sf_dir), SIGNAL_KEYS, with_log=False)
+    """Final weight state per (entity, signal), from the stored state."""
+    s = lr.adjust_weights(_signal_outcomes(spark, sf_dir), SIGNAL_KEYS, with_log=False,
+                          stored=_stored_weights(spark, sf_dir))
     return rounded(s.drop("log"), {"current_weight", "pre_decay_weight", "drift"})
 
 
 @query("weight_changes")
 def q_weight_changes(spark, sf_dir):
     """L6 change log: every weight change (decay, restore, -10 %, +10 %)."""
-    s = lr.adjust_weights(_signal_outcomes(spark, sf_dir), SIGNAL_KEYS)
+    s = lr.adjust_weights(_signal_outcomes(spark, sf_dir), SIGNAL_KEYS, stored=_stored_weights(spark, sf_dir))
     w = lr.weight_changes(s, SIGNAL_KEYS)
     return rounded(w.withColumn("date", iso(F.col("date"))), {"weight_before", "weight_after"})
 
@@ -406,7 +417,7 @@ def _index_log(spark, sf_dir):
     idx = bars.where(F.col("name") == INDEX_SERIES)
     r = asof.session_returns(idx.select("name", "date"), idx)
     mk = asof.market_features(idx.select("date"), bars, st.MARKET_SERIES, "date")
-    sig_names = {c: c.replace("_prior_1d_return", "") for c in st.MARKET_SERIES.values()}
+    sig_names = {c: s for s, cols in lr.SIGNAL_FEATURES.items() for c in cols if c in st.MARKET_SERIES.values()}
     items = F.array(*[F.struct(F.lit(n).alias("signal"), F.col(c).alias("contribution"))
                       for c, n in sig_names.items()])
     top = F.slice(F.array_sort(items, lambda a, b: F.when(F.abs(a["contribution"]) > F.abs(b["contribution"]), -1)
@@ -447,13 +458,17 @@ def q_sources(spark, sf_dir):
     return rounded(c.withColumn("date", iso(F.col("date"))), {"accuracy_rate", "current_weight"})
 
 
+LAST_RETRAIN = "2024-01-15"
+
+
 @query("retrain_trigger")
 def q_retrain(spark, sf_dir):
-    """L4: trigger check from the labelled-headline count, the drift of the
-    index signal weights and the last 10 index outcomes."""
+    """L4 + A28: trigger check from the labelled-headline count, the drift of
+    the index signal weights since the last retrain and the last 10 index
+    outcomes."""
     outcomes = _index_outcomes(spark, sf_dir)
-    drift = lr.adjust_weights(outcomes.withColumnRenamed("judged_signal", "signal"), ["signal"]) \
-        .agg(F.coalesce(F.sum("drift"), F.lit(0.0)).alias("cumulative_weight_drift")) \
+    state = lr.adjust_weights(outcomes.withColumnRenamed("judged_signal", "signal"), ["signal"])
+    drift = lr.drift_since(state, ["signal"], LAST_RETRAIN) \
         .withColumn("last_retrain_headline_count", F.lit(0).cast("long"))
     labeled = rt.labeled_news(_news(spark, sf_dir)).agg(F.count(F.lit(1)).alias("total_labeled"))
     recent = lr.last_n_accuracy(outcomes, 10)
@@ -496,7 +511,7 @@ def q_vocab(spark, sf_dir):
     """M5: vocabulary (top 2000 terms by corpus frequency) and smoothed idf
     over all document texts."""
     d = st.table(spark, sf_dir, "documents")
-    v = sim.vocabulary(sim.term_counts(d, "doc_id", "text"), "doc_id", n_docs=d.count())
+    v = sim.vocabulary(d, "text")
     return rounded(v, {"idf"})
 
 
@@ -750,14 +765,15 @@ def q_stream_daily(spark, sf_dir):
 
 @query("stream_signal_weights")
 def q_stream_weights(spark, sf_dir):
-    """The weight state machine as a stateful stream over outcome files
-    arriving year by year; final states equal the batch fold."""
+    """The weight state machine as a stateful stream over outcome files,
+    one per year, in the order of their names; final states equal the batch
+    fold from default weights."""
     src, sink, ckpt = _scratch(spark, "outc-src"), _scratch(spark, "w-sink"), _scratch(spark, "w-ckpt")
-    o = _signal_outcomes(spark, sf_dir).withColumn("year", F.year("date"))
-    for (y,) in o.select("year").distinct().orderBy("year").collect():
-        o.where(F.col("year") == y).drop("year").write.mode("overwrite").parquet(f"{src}/part={y}")
-    schema = o.drop("year").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/part=*")
+    o = _signal_outcomes(spark, sf_dir)
+    # one file per year, written in ascending order so that they arrive so
+    o.withColumn("year", F.year("date")).repartitionByRange("year").sortWithinPartitions("year", "date") \
+        .write.partitionBy("year").parquet(src)
+    stream = spark.readStream.schema(o.schema.add("year", "int")).option("maxFilesPerTrigger", 1).parquet(src).drop("year")
     st_ = ss.weight_stream(stream, SIGNAL_KEYS)
     sm.on_each_batch(st_, lambda b, e: b.write.mode("append").parquet(sink), ckpt, once=True,
                      mode="update").awaitTermination()

@@ -76,17 +76,24 @@ nation_dim AS (
   SELECT CAST(n.n_nationkey AS VARCHAR) AS ticker, n.n_name AS name, r.r_name AS sector
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
-SPARSE_RETURNS = """
-sparse_returns AS (
+def panel_returns(out: str, source: str) -> str:
+    """Returns on every date of the calendar, gaps filled with the last value."""
+    return f"""
+{out}_cal AS (SELECT DISTINCT date FROM {source}),
+{out}_panel AS (
+  SELECT n.name, c.date,
+         last_value(s.close IGNORE NULLS) OVER (PARTITION BY n.name ORDER BY c.date
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS close
+  FROM (SELECT DISTINCT name FROM {source} WHERE close IS NOT NULL) n CROSS JOIN {out}_cal c
+  LEFT JOIN {source} s ON s.name = n.name AND s.date = c.date),
+{out} AS (
   SELECT name, date, close,
          CASE WHEN lag(close) OVER w <> 0 THEN (close / lag(close) OVER w - 1) * 100 END AS ret
-  FROM sparse_prices WHERE close IS NOT NULL WINDOW w AS (PARTITION BY name ORDER BY date))"""
+  FROM {out}_panel WINDOW w AS (PARTITION BY name ORDER BY date))"""
 
-BAR_RETURNS = """
-bar_returns AS (
-  SELECT name, date, close,
-         CASE WHEN lag(close) OVER w <> 0 THEN (close / lag(close) OVER w - 1) * 100 END AS ret
-  FROM bars WHERE close IS NOT NULL WINDOW w AS (PARTITION BY name ORDER BY date))"""
+
+SPARSE_RETURNS = panel_returns("sparse_returns", "sparse_prices")
+BAR_RETURNS = panel_returns("bar_returns", "bars")
 
 MARKET = """
 market AS (
@@ -102,15 +109,16 @@ SELECT name, CAST(date AS VARCHAR) AS date, round(ret, 6) AS ret FROM sparse_ret
 
 ORACLE["calendar_returns"] = with_(SPARSE_PRICES) + """,
 cal AS (SELECT date, lag(date) OVER (ORDER BY date) AS prev FROM (SELECT DISTINCT date FROM sparse_prices))
-SELECT s.name, CAST(s.date AS VARCHAR) AS date,
+SELECT n.name, CAST(cal.date AS VARCHAR) AS date,
        round(CASE WHEN p.close <> 0 THEN (s.close / p.close - 1) * 100 END, 6) AS ret
-FROM sparse_prices s JOIN cal ON s.date = cal.date
-LEFT JOIN sparse_prices p ON p.name = s.name AND p.date = cal.prev"""
+FROM (SELECT DISTINCT name FROM sparse_prices WHERE close IS NOT NULL) n CROSS JOIN cal
+LEFT JOIN sparse_prices s ON s.name = n.name AND s.date = cal.date
+LEFT JOIN sparse_prices p ON p.name = n.name AND p.date = cal.prev"""
 
-ORACLE["rolling_volatility"] = with_(SPARSE_PRICES) + """
+ORACLE["rolling_volatility"] = with_(SPARSE_PRICES, SPARSE_RETURNS) + """
 SELECT name, CAST(date AS VARCHAR) AS date,
-       round(CASE WHEN count(close) OVER w >= 90 THEN stddev_samp(close) OVER w END, 3) AS rolling_std
-FROM sparse_prices WHERE close IS NOT NULL
+       round(CASE WHEN count(ret) OVER w >= 90 THEN stddev_samp(ret) OVER w END, 3) AS rolling_std
+FROM sparse_returns WHERE ret IS NOT NULL
 WINDOW w AS (PARTITION BY name ORDER BY date ROWS BETWEEN 89 PRECEDING AND CURRENT ROW)"""
 
 ORACLE["indexed_performance"] = with_(BARS) + """
@@ -156,14 +164,10 @@ sec AS (SELECT d.sector, s.date, avg(s.ret) AS sector_ret
 SELECT sec.sector, round(corr(sec.sector_ret, m.ret), 6) AS corr, count(*) AS n_dates
 FROM sec JOIN market_returns m ON sec.date = m.date GROUP BY 1"""
 
-ORACLE["corr_matrix"] = with_(SPARSE_PRICES, SPARSE_RETURNS) + """,
-pairs AS (SELECT na.n_name AS a, nb.n_name AS b FROM nation na JOIN nation nb ON na.n_name <= nb.n_name),
-stats AS (SELECT x.name AS a, y.name AS b, corr(x.ret, y.ret) AS c,
-                 count(x.ret * y.ret) AS n
-          FROM sparse_returns x JOIN sparse_returns y ON x.date = y.date AND x.name <= y.name
-          GROUP BY 1, 2)
-SELECT p.a AS name_a, p.b AS name_b, round(s.c, 6) AS corr, coalesce(s.n, 0) AS n_dates
-FROM pairs p LEFT JOIN stats s ON p.a = s.a AND p.b = s.b"""
+ORACLE["corr_matrix"] = with_(SPARSE_PRICES, SPARSE_RETURNS) + """
+SELECT x.name AS name_a, y.name AS name_b, round(corr(x.ret, y.ret), 6) AS corr, count(x.ret * y.ret) AS n_dates
+FROM sparse_returns x JOIN sparse_returns y ON x.date = y.date AND x.name <= y.name
+WHERE x.ret IS NOT NULL AND y.ret IS NOT NULL GROUP BY 1, 2"""
 
 ORACLE["return_histogram"] = with_(SPARSE_PRICES, SPARSE_RETURNS) + """,
 lh AS (SELECT min(ret) AS lo, max(ret) AS hi FROM sparse_returns),
@@ -208,10 +212,10 @@ def sql_str(s) -> str:
 
 NEWS = """
 news AS (
-  SELECT d.doc_id AS id, d.lang AS topic, substr(d.text, 1, 120) AS headline, d.text AS body, d.source,
+  SELECT d.doc_id AS id, d.lang AS topic, d.text AS headline, d.text AS body, d.source,
          TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(d.doc_id % 30 AS INTEGER)) AS published_at,
-         CASE WHEN l.quality = 1 THEN 'positive' WHEN l.quality = 0 THEN 'negative' ELSE 'neutral' END
-           AS sentiment_label,
+         CASE WHEN l.quality IS NULL THEN NULL WHEN d.doc_id % 3 = 0 THEN 'neutral'
+              WHEN l.quality = 1 THEN 'positive' ELSE 'negative' END AS sentiment_label,
          round(0.5 + (d.doc_id % 50) / 100.0, 6) AS sentiment_confidence
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
@@ -468,7 +472,7 @@ FROM labels GROUP BY quality"""
 
 FOLDS = """
 folds AS (
-  SELECT *, CAST((row_number() OVER (PARTITION BY quality ORDER BY ((doc_id + 42) * 2654435761) % 4294967296) - 1)
+  SELECT *, CAST((row_number() OVER (PARTITION BY quality ORDER BY ((doc_id + 42) * 2654435761) % 4294967296, doc_id) - 1)
                  % 5 AS INTEGER) AS fold
   FROM labels)"""
 
@@ -482,7 +486,7 @@ SELECT round(avg(accuracy), 6) AS mean, round(stddev_pop(accuracy), 6) AS std, c
 ORACLE["holdout_split"] = """
 SELECT CAST(rn <= greatest(1, CAST(floor((SELECT count(*) FROM documents) * 0.2) AS BIGINT)) AS INTEGER) AS holdout,
        lang, count(*) AS n
-FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY ((doc_id + 42) * 2654435761) % 4294967296) AS rn
+FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY ((doc_id + 42) * 2654435761) % 4294967296, doc_id) AS rn
       FROM documents)
 GROUP BY 1, 2"""
 
@@ -495,27 +499,39 @@ SELECT CAST(count(*) >= 40 AND count(DISTINCT label) >= 2 AS INTEGER) AS ok,
 FROM feat WHERE label IS NOT NULL"""
 
 # ---------------------------------------------------------------- learning
+from tidings.operators.learning import SIGNAL_FEATURES  # noqa: E402
+
 SIG_OUTCOMES = """
 sig_outcomes AS (
-  SELECT name, CASE WHEN abs(prior_1d_return) >= abs(coalesce(prior_3d_return, 0.0)) THEN 'momentum_1d'
-                    ELSE 'momentum_3d' END AS signal, date,
+  SELECT name, CASE WHEN abs(prior_1d_return) >= abs(coalesce(prior_3d_return, 0.0))
+                    THEN CASE WHEN prior_1d_return > 0 THEN 'stock_momentum' ELSE 'nifty_momentum' END
+                    WHEN prior_3d_return > 20 THEN NULL WHEN prior_3d_return > 0 THEN 'sector'
+                    ELSE 'market_sentiment' END AS signal, date,
          CAST(label = predicted_label AS INTEGER) AS c
   FROM preds)"""
 
 _CL = "least(greatest({x}, 0.2), 2.0)"
 
 
-def _fold_sql(source: str = "sig_outcomes", name: str = "name") -> str:
+_SIGNALS = ", ".join(sql_str(s) for s in SIGNAL_FEATURES)
+NO_STATE = "SELECT NULL AS name, NULL AS signal, 1.0 AS w, 0 AS cw, 0 AS cc, 0 AS wa, 0 AS ca, NULL AS pd WHERE false"
+STORED_STATE = """SELECT n_name AS name, 'stock_momentum' AS signal, 0.7 AS w, 1 AS cw, 0 AS cc, 2 AS wa, 3 AS ca, 1.4 AS pd
+       FROM nation WHERE n_nationkey % 2 = 0"""
+
+
+def _fold_sql(source: str = "sig_outcomes", name: str = "name", stored: str = NO_STATE) -> str:
     cl = _CL.format
     return f"""
 o AS (SELECT {name} AS name, signal, date, c, row_number() OVER (PARTITION BY {name}, signal ORDER BY date) AS k
-      FROM {source}),
+      FROM {source} WHERE signal IN ({_SIGNALS})),
+stored AS ({stored}),
 st AS (
-  SELECT DISTINCT name, signal, CAST(0 AS BIGINT) AS k, NULL::DATE AS date, 1.0::DOUBLE AS w, 0 AS cw, 0 AS cc,
-         0 AS wa, 0 AS ca, NULL::DOUBLE AS pd, 0.0::DOUBLE AS drift,
+  SELECT DISTINCT o.name, o.signal, CAST(0 AS BIGINT) AS k, NULL::DATE AS date, coalesce(s.w, 1.0)::DOUBLE AS w,
+         coalesce(s.cw, 0) AS cw, coalesce(s.cc, 0) AS cc, coalesce(s.wa, 0) AS wa, coalesce(s.ca, 0) AS ca,
+         s.pd::DOUBLE AS pd, 0.0::DOUBLE AS drift,
          NULL::VARCHAR AS e1, NULL::DOUBLE AS b1, NULL::DOUBLE AS a1,
          NULL::VARCHAR AS e2, NULL::DOUBLE AS b2, NULL::DOUBLE AS a2
-  FROM o
+  FROM o LEFT JOIN stored s ON s.name = o.name AND s.signal = o.signal
   UNION ALL
   SELECT name, signal, k, date, w3, cw2, cc2, wa3, ca3, pd2, drift + abs(w2 - w0) + abs(w3 - w2),
          CASE WHEN dec THEN 'decay' WHEN res THEN 'restore' END, CASE WHEN dec OR res THEN w0 END,
@@ -540,16 +556,21 @@ st AS (
           FROM st JOIN o ON o.name = st.name AND o.signal = st.signal AND o.k = st.k + 1)))))"""
 
 
-FOLD = _fold_sql()
-_LEARN_HEAD = ("WITH RECURSIVE " + ",\n".join(c.strip() for c in (
-    SPARSE_PRICES, SHIP_PROBES, PRICE_CONTEXT, SESSION_RETURNS, PREDICTIONS, SIG_OUTCOMES, FOLD)) + "\n")
+def _learn_head(stored: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(c.strip() for c in (
+        SPARSE_PRICES, SHIP_PROBES, PRICE_CONTEXT, SESSION_RETURNS, PREDICTIONS, SIG_OUTCOMES,
+        _fold_sql(stored=stored))) + "\n"
 
-ORACLE["signal_weights"] = _LEARN_HEAD + """
+
+_LEARN_HEAD = _learn_head(STORED_STATE)
+FINAL_STATE = """
 SELECT name, signal, round(w, 6) AS current_weight, cw AS consecutive_wrong, cc AS consecutive_correct,
        wa AS wrong_since_adjustment, ca AS correct_since_adjustment, round(pd, 6) AS pre_decay_weight,
        round(drift, 6) AS drift, CAST(k AS INTEGER) AS n_outcomes
 FROM st WHERE (name, signal, k) IN (SELECT name, signal, max(k) FROM st GROUP BY 1, 2)"""
 
+ORACLE["signal_weights"] = _LEARN_HEAD + FINAL_STATE
+
 ORACLE["weight_changes"] = _LEARN_HEAD + """
 SELECT name, signal, CAST(date AS VARCHAR) AS date,
        CASE e1 WHEN 'decay' THEN '3 consecutive wrong predictions' ELSE 'restored after 2 consecutive correct' END
@@ -570,7 +591,7 @@ SELECT name, CAST(date AS VARCHAR) AS date, c AS correct,
        CAST(row_number() OVER (PARTITION BY name, c, isl ORDER BY date) AS INTEGER) AS streak
 FROM g"""
 
-_sig = {c: c.replace("_prior_1d_return", "") for c in MARKET_SERIES.values()}
+_sig = {c: s for s, cols in SIGNAL_FEATURES.items() for c in cols if c in MARKET_SERIES.values()}
 INDEX_LOG = """
 """ + ctx_sql("ictx", "bars").strip() + """,
 iret AS (
@@ -581,7 +602,7 @@ iret AS (
   FROM ictx),
 sigs AS (
   SELECT i.date, m.signal, coalesce(j.p1, 0.0) AS contribution
-  FROM iret i, (VALUES """ + ", ".join(f"('{s}', '{n}')" for s, n in zip(MARKET_SERIES, _sig.values())) + """)
+  FROM iret i, (VALUES """ + ", ".join(f"('{s}', '{n}')" for s, n in ((s, _sig[c]) for s, c in MARKET_SERIES.items())) + """)
        m(series, signal)
   LEFT JOIN iret j ON j.name = m.series AND j.date = i.date
   WHERE i.name = 'view'),
@@ -636,8 +657,8 @@ idx_sig AS (SELECT 'all' AS grp, judged_signal AS signal, CAST(date AS DATE) AS
 
 ORACLE["retrain_trigger"] = ("WITH RECURSIVE " + ",\n".join(c.strip() for c in (
     NEWS, BARS, INDEX_LOG, IDX_SIG, _fold_sql("idx_sig", "grp"))) + """,
-drift AS (SELECT coalesce(sum(drift), 0.0) AS d FROM st WHERE (name, signal, k) IN
-          (SELECT name, signal, max(k) FROM st GROUP BY 1, 2)),
+drift AS (SELECT coalesce(sum(coalesce(abs(a1 - b1), 0) + coalesce(abs(a2 - b2), 0)), 0.0) AS d FROM st
+          WHERE date > DATE '2024-01-15'),
 lab AS (SELECT count(*) AS n FROM news WHERE sentiment_label IS NOT NULL),
 rec AS (SELECT avg(correct) AS acc, count(*) AS n FROM (SELECT correct FROM outcomes ORDER BY date DESC LIMIT 10)),
 r AS (
@@ -847,7 +868,7 @@ SELECT CAST(CAST(published_at AS DATE) AS VARCHAR) AS day, topic, count(*) AS n_
                  * sentiment_confidence), 6) AS net_sentiment
 FROM news GROUP BY 1, 2"""
 
-ORACLE["stream_signal_weights"] = ORACLE["signal_weights"]
+ORACLE["stream_signal_weights"] = _learn_head(NO_STATE) + FINAL_STATE
 
 ORACLE["influential_headlines"] = _ROUT + """,
 s AS (SELECT *, sentiment_confidence * greatest(abs(CASE sentiment_label WHEN 'positive' THEN 1

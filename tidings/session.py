@@ -6,8 +6,8 @@ import os
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings the operators assume. UTC makes day boundaries match the
 # reference (it truncates to UTC days); AQE re-plans joins from runtime
@@ -96,13 +96,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when it holds at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``), so it reads at
-    most ``max_rows + 1`` rows. Above the bound the frame is returned as is
-    and the join falls back to a shuffle join (AQE may still switch it to a
-    broadcast from runtime sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A fixed table as a local relation: its size is known to the planner,
+    which broadcasts it in joins without a hint or a job."""
+    fields = spark.createDataFrame([], schema).schema
+    frame = pd.DataFrame({f.name: pd.Series([r[i] for r in rows], dtype=object) for i, f in enumerate(fields)})
+    return spark.createDataFrame(frame, fields)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.functions.columns import round6
+from tidings.session import literal_table
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -67,17 +68,17 @@ def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles: documents with their human label turned into a sentiment
-    label. headline = first 120 characters, body = the whole text,
+    label (NULL for documents without one). headline = body = the whole text,
     topic = language, published = 2024-01-01 + (doc_id mod 30) days."""
     d = table(spark, sf_dir, "documents")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return (d.join(lab, "doc_id", "left").select(
         F.col("doc_id").alias("id"), F.col("lang").alias("topic"),
-        F.substring("text", 1, 120).alias("headline"), F.col("text").alias("body"), "source",
+        F.col("text").alias("headline"), F.col("text").alias("body"), "source",
         F.timestamp_add("DAY", F.col("doc_id") % 30, F.lit("2024-01-01 00:00:00").cast("timestamp"))
         .alias("published_at"),
-        F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative")
-        .otherwise("neutral").alias("sentiment_label"),
+        F.when(F.col("quality").isNull(), F.lit(None)).when((F.col("doc_id") % 3) == 0, "neutral")
+        .when(F.col("quality") == 1, "positive").otherwise("negative").alias("sentiment_label"),
         round6(F.lit(0.5) + (F.col("doc_id") % 50) / 100.0).alias("sentiment_confidence")))
 
 
@@ -120,19 +121,19 @@ MARKET_SERIES = {
 
 
 def entity_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ENTITY_TERMS, "ticker string, name string, sector string")
+    return literal_table(spark, ENTITY_TERMS, "ticker string, name string, sector string")
 
 
 def topic_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TOPIC_SECTORS, "topic string, sector string")
+    return literal_table(spark, TOPIC_SECTORS, "topic string, sector string")
 
 
 def entity_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Close series named by entity name (P1 rename): bars of the mapped
     event type, renamed through ticker -> name."""
-    m = spark.createDataFrame(TICKER_SERIES, "ticker string, series string")
+    m = literal_table(spark, TICKER_SERIES, "ticker string, series string")
     dim = entity_dim(spark).select("ticker", "name")
-    names = F.broadcast(m.join(dim, "ticker").select("series", "name"))
+    names = m.join(dim, "ticker").select("series", "name")
     b = bars(spark, sf_dir).select(F.col("name").alias("series"), "date", "close")
     return b.join(names, "series").select("name", "date", "close")
 

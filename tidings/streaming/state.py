@@ -10,10 +10,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidings.operators.learning import (ADJUSTMENT_EVERY, ADJUSTMENT_STEP, DECAY_FACTOR, DECAY_STREAK,
-                                        DEFAULT_WEIGHT, MAX_WEIGHT, MIN_WEIGHT, RESTORE_STREAK)
+                                        DEFAULT_WEIGHT, MAX_WEIGHT, MIN_WEIGHT, RESTORE_STREAK, SIGNAL_FEATURES)
 
 STATE_SCHEMA = ("w double, cw int, cc int, wa int, ca int, pd double, drift double, n long")
 OUT_FIELDS = ["current_weight", "consecutive_wrong", "consecutive_correct", "wrong_since_adjustment",
@@ -49,10 +50,12 @@ def fold(state: tuple, correct_flags) -> tuple:
     return w, cw, cc, wa, ca, pd_, drift, n
 
 
-def weight_stream(outcomes: DataFrame, keys: list[str], date_col: str = "date",
-                  correct_col: str = "correct") -> DataFrame:
+def weight_stream(outcomes: DataFrame, keys: list[str], date_col: str = "date", correct_col: str = "correct",
+                  signal_col: str = "signal", signals=tuple(SIGNAL_FEATURES)) -> DataFrame:
     """Stateful per-key weights over a stream of (keys..., date, correct);
-    emits the key's current state after each micro-batch (update mode)."""
+    emits the key's current state after each micro-batch (update mode).
+    Outcomes of NULL or unknown signals are skipped."""
+    outcomes = outcomes.where(F.col(signal_col).isin(list(signals)))
     out_schema = ", ".join([f"{k} string" for k in keys] + [
         "current_weight double", "consecutive_wrong int", "consecutive_correct int", "wrong_since_adjustment int",
         "correct_since_adjustment int", "pre_decay_weight double", "drift double", "n_outcomes long"])
