@@ -67,7 +67,8 @@ def shingles(texts: list[str], size: int = SIZE) -> tuple[np.ndarray, np.ndarray
     for k in range(size):
         factor = mix(np.uint64([k + 1]))[0] | np.uint64(1)
         ahead = np.zeros(len(word), np.uint64)
-        ahead[:len(word) - k] = word[k:] * factor if k else word * factor
+        later = word[k:]
+        ahead[:len(later)] = later * factor
         inside = np.arange(len(word)) + k < (first + n)[text]
         total += np.where(inside, ahead, np.uint64(0))
     starts = np.arange(len(word)) - first[text] <= (n - short)[text]

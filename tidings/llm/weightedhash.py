@@ -19,8 +19,9 @@
    are then all connected are done: links among them cannot change a
    component. In the others every pair from different components is compared
    by its samples, in blocks, and pairs that agree in at least half of them
-   are verified (at similarity 0.8 and 70 samples, fewer agree with a
-   probability below 1e-8). No cap on buckets, members or pairs.
+   are verified there (at similarity 0.8 and 70 samples, fewer agree with a
+   probability below 1e-8). Pairs are not written out, so output stays linear
+   in a group; nothing caps buckets, members or pairs.
 
 Null and empty texts and texts without a word link only with equal ones (null
 texts with nothing). Rows with a null id are never linked. Rows that share an
@@ -45,7 +46,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 14, 5
 BUCKETS = 1 << 16
 AGREE = 0.5
-BLOCK = 512
+BLOCK = 128
 CHUNK = 1 << 14
 BATCH_CHARS = 1 << 20
 
@@ -188,46 +189,106 @@ def band_members(classes: DataFrame) -> DataFrame:
         .select(F.explode("bands").alias("band"), "id")
 
 
-def agreeing_pairs(members: DataFrame) -> DataFrame:
-    """(band, id, component, sample) -> pairs (a, b) of one band and different
-    components that agree in at least ``AGREE`` of their samples. Each band is
-    cut into blocks of bounded size; every block meets the whole band as a
-    stream."""
+class Union:
+    """Union-find over component labels, the smallest label the root."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = self.parent.get(up, up)
+            x = up
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.find(x), self.find(y)
+        self.parent[max(x, y)] = min(x, y)
+
+
+def _columns(b: pd.DataFrame, idf: np.ndarray) -> dict:
+    """A block's rows: ids, component labels, samples, bands, weighted sets."""
+    whole, sets = b["text"].tolist(), []
+    for i, j in _slices(whole):
+        text, h, count = shingles(whole[i:j])
+        w = weights(h, count, idf)
+        ends = np.searchsorted(text, np.arange(j - i + 1))
+        sets.extend((h[s:e], w[s:e]) for s, e in zip(ends, ends[1:]))
+    bands = np.zeros((len(b), BANDS), np.int64)
+    for row, own in zip(bands, b["bands"]):
+        row[:len(own)] = own
+    return {"id": b["id"].to_numpy(), "component": b["component"].to_numpy(), "bands": bands, "sets": sets,
+            "sample": np.frombuffer(b"".join(b["sample"]), np.uint32).reshape(len(b), -1)}
+
+
+def _links(band: int, x: dict, y: dict, same: bool, union: Union, similarity: float) -> list[tuple[int, int]]:
+    """Links between rows of x and y (the same rows if ``same``) that join
+    components. Of the bands that a pair shares, one, chosen by hash, has it."""
+    agree = np.zeros((len(x["id"]), len(y["id"])), np.int16)
+    for s in range(x["sample"].shape[1]):
+        agree += x["sample"][:, s, None] == y["sample"][None, :, s]
+    agree = (agree >= AGREE * x["sample"].shape[1]) & (x["component"][:, None] != y["component"][None, :])
+    i, j = np.nonzero(np.triu(agree, 1) if same else agree)
+    out = []
+    for at in range(0, len(i), 1 << 16):
+        p, q = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+        shared = (x["bands"][p][:, :, None] == y["bands"][q][:, None, :]).any(2) & (x["bands"][p] != 0)
+        pair = mix(x["id"][p].view(np.uint64)) ^ mix(y["id"][q].view(np.uint64))  # the same for either order
+        rank = mix(x["bands"][p].view(np.uint64) ^ pair[:, None])
+        chosen = np.where(shared, rank, np.uint64(0xFFFFFFFFFFFFFFFF)).argmin(1)
+        mine = x["bands"][p, chosen] == band
+        for k, m in zip(p[mine].tolist(), q[mine].tolist()):
+            c, d = int(x["component"][k]), int(y["component"][m])
+            if union.find(c) != union.find(d) and weighted_jaccard(x["sets"][k], y["sets"][m]) >= similarity:
+                union.join(c, d)
+                out.append((int(x["id"][k]), int(y["id"][m])))
+    return out
+
+
+def links_across(members: DataFrame, idf: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
+    """(band, id, component, sample, bands, text) -> links (a, b) that join
+    components, found among all pairs of a band and different components that
+    agree in at least ``AGREE`` of their samples.
+
+    Each band is cut into blocks of bounded size; a block meets its own rows
+    and, as a stream, those of the later blocks. Pairs are compared where they
+    meet and never written out: a block gives at most one link per component.
+    """
     blocks = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    sized = members.join(blocks, "band")
-    held = sized.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("kind", F.lit(0))
-    asked = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("kind", F.lit(1))
-    dealt = (held.unionByName(asked).select("band", "block", "kind", "id", "component", "sample")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = (members.join(blocks, "band").withColumn("own", own)
+             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("own")))).withColumn("kind", (F.col("block") < F.col("own")).cast("int"))
+             .select("band", "block", "kind", "id", "component", "sample", "bands", "text")
              .repartition("band", "block").sortWithinPartitions("band", "block", "kind", "id"))
 
-    def matrix(b: pd.DataFrame) -> np.ndarray:
-        return np.frombuffer(b"".join(b["sample"]), np.uint32).reshape(len(b), -1)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held, whole = None, [], None
+        key, held, whole, union = None, [], None, Union()
+        out: list[tuple[int, int]] = []
+
+        def gather() -> dict | None:
+            if held and whole is None:
+                block = _columns(pd.concat(held), idf)
+                out.extend(_links(key[0], block, block, True, union, similarity))
+                return block
+            return whole
+
         for batch in batches:
-            out = []
             for k, b in batch.groupby(["band", "block"], sort=False):
                 if k != key:
-                    key, held, whole = k, [], None
+                    whole = gather()
+                    key, held, whole, union = k, [], None, Union()
                 if (b["kind"] == 0).any():
                     held.append(b[b["kind"] == 0])
                 b = b[b["kind"] == 1]
-                if not len(b) or not held:
-                    continue
-                if whole is None:
-                    m = pd.concat(held)
-                    whole = (m["id"].to_numpy(), m["component"].to_numpy(), matrix(m))
-                ids, component, sample = whole
-                mine, own = b["id"].to_numpy(), b["component"].to_numpy()
-                agree = np.zeros((len(b), len(ids)), np.int16)
-                other = matrix(b)
-                for s in range(sample.shape[1]):
-                    agree += other[:, s, None] == sample[None, :, s]
-                x, y = np.nonzero((agree >= AGREE * sample.shape[1]) & (mine[:, None] < ids) & (own[:, None] != component))
-                out.append(pd.DataFrame({"a": mine[x], "b": ids[y]}))
+                if len(b) and held:
+                    whole = gather()
+                    out.extend(_links(key[0], _columns(b, idf), whole, False, union, similarity))
             if out:
-                yield pd.concat(out).drop_duplicates()
+                yield pd.DataFrame(out, columns=["a", "b"])
+                out.clear()
+        gather()
+        if out:
+            yield pd.DataFrame(out, columns=["a", "b"])
 
     return dealt.mapInPandas(run, "a long, b long").distinct()
 
@@ -259,10 +320,11 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     open_bands = (labelled.groupBy("band").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
                                                F.count(F.lit(1)).alias("size"))
                   .where("c1 <> c2 AND size > 2").select("band"))
-    members = labelled.join(open_bands, "band").select("band", "id", "component").join(nodes, "id")
-    rest = agreeing_pairs(written(members, "open-bands")).join(first, ["a", "b"], "left_anti")
-    more = written(verify(written(rest, "pairs-across"), texts, idf, similarity), "links-across")
-    joined = components(links.select("a", "b").unionByName(more.select("a", "b")))
+    members = written(labelled.join(open_bands, "band").select("band", "id", "component"), "open-bands")
+    rows = (members.groupBy("id", "component").agg(F.collect_list("band").alias("bands"))  # at most BANDS of them
+            .join(nodes, "id").join(texts, "id").select("component", "id", "sample", "bands", "text", F.explode("bands").alias("band")))
+    more = written(links_across(rows, idf, similarity), "links-across")
+    joined = components(links.select("a", "b").unionByName(more))
 
     named = classes.join(joined.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
