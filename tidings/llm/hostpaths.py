@@ -4,8 +4,8 @@ Each page votes for the path of the container that holds its main text; a
 path is the chain of block elements with their classes, digits generalised.
 Spark counts the votes per host. Pages are then extracted again with their
 host's winning paths: blocks below an element on a winning path, in page
-order. A page on which no winning path holds at least half of the text of its
-own best container (another template) uses that container.
+order. A page on which no winning path holds at least a quarter of the text of
+its own best container (another template) uses that container.
 
 Scoring. Text blocks weigh their characters less twice those in links, 0 at
 least; blocks in menus, footers, sidebars, notices, adverts, forms and
@@ -36,6 +36,7 @@ from tidings.session import written
 
 WINNERS = 3
 SHARE = 0.7  # of the weight that a child must hold to be descended into
+FOLLOW = 0.25  # of the best container's weight that a winning path must hold
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
                    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/!?a-zA-Z][^>]*\Z", re.S)
@@ -196,7 +197,7 @@ class Page:
         own = self.best()
         for path in winners:
             found = {i for i, p in enumerate(self.path) if p == path}
-            if found and sum(self.weight[i] for i in found) >= 0.5 * self.weight[own]:
+            if found and sum(self.weight[i] for i in found) >= FOLLOW * self.weight[own]:
                 return self.below(found)
         return self.below({own})
 

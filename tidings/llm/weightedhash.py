@@ -321,9 +321,10 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                F.count(F.lit(1)).alias("size"))
                   .where("c1 <> c2 AND size > 2").select("band"))
     members = written(labelled.join(open_bands, "band").select("band", "id", "component"), "open-bands")
-    rows = (members.groupBy("id", "component").agg(F.collect_list("band").alias("bands"))  # at most BANDS of them
-            .join(nodes, "id").join(texts, "id").select("component", "id", "sample", "bands", "text", F.explode("bands").alias("band")))
-    more = written(links_across(rows, idf, similarity), "links-across")
+    meeting = (members.groupBy("id", "component").agg(F.collect_list("band").alias("bands"))  # at most BANDS of them
+               .join(nodes, "id").join(texts, "id")
+               .select("component", "id", "sample", "bands", "text", F.explode("bands").alias("band")))
+    more = written(links_across(meeting, idf, similarity), "links-across")
     joined = components(links.select("a", "b").unionByName(more))
 
     named = classes.join(joined.withColumnRenamed("id", "rep"), "rep", "left") \
