@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidings.functions.columns import round6
 from tidings.operators import asof
@@ -545,7 +546,7 @@ def q_similar_per_query(spark, sf_dir):
 
 import uuid  # noqa: E402
 
-from tidings.session import cut_lineage, scratch_path  # noqa: E402
+from tidings.session import cut_lineage, literal_table, scratch_path, written  # noqa: E402
 from tidings.sources import feeds as fd  # noqa: E402
 from tidings.sources import tables as tb  # noqa: E402
 
@@ -732,37 +733,100 @@ def q_stream_ingest(spark, sf_dir):
     the label rules. Result: one row per distinct text (its SHA-256)."""
     src, sink, ckpt = _scratch(spark, "feed-src"), _scratch(spark, "feed-sink"), _scratch(spark, "feed-ckpt")
     news = _news(spark, sf_dir)
-    feed = fd.to_feed(news.select("topic", F.col("body").alias("headline"), "source", "published_at",
-                                  F.lit(None).cast("string").alias("url"),
+    feed = fd.to_feed(news.select("topic", "headline", "source", "published_at", F.lit(None).cast("string").alias("url"),
                                   F.col("sentiment_label").alias("description")))
-    for (t,) in news.select("topic").distinct().orderBy("topic").collect():
-        feed.where(F.col("topic") == t).drop("topic").write.mode("overwrite").json(f"{src}/topic={t}")
+    feed.repartition("topic").write.partitionBy("topic").json(src)  # a file or more per topic
     stream = sm.feed_stream(spark, src, max_files=1)
 
     def enrich(df):
         return tx.apply_label_rules(df.withColumn("sentiment_label", F.col("description")), text="headline")
 
-    q = sm.append_batches(stream, sink, "headline", ["published_at", "source", "topic"], ckpt, once=True,
-                          enrich=enrich)
-    q.awaitTermination()
+    sm.append_batches(stream, sink, "headline", ["published_at", "source", "topic"], ckpt, once=True,
+                      enrich=enrich).awaitTermination()
     return spark.read.parquet(sink).select(F.sha2(F.col("headline"), 256).alias("text_sha256"))
 
 
+def _news_stream(spark, sf_dir):
+    """The articles as a file stream, with the digest of the text as id."""
+    src = _scratch(spark, "news-src")
+    news = _news(spark, sf_dir).select(F.sha2("headline", 256).alias("article_id"), "headline", "topic", "source",
+                                       F.col("published_at").alias("published_ts"), "sentiment_label", "sentiment_confidence")
+    news.write.parquet(src)
+    return spark.readStream.schema(news.schema).parquet(src)
+
+
+@query("stream_dedup_watermark")
+def q_stream_dedup(spark, sf_dir):
+    """One row per distinct text within the lateness bound, which here
+    spans the month of the data."""
+    sink, ckpt = _scratch(spark, "dedup-sink"), _scratch(spark, "dedup-ckpt")
+    once = sm.dedup_within_watermark(_news_stream(spark, sf_dir), "article_id", delay="60 days")
+    sm.on_each_batch(once.where(F.length("headline") > 0), lambda b, e: sm.store_batch(b, sink, e), ckpt).awaitTermination()
+    return spark.read.parquet(sink).select(F.col("article_id").alias("text_sha256"))
+
+
+@query("stream_routed")
+def q_stream_routed(spark, sf_dir):
+    """The chain of first copy, label rules and routing on the stream."""
+    sink, ckpt = _scratch(spark, "routed-sink"), _scratch(spark, "routed-ckpt")
+    stream = _news_stream(spark, sf_dir).where("sentiment_label IS NOT NULL").withColumn("published_at", F.col("published_ts"))
+    chain = sm.enrich_chain(st.entity_dim(spark), st.topic_map(spark), st.INDEX_TICKER)
+    sm.append_batches(stream, sink, "headline", ["published_at", "source", "topic", "sentiment_confidence"], ckpt,
+                      enrich=chain).awaitTermination()
+    return spark.read.parquet(sink).select(F.col("article_id").alias("text_sha256"), "source", "ticker", "sector", "matched_via")
+
+
 @query("stream_daily_counts")
 def q_stream_daily(spark, sf_dir):
-    """One-day tumbling windows per topic over the article stream."""
-    src, sink, ckpt = _scratch(spark, "news-src"), _scratch(spark, "daily-sink"), _scratch(spark, "daily-ckpt")
-    news = _news(spark, sf_dir).select("id", "topic", "published_at", "sentiment_label", "sentiment_confidence")
-    news.write.mode("overwrite").parquet(src)
-    stream = spark.readStream.schema(news.schema).parquet(src).withColumnRenamed("published_at", "published_ts")
-    agg = sm.daily_sentiment_stream(stream, "topic")
-    sm.to_table_each_batch(agg, sink, ckpt, "complete", once=True).awaitTermination()
-    r = spark.read.parquet(sink)
+    """One-day tumbling windows per topic over the article stream, update
+    mode with an upsert by (window, topic)."""
+    sink, ckpt = _scratch(spark, "daily-sink"), _scratch(spark, "daily-ckpt")
+    agg = sm.daily_sentiment_stream(_news_stream(spark, sf_dir), "topic")
+    sm.upsert_each_batch(agg, sink, ckpt).awaitTermination()
+    r = sm.latest_rows(spark, sink, ["window", "topic"])
     return rounded(r.select(iso(F.col("window.start")).alias("day"), "topic", "n_headlines", "n_positive",
                             "n_negative", "n_neutral", "avg_confidence", "net_sentiment"),
                    {"avg_confidence", "net_sentiment"})
 
 
+def _file_stream(spark, df, name):
+    """A table as a stream of its files."""
+    src = _scratch(spark, name)
+    df.repartitionByRange(3, "news_date").write.parquet(src)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+
+
+@query("stream_outcomes")
+def q_stream_outcomes(spark, sf_dir):
+    """Outcomes as the actual returns arrive; equal to resolved_outcomes."""
+    log, actual = _index_log(spark, sf_dir)
+    log, sink = written(log, "prediction-log"), _scratch(spark, "outcomes")
+    sm.resolve_job(_file_stream(spark, actual, "actual"), log, sink, _scratch(spark, "outcomes-ckpt"),
+                   log.where(F.col("news_date") < F.lit("2024-01-05").cast("date"))).awaitTermination()
+    o = spark.read.parquet(sink).drop("batch")
+    return rounded(o.withColumn("date", iso(F.col("date"))).withColumn("news_date", iso(F.col("news_date"))),
+                   {"actual_pct_change", "error_magnitude"})
+
+
+@query("stream_source_credibility")
+def q_stream_sources(spark, sf_dir):
+    """Credibility after the last batch; equal to source_credibility."""
+    sink = _scratch(spark, "credibility")
+    sm.credibility_job(_file_stream(spark, _index_outcomes(spark, sf_dir), "outcomes"), _routed(spark, sf_dir),
+                       st.INDEX_TICKER, sink, _scratch(spark, "credibility-ckpt")).awaitTermination()
+    return rounded(sm.latest_batch(spark, sink).withColumn("date", iso(F.col("date"))), {"accuracy_rate", "current_weight"})
+
+
+@query("stream_retrain_check")
+def q_stream_retrain(spark, sf_dir):
+    """The check after the last batch; equal to retrain_trigger."""
+    sink = _scratch(spark, "retrain")
+    labeled = rt.labeled_news(_news(spark, sf_dir)).agg(F.count(F.lit(1)).alias("total_labeled"))
+    sm.retrain_job(_file_stream(spark, _index_outcomes(spark, sf_dir), "outcomes"), labeled, LAST_RETRAIN, sink,
+                   _scratch(spark, "retrain-ckpt")).awaitTermination()
+    return rounded(sm.latest_batch(spark, sink), {"cumulative_weight_drift", "last_n_accuracy"})
+
+
 @query("stream_signal_weights")
 def q_stream_weights(spark, sf_dir):
     """The weight state machine as a stateful stream over outcome files,
@@ -773,7 +837,8 @@ def q_stream_weights(spark, sf_dir):
     # one file per year, written in ascending order so that they arrive so
     o.withColumn("year", F.year("date")).repartitionByRange("year").sortWithinPartitions("year", "date") \
         .write.partitionBy("year").parquet(src)
-    stream = spark.readStream.schema(o.schema.add("year", "int")).option("maxFilesPerTrigger", 1).parquet(src).drop("year")
+    schema = T.StructType([*o.schema.fields, T.StructField("year", T.IntegerType())])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src).drop("year")
     st_ = ss.weight_stream(stream, SIGNAL_KEYS)
     sm.on_each_batch(st_, lambda b, e: b.write.mode("append").parquet(sink), ckpt, once=True,
                      mode="update").awaitTermination()
@@ -863,11 +928,6 @@ def q_text_cv(spark, sf_dir):
     return summ.withColumn("best", (F.col("reg") == F.lit(best)).cast("int"))
 
 
-def _with_summary(per):
-    s = ev.fold_summary(per).first()
-    return per.withColumn("mean", F.lit(s["mean"])).withColumn("std", F.lit(s["std"]))
-
-
 @query("text_scoring")
 def q_text_scoring(spark, sf_dir):
     """M1: documents without a human label scored by the classifier fitted
@@ -939,6 +999,112 @@ def q_validation(spark, sf_dir):
 NO_ORACLE = NO_ORACLE | {"text_label_validation"}
 
 
+# ---------------------------------------------------------------- operators on their own
+
+@query("prices_wide")
+def q_prices_wide(spark, sf_dir):
+    """A wide CSV of closes (a column per series), read back
+    long and united with the bars."""
+    path = _scratch(spark, "wide")
+    wide = st.sparse_prices(spark, sf_dir).groupBy(F.col("date").alias("Date")).pivot("name").agg(F.first("close"))
+    tb.write_table(wide, path, "csv")
+    r = fd.union_series([fd.read_prices_wide(spark, path), st.bars(spark, sf_dir).select("name", "date", "close")])
+    return rounded(r.select("name", iso(F.col("date")).alias("date"), "close"), {"close"})
+
+
+@query("sector_dimension")
+def q_sector_dimension(spark, sf_dir):
+    """The nested dimension flattened, written as CSV, read back."""
+    dim = st.nation_dim(spark, sf_dir)
+    nested = dim.groupBy(F.nullif("sector", F.lit("ASIA")).alias("sector")) \
+        .agg(F.map_from_entries(F.collect_list(F.struct("ticker", "name"))).alias("m")) \
+        .select(F.map_from_entries(F.array(F.struct(F.coalesce("sector", F.lit("Index")), "m"))).alias("nested"))
+    path = _scratch(spark, "dimension")
+    tb.write_table(vw.flatten_dim(nested, "nested"), path, "csv")
+    return fd.read_sector_map(spark, path)
+
+
+@query("evolved_labels")
+def q_evolved(spark, sf_dir):
+    """Missing columns added with their defaults, present ones kept."""
+    return tb.ensure_columns(st.table(spark, sf_dir, "labels"),
+                             {"toxic": ("int", 9), "reviewed": ("boolean", False), "note": ("string", None)})
+
+
+@query("labeling_template")
+def q_template(spark, sf_dir):
+    """The columns that a labeller fills."""
+    t = tb.labeling_template(_news(spark, sf_dir))
+    return t.withColumn("published_at", iso(F.col("published_at")))
+
+
+@query("renamed_prices")
+def q_renamed(spark, sf_dir):
+    """Display names by the dimension, the key where it has none."""
+    b = st.bars(spark, sf_dir).select(F.when(F.col("name") == "error", "unknown").otherwise(F.col("name")).alias("name"),
+                                      "date", "close")
+    m = literal_table(spark, st.TICKER_SERIES[:5], "ticker string, series string")
+    r = vw.rename_by_map(b, "name", m, "series", "ticker", "display")
+    return rounded(r.select("name", "display", iso(F.col("date")).alias("date"), "close"), {"close"})
+
+
+@query("complete_dates")
+def q_complete(spark, sf_dir):
+    """Closes of the days on which every series has one; a third of the
+    clicks' days are taken out first."""
+    b = st.bars(spark, sf_dir).where(~((F.col("name") == "click") & (F.dayofmonth("date") % 3 == 0)))
+    r = ser.complete_dates(b, "name", "date", "close")
+    return rounded(r.select("name", iso(F.col("date")).alias("date"), "close"), {"close"})
+
+
+@query("clean_labels")
+def q_clean_labels(spark, sf_dir):
+    """Labels trimmed and lower-cased, blank and foreign ones
+    dropped, the domain asserted."""
+    raw = _news(spark, sf_dir).select("id", F.when(F.col("id") % 5 == 0, F.lit("  ")).when(F.col("id") % 7 == 0, "other")
+                                      .otherwise(F.concat(F.lit(" "), F.upper("sentiment_label"), F.lit(" "))).alias("label"))
+    return vw.assert_domain(vw.normalize_label(raw, "label", LABEL_ORDER), "label", LABEL_ORDER)
+
+
+@query("day_fields")
+def q_day_fields(spark, sf_dir):
+    """Shifted day, day order, formatted day, normalised text, length."""
+    o = st.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", iso(cl.shift_day(F.to_date("o_orderdate"), -3)).alias("shifted"),
+                    cl.day_before("o_orderdate", F.lit("1995-06-17T10:00:00Z")).cast("int").alias("before"),
+                    cl.fmt("o_orderdate", "yyyyMM").alias("month"), cl.norm_text(F.concat(F.lit(" "), "o_orderstatus", F.lit(" "))).alias("status"),
+                    cl.text_len("o_orderpriority").cast("int").alias("n"))
+
+
+@query("latest_run")
+def q_latest_run(spark, sf_dir):
+    """The last record of a run table (the bars of one series)."""
+    r = vw.latest_run(st.bars(spark, sf_dir).where(F.col("name") == INDEX_SERIES).select("date", "close", "volume"), "date")
+    return rounded(r.withColumn("date", iso(F.col("date"))), {"close"})
+
+
+@query("weight_snapshots")
+def q_snapshots(spark, sf_dir):
+    """each entity's signal weights as one map."""
+    s = lr.adjust_weights(_signal_outcomes(spark, sf_dir), SIGNAL_KEYS, with_log=False, stored=_stored_weights(spark, sf_dir))
+    m = lr.snapshot_map(s.withColumn("current_weight", F.round("current_weight", 6)), ["name"], "signal", "current_weight")
+    return m.select("name", F.size("snapshot").alias("n_signals"), F.col("snapshot")["stock_momentum"].alias("stock_momentum"))
+
+
+@query("feed_failures")
+def q_feed_failures(spark, sf_dir):
+    """Feed files per topic and the topics with a malformed one."""
+    path = _scratch(spark, "feed-bad")
+    news = _news(spark, sf_dir).select("topic", "headline", "source", "published_at", F.lit(None).cast("string").alias("url"),
+                                       F.lit(None).cast("string").alias("description"))
+    feed = fd.to_feed(news)
+    good = feed.select("topic", F.to_json(F.struct("articles")).alias("line"))
+    bad = feed.where(F.col("topic").isin("de", "fr")).select("topic", F.lit('{"articles": [').alias("line")).distinct()
+    good.unionByName(bad).write.partitionBy("topic").text(path)
+    return fd.topic_counts(fd.read_feed(spark, path, multi_line=False))
+
+
+from tidings.functions import columns as cl  # noqa: E402
 from tidings.operators import cycle as cy  # noqa: E402
 
 NO_ORACLE = NO_ORACLE | {"retrain_cycle", "prediction_log"}

@@ -883,3 +883,62 @@ ORACLE["event_props"] = """
 SELECT event_type, round(avg(CAST(json_extract(props, '$.k') AS INTEGER)), 6) AS mean_k,
        max(CAST(json_extract(props, '$.k') AS INTEGER)) AS max_k, count(*) AS n
 FROM events GROUP BY event_type"""
+
+
+ORACLE["stream_dedup_watermark"] = ORACLE["stream_ingest"]
+ORACLE["stream_outcomes"] = ORACLE["resolved_outcomes"]
+ORACLE["stream_source_credibility"] = ORACLE["source_credibility"]
+ORACLE["stream_retrain_check"] = ORACLE["retrain_trigger"]
+
+ORACLE["stream_routed"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED) + """,
+f AS (SELECT arg_min(id, (published_at, source, topic, sentiment_confidence)) AS id FROM labeled WHERE length(body) > 0 GROUP BY body)
+SELECT sha256(r.headline) AS text_sha256, r.source, r.ticker, r.sector, r.matched_via
+FROM routed r JOIN f ON r.article_id = f.id"""
+
+# ---------------------------------------------------------------- operators on their own
+ORACLE["prices_wide"] = with_(SPARSE_PRICES, BARS) + """
+SELECT name, CAST(date AS VARCHAR) AS date, round(close, 6) AS close FROM sparse_prices WHERE close IS NOT NULL
+UNION ALL SELECT name, CAST(date AS VARCHAR), round(close, 6) FROM bars"""
+
+ORACLE["sector_dimension"] = with_(NATION_DIM) + """
+SELECT ticker, name, CASE WHEN sector = 'ASIA' THEN 'Index' ELSE sector END AS sector FROM nation_dim"""
+
+ORACLE["evolved_labels"] = """
+SELECT doc_id, quality, toxic, false AS reviewed, CAST(NULL AS VARCHAR) AS note FROM labels"""
+
+ORACLE["labeling_template"] = with_(NEWS) + """
+SELECT headline, source, topic, strftime(published_at, '%Y-%m-%d') AS published_at, '' AS sentiment_label FROM news"""
+
+ORACLE["renamed_prices"] = with_(BARS) + """,
+m(series, ticker) AS (VALUES """ + ", ".join(f"({sql_str(s)}, {sql_str(t)})" for t, s in TICKER_SERIES[:5]) + """),
+b AS (SELECT CASE WHEN name = 'error' THEN 'unknown' ELSE name END AS name, date, close FROM bars)
+SELECT b.name, coalesce(m.ticker, b.name) AS display, CAST(b.date AS VARCHAR) AS date, round(b.close, 6) AS close
+FROM b LEFT JOIN m ON b.name = m.series"""
+
+ORACLE["complete_dates"] = with_(BARS) + """,
+b AS (SELECT name, date, close FROM bars WHERE NOT (name = 'click' AND day(date) % 3 = 0))
+SELECT name, CAST(date AS VARCHAR) AS date, round(close, 6) AS close FROM b
+WHERE date IN (SELECT date FROM b WHERE close IS NOT NULL GROUP BY date
+               HAVING count(DISTINCT name) = (SELECT count(DISTINCT name) FROM b))"""
+
+ORACLE["clean_labels"] = with_(NEWS) + """
+SELECT id, sentiment_label AS label FROM news WHERE id % 5 <> 0 AND id % 7 <> 0 AND sentiment_label IS NOT NULL"""
+
+ORACLE["day_fields"] = """
+SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) - 3 AS VARCHAR) AS shifted,
+       CAST(CAST(o_orderdate AS DATE) < DATE '1995-06-17' AS INTEGER) AS before,
+       strftime(o_orderdate, '%Y%m') AS month, lower(o_orderstatus) AS status, CAST(length(o_orderpriority) AS INTEGER) AS n
+FROM orders"""
+
+ORACLE["latest_run"] = with_(BARS) + """
+SELECT CAST(date AS VARCHAR) AS date, round(close, 6) AS close, volume FROM bars WHERE name = 'view' ORDER BY bars.date DESC LIMIT 1"""
+
+ORACLE["weight_snapshots"] = _LEARN_HEAD + """,
+f AS (SELECT name, signal, w FROM st WHERE (name, signal, k) IN (SELECT name, signal, max(k) FROM st GROUP BY 1, 2))
+SELECT name, CAST(count(*) AS INTEGER) AS n_signals, round(max(w) FILTER (WHERE signal = 'stock_momentum'), 6) AS stock_momentum
+FROM f GROUP BY name"""
+
+ORACLE["feed_failures"] = with_(NEWS) + """
+SELECT topic, CAST(count(*) AS BIGINT) AS n_articles, CAST(CASE WHEN topic IN ('de', 'fr') THEN 1 ELSE 0 END AS BIGINT) AS n_malformed,
+       CASE WHEN topic IN ('de', 'fr') THEN 1 ELSE 0 END AS failed
+FROM news GROUP BY topic"""

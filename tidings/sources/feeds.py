@@ -35,6 +35,14 @@ def failed_files(feed: DataFrame) -> DataFrame:
     return feed.where(F.col("_corrupt_record").isNotNull()).select("_file").distinct()
 
 
+def topic_counts(feed: DataFrame, topic_col: str = "topic") -> DataFrame:
+    """Per topic its articles, malformed records and whether it failed."""
+    broken = F.col("_corrupt_record").isNotNull()
+    return feed.groupBy(F.col(topic_col).alias("topic")).agg(
+        F.coalesce(F.sum(F.when(~broken, F.coalesce(F.size("articles"), F.lit(0)))), F.lit(0)).alias("n_articles"),
+        F.count_if(broken).alias("n_malformed"), F.max(broken.cast("int")).alias("failed"))
+
+
 def flatten_articles(feed: DataFrame, topic_col: str = "topic") -> DataFrame:
     """One row per article; absent or NULL title/url/description/
     publishedAt become "", absent or NULL source name becomes "Unknown"."""

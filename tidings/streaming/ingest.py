@@ -1,10 +1,11 @@
 """Structured Streaming jobs.
 
-The reference polls feeds hourly over an overlapping window and keeps a
-headline only once. Here a file stream reads feed folders; each micro-batch
-is de-duplicated against everything already stored (exact "ever seen", by
-anti-join against the sink) and, for a bounded-state alternative,
-``dropDuplicatesWithinWatermark`` keeps only keys of the last ``delay``.
+Feeds are polled hourly over an overlapping window and a headline is kept
+only once. A file stream reads feed folders; each micro-batch is
+de-duplicated against everything already stored (exact "ever seen", by
+anti-join against the digests of stored keys) and, for a bounded-state
+alternative, ``dropDuplicatesWithinWatermark`` keeps only keys of the last
+``delay``.
 Per-row enrichment (rules, routing) runs inside ``foreachBatch`` where
 batch operators (windows, joins) are available.
 """
@@ -19,8 +20,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidings.functions.columns import sentiment_sign
+from tidings.operators.learning import (adjust_weights, drift_since, last_n_accuracy, resolve_outcomes, retrain_trigger,
+                                        source_credibility)
+from tidings.operators.routing import labeled_news, route
+from tidings.operators.text import apply_label_rules
 from tidings.sources.feeds import FEED_SCHEMA, flatten_articles
-from tidings.sources.tables import append_new
+from tidings.sources.tables import first_by_key
 
 LATENESS = "2 days"
 
@@ -49,30 +54,70 @@ def trigger_kwargs(once: bool, every: str = "1 hour") -> dict:
     return {"availableNow": True} if once else {"processingTime": every}
 
 
+def _batch_folder(path: str, epoch: int) -> str:
+    return f"{path}/batch={epoch}"
+
+
+def start_folder(spark: SparkSession, path: str, schema) -> None:
+    """An empty Parquet folder, so that the first batch reads it like any
+    other and every read error is a real one."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(_batch_folder(path, -1))
+
+
+def stored_batches(spark: SparkSession, path: str, schema, before: int | None = None) -> DataFrame:
+    """The rows that the batches before ``before`` have stored under ``path``
+    (all batches without it), with their ``batch``. A batch that is run again
+    does not see itself, and overwrites its own folder: nothing is lost or
+    repeated when a job fails between its writes."""
+    fields = T.StructType(list(schema.fields) + [T.StructField("batch", T.LongType())])
+    rows = spark.read.schema(fields).parquet(path)
+    return rows if before is None else rows.where(F.col("batch") < before)
+
+
+def store_batch(df: DataFrame, path: str, epoch: int) -> None:
+    df.write.mode("overwrite").parquet(_batch_folder(path, epoch))
+
+
+KEY_SCHEMA = T.StructType([T.StructField("digest", T.StringType())])
+
+
 def append_batches(stream: DataFrame, sink: str, key: str, order: list[str], checkpoint: str,
                    once: bool = True, enrich: Callable[[DataFrame], DataFrame] | None = None,
                    every: str = "1 hour") -> StreamingQuery:
     """R2 (exact) + R5: each micro-batch keeps the first row per key
-    (``order``) whose key is not in the sink yet, optionally enriches it
-    (rules, routing) and appends it. The sink is a Parquet folder; the
-    checkpoint makes a restarted job resume after the last committed
-    batch."""
+    (``order``) whose key was never stored, optionally enriches it (score,
+    rules, routing) and appends it. ``sink`` is a Parquet folder with one
+    sub-folder per batch; the SHA-256 of every stored key is kept beside it,
+    so a batch is compared with digests, not with the stored texts. The
+    checkpoint makes a restarted job resume after the last committed batch."""
     spark = stream.sparkSession
+    keys = f"{sink}-keys"
+    start_folder(spark, keys, KEY_SCHEMA)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        try:
-            stored = spark.read.parquet(sink).select(key)
-        except Exception:  # noqa: BLE001 - first batch: no sink yet
-            stored = spark.createDataFrame([], batch.select(key).schema)
-        new = append_new(stored, batch, key, order)
-        if enrich is not None:
-            new = enrich(new)
-        new.write.mode("append").parquet(sink)
+        digested = batch.withColumn("digest", F.sha2(F.col(key), 256))
+        seen = stored_batches(spark, keys, KEY_SCHEMA, epoch)
+        valid = digested.where(F.col(key).isNotNull() & (F.length(F.col(key)) > 0))
+        new = first_by_key(valid, ["digest"], order).join(seen, "digest", "left_anti")
+        store_batch(new.select("digest"), keys, epoch)
+        rows = new.select(*batch.columns)
+        store_batch(rows if enrich is None else enrich(rows), sink, epoch)
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**trigger_kwargs(once, every)).start())
 
 
+def enrich_chain(dim: DataFrame, topic_map: DataFrame, index_ticker: str, text: str = "headline",
+                 score: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Score, correct by the label rules, route. ``score`` adds
+    sentiment_label and sentiment_confidence (rows that have them need none);
+    rows without a label are not routed."""
+    def run(rows: DataFrame) -> DataFrame:
+        labelled = apply_label_rules(rows if score is None else score(rows), text=text)
+        return route(labeled_news(labelled), dim, topic_map, index_ticker, "article_id", text)
+    return run
+
+
 def daily_sentiment_stream(stream: DataFrame, key: str = "ticker", ts: str = "published_ts",
                            delay: str = LATENESS) -> DataFrame:
     """Tumbling one-day windows per key with a lateness bound: counts,
@@ -87,20 +132,82 @@ def daily_sentiment_stream(stream: DataFrame, key: str = "ticker", ts: str = "pu
         F.avg("sentiment_confidence").alias("avg_confidence"), F.avg("_w").alias("net_sentiment"))
 
 
-def to_table_each_batch(stream: DataFrame, sink: str, checkpoint: str, mode: str = "complete",
-                        once: bool = True, every: str = "1 hour") -> StreamingQuery:
-    """Write an aggregated stream: every micro-batch replaces the sink with
-    the current result (complete mode) or appends the finished rows."""
+def upsert_each_batch(stream: DataFrame, sink: str, checkpoint: str, once: bool = True,
+                      every: str = "1 hour") -> StreamingQuery:
+    """Store what a micro-batch has changed (update mode, so the watermark
+    can drop finished windows from the state); ``latest_rows`` reads the last
+    version of each key."""
+    return (stream.writeStream.outputMode("update").foreachBatch(lambda b, e: store_batch(b, sink, e))
+            .option("checkpointLocation", checkpoint).trigger(**trigger_kwargs(once, every)).start())
+
+
+def latest_rows(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
+    """The last stored version of each key."""
+    rows = spark.read.parquet(sink)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
+
+
+def resolve_job(returns: DataFrame, log: DataFrame, sink: str, checkpoint: str, resolved: DataFrame | None = None,
+                once: bool = True, every: str = "1 day") -> StreamingQuery:
+    """Whenever actual returns (news_date, actual_pct_change) arrive,
+    resolve the logged predictions that have no outcome yet, neither in
+    ``resolved`` nor in an earlier batch, and append their outcomes."""
+    spark = returns.sparkSession
+    schema = resolve_outcomes(log, log.select("date").limit(0), log.select(
+        "news_date", F.lit(0.0).alias("actual_pct_change"))).schema
+    start_folder(spark, sink, schema)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        known = stored_batches(spark, sink, schema, epoch).select("date")
+        if resolved is not None:
+            known = known.unionByName(resolved.select("date"))
+        store_batch(resolve_outcomes(log, known, batch), sink, epoch)
+
+    return (returns.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**trigger_kwargs(once, every)).start())
+
+
+def history_job(outcomes: DataFrame, compute: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str,
+                once: bool = True, every: str = "1 day") -> StreamingQuery:
+    """Store each micro-batch of outcomes and recompute a table from all
+    outcomes so far; ``latest_batch`` reads the newest table. Outcomes are
+    one a day, so the history is bounded by the calendar."""
+    spark, schema, history = outcomes.sparkSession, outcomes.schema, f"{sink}-history"
+    start_folder(spark, history, schema)
+
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(sink)
+        store_batch(batch, history, epoch)
+        store_batch(compute(stored_batches(spark, history, schema, epoch + 1).drop("batch")), sink, epoch)
 
-    return (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (outcomes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**trigger_kwargs(once, every)).start())
 
 
+def latest_batch(spark: SparkSession, sink: str) -> DataFrame:
+    rows = spark.read.parquet(sink)
+    return rows.where(F.col("batch") == rows.agg(F.max("batch")).scalar()).drop("batch")
+
+
+def credibility_job(outcomes: DataFrame, routed: DataFrame, index_ticker: str, sink: str, checkpoint: str,
+                    **options) -> StreamingQuery:
+    """Source credibility after each batch of outcomes."""
+    return history_job(outcomes, lambda o: source_credibility(o, routed, index_ticker), sink, checkpoint, **options)
+
+
+def retrain_job(outcomes: DataFrame, labeled_count: DataFrame, last_retrain, sink: str, checkpoint: str,
+                last_count: int = 0, **options) -> StreamingQuery:
+    """The retrain check after each batch of outcomes."""
+    def check(o: DataFrame) -> DataFrame:
+        state = adjust_weights(o.withColumnRenamed("judged_signal", "signal"), ["signal"])
+        drift = drift_since(state, ["signal"], last_retrain) \
+            .withColumn("last_retrain_headline_count", F.lit(last_count).cast("long"))
+        return retrain_trigger(drift, labeled_count, last_n_accuracy(o))
+    return history_job(outcomes, check, sink, checkpoint, **options)
+
+
 def on_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, once: bool = True,
                   every: str = "1 hour", mode: str = "append") -> StreamingQuery:
-    """Run a batch function on every micro-batch (resolve new
-    outcomes, update credibility, check the retrain trigger)."""
+    """Run a batch function on every micro-batch."""
     return (stream.writeStream.outputMode(mode).foreachBatch(fn).option("checkpointLocation", checkpoint)
             .trigger(**trigger_kwargs(once, every)).start())
