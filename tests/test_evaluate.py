@@ -2,7 +2,7 @@ import datetime as dt
 
 from tidings.operators import evaluate as ev
 
-# Golden confusion matrix of the reference's published 46 test predictions
+# Golden confusion matrix of 46 published test predictions
 # (rows actual, columns predicted: DOWN, FLAT, UP).
 GOLDEN = {"DOWN": (5, 4, 8), "FLAT": (4, 6, 4), "UP": (5, 1, 9)}
 

@@ -16,7 +16,7 @@ __all__ = [
     "fill_once", "round6", "direction_index",
 ]
 
-# Fixed values that define results (same as the reference).
+# Fixed values that define results.
 FLAT_THRESHOLD = 0.3  # |return| <= 0.3 % is FLAT (inclusive)
 SENTIMENT_SIGNS = {"positive": 1, "negative": -1, "neutral": 0}
 LABELS = ("positive", "negative", "neutral")
@@ -133,7 +133,7 @@ def round6(c) -> Column:
 
 
 def direction_index(c) -> Column:
-    """DOWN 0, FLAT 1, UP 2 (alphabetical, as the reference encodes)."""
+    """DOWN 0, FLAT 1, UP 2 (alphabetical)."""
     c = col_of(c)
     return F.when(c == "DOWN", 0.0).when(c == "FLAT", 1.0).when(c == "UP", 2.0)
 

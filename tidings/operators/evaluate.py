@@ -149,6 +149,21 @@ def fold_summary(per_fold: DataFrame, score: str = "accuracy") -> DataFrame:
                         F.count(F.lit(1)).alias("n_folds"))
 
 
+def split_guard(parts: DataFrame, label: str, min_rows: int = MIN_ROWS) -> DataFrame:
+    """M14 on a time split (``part``): one row (ok, reason, rows, train, test,
+    classes): enough labelled rows, a test slice, at least two classes in the
+    train slice. Live models pass ``LIVE_MIN_ROWS``."""
+    known = F.col(label).isNotNull()
+    a = parts.where(known).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("part") == "train").alias("train"),
+                               F.count_if(F.col("part") == "test").alias("test"),
+                               F.count_distinct(F.when(F.col("part") == "train", F.col(label))).alias("classes"))
+    reason = (F.when(F.col("rows") < min_rows, F.concat(F.lit("only "), F.col("rows").cast("string"),
+                                                         F.lit(f" labelled rows (< {min_rows})")))
+              .when(F.col("test") == 0, F.lit("empty test slice"))
+              .when(F.col("classes") < 2, F.lit("fewer than 2 classes in the train slice")))
+    return a.select(reason.isNull().cast("int").alias("ok"), reason.alias("reason"), "rows", "train", "test", "classes")
+
+
 def training_guard(df: DataFrame, label: str, min_rows: int = MIN_ROWS) -> DataFrame:
     """One row (ok, reason): at least ``min_rows`` labelled rows and at
     least two classes."""

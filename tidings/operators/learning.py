@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions.columns import clamp, label_from_return
+from tidings.sources.tables import upsert
 
-# Fixed values of the reference.
+# Fixed values of the learning rules.
 MIN_WEIGHT, MAX_WEIGHT, DEFAULT_WEIGHT = 0.2, 2.0, 1.0
 DECAY_STREAK, RESTORE_STREAK = 3, 2
 ADJUSTMENT_EVERY, ADJUSTMENT_STEP = 5, 0.10
@@ -101,7 +102,7 @@ def _entry(date, reason, before, after, decay, kind) -> Column:
 
 
 def _step(s: Column, x: Column, with_log: bool = True) -> Column:
-    """One outcome applied to the state (the reference's order of checks).
+    """One outcome applied to the state.
     Without ``with_log`` the change log stays empty (cheaper state)."""
     ok = x["correct"] == 1
     lo, hi = MIN_WEIGHT, MAX_WEIGHT
@@ -301,9 +302,11 @@ FORWARD_RULE_SCHEMA = ("signal_type string, series string, op string, threshold
 
 def forward_signals(changes: DataFrame, rules: DataFrame, dim: DataFrame, topic_rows: DataFrame | None = None,
                     topic_sector: str | None = None, topic_signal: str = "rbi_news",
-                    topic_confidence: float = 0.6) -> DataFrame:
+                    topic_confidence: float = 0.6, date=None) -> DataFrame:
     """Fired rules -> one row per member of each target sector (J21); a
-    sector without members yields one row with a NULL stock.
+    sector without members yields one row with a NULL stock. ``date`` (a
+    column or value, the day that the signals are for) becomes a column, the
+    first part of the key of ``upsert_signals``.
 
     ``changes``: (series, change_pct) latest change per series (W6);
     ``rules``: FORWARD_RULE_SCHEMA rows, op in ('>', '<', 'abs>'),
@@ -329,8 +332,18 @@ def forward_signals(changes: DataFrame, rules: DataFrame, dim: DataFrame, topic_
             F.lit("topic news on the last price date").alias("reasoning"))
         fired = fired.unionByName(t)
     members = dim.select("sector", F.col("ticker").alias("stock"))
-    return fired.join(members, "sector", "left").select("sector", "stock", "signal_type", "reasoning",
-                                                        "source_headline", "confidence")
+    return fired.join(members, "sector", "left").select(
+        F.lit(date).cast("date").alias("date"), "sector", "stock", "signal_type", "reasoning", "source_headline", "confidence")
+
+
+SIGNAL_KEY = ["date", "sector", "stock", "signal_type"]
+
+
+def upsert_signals(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """The watch list with ``new`` rows replacing those of the same date,
+    sector, stock (NULL included) and signal type."""
+    return upsert(stored.withColumn("_version", F.lit(0)), new.withColumn("_version", F.lit(1)), SIGNAL_KEY, "_version") \
+        .drop("_version")
 
 
 def snapshot_map(df: DataFrame, keys: list[str], k: str, v: str) -> DataFrame:

@@ -15,18 +15,20 @@ from pyspark.ml.feature import (HashingTF, IDF, RegexTokenizer, StandardScaler,
                                 VectorAssembler, ElementwiseProduct)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.functions.columns import DIRECTIONS, direction_index
 from tidings.operators.learning import DEFAULT_WEIGHT, SIGNAL_FEATURES
+from tidings.session import literal_table
 
+# The feature columns, in order.
 FEATURE_COLS = ["n_headlines", "pct_positive", "pct_negative", "pct_neutral", "avg_confidence", "net_sentiment",
                 "prior_1d_return", "prior_3d_return", "market_net_sentiment", "day_of_week",
                 "nifty_market_prior_1d_return", "sp500_prior_1d_return", "crude_oil_prior_1d_return",
                 "usdinr_prior_1d_return", "india_vix_prior_1d_return"]
 
-# Boosted-tree hyper-parameters of the reference.
+# Boosted-tree hyper-parameters.
 GBT_PARAMS = dict(maxIter=150, maxDepth=3, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
 
 
@@ -125,15 +127,24 @@ def feature_importance(model: PipelineModel, feature_cols=FEATURE_COLS) -> list[
     return sorted(zip(names, acc), key=lambda t: (-t[1], t[0]))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Persist (metadata goes to a one-row table next to it)."""
+def save_model(model: PipelineModel, path: str, metadata: dict[str, object] | None = None) -> None:
+    """Persist the model, and its metadata as a one-row table of text
+    values beside it."""
     model.write().overwrite().save(path)
+    rows = literal_table(SparkSession.getActiveSession(), [(k, None if v is None else str(v)) for k, v in
+                                                           sorted((metadata or {}).items())], "key string, value string")
+    rows.agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("metadata")) \
+        .coalesce(1).write.mode("overwrite").parquet(f"{path}-metadata")
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_metadata(path: str) -> dict[str, str]:
+    return SparkSession.getActiveSession().read.parquet(f"{path}-metadata").first()["metadata"] or {}
+
+
 # ---------------------------------------------------------------- text classifier (M1-M4)
 
 def text_pipeline(text: str = "text", label_idx: str = "label_idx", weight: str | None = "weight",

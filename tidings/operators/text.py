@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions.columns import col_of, fill_once, word_pattern
 
-# The rule vocabulary of the reference, as regex alternations
+# The rule vocabulary, as regex alternations
 # matched as whole words, case-insensitively.
 RULE_PATTERNS = {
     "rate": r"RBI|Fed|Federal Reserve|repo rate|interest rate|rate",

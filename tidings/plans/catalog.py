@@ -488,18 +488,28 @@ FORWARD_RULES = [
 WATCH_TOPIC, WATCH_SECTOR = "de", "Gamma"
 
 
-@query("forward_signals")
-def q_forward(spark, sf_dir):
-    """Watch-list rows from the latest moves of the market series and
-    the watched topic's headlines on the last price date."""
-    bars = st.market_prices(spark, sf_dir)
+def _forward(spark, sf_dir, bars):
+    """The watch list as of the last day of ``bars``, for the day after."""
     ch = ser.latest_change(bars).select(F.col("name").alias("series"), "change_pct", "last_date")
     rules = spark.createDataFrame(FORWARD_RULES, lr.FORWARD_RULE_SCHEMA)
     last_day = bars.agg(F.max("date").alias("d"))
     topic = rt.labeled_news(_news(spark, sf_dir)).where(F.col("topic") == WATCH_TOPIC) \
-        .withColumn("d", F.to_date("published_at")).join(last_day, "d", "left_semi").select("headline", "id")
-    f = lr.forward_signals(ch, rules, st.entity_dim(spark), topic.select("headline"), WATCH_SECTOR)
-    return rounded(f, {"confidence"})
+        .withColumn("d", F.to_date("published_at")).join(last_day, "d", "left_semi").select("headline")
+    f = lr.forward_signals(ch, rules, st.entity_dim(spark), topic, WATCH_SECTOR)
+    return f.withColumn("date", F.date_add(last_day.select("d").scalar(), 1))
+
+
+@query("forward_signals")
+def q_forward(spark, sf_dir):
+    """Watch-list rows from the latest moves of the market series and the
+    watched topic's headlines on the last price date, upserted into those of
+    a week before; that day's are computed again and replace themselves."""
+    bars = st.market_prices(spark, sf_dir)
+    week = F.date_sub(bars.agg(F.max("date")).scalar(), 7)
+    before = _forward(spark, sf_dir, bars.where(F.col("date") <= week))
+    stored = lr.upsert_signals(before.withColumn("confidence", F.lit(0.0)), before)
+    f = lr.upsert_signals(stored, _forward(spark, sf_dir, bars))
+    return rounded(f.withColumn("date", iso(F.col("date"))), {"confidence"})
 
 
 # ---------------------------------------------------------------- similarity
@@ -960,9 +970,10 @@ def q_roundtrip(spark, sf_dir):
     ds = _model_input(spark, sf_dir).where(F.col("label").isNotNull())
     m = md.train_weighted(ds)
     path = _scratch(spark, "model")
-    md.save_model(m, path)
-    m2 = md.load_model(path)
-    return md.predict(m2, ds).groupBy("label", "predicted_label").agg(F.count(F.lit(1)).alias("n"))
+    md.save_model(m, path, {"trained_rows": ds.count(), "features": len(md.FEATURE_COLS)})
+    m2, meta = md.load_model(path), md.load_metadata(path)
+    return md.predict(m2, ds).groupBy("label", "predicted_label").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("trained_rows", F.lit(int(meta["trained_rows"])).cast("long"))
 
 
 @query("influential_headlines")
@@ -1112,24 +1123,40 @@ NO_ORACLE = NO_ORACLE | {"retrain_cycle", "prediction_log"}
 
 @query("retrain_cycle")
 def q_retrain_cycle(spark, sf_dir):
-    """Retrain on the labelled feature rows with the signal weights of
-    the weight fold (one per signal, 1.0 when unseen), history row out."""
+    """Retrain on the labelled feature rows with the learned signal
+    weights, history row out."""
     ds = _model_input(spark, sf_dir).where(F.col("label").isNotNull())
-    _, hist = cy.retrain(spark, ds, {s: 1.0 for s in lr.SIGNAL_FEATURES}, "50 new labeled headlines", None,
-                         "2024-02-01T00:00:00")
-    return hist.select("at", "trigger", "old_accuracy", F.round("new_accuracy", 6).alias("new_accuracy"), "n_rows")
+    weights = cy.learned_weights(lr.adjust_weights(_signal_outcomes(spark, sf_dir), SIGNAL_KEYS, with_log=False))
+    _, hist = cy.retrain(spark, ds, weights, "50 new labeled headlines", "2024-02-01T00:00:00")
+    return hist.select("at", "trigger", F.round("old_accuracy", 6).alias("old_accuracy"),
+                       F.round("new_accuracy", 6).alias("new_accuracy"), "n_rows", "reason",
+                       F.round(F.col("signal_weights")["stock_momentum"], 6).alias("stock_momentum"))
 
 
-@query("prediction_log")
-def q_prediction_log(spark, sf_dir):
-    """The explained prediction of the index entity's latest
-    unresolved day."""
+def _log_row(spark, sf_dir):
     ds = _model_input(spark, sf_dir)
     m = md.train_weighted(ds.where(F.col("label").isNotNull()))
-    routed = _routed(spark, sf_dir).join(_news(spark, sf_dir).select(F.col("id").alias("article_id"), "body"),
-                                         "article_id")
-    log = cy.predict_and_explain(ds, m, st.INDEX_TICKER, routed)
+    prices = st.entity_prices(spark, sf_dir).where(F.col("name") == st.INDEX_NAME)
+    outcomes = asof.session_returns(prices.select("name", "date"), prices)
+    weights = lr.adjust_weights(_index_outcomes(spark, sf_dir).withColumnRenamed("judged_signal", "signal"), ["signal"],
+                                with_log=False)
+    return cy.predict_and_explain(ds, m, st.INDEX_TICKER, _routed(spark, sf_dir), _news(spark, sf_dir), outcomes, weights)
+
+
+@query("prediction_log")
+def q_prediction_log(spark, sf_dir):
+    """The explained prediction of the index entity's latest unresolved
+    day, upserted into a log that holds an older version of it."""
+    row = written(_log_row(spark, sf_dir), "prediction-row")
+    log = cy.upsert_log(row.withColumn("prediction", F.lit("none")), row)
     return log.select("ticker", iso(F.col("news_date")).alias("news_date"), "prediction", "confidence",
                       F.to_json("top_signals").alias("top_signals"),
                       F.to_json("influential_headlines").alias("influential_headlines"),
-                      F.to_json("similar_past_events").alias("similar_past_events"))
+                      F.to_json("similar_past_events").alias("similar_past_events"),
+                      F.to_json("signal_weights").alias("signal_weights"))
+
+
+@query("split_guard")
+def q_split_guard(spark, sf_dir):
+    """The guard of the time split before training."""
+    return ev.split_guard(ev.time_split(_dataset(spark, sf_dir).where(F.col("label").isNotNull()), "date"), "label")

@@ -683,24 +683,25 @@ FWD = "rules(signal_type, series, op, threshold, sector, divisor) AS (VALUES " +
     f"('{t}', '{s}', '{o}', {th}, '{sec}', {d})" for t, s, o, th, secs, d in _FWD_RULES for sec in secs) + ")"
 
 ORACLE["forward_signals"] = with_(NEWS, BARS, DICT, FWD) + """,
-lc AS (
-  SELECT name AS series, arg_max(close, date) AS last_v,
-         arg_max(close, date) FILTER (WHERE date < (SELECT max(date) FROM bars b2 WHERE b2.name = bars.name)) AS prev_v
-  FROM bars WHERE close IS NOT NULL GROUP BY name),
-ch AS (SELECT series, CASE WHEN prev_v <> 0 THEN (last_v / prev_v - 1) * 100 END AS change_pct FROM lc),
+asofs AS (SELECT max(date) AS d FROM bars UNION SELECT max(date) - 7 FROM bars),
+b AS (SELECT a.d AS upto, bars.*, row_number() OVER (PARTITION BY a.d, name ORDER BY date DESC) AS k
+      FROM bars JOIN asofs a ON bars.date <= a.d WHERE close IS NOT NULL),
+lastd AS (SELECT upto, max(date) AS last_day FROM b GROUP BY upto),
+ch AS (SELECT x.upto, x.name AS series, CASE WHEN y.close <> 0 THEN (x.close / y.close - 1) * 100 END AS change_pct
+       FROM b x LEFT JOIN b y ON x.upto = y.upto AND x.name = y.name AND y.k = 2 WHERE x.k = 1),
 fired AS (
-  SELECT r.signal_type, r.sector, least(abs(ch.change_pct) / r.divisor, 1.0) AS confidence,
+  SELECT ch.upto, r.signal_type, r.sector, least(abs(ch.change_pct) / r.divisor, 1.0) AS confidence,
          NULL AS source_headline, printf('%s moved %+.2f%%', ch.series, ch.change_pct) AS reasoning
   FROM rules r JOIN ch ON r.series = ch.series
   WHERE (r.op = '>' AND ch.change_pct > r.threshold) OR (r.op = '<' AND ch.change_pct < r.threshold)
      OR (r.op = 'abs>' AND abs(ch.change_pct) > r.threshold)
   UNION ALL
-  SELECT 'rbi_news', 'Gamma', 0.6, min(headline), 'topic news on the last price date'
-  FROM news WHERE sentiment_label IS NOT NULL AND topic = 'de'
-    AND CAST(published_at AS DATE) = (SELECT max(date) FROM bars)
-  HAVING count(*) > 0)
-SELECT f.sector, d.ticker AS stock, f.signal_type, f.reasoning, f.source_headline, round(f.confidence, 6) AS confidence
-FROM fired f LEFT JOIN dict d ON d.sector = f.sector"""
+  SELECT l.upto, 'rbi_news', 'Gamma', 0.6, min(headline), 'topic news on the last price date'
+  FROM news JOIN lastd l ON CAST(published_at AS DATE) = l.last_day
+  WHERE sentiment_label IS NOT NULL AND topic = 'de' GROUP BY l.upto)
+SELECT CAST(l.last_day + 1 AS VARCHAR) AS date, f.sector, d.ticker AS stock, f.signal_type, f.reasoning, f.source_headline,
+       round(f.confidence, 6) AS confidence
+FROM fired f JOIN lastd l ON f.upto = l.upto LEFT JOIN dict d ON d.sector = f.sector"""
 
 # ---------------------------------------------------------------- similarity
 STOP = "stop(term) AS (VALUES " + ", ".join(f"({sql_str(w)})" for w in ENGLISH_STOP_WORDS) + ")"
@@ -942,3 +943,15 @@ ORACLE["feed_failures"] = with_(NEWS) + """
 SELECT topic, CAST(count(*) AS BIGINT) AS n_articles, CAST(CASE WHEN topic IN ('de', 'fr') THEN 1 ELSE 0 END AS BIGINT) AS n_malformed,
        CASE WHEN topic IN ('de', 'fr') THEN 1 ELSE 0 END AS failed
 FROM news GROUP BY topic"""
+
+ORACLE["split_guard"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED, DAILY, BARS, TSERIES, MSERIES, FEATURES) + """,
+p AS (SELECT * FROM feat WHERE label IS NOT NULL),
+dates AS (SELECT date, row_number() OVER (ORDER BY date) AS rn FROM (SELECT DISTINCT date FROM p)),
+nd AS (SELECT count(*) AS n FROM dates),
+sd AS (SELECT d.date AS split FROM dates d, nd WHERE d.rn = least(greatest(1, CAST(floor(nd.n * 0.8) AS BIGINT)) + 1, nd.n)),
+g AS (SELECT count(*) AS rows, count(*) FILTER (WHERE date < split) AS train, count(*) FILTER (WHERE date >= split) AS test,
+             count(DISTINCT CASE WHEN date < split THEN label END) AS classes FROM p, sd)
+SELECT CAST(rows >= 40 AND test > 0 AND classes >= 2 AS INTEGER) AS ok,
+       CASE WHEN rows < 40 THEN 'only ' || rows || ' labelled rows (< 40)' WHEN test = 0 THEN 'empty test slice'
+            WHEN classes < 2 THEN 'fewer than 2 classes in the train slice' END AS reason, rows, train, test, classes
+FROM g"""

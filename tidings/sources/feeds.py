@@ -1,5 +1,5 @@
 """Article feeds (S1-S7): nested JSON with an ``articles`` array, one
-folder per topic (``topic=<name>/``), flattened with the reference's
+folder per topic (``topic=<name>/``), flattened with fixed
 defaults; price files wide -> long; CSV dimensions."""
 
 from __future__ import annotations

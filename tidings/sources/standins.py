@@ -99,7 +99,7 @@ ENTITY_TERMS = [
     ("E10", "from", "Epsilon"),
     ("IDX", "market index", "Index"),
 ]
-INDEX_TICKER = "IDX"
+INDEX_TICKER, INDEX_NAME = "IDX", "market index"
 
 # Topic (language) -> sector; 'es' is deliberately unmapped.
 TOPIC_SECTORS = [("en", "Alpha"), ("fr", "Index"), ("de", "Gamma")]
@@ -110,7 +110,7 @@ TICKER_SERIES = [("E01", "click"), ("E02", "view"), ("E03", "purchase"), ("E04",
                  ("E09", "signup"), ("E10", "error"), ("IDX", "view")]
 
 # Market-wide series -> feature column (the five macro series
-# of the reference, played by the five event types).
+# played by the five event types).
 MARKET_SERIES = {
     "view": "nifty_market_prior_1d_return",
     "click": "sp500_prior_1d_return",
