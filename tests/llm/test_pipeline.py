@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from tidings.llm.vocab import BYTE_CHUNKS, Encoder, path_of
+from tidings.llm.vocab import Encoder, path_of
 from tidings.session import written
 
 SF = "/root/testdata/sf0.001"
@@ -45,7 +45,7 @@ def test_stage_columns_and_decisions(stages):
 
 def test_last_stage_packs_the_mix(stages):
     docs, _, pieces = stages[4]
-    e = Encoder(path_of("byte_bpe_50k.json"), BYTE_CHUNKS)
+    e = Encoder(path_of("byte_bpe_50k.json"), words=False)
     texts = docs.select("doc_id", "text").collect()
     ids = [x + (2).to_bytes(4, "little") for x in e.encode([r.text for r in texts])]
     got = pieces.collect()

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tidings.llm import packing, pfor, tokencount
-from tidings.llm.vocab import BYTE_CHUNKS, SPACE, WORD_CHUNKS, Encoder, path_of
+from tidings.llm.vocab import SPACE, Encoder, path_of
 
 ALPHABET = ("\t\n\x0b\x0c\r \x85\xa0  　\x1c\x1f᠎​﻿" + "   \n\n ab'sTt9ééΣσSßİहि"
             "漢字\U0001f600.,!--'")
@@ -19,9 +19,9 @@ def texts(n=4000, seed=1):
                    "word" * 5000, "tokens and words " * 3000]
 
 
-@pytest.mark.parametrize("name,chunks", [("byte_bpe_50k.json", BYTE_CHUNKS), ("word_bpe_49k.json", WORD_CHUNKS)])
-def test_memoised_ids_equal_the_library(name, chunks):
-    e = Encoder(path_of(name), chunks)
+@pytest.mark.parametrize("name,words", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_memoised_ids_equal_the_library(name, words):
+    e = Encoder(path_of(name), words)
     whole = texts() + [None]
     want = [np.array(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch([t or "" for t in whole], add_special_tokens=False)]
     assert e.encode(whole) == want
@@ -30,7 +30,7 @@ def test_memoised_ids_equal_the_library(name, chunks):
 
 
 def test_counts_equal_the_library():
-    e = Encoder(path_of("byte_bpe_50k.json"), BYTE_CHUNKS)
+    e = Encoder(path_of("byte_bpe_50k.json"), words=False)
     counter = tokencount.MergeCounter(path_of("byte_bpe_50k.json"))
     for t, ids in zip(texts(), e.encode(texts())):
         assert counter.count(t) == len(ids) // 4, repr(t)
@@ -78,7 +78,7 @@ def test_shards_give_every_document(spark):
     rows += [(7, None, 1), (7, None, 1), (None, "no id", 1), (8, "", 1), (9, "long " * 20000, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, start int").repartition(5)
     got = sorted(pfor.token_shards(df).collect(), key=lambda r: r.start)
-    e = Encoder(path_of("word_bpe_49k.json"), WORD_CHUNKS)
+    e = Encoder(path_of("word_bpe_49k.json"), words=True)
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     ids = [x + (2).to_bytes(4, "little") for x in e.encode([r[1] for r in order])]
     assert [r.doc_id for r in got] == [r[0] for r in order]
@@ -124,7 +124,7 @@ def test_packing_whole_documents(spark):
     rows += [(1, None, "x"), (None, "a b", "x"), (3, rows[3][1], "x"), (3, rows[3][1], "x"), (900, "tok " * 5000, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, piece string").repartition(4)
     got = packing.pack_documents(df, pieces_per_bucket=100).collect()
-    e = Encoder(path_of("byte_bpe_50k.json"), BYTE_CHUNKS)
+    e = Encoder(path_of("byte_bpe_50k.json"), words=False)
     want = []
     for d, t, _ in rows:
         ids = e.encode([t])[0] + (2).to_bytes(4, "little")

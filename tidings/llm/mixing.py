@@ -21,8 +21,7 @@ Only DataFrame functions. The steps:
 
 Null text has size 0. Null sources are one source. Rows with a null or a
 repeated id are separate documents. An empty table gives an empty result.
-Columns of the input beyond the named ones are carried when ``carry`` names
-them.
+``mixed_documents`` carries all columns of the input, whatever their names.
 """
 
 from __future__ import annotations
@@ -84,11 +83,11 @@ def quotas(groups: DataFrame, block_words: int) -> DataFrame:
             .select("shard", "source_no", (F.col("_first") + F.coalesce("_more", F.lit(0))).alias("quota")))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        carry: tuple[str, ...] = (), weights: tuple[int, ...] = (1, 2, 3), cap: int = 3,
-        block_words: int = 32, rows_per_shard: int = 2000, seed: str = "mix") -> DataFrame:
-    """One row per document: id, size, source_size, target (its source's),
-    taken (words the mix takes, repeats counted), and the carried columns."""
+def _taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+           carry: tuple[str, ...] = (), weights: tuple[int, ...] = (1, 2, 3), cap: int = 3,
+           block_words: int = 32, rows_per_shard: int = 2000, seed: str = "mix") -> DataFrame:
+    """One row per document: id, size, source_size, target, taken, and the
+    carried columns as _carry_0 and on."""
     held = [F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)]
     slim = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                        word_count(F.col(text_col)).alias("size"), *held)
@@ -116,15 +115,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_take") % F.col("words") - ahead))
     rounds = F.when(F.col("words") > 0, F.floor(F.col("_take") / F.col("words")) * F.col("size") + part).otherwise(0)
-    return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", rounds.cast("long").alias("taken"),
-                       *[F.col(f"_carry_{i}").alias(c) for i, c in enumerate(carry)])
+    return rows.select("id", "size", "source_size", "target", rounds.cast("long").alias("taken"),
+                       *[f"_carry_{i}" for i in range(len(carry))])
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """One row per document: id, size, source_size, target (its source's),
+    taken (words the mix takes, repeats counted). Options as for ``_taken``."""
+    return _taken(docs, id_col, **options).withColumnRenamed("id", id_col)
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The mix as documents, with the input's columns: each row once for each
-    whole time it is taken, and once more if more than half of it is taken
-    beyond that."""
-    cols = docs.columns
-    m = mix(docs, carry=tuple(c for c in cols if c != "doc_id"), **options)
-    copies = F.when(m["size"] > 0, F.floor(m["taken"] / m["size"] + 0.5)).otherwise(1)
-    return m.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).where(copies > 0).select(*cols)
+    whole time it is taken, and once more if at least half of it is taken
+    beyond that. A document without a word stays as it is."""
+    carry = [c for c in docs.columns if c != id_col]
+    m = _taken(docs, id_col, carry=tuple(carry), **options)
+    copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(1).cast("int")
+    named = {id_col: "id"} | {c: f"_carry_{i}" for i, c in enumerate(carry)}
+    return m.select("*", F.explode(F.array_repeat(F.lit(0), copies))).select(*[F.col(named[c]).alias(c) for c in docs.columns])

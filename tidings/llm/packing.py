@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.vocab import BYTE_CHUNKS, Encoder, path_of
+from tidings.llm.vocab import Encoder, path_of
 from tidings.session import written
 
 PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
@@ -89,7 +89,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder.shared(path_of(vocabulary), BYTE_CHUNKS)
+        encoder = Encoder.shared(path_of(vocabulary), words=False)
         end = end_id.to_bytes(4, "little")
         for b in batches:
             rows = []

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidings.llm.vocab import WORD_CHUNKS, Encoder, path_of
+from tidings.llm.vocab import Encoder, path_of
 from tidings.session import scratch_path, written
 
 BLOCK = 512
@@ -165,7 +165,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder.shared(path_of(vocabulary), WORD_CHUNKS)
+        encoder = Encoder.shared(path_of(vocabulary), words=True)
         end = end_id.to_bytes(4, "little")
         doc_ids, held, size, first, n_frames = [], [], 0, 0, 0
         for b in batches:

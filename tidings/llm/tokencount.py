@@ -26,19 +26,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.vocab import BYTE_CHUNKS, MEMO_CHARS, SPACE, path_of
+from tidings.llm.vocab import BYTE_CHUNKS, SPACE, byte_symbols, path_of
 
 #: Fixed value: the pre-token pattern of byte-level vocabularies.
 PRETOKENS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 MEMO_ENTRIES = 1_000_000
-
-
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in the vocabulary:
-    itself where Latin-1 prints it, else the next free one from 256 on."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    free = iter(range(256, 512))
-    return [chr(b if b in shown else next(free)) for b in range(256)]
+MEMO_CHARS = 24
 
 
 class MergeCounter:

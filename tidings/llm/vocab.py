@@ -3,28 +3,39 @@ library, memoised per white-space separated chunk.
 
 A byte-pair tokenizer never merges across a pre-token boundary, and both
 vocabularies used here always start a new pre-token where a run of white
-space begins. Texts are therefore cut there, each distinct chunk is encoded
-once per worker by the library, and the ids are put together again. Texts
-that hold a special string go to the library whole. The memo is bounded:
-long chunks are not kept, and it is emptied when full.
+space begins and between a word and the stops after it. Texts are therefore
+cut there, short pieces are encoded once per worker by the library, and the
+ids are put together again. A piece that is one plain word is one pre-token,
+so the library's model gets it directly; others take the library's whole way.
+Texts that hold a special string go to it whole. The memo is bounded: long
+pieces are not kept, and it is emptied when full.
 """
 
 from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import struct
+import sys
+from array import array
 
 #: White space as Unicode has it (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: An optional blank with the characters that follow, or white space before them.
-BYTE_CHUNKS = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+#: Latin-1 letters: all of them are letters to the vocabularies, too.
+LETTER = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
+#: A word before white space or a common stop, the stops after it, or whatever
+#: stands up to the next white space; white space itself.
+BYTE_CHUNKS = (f" ?[{LETTER}]+(?=[ \n.,;:!?]|\\Z)|[.,;:!?]+(?=[ \n]|\\Z)| ?[^{SPACE}]+"
+               f"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: For vocabularies that drop white space.
-WORD_CHUNKS = "[^ \t\n\r]+"
+WORD_CHUNKS = f"[{LETTER}]+(?=[ \t\n\r.,;:!?]|\\Z)|[.,;:!?]+(?=[ \t\n\r]|\\Z)|[^ \t\n\r]+"
+
+#: Characters that may follow a word and are no part of a contraction.
+STOPS = ".,;:!?"
 
-MEMO_ENTRIES = 400_000
-MEMO_CHARS = 48
+MEMO_ENTRIES = 1_000_000
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
+MEMO_CHARS = 16
 
 
 def path_of(name: str) -> str:
@@ -33,46 +44,108 @@ def path_of(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte in the vocabulary:
+    itself where Latin-1 prints it, else the next free one from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    free = iter(range(256, 512))
+    return [chr(b if b in shown else next(free)) for b in range(256)]
+
+
+class _Whole(Exception):
+    """A text whose white space does not allow to cut it at blanks."""
+
+
+class _Memo(dict):
+    """Ids of pieces; what is missing is computed, and kept if it is short."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.compute(piece)
+        if len(piece) <= MEMO_CHARS:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Encode texts to little-endian unsigned 32-bit ids, as bytes."""
 
     _shared: dict = {}
 
-    def __init__(self, path: str, chunks: str):
+    def __init__(self, path: str, words: bool):
+        """``words``: the vocabulary drops white space."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut = re.compile(chunks).findall
+        self.model = self.tokenizer.model
+        self.words = words
+        self.blank = "" if words else " "
+        self.chunks = re.compile(WORD_CHUNKS if words else BYTE_CHUNKS).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
+        self.lower = '"Lowercase"' in self.tokenizer.to_str()
+        self.plain = re.compile(f"([{LETTER}]+)([{STOPS}]*)").fullmatch
+        self.symbols = {b: s for b, s in enumerate(byte_symbols())}
+        self.chunk_ids = _Memo(self._library)  # as they stand
+        self.piece_ids = _Memo(self._piece)  # after a blank
 
     @classmethod
-    def shared(cls, path: str, chunks: str) -> Encoder:
+    def shared(cls, path: str, words: bool) -> Encoder:
         """The worker process keeps one encoder for each vocabulary."""
-        if (path, chunks) not in cls._shared:
-            cls._shared[path, chunks] = cls(path, chunks)
-        return cls._shared[path, chunks]
+        if (path, words) not in cls._shared:
+            cls._shared[path, words] = cls(path, words)
+        return cls._shared[path, words]
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), 2000):
-            for e in self.tokenizer.encode_batch_fast(texts[i:i + 2000], add_special_tokens=False):
-                out.append(np.array(e.ids, "<u4").tobytes())
-        return out
+    @staticmethod
+    def pack(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes() if LITTLE else struct.pack(f"<{len(ids)}I", *ids)
+
+    def _library(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        """A plain word after a blank is one pre-token: the model's input."""
+        text = self.blank + (word.lower() if self.lower else word)
+        if not text.isascii() or self.blank:
+            text = text.encode("utf-8").decode("latin-1").translate(self.symbols)
+        return self.pack([t.id for t in self.model.tokenize(text)])
+
+    def _piece(self, piece: str) -> bytes:
+        """What stands between two blanks."""
+        if m := self.plain(piece):
+            word, stops = m.groups()
+            return self.piece_ids[word] + self.chunk_ids[stops] if stops else self._word(word)
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _Whole
+        first, *rest = self.chunks(self.blank + piece)
+        if self.blank:
+            first = self.piece_ids[first[1:]] if len(first) < len(piece) + 1 else self._library(first)
+            return first + b"".join(map(self.chunk_ids.__getitem__, rest))
+        return b"".join(map(self.chunk_ids.__getitem__, [first, *rest]))
+
+    def _text(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return self._library(text)
+        if self.words:
+            if not any(c in text for c in "\x1c\x1d\x1e\x1f"):  # blanks to Python only
+                return b"".join(map(self.piece_ids.__getitem__, text.split()))
+        else:
+            first, *rest = text.split(" ")
+            try:
+                if first and not first[-1].isspace():
+                    return b"".join([*map(self.chunk_ids.__getitem__, self.chunks(first)), *map(self.piece_ids.__getitem__, rest)])
+            except _Whole:
+                pass
+        return b"".join(map(self.chunk_ids.__getitem__, self.chunks(text)))
 
     def encode(self, texts) -> list[bytes]:
         """Ids of each text; null counts as empty."""
-        texts = [t or "" for t in texts]
-        parts = [None if any(s in t for s in self.special) else self.cut(t) for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        new = list({c for p in parts if p for c in p if c not in memo})
-        memo.update(zip(new, self._library(new)))
-        whole = iter(self._library([t for t, p in zip(texts, parts) if p is None]))
-        get = memo.__getitem__
-        out = [next(whole) if p is None else b"".join(map(get, p)) for p in parts]
-        for c in new:
-            if len(c) > MEMO_CHARS:
-                del memo[c]
+        out = []
+        for t in texts:
+            for memo in (self.chunk_ids, self.piece_ids):
+                if len(memo) > MEMO_ENTRIES:
+                    memo.clear()
+            out.append(self._text(t) if t else b"")
         return out
