@@ -118,7 +118,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> li
                 for k in np.unique(label):
                     at = label == k
                     sums[langs[k]] = sums.get(langs[k], 0) + bundle(gram[at], count[at])
-        yield pd.DataFrame({"lang": list(sums), "vector": list(sums.values())})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "vector": list(sums.values())})
 
     parts = rows.mapInPandas(run, "lang string, vector array<double>")
     summed = (parts.select("lang", F.posexplode("vector").alias("dim", "value"))
