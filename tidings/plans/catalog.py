@@ -166,11 +166,11 @@ def q_coverage(spark, sf_dir):
 
 @query("overlay_series")
 def q_overlay(spark, sf_dir):
-    o = st.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    o = st.table(spark, sf_dir, "orders")
     c = st.table(spark, sf_dir, "customer")
     n = st.table(spark, sf_dir, "nation")
-    fresh = (o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
-             .groupBy(F.col("n_name").alias("name"), F.to_date("o_orderdate").alias("date"))
+    fresh = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+             .groupBy(F.col("n_name").alias("name"), F.date_add(F.to_date("o_orderdate"), 1).alias("date"))
              .agg(F.min_by("o_totalprice", "o_orderkey").alias("close")))
     r = ser.overlay(st.sparse_prices(spark, sf_dir), fresh, ["name", "date"], "close")
     return rounded(r.withColumn("date", iso(F.col("date"))), {"close"})
@@ -603,7 +603,7 @@ def q_first_copy(spark, sf_dir):
 
 def _label_versions(spark, sf_dir):
     target = st.table(spark, sf_dir, "labels").withColumn("version", F.lit(0))
-    d = st.table(spark, sf_dir, "documents").where(F.col("lang") == "de")
+    d = st.table(spark, sf_dir, "documents")
     updates = d.select("doc_id", (F.col("n_chars") > 2000).cast("int").alias("quality"),
                        F.lit(0).alias("toxic"), F.lit(1).alias("version"))
     return target, updates

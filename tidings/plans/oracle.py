@@ -186,9 +186,9 @@ FROM sparse_prices GROUP BY name"""
 
 ORACLE["overlay_series"] = with_(SPARSE_PRICES) + """,
 fresh AS (
-  SELECT n.n_name AS name, CAST(o.o_orderdate AS DATE) AS date, arg_min(o.o_totalprice, o.o_orderkey) AS close
+  SELECT n.n_name AS name, CAST(o.o_orderdate AS DATE) + 1 AS date, arg_min(o.o_totalprice, o.o_orderkey) AS close
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE o.o_orderstatus = 'F' GROUP BY 1, 2)
+  GROUP BY 1, 2)
 SELECT coalesce(f.name, e.name) AS name, CAST(coalesce(f.date, e.date) AS VARCHAR) AS date,
        round(coalesce(f.close, e.close), 6) AS close
 FROM sparse_prices e FULL JOIN fresh f ON e.name = f.name AND e.date = f.date"""
@@ -776,7 +776,7 @@ JOIN (SELECT min(doc_id) AS doc_id FROM documents GROUP BY text) f ON d.doc_id =
 VERSIONS = """
 target AS (SELECT doc_id, quality, toxic, 0 AS version FROM labels),
 updates AS (SELECT doc_id, CAST(n_chars > 2000 AS INTEGER) AS quality, 0 AS toxic, 1 AS version
-            FROM documents WHERE lang = 'de')"""
+            FROM documents)"""
 
 ORACLE["upsert_labels"] = with_(VERSIONS) + """
 SELECT doc_id, arg_max(quality, (version, src)) AS quality, arg_max(toxic, (version, src)) AS toxic,
