@@ -39,7 +39,7 @@ SEED = 20
 MIN_SCORE = 0.05  # about the cosine that unrelated vectors of DIMS dimensions reach by chance
 MIN_CHARS = 200  # shorter texts have too few n-grams to be rejected by their score
 BLOCK = 1024  # n-grams expanded at once
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 18
 
 
 @lru_cache(maxsize=1)

@@ -30,13 +30,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2^64."""
-    up = np.full(n, ODD, np.uint64)
-    down = np.full(n, pow(int(ODD), -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_held: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2^64: at least n; the
+    longest tables so far are kept."""
+    if not _held or len(_held[0]) < n:
+        up = np.full(n, ODD, np.uint64)
+        down = np.full(n, pow(int(ODD), -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        _held[:] = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
+    return _held
 
 
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,8 +53,7 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     inside = _word_chars()[points].view(np.int8)
     edge = np.diff(inside, prepend=np.int8(0))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    size = 1 << (len(points) - 1).bit_length()
-    up, down = _powers(size)
+    up, down = _powers(1 << (len(points) - 1).bit_length())
     value = mix(points.astype(np.uint64) + np.uint64(1)) * up[:len(points)]
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
     word = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))

@@ -33,7 +33,7 @@ WORD_CHUNKS = f"[{LETTER}]+(?=[ \t\n\r.,;:!?]|\\Z)|[.,;:!?]+(?=[ \t\n\r]|\\Z)|[^
 #: Characters that may follow a word and are no part of a contraction.
 STOPS = ".,;:!?"
 
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 500_000
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 MEMO_CHARS = 16
 

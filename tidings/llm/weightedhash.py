@@ -48,7 +48,7 @@ BUCKETS = 1 << 16
 AGREE = 0.5
 BLOCK = 128
 CHUNK = 1 << 14
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
