@@ -185,3 +185,25 @@ def test_grid_order_is_by_distance():
     for q, cells in enumerate(grid.nearest(x, 20)):
         total = (left[q][:, None] + right[q][None, :]).reshape(-1)
         assert np.allclose(total[cells], np.sort(total)[:20])
+
+
+def test_rare_links_are_found(spark):
+    """No calibration query has a link; the planted ones beside them are found."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    u = rng.normal(size=(100, 32))
+    u -= (u * x[:100]).sum(1)[:, None] * x[:100]
+    c = rng.uniform(0.9005, 0.95, 100)[:, None]
+    y = c * x[:100] + (1 - c * c) ** 0.5 * u / np.linalg.norm(u, axis=1)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r.component_id for r in multiindex.near_vectors(df).collect()}
+    assert np.mean([got[6000 + i] == got[i] for i in range(100)]) >= 0.99
+
+    reps = spark.createDataFrame([(i, v, 1) for i, v in rows[:2000]], "rep long, v array<double>, n long")
+    grid = multiindex.fit(reps, 2000)
+    assert not (np.triu(x[:2000] @ x[:2000].T, 1) >= 0.9).any()
+    visit = multiindex.calibrate(reps, grid, 1.0)
+    near = np.minimum(grid.depths(x[:100], y), grid.depths(y, x[:100]))
+    assert (near <= visit).mean() >= 0.99 > (near <= 1).mean()
