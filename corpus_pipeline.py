@@ -17,7 +17,9 @@ from tidings.session import written
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter, and those that resemble no language."""
-    return langid.accepted(docs, langid.train(docs.where(~langid.held_out())))
+    learned = docs.where(~langid.held_out())
+    prototypes = langid.train(learned)
+    return langid.accepted(docs, prototypes, least=langid.floors(learned, prototypes))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

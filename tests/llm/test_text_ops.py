@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidings.llm import chunkprints, hostpaths, langid
 
@@ -36,6 +37,34 @@ def test_language_edges(spark, documents):
     assert langid.identify(df.limit(0), prototypes).count() == 0
 
 
+UNLEARNED = [
+    "Suomi on valtio Pohjois-Euroopassa Itämeren rannalla. Se rajoittuu idässä Venäjään, pohjoisessa Norjaan ja lännessä "
+    "Ruotsiin. Suomessa on noin viisi ja puoli miljoonaa asukasta, joista suurin osa asuu maan eteläosissa.",
+    "Россия — государство в Восточной Европе и Северной Азии. Территория России в её конституционных границах составляет "
+    "более семнадцати миллионов квадратных километров. Столица — Москва. Государственный язык на всей территории — русский."]
+
+
+def test_unlearned_languages_and_junk_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    learned = docs.where(~langid.held_out())
+    prototypes = langid.train(learned)
+    least = langid.floors(learned, prototypes)
+    assert set(least) == {lang for lang, _ in prototypes} and min(least.values()) > 0.01
+    rnd = random.Random(6)
+    junk = list(UNLEARNED)
+    for low, high in ((0x430, 0x44F), (0x4E00, 0x9FA5), (0x627, 0x64A), (0x3B1, 0x3C9), (97, 122)):
+        for words in (150, 30, 12):  # the last have less than 200 characters
+            junk += [" ".join("".join(chr(rnd.randint(low, high)) for _ in range(rnd.randint(2, 9))) for _ in range(words))
+                     for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(junk)), "doc_id long, text string")
+    kept = [r.text for r in langid.accepted(df, prototypes, least=least).collect()]
+    assert not set(kept) & set(UNLEARNED) and len(kept) <= 0.02 * len(junk), [t[:40] for t in kept]
+    ours = docs.where(langid.held_out() & (F.length("text") >= 200))
+    assert langid.accepted(ours, prototypes, least=least).count() >= 0.99 * ours.count()
+    short = ours.withColumn("text", F.substring("text", 1, 60))
+    assert langid.accepted(short, prototypes, least=least).count() >= 0.98 * ours.count()
+
+
 def test_ngrams_bind_letters_by_place():
     label, gram, count = langid._ngrams(["ab, a"], np.zeros(1, int))
     assert count.sum() == 4  # " ab", "ab ", "b a", " a "

@@ -16,6 +16,14 @@ one vector per language; Spark adds them per (language, dimension). The
 driver holds languages x dimensions numbers, which does not grow with the
 corpus. Prediction is one pass over the documents without a shuffle.
 
+A text is accepted as one of the languages by its score for its size. Its size
+is the number of n-grams that it would have if none were repeated: (sum of
+counts) squared / sum of squared counts. The score of a language's own texts
+grows as the root of their size, that of unrelated texts stays within chance
+(about 1 / sqrt(DIMS)). So (score + ``CHANCE``) / sqrt(size) is compared with
+``FLOOR`` times a low quantile of the same over the language's learned texts:
+few n-grams prove little, and the shorter a text, the more passes.
+
 Null texts and texts without a letter are ``und`` with score 0. So is every
 text when no training row has a language. Ties go to the language that sorts
 first. Rows are judged one by one, so repeated rows and ids do not matter.
@@ -36,8 +44,10 @@ DIMS = 512
 NGRAM = 3
 SYMBOLS = 128
 SEED = 20
-MIN_SCORE = 0.05  # about the cosine that unrelated vectors of DIMS dimensions reach by chance
-MIN_CHARS = 200  # shorter texts have too few n-grams to be rejected by their score
+QUANTILE = 0.05  # of (score + CHANCE) / sqrt(size) among the learned texts of a language
+FLOOR = 0.6  # of that quantile
+LEAST = 0.02  # the same, asked where no floor was learned
+CHANCE = 2.0 / DIMS ** 0.5  # two deviations of the score of unrelated texts
 BLOCK = 1024  # n-grams expanded at once
 BATCH_CHARS = 1 << 18
 
@@ -131,15 +141,15 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> li
 
 
 def identify(docs: DataFrame, prototypes: list[tuple[str, np.ndarray]], text_col: str = "text",
-             lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
-    """Adds the predicted language and its score; input columns of those two
-    names are replaced."""
+             lang_col: str = "lang_pred", score_col: str = "score", size_col: str | None = None) -> DataFrame:
+    """Adds the predicted language and its score, and the text's size if
+    ``size_col`` is given; input columns of those names are replaced."""
     langs = [lang for lang, _ in prototypes]
     matrix = np.stack([v for _, v in prototypes]) if prototypes else np.zeros((0, DIMS))
 
     def judge(texts: list[str | None]) -> pd.DataFrame:
         whole = [t or "" for t in texts]
-        out = [(UNKNOWN, 0.0)] * len(whole)
+        out = [(UNKNOWN, 0.0, 0.0)] * len(whole)
         for i, j in _slices(whole):
             label, gram, count = _ngrams(whole[i:j], np.arange(j - i))
             ends = np.searchsorted(label, np.arange(j - i + 1))
@@ -149,16 +159,19 @@ def identify(docs: DataFrame, prototypes: list[tuple[str, np.ndarray]], text_col
                     v = bundle(gram[at], count[at])
                     cos = matrix @ v / max(np.linalg.norm(v), 1e-12)
                     k = int(np.argmax(cos))
-                    out[i + d] = (langs[k], float(min(1.0, max(0.0, cos[k]))))
-        return pd.DataFrame(out, columns=["lang", "score"])
+                    n = count[at].astype(np.float64)
+                    out[i + d] = (langs[k], float(min(1.0, max(0.0, cos[k]))), float(n.sum() ** 2 / (n * n).sum()))
+        return pd.DataFrame(out, columns=["lang", "score", "size"])
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, size double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield judge(texts.tolist())
 
-    return (docs.drop(lang_col, score_col).withColumn("_found", predict(F.col(text_col)))
-            .withColumns({lang_col: F.col("_found.lang"), score_col: F.col("_found.score")}).drop("_found"))
+    added = {lang_col: F.col("_found.lang"), score_col: F.col("_found.score")}
+    if size_col:
+        added[size_col] = F.col("_found.size")
+    return docs.drop(*added).withColumn("_found", predict(F.col(text_col))).withColumns(added).drop("_found")
 
 
 def held_out(id_col: str = "doc_id"):
@@ -167,10 +180,28 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def floors(docs: DataFrame, prototypes: list[tuple[str, np.ndarray]], text_col: str = "text",
+           lang_col: str = "lang") -> dict[str, float]:
+    """The (score + CHANCE) / sqrt(size) asked of each language, from all learned texts
+    that are recognised as their own language; one number per language."""
+    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
+    found = identify(rows, prototypes, "text", "_lang", "_score", "_size").where("_lang = lang AND _size > 0")
+    low = found.groupBy("lang").agg(F.percentile_approx((F.col("_score") + CHANCE) / F.sqrt("_size"), QUANTILE).alias("low")).collect()
+    return {r["lang"]: FLOOR * r["low"] for r in low}
+
+
 def accepted(docs: DataFrame, prototypes: list[tuple[str, np.ndarray]], text_col: str = "text",
-             min_score: float = MIN_SCORE, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The documents in one of the languages: with a letter and, unless they
-    are short, closer to a prototype than chance."""
-    found = identify(docs, prototypes, text_col, "_lang", "_score")
-    clear = (F.col("_score") >= min_score) | (F.char_length(F.col(text_col)) < min_chars)
+             least: dict[str, float] | None = None) -> DataFrame:
+    """The documents in one of the languages: with a letter, and as close to a
+    prototype as their size lets expect of the language's texts. ``least`` has
+    the floors; a language without one asks ``LEAST``."""
+    found = identify(docs, prototypes, text_col, "_lang", "_score", "_size")
+    floor = F.lit(LEAST)
+    if least:
+        items = sorted(least.items())
+        floor = F.when(F.col("_lang") == items[0][0], items[0][1])
+        for lang, value in items[1:]:
+            floor = floor.when(F.col("_lang") == lang, value)
+        floor = floor.otherwise(LEAST)
+    clear = F.col("_score") >= floor * F.sqrt("_size") - CHANCE
     return found.where((F.col("_lang") != UNKNOWN) & clear).select(*docs.columns)
