@@ -179,3 +179,24 @@ def test_winning_path_needs_the_host(spark):
     paths = {r.host: r.paths for r in hostpaths.host_paths(df.select(hostpaths.host_of(df["url"]).alias("host"), "html")).collect()}
     assert paths["h.org"][0] == ">html>body>div.story"
     assert len({r.text for r in hostpaths.extract_text(df).collect()}) == 1
+
+
+def test_title_and_lead_beside_the_body_stay(spark):
+    """Title and lead outside the body container, and an article over two containers."""
+    long = "Words of the article that every page of this host has in the same place. "
+    body = "<div class='body'>" + f"<p>{long}</p>" * 8 + "</div>"
+    head = "<h1>Title</h1><p class='lead'>" + "The lead of the article. " * 3 + "</p>"
+    two = "<div class='part'>" + f"<p>{long}</p>" * 6 + "</div><div class='more'>" + f"<p>{long}</p>" * 3 + "</div>"
+    lead, text = ("The lead of the article. " * 3).strip(), long.strip()
+    whole = "\n".join(["Title", lead] + [text] * 8)
+    plain = "\n".join([text] * 8)
+    cases = {"a": ("<article>" + head + body + "</article>", whole), "d": ("<div class='post'>" + head + body + "</div>", whole),
+             "t": ("<article>" + two + "</article>", "\n".join([text] * 9)), "u": ("<div class='x'>" + two + "</div>", "\n".join([text] * 9))}
+    rows = [(i, f"http://{h}.org/", page(m)) for h, (m, _) in cases.items() for i in range(5)]
+    rows += [(i, f"http://mixed{h}.org/", page(f"<{t}>" + body + f"</{t}>")) for h, t in (("1", "article"), ("2", "div")) for i in range(9)]
+    rows += [(99, f"http://mixed{h}.org/", page(f"<{t}>" + head + body + f"</{t}>")) for h, t in (("1", "article"), ("2", "div"))]
+    got = hostpaths.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        host = r.url[7:-5]
+        assert r.text == (cases[host][1] if host in cases else whole if r.page_id == 99 else plain), (host, r.page_id)

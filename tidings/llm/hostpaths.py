@@ -3,15 +3,17 @@
 Each page votes for the path of the container that holds its main text; a
 path is the chain of block elements with their classes, digits generalised.
 Spark counts the votes per host. Pages are then extracted again with their
-host's winning paths: blocks below an element on a winning path, in page
-order. A page on which no winning path holds at least a quarter of the text of
+host's winning paths: blocks below an element on a winning path, or below the
+nearest article or main element around it, and the headings, paragraphs and
+other text elements directly beside it, in page order. A page on which no winning path holds at least a quarter of the text of
 its own best container (another template) uses that container.
 
 Scoring. Text blocks weigh their characters less twice those in links, 0 at
 least; blocks in menus, footers, sidebars, notices, adverts, forms and
 comments (by tag, role, or words of class and id) weigh nothing and are never
 extracted. From the root the path descends while one child container holds
-most of the weight and more than one block.
+all of the weight and more than one block: what is left beside it is skipped
+or mostly links.
 
 Pages are parsed twice, each time within the page; only (host, path) counts
 are shuffled, combined on the map side, so a hot host is a few rows per map
@@ -35,7 +37,6 @@ from pyspark.sql import functions as F
 from tidings.session import written
 
 WINNERS = 3
-SHARE = 0.7  # of the weight that a child must hold to be descended into
 FOLLOW = 0.25  # of the best container's weight that a winning path must hold
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
@@ -180,12 +181,26 @@ class Page:
             children.setdefault(p, []).append(i)
         at = 0
         while True:
-            down = [c for c in children.get(at, ()) if self.weight[c] >= SHARE * self.weight[at] and self.held[c] > 1
+            down = [c for c in children.get(at, ()) if self.weight[c] == self.weight[at] and self.held[c] > 1
                     and self.weight[c] and self.tag[c] not in TEXTUAL]
             if not down:
                 return at
             at = max(down, key=lambda c: self.weight[c])
 
+    def around(self, elements: set[int]) -> set[int]:
+        """The elements, each widened to the nearest article or main element
+        around it, or else with the text elements beside it."""
+        wide = set(elements)
+        for i in elements:
+            at = i
+            while at > 0 and self.tag[at] not in ("article", "main"):
+                at = self.parent[at]
+            if at > 0:
+                wide.add(at)
+        beside = {self.parent[i] for i in elements}
+        wide.update(i for i, p in enumerate(self.parent) if p in beside and self.tag[i] in TEXTUAL and not self.skipped[i])
+        return wide
+
     def below(self, elements: set[int]) -> str:
         """The text blocks below any of the elements."""
         inside = [False] * len(self.parent)
@@ -198,8 +213,8 @@ class Page:
         for path in winners:
             found = {i for i, p in enumerate(self.path) if p == path}
             if found and sum(self.weight[i] for i in found) >= FOLLOW * self.weight[own]:
-                return self.below(found)
-        return self.below({own})
+                return self.below(self.around(found))
+        return self.below(self.around({own}))
 
 
 def host_of(url: Column) -> Column:
