@@ -207,3 +207,19 @@ def test_rare_links_are_found(spark):
     visit = multiindex.calibrate(reps, grid, 1.0)
     near = np.minimum(grid.depths(x[:100], y), grid.depths(y, x[:100]))
     assert (near <= visit).mean() >= 0.99 > (near <= 1).mean()
+
+
+def test_frequencies_are_exact_and_scale_with_the_corpus(spark, monkeypatch):
+    rnd = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(12))
+    texts = [" ".join(f"w{rnd.randint(0, 10 ** 7)}" for _ in range(200)) + (" " + passage if i % 4 == 0 else "") for i in range(1000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-1, None)], "doc_id long, text string").repartition(4)
+    _, h, _ = shingles.shingles(texts)
+    one, n = np.unique(h, return_counts=True)
+    exact = np.log(1001 / (1 + n)) / np.log(1001)
+    assert len(one) > 2 * 65536 and n.max() == 250
+    assert np.allclose(weightedhash.shingle_frequencies(df).of(one), exact, atol=1e-6)
+    monkeypatch.setattr(weightedhash, "REFERENCE", 100)  # a corpus of ten times the reference
+    scaled = np.log(101 / (1 + np.maximum(1, n / 10))) / np.log(101)
+    found = weightedhash.shingle_frequencies(df)
+    assert np.allclose(found.of(one), scaled, atol=1e-6) and len(found.h) == (n > 10).sum()

@@ -1,11 +1,13 @@
 """Near-duplicate documents by improved consistent weighted sampling.
 
-1. Document frequencies of five-word shingles are counted over all documents
-   in a hashed table of ``BUCKETS`` entries, which bounds what is shared with
-   the tasks. A shingle weighs (1 + ln tf) (1 + idf) / 2, idf scaled to 0..1:
-   rare shingles count up to twice as much as ubiquitous ones, so an edit in
-   a member of a large group of copies does not outweigh what the group
-   shares.
+1. Document frequencies of five-word shingles are counted exactly, per shingle,
+   over all documents. A shingle weighs (1 + ln tf) (1 + idf) / 2, idf scaled
+   to 0..1: rare shingles count up to twice as much as ubiquitous ones, so an
+   edit in a member of a large group of copies does not outweigh what the
+   group shares. Above ``REFERENCE`` documents a frequency counts per
+   ``REFERENCE`` documents, and as 1 at least, so a passage weighs the same in
+   a corpus of any size. Shingles above 1 are shared with the tasks: at most
+   ``REFERENCE`` times the mean number of shingles of a document.
 2. Each distinct text gets ``BANDS`` x ``ROWS`` samples: for a shingle of
    weight w, with r, c ~ Gamma(2, 1) and b ~ U(0, 1) fixed by shingle and
    sample number, t = floor(ln w / r + b), ln a = ln c - r (t - b + 1); the
@@ -44,7 +46,8 @@ from tidings.session import written
 
 SIMILARITY = 0.8
 BANDS, ROWS = 14, 5
-BUCKETS = 1 << 16
+REFERENCE = 10_000
+HELD = 1 << 20  # shingles of a task that are combined at once
 AGREE = 0.5
 BLOCK = 128
 CHUNK = 1 << 14
@@ -62,32 +65,57 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def shingle_frequencies(docs: DataFrame) -> np.ndarray:
-    """ln-scaled idf, 0..1, of each hashed shingle bucket, over all texts."""
+class Idf:
+    """ln-scaled idf, 0..1, of shingles: frequent ones by hash, the rest alike."""
+
+    def __init__(self, h: np.ndarray, df: np.ndarray, n: int):
+        size = min(n, REFERENCE)
+        scaled = np.maximum(1.0, np.append(df, 0) * (size / max(n, 1)))
+        value = np.log((1 + size) / (1 + scaled)) / max(np.log(1 + size), 1e-9)
+        order = h.argsort()
+        self.h, self.value, self.rest = h[order], value[:-1][order].astype(np.float32), max(0.0, float(value[-1]))
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.h):
+            return np.full(len(h), self.rest)
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        return np.where(self.h[at] == h, self.value[at], self.rest)
+
+
+def shingle_frequencies(docs: DataFrame) -> Idf:
+    """The idf of each shingle, from exact counts over all texts."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(BUCKETS, np.int64)
-        texts = 0
+        held: list[np.ndarray] = []
+        size = 0
+
+        def combined() -> pd.DataFrame:
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pd.DataFrame({"h": h.view(np.int64), "n": n})
+
         for b in batches:
             whole = b["text"].tolist()
             for i, j in _slices(whole):
-                text, h, _ = shingles(whole[i:j])
-                key = np.unique(text * BUCKETS + (h % np.uint64(BUCKETS)).astype(np.int64))
-                total += np.bincount(key % BUCKETS, minlength=BUCKETS)
-            texts += len(b)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": np.append(at, -1), "n": np.append(total[at], texts)})
+                h = shingles(whole[i:j])[1]  # once per text
+                held.append(h)
+                size += len(h)
+                if size >= HELD:
+                    yield combined()
+                    size = 0
+        if size:
+            yield combined()
 
-    rows = (docs.select("text").where("text IS NOT NULL").mapInPandas(count, "bucket int, n long")
-            .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())  # at most BUCKETS + 1 rows
-    n = int(rows.loc[rows["bucket"] < 0, "n"].sum())
-    df = np.zeros(BUCKETS)
-    rows = rows[rows["bucket"] >= 0]
-    df[rows["bucket"]] = rows["n"]
-    return np.log((1 + n) / (1 + df)) / max(np.log(1 + n), 1e-9)
+    texts = docs.select("text").where("text IS NOT NULL")
+    n = texts.count()
+    rows = (texts.mapInPandas(count, "h long, n long").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
+            .where(F.col("n") > max(1.0, n / REFERENCE)).toPandas())  # at most REFERENCE x shingles of a text
+    return Idf(rows["h"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.float64), n)
 
 
-def weights(h: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return (1 + np.log(count)) * (1 + idf[(h % np.uint64(len(idf))).astype(np.int64)]) / 2
+def weights(h: np.ndarray, count: np.ndarray, idf: Idf | np.ndarray) -> np.ndarray:
+    """``idf`` as an array is a table of hashed shingles."""
+    found = idf.of(h) if isinstance(idf, Idf) else idf[(h % np.uint64(len(idf))).astype(np.int64)]
+    return (1 + np.log(count)) * (1 + found) / 2
 
 
 @lru_cache(maxsize=1)
@@ -124,7 +152,7 @@ def samples(text: np.ndarray, h: np.ndarray, w: np.ndarray, n_texts: int) -> np.
     return np.ascontiguousarray(least.T).view(np.uint32)
 
 
-def sampled(docs: DataFrame, idf: np.ndarray) -> DataFrame:
+def sampled(docs: DataFrame, idf: Idf | np.ndarray) -> DataFrame:
     """(id, k1, k2, sample): a digest of the text and its samples (null where
     the text has no word)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,7 +181,7 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(shared / (wa.sum() + wb.sum() - shared))
 
 
-def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, idf: Idf | np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b) pairs -> those whose whole texts are similar, with sim. ``texts``
     has one text per id."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -206,7 +234,7 @@ class Union:
         self.parent[max(x, y)] = min(x, y)
 
 
-def _columns(b: pd.DataFrame, idf: np.ndarray) -> dict:
+def _columns(b: pd.DataFrame, idf: Idf | np.ndarray) -> dict:
     """A block's rows: ids, component labels, samples, bands, weighted sets."""
     whole, sets = b["text"].tolist(), []
     for i, j in _slices(whole):
@@ -245,7 +273,7 @@ def _links(band: int, x: dict, y: dict, same: bool, union: Union, similarity: fl
     return out
 
 
-def links_across(members: DataFrame, idf: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
+def links_across(members: DataFrame, idf: Idf | np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
     """(band, id, component, sample, bands, text) -> links (a, b) that join
     components, found among all pairs of a band and different components that
     agree in at least ``AGREE`` of their samples.
