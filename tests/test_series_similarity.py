@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from tidings.operators import series as ser
 from tidings.operators import similarity as sim
@@ -101,3 +102,22 @@ def test_similar_per_query_against_brute_force(spark):
     got = sim.similar_per_query(spark.createDataFrame(asked, "q long, text string"),
                                 spark.createDataFrame(docs, "c long, text string").repartition(4), "q", "text", "c", "text")
     assert {(r.q, r.rank): r.c for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("per_query", [True, False])
+def test_queries_stay_in_spark(spark, monkeypatch, per_query):
+    """More queries than a block: none reaches the driver, blocks change nothing."""
+    rnd = random.Random(12)
+    words = [f"term{i}" for i in range(30)]
+    text = lambda: " ".join(rnd.choice(words) for _ in range(8))
+    corpus = spark.createDataFrame([(2 ** 60 + i, text()) for i in range(90)], "d long, text string").repartition(3)
+    asked = spark.createDataFrame([(2 ** 61 + i, text()) for i in range(700)], "q long, text string").repartition(3)
+    run = sim.similar_per_query if per_query else sim.similar_docs
+    want = sorted(map(str, run(asked, corpus, "q", "text", "d", "text", max_terms=20)
+                      .selectExpr("* except (similarity)", "round(similarity, 9)").collect()))
+    rows, plain = [], type(asked).toPandas
+    monkeypatch.setattr(type(asked), "toPandas", lambda self: rows.append(plain(self)) or rows[-1])
+    monkeypatch.setattr(sim, "DOC_BLOCK", 8, raising=False)
+    got = run(asked, corpus, "q", "text", "d", "text", max_terms=20).selectExpr("* except (similarity)", "round(similarity, 9)")
+    assert max(map(len, rows)) <= 20
+    assert sorted(map(str, got.collect())) == want and len(want) == (2100 if per_query else 3)

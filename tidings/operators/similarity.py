@@ -1,8 +1,8 @@
 """TF-IDF weights and cosine similarity as relational operators (M5-M7),
 plus a skew-safe per-group top-k (O5-O7).
 
-A document's vector is built where its text is read and multiplied with a
-block of query vectors there; only the best documents leave a task.
+A text's vector is built where it is read. Blocks of document vectors meet the
+query vectors as a stream; only the best documents leave a task.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ TOKEN_PATTERN = r"(?U)\b\w\w+\b"  # tokens of at least two word characters
 MAX_TERMS = 2000
 TOP_K = 3
 MIN_CORPUS = 5
-QUERY_BLOCK = 512
+DOC_BLOCK = 4096  # documents that meet the queries in one task
+CHUNK = 1024  # documents that are dense at once
 
 
 def tokens(text: Column) -> Column:
@@ -45,53 +46,105 @@ def vocabulary(docs: DataFrame, text_col: str, max_terms: int = MAX_TERMS, n_doc
         .withColumn("n_docs", F.lit(n).cast("long"))
 
 
-def _matrix(words, index: dict[str, int], idf: np.ndarray) -> np.ndarray:
-    """Normalised tf-idf rows over the vocabulary; rows without a term are 0."""
-    x = np.zeros((len(words), len(idf)))
-    for row, terms in zip(x, words):
-        at = [index[w] for w in terms if w in index]
-        row += np.bincount(at, minlength=len(idf)) if at else 0
-    x *= idf
-    norm = np.sqrt((x * x).sum(1, keepdims=True))
-    return np.divide(x, norm, out=x, where=norm > 0)
+def _vectors(texts: DataFrame, index: dict[str, int], idf: np.ndarray) -> DataFrame:
+    """(q, c, w tokens) -> (q, c, kind, at, x): the non-zero places and values of
+    the normalised tf-idf vector; texts without a term have none."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            places, values = [], []
+            for words in b["w"]:
+                at, count = np.unique(np.array([index[w] for w in words if w in index], np.int32), return_counts=True)
+                x = count * idf[at]
+                places.append(at)
+                values.append(x / np.sqrt((x * x).sum()) if len(x) else x.astype(np.float64))
+            yield b.drop(columns="w").assign(at=pd.Series(places, dtype=object, index=b.index),
+                                             x=pd.Series(values, dtype=object, index=b.index))
+
+    types = {f.name: f.dataType.simpleString() for f in texts.schema}
+    return texts.mapInPandas(run, f"q {types['q']}, c {types['c']}, kind int, at array<int>, x array<double>")
+
+
+def _dense(rows: pd.DataFrame, terms: int) -> np.ndarray:
+    out = np.zeros((len(rows), terms))
+    for row, at, x in zip(out, rows["at"], rows["x"]):
+        row[at] = x
+    return out
+
+
+def _best(q: np.ndarray, c: np.ndarray, similarity: np.ndarray, k: int) -> pd.DataFrame:
+    """The best k of each query, by rounded similarity, then document."""
+    found = pd.DataFrame({"q": q, "c": c, "similarity": similarity})
+    return (found.assign(r=-found["similarity"].round(10)).sort_values(["q", "r", "c"]).groupby("q").head(k)
+            .drop(columns="r"))
 
 
 def best_matches(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str, c_id: str, c_text: str, k: int,
                  per_query: bool, max_terms: int = MAX_TERMS, n_docs: int | None = None) -> DataFrame:
-    """Candidates for the ``k`` most similar documents: per task the best k
-    of each query (``per_query``: query, document, similarity), or the best k
-    by the maximum over the queries (document, similarity).
-
-    A document's vector stays where its text is read: each batch is
-    multiplied with the matrix of a block of queries, so no (query, document)
-    pair is shuffled. What travels to the tasks is bounded: the vocabulary by
-    ``max_terms``, a block by QUERY_BLOCK x ``max_terms``. Queries are a
-    stated set; each block is one pass over the corpus.
+    """Candidates for the ``k`` most similar documents: per block of documents
+    the best k of each query (``per_query``: query, document, similarity), or
+    the best k by the maximum over the queries (document, similarity).
+
+    Documents are dealt into blocks of about ``DOC_BLOCK`` vectors; every query
+    vector goes to every block, after the block's documents, and is multiplied
+    with them in batches. Both texts are read once; no query reaches the
+    driver, which holds the vocabulary of ``max_terms`` alone, and no (query,
+    document) pair is shuffled.
     """
-    vocab = vocabulary(corpus, c_text, max_terms, n_docs).select("term", "idf").orderBy("term").toPandas()
-    index, idf = {t: i for i, t in enumerate(vocab["term"])}, vocab["idf"].to_numpy()
-    asked = queries.select(F.col(q_id).alias("q"), tokens(F.coalesce(q_text, F.lit(""))).alias("w")).orderBy("q").toPandas()
-    docs = corpus.select(F.col(c_id).alias("c"), tokens(F.coalesce(c_text, F.lit(""))).alias("w"))
-    found = None
-    for start in range(0, max(1, len(asked)), QUERY_BLOCK):
-        part = asked.iloc[start:start + QUERY_BLOCK]
-        ids, matrix = part["q"].to_numpy(), _matrix(part["w"], index, idf)
-
-        def score(batches: Iterator[pd.DataFrame], ids=ids, matrix=matrix) -> Iterator[pd.DataFrame]:
-            held = pd.DataFrame({"q": [], "c": [], "similarity": []})
-            for b in batches:
-                sims = _matrix(b["w"], index, idf) @ matrix.T
-                if not per_query:
-                    sims = sims.max(axis=1, initial=0.0)[:, None]
-                i, j = np.nonzero(sims > 0)
-                now = pd.DataFrame({"q": ids[j] if per_query else 0, "c": b["c"].to_numpy()[i], "similarity": sims[i, j]})
-                held = pd.concat([held, now]) if len(held) else now
-                held = held.assign(r=-held["similarity"].round(10)).sort_values(["q", "r", "c"]).groupby("q").head(k).drop(columns="r")
-            yield held
-
-        q_type, c_type = queries.schema[q_id].dataType.simpleString(), corpus.schema[c_id].dataType.simpleString()
-        one = docs.mapInPandas(score, f"q {q_type if per_query else 'int'}, c {c_type}, similarity double")
-        found = one if found is None else found.unionByName(one)
+    n = n_docs if n_docs is not None else corpus.count()
+    vocab = vocabulary(corpus, c_text, max_terms, n).select("term", "idf").orderBy("term").toPandas()
+    index, idf = {t: i for i, t in enumerate(vocab["term"])}, vocab["idf"].to_numpy(np.float64)
+    q_type, c_type = queries.schema[q_id].dataType.simpleString(), corpus.schema[c_id].dataType.simpleString()
+    blocks = max(1, -(-n // DOC_BLOCK))
+    # the other side's id is a filler that is not null: whole numbers stay whole in pandas
+    docs = _vectors(corpus.select(F.lit(0).cast(q_type).alias("q"), F.col(c_id).alias("c"), F.lit(0).alias("kind"),
+                                  tokens(F.coalesce(c_text, F.lit(""))).alias("w")), index, idf)
+    docs = docs.withColumn("block", F.pmod(F.xxhash64("c", "at", "x"), F.lit(blocks)).cast("int"))
+    asked = _vectors(queries.select(F.col(q_id).alias("q"), F.lit(0).cast(c_type).alias("c"), F.lit(1).alias("kind"),
+                                    tokens(F.coalesce(q_text, F.lit(""))).alias("w")), index, idf)
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held, whole, top = None, [], None, None
+
+        def best_of_block() -> pd.DataFrame | None:
+            if per_query or whole is None or not (top > 0).any():
+                return None
+            return _best(np.zeros((top > 0).sum(), np.int32), whole["c"].to_numpy()[top > 0], top[top > 0], k)
+
+        for batch in batches:
+            for block, b in batch.groupby("block", sort=False):
+                if block != key:
+                    last = best_of_block()
+                    if last is not None:
+                        yield last
+                    key, held, whole, top = block, [], None, None
+                if (b["kind"] == 0).any():
+                    held.append(b[b["kind"] == 0])
+                b = b[b["kind"] == 1]
+                if not len(b) or not held:
+                    continue
+                if whole is None:
+                    whole = pd.concat(held)
+                    top = np.zeros(len(whole))
+                ids, matrix, found = b["q"].to_numpy(), _dense(b, len(idf)), []
+                for at in range(0, len(whole), CHUNK):
+                    part = whole.iloc[at:at + CHUNK]
+                    sims = matrix @ _dense(part, len(idf)).T
+                    if not per_query:
+                        top[at:at + CHUNK] = np.maximum(top[at:at + CHUNK], sims.max(axis=0, initial=0.0))
+                        continue
+                    rounded = sims.round(10)
+                    least = np.partition(rounded, -min(k, len(part)), axis=1)[:, -min(k, len(part))]
+                    i, j = np.nonzero((sims > 0) & (rounded >= least[:, None]))  # ties at the last place stay
+                    found.append((ids[i], part["c"].to_numpy()[j], sims[i, j]))
+                if found:
+                    yield _best(*[np.concatenate(x) for x in zip(*found)], k)
+        last = best_of_block()
+        if last is not None:
+            yield last
+
+    found = (docs.unionByName(asked).repartition("block").sortWithinPartitions("block", "kind")
+             .mapInPandas(score, f"q {q_type if per_query else 'int'}, c {c_type}, similarity double"))
     return found.select(*([F.col("q").alias(q_id)] if per_query else []), F.col("c").alias(c_id), "similarity")
 
 
