@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import (chunkprints, hostpaths, langid, linefreq, mixing, multiindex, packing, pfor, tokencount,
-                         weightedhash)
+from tidings.llm import (chunkprints, codebooks, hostpaths, langid, linefreq, mixing, multiindex, packing, pfor, resample,
+                         sql, suffixes, tokencount, weightedhash)
 from tidings.sources.standins import table
 
 
@@ -64,8 +64,25 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
+def op11_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 200-byte strings, removed."""
+    d = suffixes.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op12_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the benchmark's features."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_metric_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of four parts of 256 entries, fitted in four rounds."""
+    return codebooks.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_source_mix, op4_token_counts, op5_multi_index, op6_weighted_minhash,
-                                 op7_best_fit, op8_chunk_prints, op9_host_paths, op10_line_frequency)}
+                                 op7_best_fit, op8_chunk_prints, op9_host_paths, op10_line_frequency, op11_column_bwt, op12_importance_draw,
+                                 op13_metric_codebooks)}
 
 #: The mix as SQL: closed-form targets, highest quotients per shard, seeded order.
 _MIX = r"""
@@ -126,4 +143,4 @@ SELECT d.doc_id, d.source, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped,
        CASE WHEN d.text IS NULL THEN NULL ELSE t.text END AS text
 FROM d LEFT JOIN t ON d.row = t.row"""
 
-ORACLE: dict[str, str] = {"op3_source_mix": _MIX, "op10_line_frequency": _LINES}
+ORACLE: dict[str, str] = {"op3_source_mix": _MIX, "op10_line_frequency": _LINES} | sql.ORACLE
