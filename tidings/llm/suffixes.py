@@ -7,8 +7,8 @@ too. Equal strings have equal anchors: the hash-smallest substring of
 So the strings of a text fall into runs with one anchor, and a run whose anchor
 hash occurs nowhere else cannot repeat. The remaining runs become documents of
 a collection: bytes before the anchor, a name of the anchor of four symbols,
-bytes behind it. Equal runs are counted before they move and enter as two
-documents, which proves as much as thousands.
+bytes behind it. Equal runs are counted before they move and enter as one
+document that is its own neighbour.
 
 Collections (sets of whole anchor groups of bounded size) are built as
 described for large sets of short strings: round j inserts the j-th symbol from
@@ -41,6 +41,7 @@ import hashlib
 import pickle
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -52,7 +53,7 @@ from tidings.session import scratch_path, written
 LENGTH = 200
 SPAN = 72  # places an anchor can take, less one
 GROUP = 2000  # distinct runs that may share a key
-COLLECTION = 4 << 20  # bytes of documents built in one piece
+COLLECTION = 1 << 18  # bytes of documents built in one piece
 COLUMNS = 96  # symbols inserted per pass
 SLICE = 1 << 20  # bytes scanned at once
 ROWS = 20_000  # rows of one frame that a task returns
@@ -121,29 +122,30 @@ def _pack(at: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- collections
 
-def new_collection(docs: list[bytes]) -> dict:
+def new_collection(docs: list[bytes], twins=None) -> dict:
     """Round 0: the suffixes that are a document's end alone, in the order of
-    the documents; each is preceded by the document's last symbol."""
+    the documents; each is preceded by the document's last symbol. ``twins``
+    tells which documents stand for two or more equal ones: there every suffix
+    has an equal neighbour."""
     ends = np.cumsum([len(d) for d in docs])
     symbols = np.frombuffer(b"".join(docs), np.uint8)
     starts = np.concatenate(([0], ends[:-1]))
     return {"bwt": symbols[ends - 1].copy(), "lcp": np.zeros(len(docs), np.uint8), "at": np.arange(len(docs)),
-            "left": ends - 1 - starts, "symbols": symbols, "starts": starts, "docs": len(docs)}
+            "left": ends - 1 - starts, "symbols": symbols, "starts": starts, "docs": len(docs),
+            "twins": np.zeros(len(docs), bool) if twins is None else np.asarray(twins, bool)}
 
 
-def _places(bwt: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, rank): positions sorted by symbol then position; where each is in that order."""
+def _keys(bwt: np.ndarray) -> np.ndarray:
+    """The transform as sorted (symbol, position) pairs of 8 and 24 bits."""
     order = np.argsort(bwt, kind="stable")
-    rank = np.empty(len(bwt), np.int64)
-    rank[order] = np.arange(len(bwt))
-    return order, rank
+    return (bwt[order].astype(np.int64) << 24) | order
 
 
 def _minima(lcp: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """min(lcp[start:end]) of each interval, start < end."""
     if not len(start):
         return np.empty(0, np.uint8)
-    back = np.argsort(-start, kind="stable")  # then the stretch between two intervals is never read
+    back = np.argsort(start)[::-1]  # so the stretch between two intervals is never read
     pairs = np.stack((start[back], end[back]), 1).ravel()
     out = np.empty(len(start), np.uint8)
     out[back] = np.minimum.reduceat(np.append(lcp, np.uint8(0)), pairs)[::2]
@@ -152,52 +154,69 @@ def _minima(lcp: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 def insert_columns(c: dict, rounds: int) -> dict:
     """Inserts up to ``rounds`` more symbols of every document that has any.
-    ``at`` is where the document's last inserted suffix lies (-1: complete)."""
-    bwt, lcp, at, left = c["bwt"], c["lcp"], c["at"], c["left"].copy()
-    symbols, starts, docs = c["symbols"], c["starts"], c["docs"]
-    active = np.flatnonzero(at >= 0)
+    ``at`` is where the document's last inserted suffix lies (-1: complete).
+
+    A suffix goes where its symbol ranks among equal symbols of the transform,
+    so its pair's index in ``_keys`` is its place behind the documents' ends."""
+    lcp, left, symbols, starts, docs = c["lcp"], c["left"].copy(), c["symbols"], c["starts"], c["docs"]
+    keys, low = _keys(c["bwt"]), (1 << 24) - 1
+    doc = np.flatnonzero(c["at"] >= 0)
+    k = np.searchsorted(keys, (c["bwt"][c["at"][doc]].astype(np.int64) << 24) | c["at"][doc])
     for _ in range(rounds):
-        if not len(active):
+        if not len(doc):
             break
-        p = at[active]
-        symbol = bwt[p]
-        order, rank = _places(bwt, docs)
-        k = rank[p]
-        before = order[np.maximum(k - 1, 0)]
-        after = order[np.minimum(k + 1, len(bwt) - 1)]
-        has_before = (k > 0) & (bwt[before] == symbol)
-        has_after = (k + 1 < len(bwt)) & (bwt[after] == symbol)
-        up, down = np.zeros(len(p), np.uint8), np.zeros(len(p), np.uint8)
-        up[has_before] = _minima(lcp, before[has_before] + 1, p[has_before] + 1) + 1
-        down[has_after] = _minima(lcp, p[has_after] + 1, after[has_after] + 1) + 1
-        put = docs + k
-        more = left[active] > 0
-        ahead = np.full(len(p), END, np.uint8)
-        ahead[more] = symbols[starts[active[more]] + left[active[more]] - 1]
-        old = np.ones(len(bwt) + len(p), bool)
+        byplace = np.argsort(k)
+        doc, k = doc[byplace], k[byplace]
+        pair, before, after = keys[k], keys[np.maximum(k - 1, 0)], keys[np.minimum(k + 1, len(keys) - 1)]
+        p = pair & low
+        has_before = np.flatnonzero((k > 0) & (before >> 24 == pair >> 24))
+        has_after = np.flatnonzero((k + 1 < len(keys)) & (after >> 24 == pair >> 24))
+        up = np.zeros(len(k), np.uint8)
+        up[has_before] = _minima(lcp, (before[has_before] & low) + 1, p[has_before] + 1) + 1
+        down = _minima(lcp, p[has_after] + 1, (after[has_after] & low) + 1) + 1
+        put, more = docs + k, left[doc] > 0
+        ahead = np.full(len(k), END)
+        ahead[more] = symbols[starts[doc[more]] + left[doc[more]] - 1]
+        # what lies behind a new suffix moves on
+        behind = np.diff(np.concatenate(([0], put - np.arange(len(put)), [len(keys)])))
+        keys += np.repeat(np.arange(len(put) + 1, dtype=np.int32), behind)[keys & low]
+        new = (ahead << 24) | put
+        order = np.argsort(new)
+        k = np.searchsorted(keys, new[order]) + np.arange(len(new))
+        old = np.ones(len(keys) + len(new), bool)
+        old[k] = False
+        grown = np.empty(len(old), np.int64)
+        grown[old], grown[k] = keys, new[order]
+        keys = grown
+        old[:] = True
         old[put] = False
-        grown, prefixes = np.empty(len(old), np.uint8), np.empty(len(old), np.uint8)
-        grown[old], prefixes[old] = bwt, lcp
-        grown[put], prefixes[put] = ahead, up
-        prefixes[put[has_after] + 1] = down[has_after]
-        bwt, lcp = grown, prefixes
-        at[active] = np.where(more, put, -1)
-        left[active] -= 1
-        active = active[more]
-    return {"bwt": bwt, "lcp": lcp, "at": at, "left": left, "symbols": symbols, "starts": starts, "docs": docs}
+        prefixes = np.empty(len(old), np.uint8)
+        prefixes[old], prefixes[put] = lcp, up
+        prefixes[put[has_after] + 1] = down
+        lcp = prefixes
+        left[doc] -= 1
+        on = more[order]
+        doc, k = doc[order][on], k[on]
+    bwt = np.empty(len(keys), np.uint8)
+    bwt[keys & low] = keys >> 24
+    at = np.full(docs, -1)
+    at[doc] = keys[k] & low
+    return {**c, "bwt": bwt, "lcp": lcp, "at": at, "left": left}
 
 
 def repeated_suffixes(c: dict, common: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(suffix length, documents, flags): whether the suffix shares ``common``
     symbols with a neighbour. Every document walks from its end to its start."""
-    _, rank = _places(c["bwt"], c["docs"])
+    order = np.argsort(c["bwt"], kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
     near = c["lcp"] >= common
     flags = near.copy()
     flags[:-1] |= near[1:]
     at, docs, size = np.arange(c["docs"]), np.arange(c["docs"]), 0
     while len(docs):
         if size >= common:
-            yield size, docs, flags[at]
+            yield size, docs, flags[at] | c["twins"][docs]
         on = c["bwt"][at] != END
         docs, at, size = docs[on], c["docs"] + rank[at[on]], size + 1
 
@@ -209,22 +228,24 @@ def _digest(text: Column) -> Column:
 
 
 def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
-    """(t, text, copies): every distinct text once, in a table bucketed by its
-    digest with as many buckets as the session has shuffle partitions."""
+    """(id, t, text, copies): every distinct text once, in a table bucketed by
+    its digest with as many buckets as the session has shuffle partitions."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     one = rows.groupBy(_digest(F.col("text")).alias("t")).agg(
         F.first("text").alias("text"), F.least(F.count(F.lit(1)), F.lit(2)).cast("int").alias("copies"))
+    one = one.withColumn("id", F.monotonically_increasing_id())
     name, buckets = f"texts_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    one.write.bucketBy(buckets, "t").option("path", scratch_path(spark, name)).saveAsTable(name)
+    (one.write.bucketBy(buckets, "t").option("compression", "zstd").option("path", scratch_path(spark, name))
+     .saveAsTable(name))
     return spark.table(name)
 
 
 def anchors(texts: DataFrame, length: int, span: int) -> DataFrame:
-    """(t, copies, hash, at) of every run of every text."""
+    """(id, copies, hash, at) of every run of every text."""
     def frame(held: list) -> pd.DataFrame:
         n = [len(h) for _, _, h, _ in held]
-        return pd.DataFrame({"t": np.repeat(np.array([t for t, *_ in held], object), n),
+        return pd.DataFrame({"id": np.repeat(np.array([t for t, *_ in held], np.int64), n),
                              "copies": np.repeat(np.array([c for _, c, *_ in held], np.int32), n),
                              "hash": np.concatenate([h for _, _, h, _ in held]).view(np.int64),
                              "at": np.concatenate([a for *_, a in held])})
@@ -232,66 +253,101 @@ def anchors(texts: DataFrame, length: int, span: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, rows = [], 0
         for batch in batches:
-            for t, text, copies in zip(batch["t"], batch["text"], batch["copies"]):
+            for i, text, copies in zip(batch["id"], batch["text"], batch["copies"]):
                 for h, at, first, last in scan(text.encode(), length, span):
-                    held.append((t, copies, h, _pack(at, first, last)))
+                    held.append((i, copies, h, _pack(at, first, last)))
                     rows += len(h)
                 if rows >= ROWS:
                     yield frame(held)
                     held, rows = [], 0
         if held:
             yield frame(held)
-    return texts.select("t", "text", "copies").mapInPandas(run, "t binary, copies int, hash long, at long")
+    return texts.select("id", "text", "copies").mapInPandas(run, "id long, copies int, hash long, at long")
+
+
+def _beside(texts: DataFrame, lists: DataFrame) -> DataFrame:
+    """``lists`` (keyed by the text's id) beside the texts: only ids move, as
+    the texts lie in buckets of the digest that the second join is by."""
+    named = lists.join(texts.select("id", "t"), "id").drop("id")
+    return texts.join(named, "t")
+
+
+def _cut(data: bytes, packed: int, length: int, span: int) -> tuple[bytes, bytes, bytes, bytes]:
+    """A run's digest, its anchor's digest, its bytes before and behind the anchor."""
+    at, high, low = packed >> 16, packed >> 8 & 255, packed & 255
+    key = hashlib.md5(data[at:at + length - span]).digest()
+    left, right = data[at - high:at], data[at + length - span:at + length - low]
+    return hashlib.md5(key + bytes([high]) + left + right).digest(), key, left, right
 
 
 def occurrences(texts: DataFrame, found: DataFrame, length: int, span: int) -> DataFrame:
-    """(t, at, copies, run, key, left, right) of the runs whose anchor hash
-    occurs more than once: ``key`` is the anchor's digest, ``left`` and
-    ``right`` the run's bytes around it, ``run`` the digest of all three."""
+    """(id, at, copies, run, key) of the runs whose anchor hash occurs more
+    than once: the digests of the run and of its anchor."""
     often = found.groupBy("hash").agg(F.sum("copies").alias("n")).where("n > 1").select("hash")
-    wanted = found.join(often, "hash").groupBy("t").agg(F.collect_list("at").alias("ats"))
-    size, columns = length - span, ["t", "at", "copies", "run", "key", "left", "right"]
+    wanted = found.join(often, "hash").groupBy("id").agg(F.collect_list("at").alias("ats"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = []
+        for batch in batches:
+            for i, text, copies, ats in zip(batch["id"], batch["text"], batch["copies"], batch["ats"]):
+                data = text.encode()
+                rows += [(i, at, copies, *_cut(data, at, length, span)[:2]) for at in ats.tolist()]
+                if len(rows) >= ROWS:
+                    yield pd.DataFrame(rows, columns=["id", "at", "copies", "run", "key"])
+                    rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=["id", "at", "copies", "run", "key"])
+    return _beside(texts, wanted).select("id", "text", "copies", "ats").mapInPandas(
+        run, "id long, at long, copies int, run binary, key binary")
+
+
+def distinct_runs(seen: DataFrame, span: int) -> DataFrame:
+    """(run, key, n, id, at): every distinct run once, its number (2 stands
+    for all that is more) and one place to read it from."""
+    one = seen.groupBy("run").agg(F.first("key").alias("key"), F.least(F.sum("copies"), F.lit(2)).cast("int").alias("n"),
+                                  F.min(F.struct("id", "at")).alias("w"))
+    return one.select("run", "key", "n", "w.id", "w.at")
 
+
+def contents(texts: DataFrame, distinct: DataFrame, length: int, span: int) -> DataFrame:
+    """(run, key, left, right, n): distinct runs with their bytes around the anchor."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for batch in batches:
-            for t, text, copies, ats in zip(batch["t"], batch["text"], batch["copies"], batch["ats"]):
+            for text, places in zip(batch["text"], batch["places"]):
                 data = text.encode()
-                for packed in ats.tolist():
-                    at, high, low = packed >> 16, packed >> 8 & 255, packed & 255
-                    key = hashlib.md5(data[at:at + size]).digest()
-                    left, right = data[at - high:at], data[at + size:at + length - low]
-                    rows.append((t, packed, copies, hashlib.md5(key + bytes([high]) + left + right).digest(), key, left, right))
-                    if len(rows) >= ROWS:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows = []
+                rows += [(*_cut(data, p["at"], length, span), p["n"]) for p in places]
+                if len(rows) >= ROWS:
+                    yield pd.DataFrame(rows, columns=["run", "key", "left", "right", "n"])
+                    rows = []
         if rows:
-            yield pd.DataFrame(rows, columns=columns)
-    return texts.join(wanted, "t").select("t", "text", "copies", "ats").mapInPandas(
-        run, "t binary, at long, copies int, run binary, key binary, left binary, right binary")
+            yield pd.DataFrame(rows, columns=["run", "key", "left", "right", "n"])
+    lists = distinct.groupBy("id").agg(F.collect_list(F.struct("at", "n")).alias("places"))
+    return _beside(texts, lists).select("text", "places").mapInPandas(
+        run, "run binary, key binary, left binary, right binary, n int")
+
 
+def _piece() -> Column:
+    return F.unhex(F.md5(F.concat("key", F.unhex(F.lpad(F.hex(F.length("left")), 2, "0")), "left", "right")))
 
-def _pieces(contents: DataFrame, group: int, span: int) -> DataFrame:
-    """(run, key, left, right, n) with the runs of hot keys halved until no key
-    has more than ``group`` distinct rows. Keys that occur once are left out:
-    nothing in them repeats."""
-    todo = contents.withColumn("a", F.lit(0)).withColumn("b", F.lit(span))
+
+def split_hot(rows: DataFrame, group: int, span: int) -> DataFrame:
+    """(run, piece, key, left, right, n) of the ``rows`` (run, key, left, right,
+    n) of hot keys, halved until no key has more than ``group`` distinct rows.
+    Keys that occur once are left out: nothing in them repeats."""
+    todo = _halves(rows.withColumn("a", F.lit(0)).withColumn("b", F.lit(span)), span)
     done = []
     while True:
-        todo = written(todo, "suffix-pieces")
-        rows = todo.groupBy("key", "a", "b", "left", "right").agg(F.sum("n").alias("n"))
-        keys = written(rows.groupBy("key").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("rows")).where("all > 1"),
-                       "suffix-keys")
+        todo = written(todo.withColumn("piece", _piece()), "suffix-halves")
+        keys = todo.groupBy("key", "a", "b", "piece").agg(F.sum("n").alias("n")) \
+            .groupBy("key").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("rows"))
+        keys = written(keys.where("all > 1"), "suffix-keys")
         hot = (F.col("rows") > group) & (F.col("a") < F.col("b"))
         both = todo.join(keys, "key")
-        done.append(both.where(~hot).select("run", "key", "left", "right", "n"))
+        done.append(both.where(~hot).select("run", "piece", "key", "left", "right", "n"))
         if keys.where(F.col("rows") > group).isEmpty():
-            break
+            return reduce(DataFrame.unionByName, done)
         todo = _halves(both.where(hot), span)
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out
 
 
 def _halves(rows: DataFrame, span: int) -> DataFrame:
@@ -323,23 +379,17 @@ def _freeze(c: dict) -> bytes:
     return pickle.dumps({**c, "symbols": todo, "starts": starts})
 
 
-def collections(pieces: DataFrame, span: int, size: int = COLLECTION) -> DataFrame:
-    """(collection, runs, state) after round 0: whole keys dealt into
-    collections of about ``size`` bytes. ``runs`` names the documents."""
-    rows = pieces.groupBy("key", "left", "right").agg(F.least(F.sum("n"), F.lit(2)).alias("n"))
-    rows = written(rows, "suffix-rows")
-    total = rows.agg(F.sum((F.length("left") + F.length("right") + 4) * F.col("n"))).first()[0] or 0
-    count = max(1, -(-total // size))
-
+def collections(rows: DataFrame, count: int) -> DataFrame:
+    """(collection, runs, state) after round 0: the ``rows`` (piece, key, left,
+    right, n) dealt into ``count`` collections, whole keys each. ``runs`` names
+    the documents."""
     def start(frame: pd.DataFrame) -> pd.DataFrame:
-        number, docs, names = {}, [], []
-        for key, left, right, n in zip(frame["key"], frame["left"], frame["right"], frame["n"]):
+        number, docs = {}, []
+        for key, left, right in zip(frame["key"], frame["left"], frame["right"]):
             k = number.setdefault(key, len(number))
-            name = bytes([MARK, k // 62500 % 250, k // 250 % 250, k % 250])
-            docs += [left + name + right] * n
-            names += [hashlib.md5(key + bytes([len(left)]) + left + right).digest()] * n
-        return pd.DataFrame({"collection": frame["collection"].iloc[:1].tolist(), "runs": [names],
-                             "state": [_freeze(new_collection(docs))]})
+            docs.append(left + bytes([MARK, k // 62500 % 250, k // 250 % 250, k % 250]) + right)
+        return pd.DataFrame({"collection": frame["collection"].iloc[:1].tolist(), "runs": [frame["piece"].tolist()],
+                             "state": [_freeze(new_collection(docs, frame["n"] > 1))]})
     return rows.withColumn("collection", F.pmod(F.xxhash64("key"), F.lit(count))) \
         .groupBy("collection").applyInPandas(start, _STATE)
 
@@ -384,16 +434,30 @@ def repeated_places(state: DataFrame, span: int) -> DataFrame:
     return state.mapInPandas(run, "piece binary, sizes array<struct<a:int,b:int>>")
 
 
-def repeats(found: DataFrame, span: int, group: int = GROUP, columns: int = COLUMNS) -> DataFrame:
-    """(run, places): ranges of places of the anchor at which strings of the run repeat."""
-    contents = found.groupBy("run", "key", "left", "right").agg(F.least(F.sum("copies"), F.lit(2)).alias("n"))
-    pieces = written(_pieces(contents, group, span), "suffix-final")
-    state = written(collections(pieces, span), "suffix-pass")
-    for _ in range(-(-(2 * span + 4) // columns)):
+def repeats(texts: DataFrame, seen: DataFrame, length: int, span: int, group: int = GROUP, columns: int = COLUMNS,
+            size: int = COLLECTION) -> DataFrame:
+    """(run, a, b): ranges of places of the anchor at which strings of the run repeat."""
+    distinct = written(distinct_runs(seen, span), "suffix-distinct")
+    hot = written(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > group).select("key"),
+                  "suffix-hot")
+    low = F.col("at").bitwiseAND(F.lit(255)).cast("int")
+    cool = distinct.join(hot, "key", "left_anti")
+    rows = contents(texts, cool, length, span).withColumn("piece", F.col("run"))
+    named = cool.select("run", F.col("run").alias("piece"), (F.lit(span) - low).alias("behind"))
+    total = distinct.agg(F.sum(F.shiftright("at", 8).bitwiseAND(F.lit(255)) + F.lit(span + 4) - low)).first()[0] or 0
+    fields = ["piece", "key", "left", "right", "n"]
+    rows = rows.select(fields)
+    if not hot.isEmpty():
+        halves = split_hot(contents(texts, distinct.join(hot, "key", "left_semi"), length, span), group, span)
+        halves = written(halves, "suffix-split")
+        rows = rows.unionByName(halves.groupBy("piece", "key", "left", "right").agg(
+            F.least(F.sum("n"), F.lit(2)).cast("int").alias("n")).select(fields))
+        named = named.unionByName(halves.select("run", "piece", F.length("right").alias("behind")))
+    state = written(collections(rows, max(1, -(-total // size))), "suffix-pass")
+    passes = -(-(2 * span + 4) // columns)
+    for _ in range(passes - 1):
         state = written(_pass(state, columns), "suffix-pass")
-    places = written(repeated_places(state, span), "suffix-places")
-    named = pieces.select("run", F.unhex(F.md5(F.concat("key", F.unhex(F.lpad(F.hex(F.length("left")), 2, "0")), "left", "right")))
-                          .alias("piece"), F.length("right").alias("behind"))
+    places = written(repeated_places(_pass(state, columns), span), "suffix-places")
     # a suffix of s symbols holds the name, what is behind the anchor and the anchor's place
     place = lambda x: (x - F.col("behind") - F.lit(4)).cast("int")
     return (named.join(places, "piece").select("run", F.explode("sizes").alias("s"), "behind")
@@ -401,18 +465,18 @@ def repeats(found: DataFrame, span: int, group: int = GROUP, columns: int = COLU
 
 
 def text_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): the distinct texts and, per text digest, the byte ranges
+    """(texts, spans): the distinct texts and, per text id, the byte ranges
     (from, to) of repeated strings, overlapping ones not yet joined."""
     span = span_for(length)
     texts = distinct_texts(docs, text_col)
     found = written(anchors(texts, length, span), "suffix-anchors")
     seen = written(occurrences(texts, found, length, span), "suffix-runs")
-    hit = written(repeats(seen, span, group), "suffix-repeats")
+    hit = written(repeats(texts, seen, length, span, group), "suffix-repeats")
     at = F.shiftright("at", 16)
     high, low = F.shiftright("at", 8).bitwiseAND(F.lit(255)), F.col("at").bitwiseAND(F.lit(255))
-    spans = (seen.select("t", "at", "run").join(hit, "run").where((F.col("a") <= high) & (F.col("b") >= low))
-             .select("t", F.struct((at - F.least("b", high)).alias("a"), (at - F.greatest("a", low) + length).alias("b")).alias("s")))
-    return texts, spans.groupBy("t").agg(F.collect_list("s").alias("spans"))
+    spans = (seen.select("id", "at", "run").join(hit, "run").where((F.col("a") <= high) & (F.col("b") >= low))
+             .select("id", F.struct((at - F.least("b", high)).alias("a"), (at - F.greatest("a", low) + length).alias("b")).alias("s")))
+    return texts, spans.groupBy("id").agg(F.collect_list("s").alias("spans"))
 
 
 _RESULT = "t binary, n_bytes long, n_removed long, removed array<struct<a:long,b:long>>, kept binary, kept_sha256 string"
@@ -436,7 +500,8 @@ def clean_texts(texts: DataFrame, spans: DataFrame, with_text: bool = True) -> D
                 rows.append((t, len(data), len(data) - len(kept), [{"a": a, "b": b} for a, b in joined],
                              kept if with_text else None, hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(rows, columns=["t", "n_bytes", "n_removed", "removed", "kept", "kept_sha256"])
-    return texts.join(spans, "t", "left").select("t", "text", "spans").mapInPandas(run, _RESULT)
+    named = spans.join(texts.select("id", "t"), "id").drop("id")
+    return texts.join(named, "t", "left").select("t", "text", "spans").mapInPandas(run, _RESULT)
 
 
 def drop_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, group: int = GROUP,
