@@ -284,6 +284,8 @@ def occurrences(texts: DataFrame, found: DataFrame, length: int, span: int) -> D
     """(id, at, copies, run, key) of the runs whose anchor hash occurs more
     than once: the digests of the run and of its anchor."""
     often = found.groupBy("hash").agg(F.sum("copies").alias("n")).where("n > 1").select("hash")
+    # distinct hashes spread evenly; written, so that rows of a hot one are split at run time
+    often = written(often, "suffix-often").hint("shuffle_hash")
     wanted = found.join(often, "hash").groupBy("id").agg(F.collect_list("at").alias("ats"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
