@@ -59,20 +59,24 @@ def resolve_outcomes(log: DataFrame, resolved: DataFrame, actual_returns: DataFr
     todo = log.join(resolved.select("date"), "date", "left_anti").where(F.col("news_date").isNotNull())
     r = todo.join(actual_returns.select("news_date", "actual_pct_change"), "news_date", "inner") \
         .where(F.col("actual_pct_change").isNotNull())
-    actual = label_from_return(F.col("actual_pct_change"), flat)
+    return r.select(*outcome_columns(flat))
+
+
+def outcome_columns(flat: float = 0.3) -> list[Column]:
+    """The columns of an outcome, from a logged prediction beside its
+    ``actual_pct_change`` (all NULL but the prediction where that is NULL)."""
+    actual = F.when(F.col("actual_pct_change").isNotNull(), label_from_return(F.col("actual_pct_change"), flat))
     correct = (actual == F.col("prediction")).cast("int")
-    max_sim = F.array_max(F.transform(F.coalesce(F.col("similar"), F.array().cast(T.ArrayType(SIMILAR_ITEM))),
-                                      lambda e: F.coalesce(e["similarity"], F.lit(0.0))))
-    no_precedent = (F.size(F.coalesce(F.col("similar"), F.array().cast(T.ArrayType(SIMILAR_ITEM)))) == 0) | \
-        (max_sim < PRECEDENT_MIN)
-    main = (F.when(correct == 1, F.lit(None).cast("string"))
-            .when(no_precedent, F.lit("no_precedent"))
-            .otherwise(F.element_at(F.col("top_signals"), 1)["signal"]))
-    return r.select("date", F.col("prediction").alias("predicted"), actual.alias("actual_direction"),
-                    "actual_pct_change", correct.alias("correct"),
-                    F.when(correct == 1, F.lit(0.0)).otherwise(F.abs("actual_pct_change")).alias("error_magnitude"),
-                    main.alias("main_error_signal"),
-                    F.element_at(F.col("top_signals"), 1)["signal"].alias("judged_signal"), "news_date")
+    similar = F.coalesce(F.col("similar"), F.array().cast(T.ArrayType(SIMILAR_ITEM)))
+    max_sim = F.array_max(F.transform(similar, lambda e: F.coalesce(e["similarity"], F.lit(0.0))))
+    no_precedent = (F.size(similar) == 0) | (max_sim < PRECEDENT_MIN)
+    first = F.element_at(F.col("top_signals"), 1)["signal"]
+    main = (F.when(correct.isNull() | (correct == 1), F.lit(None).cast("string"))
+            .when(no_precedent, F.lit("no_precedent")).otherwise(first))
+    return [F.col("date"), F.col("prediction").alias("predicted"), actual.alias("actual_direction"),
+            F.col("actual_pct_change"), correct.alias("correct"),
+            F.when(correct == 1, F.lit(0.0)).otherwise(F.abs("actual_pct_change")).alias("error_magnitude"),
+            main.alias("main_error_signal"), F.when(correct.isNotNull(), first).alias("judged_signal"), F.col("news_date")]
 
 
 # ---------------------------------------------------------------- L6
@@ -165,7 +169,8 @@ def adjust_weights(outcomes: DataFrame, keys: list[str], date_col: str = "date",
                    signals=tuple(SIGNAL_FEATURES)) -> DataFrame:
     """Run the weight state machine over each key's outcomes in date
     order. A key starts from its row of ``stored`` (the keys and the columns
-    of STORED_STATE), else from weight 1.0 with zero counters. Outcomes
+    of STORED_STATE), else from weight 1.0 with zero counters; stored keys
+    without an outcome come back unchanged. Outcomes
     whose ``signal_col`` is NULL or not one of ``signals`` are skipped.
 
     Returns one row per key with the final state (weight, counters,
@@ -186,7 +191,8 @@ def adjust_weights(outcomes: DataFrame, keys: list[str], date_col: str = "date",
              "pd": F.lit(None).cast("double")}
     if stored is not None:
         s = stored.select(*keys, *[F.col(c).alias(f"_s_{f}") for c, f in STORED_STATE.items()])
-        hist = hist.join(s, keys, "left")
+        hist = hist.join(s, keys, "full").withColumn("_h", F.coalesce("_h", F.array().cast(
+            "array<struct<date:date,correct:int>>")))
         first = {f: F.coalesce(F.col(f"_s_{f}"), v) for f, v in first.items()}
     init = F.struct(*[v.alias(f) for f, v in first.items()], F.lit(0.0).alias("drift"),
                     F.array().cast(T.ArrayType(_LOG_ITEM)).alias("log")).cast(_STATE)

@@ -373,12 +373,16 @@ def _signal_outcomes(spark, sf_dir):
 
 
 def _stored_weights(spark, sf_dir):
-    """A stored state of the stock momentum signal for every second nation."""
-    n = st.table(spark, sf_dir, "nation").where(F.col("n_nationkey") % 2 == 0)
-    return n.select(F.col("n_name").alias("name"), F.lit("stock_momentum").alias("signal"),
-                    F.lit(0.7).alias("current_weight"), F.lit(1).alias("consecutive_wrong"),
-                    F.lit(0).alias("consecutive_correct"), F.lit(2).alias("wrong_since_adjustment"),
-                    F.lit(3).alias("correct_since_adjustment"), F.lit(1.4).alias("pre_decay_weight"))
+    """A stored state of the stock momentum signal for every second nation,
+    and of a signal without outcomes for every fifth."""
+    n = st.table(spark, sf_dir, "nation")
+
+    def rows(every: int, signal: str, *state) -> DataFrame:
+        return n.where(F.col("n_nationkey") % every == 0).select(
+            F.col("n_name").alias("name"), F.lit(signal).alias("signal"),
+            *[F.lit(x).cast(t).alias(c) for (c, f), x, t in zip(lr.STORED_STATE.items(), state,
+                                                              ["double", "int", "int", "int", "int", "double"])])
+    return rows(2, "stock_momentum", 0.7, 1, 0, 2, 3, 1.4).unionByName(rows(5, "day_of_week", 1.3, 2, 0, 4, 0, None))
 
 
 @query("signal_weights")
@@ -729,7 +733,7 @@ def q_in_flight(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 from tidings.streaming import ingest as sm  # noqa: E402
-from tidings.streaming import state as ss  # noqa: E402
+from tidings.streaming import resolution as rs  # noqa: E402
 
 
 def _scratch(spark, name):
@@ -808,23 +812,30 @@ def _file_stream(spark, df, name):
 
 @query("stream_outcomes")
 def q_stream_outcomes(spark, sf_dir):
-    """Outcomes as the actual returns arrive; equal to resolved_outcomes."""
+    """Predictions and returns both arrive as files, the later days'
+    returns before the predictions; equal to resolved_outcomes."""
     log, actual = _index_log(spark, sf_dir)
     log, sink = written(log, "prediction-log"), _scratch(spark, "outcomes")
-    sm.resolve_job(_file_stream(spark, actual, "actual"), log, sink, _scratch(spark, "outcomes-ckpt"),
-                   log.where(F.col("news_date") < F.lit("2024-01-05").cast("date"))).awaitTermination()
-    o = spark.read.parquet(sink).drop("batch")
+    rs.resolution_job(_file_stream(spark, log, "log"), _file_stream(spark, actual, "actual"), sink,
+                      _scratch(spark, "outcomes-ckpt"), log.where(F.col("news_date") < F.lit("2024-01-05").cast("date")),
+                      delay="60 days").awaitTermination()
+    o = spark.read.parquet(sink).where("actual_direction IS NOT NULL").drop("batch")
     return rounded(o.withColumn("date", iso(F.col("date"))).withColumn("news_date", iso(F.col("news_date"))),
                    {"actual_pct_change", "error_magnitude"})
 
 
 @query("stream_source_credibility")
 def q_stream_sources(spark, sf_dir):
-    """Credibility after the last batch; equal to source_credibility."""
-    sink = _scratch(spark, "credibility")
-    sm.credibility_job(_file_stream(spark, _index_outcomes(spark, sf_dir), "outcomes"), _routed(spark, sf_dir),
-                       st.INDEX_TICKER, sink, _scratch(spark, "credibility-ckpt")).awaitTermination()
-    return rounded(sm.latest_batch(spark, sink).withColumn("date", iso(F.col("date"))), {"accuracy_rate", "current_weight"})
+    """Running state per source over streams of outcomes and routed
+    articles; equal to source_credibility."""
+    sink, routed_dir = _scratch(spark, "credibility"), _scratch(spark, "routed-src")
+    routed = _routed(spark, sf_dir).select("ticker", "source", "published_at")
+    routed.write.parquet(routed_dir)
+    rs.credibility_state_job(_file_stream(spark, _index_outcomes(spark, sf_dir), "outcomes"),
+                             spark.readStream.schema(routed.schema).parquet(routed_dir), st.INDEX_TICKER, sink,
+                             _scratch(spark, "credibility-ckpt"), delay="60 days").awaitTermination()
+    r = sm.latest_rows(spark, sink, ["source_name", "date"])
+    return rounded(r.withColumn("date", iso(F.col("date"))), {"accuracy_rate", "current_weight"})
 
 
 @query("stream_retrain_check")
@@ -840,20 +851,17 @@ def q_stream_retrain(spark, sf_dir):
 @query("stream_signal_weights")
 def q_stream_weights(spark, sf_dir):
     """The weight state machine as a stateful stream over outcome files,
-    one per year, in the order of their names; final states equal the batch
-    fold from default weights."""
+    one per year, each second year before the one it follows; final states
+    equal the batch fold from the stored states."""
     src, sink, ckpt = _scratch(spark, "outc-src"), _scratch(spark, "w-sink"), _scratch(spark, "w-ckpt")
     o = _signal_outcomes(spark, sf_dir)
-    # one file per year, written in ascending order so that they arrive so
-    o.withColumn("year", F.year("date")).repartitionByRange("year").sortWithinPartitions("year", "date") \
-        .write.partitionBy("year").parquet(src)
-    schema = T.StructType([*o.schema.fields, T.StructField("year", T.IntegerType())])
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src).drop("year")
-    st_ = ss.weight_stream(stream, SIGNAL_KEYS)
-    sm.on_each_batch(st_, lambda b, e: b.write.mode("append").parquet(sink), ckpt, once=True,
-                     mode="update").awaitTermination()
-    final = lr.latest_by_key(spark.read.parquet(sink), SIGNAL_KEYS, "n_outcomes") \
-        .withColumn("n_outcomes", F.col("n_outcomes").cast("int"))
+    # the file source reads by time of writing: ranges of ``turn`` are written in ascending order
+    turn = F.year("date") + F.when(F.year("date") % 2 == 0, 1).otherwise(-1)
+    o.withColumn("turn", turn).repartitionByRange("turn").sortWithinPartitions("turn").write.partitionBy("turn").parquet(src)
+    schema = T.StructType([*o.schema.fields, T.StructField("turn", T.IntegerType())])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src).drop("turn")
+    rs.weight_state_job(stream, SIGNAL_KEYS, sink, ckpt, _stored_weights(spark, sf_dir), delay="1100 days").awaitTermination()
+    final = sm.latest_rows(spark, sink, SIGNAL_KEYS).withColumn("n_outcomes", F.col("n_outcomes").cast("int"))
     return rounded(final, {"current_weight", "pre_decay_weight", "drift"})
 
 

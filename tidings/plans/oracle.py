@@ -514,9 +514,10 @@ _CL = "least(greatest({x}, 0.2), 2.0)"
 
 
 _SIGNALS = ", ".join(sql_str(s) for s in SIGNAL_FEATURES)
-NO_STATE = "SELECT NULL AS name, NULL AS signal, 1.0 AS w, 0 AS cw, 0 AS cc, 0 AS wa, 0 AS ca, NULL AS pd WHERE false"
+NO_STATE = "SELECT NULL::VARCHAR AS name, NULL::VARCHAR AS signal, 1.0 AS w, 0 AS cw, 0 AS cc, 0 AS wa, 0 AS ca, NULL AS pd WHERE false"
 STORED_STATE = """SELECT n_name AS name, 'stock_momentum' AS signal, 0.7 AS w, 1 AS cw, 0 AS cc, 2 AS wa, 3 AS ca, 1.4 AS pd
-       FROM nation WHERE n_nationkey % 2 = 0"""
+       FROM nation WHERE n_nationkey % 2 = 0
+       UNION ALL SELECT n_name, 'day_of_week', 1.3, 2, 0, 4, 0, NULL FROM nation WHERE n_nationkey % 5 = 0"""
 
 
 def _fold_sql(source: str = "sig_outcomes", name: str = "name", stored: str = NO_STATE) -> str:
@@ -531,7 +532,8 @@ st AS (
          s.pd::DOUBLE AS pd, 0.0::DOUBLE AS drift,
          NULL::VARCHAR AS e1, NULL::DOUBLE AS b1, NULL::DOUBLE AS a1,
          NULL::VARCHAR AS e2, NULL::DOUBLE AS b2, NULL::DOUBLE AS a2
-  FROM o LEFT JOIN stored s ON s.name = o.name AND s.signal = o.signal
+  FROM (SELECT name, signal FROM o UNION SELECT name, signal FROM stored) o
+  LEFT JOIN stored s ON s.name = o.name AND s.signal = o.signal
   UNION ALL
   SELECT name, signal, k, date, w3, cw2, cc2, wa3, ca3, pd2, drift + abs(w2 - w0) + abs(w3 - w2),
          CASE WHEN dec THEN 'decay' WHEN res THEN 'restore' END, CASE WHEN dec OR res THEN w0 END,
@@ -869,7 +871,7 @@ SELECT CAST(CAST(published_at AS DATE) AS VARCHAR) AS day, topic, count(*) AS n_
                  * sentiment_confidence), 6) AS net_sentiment
 FROM news GROUP BY 1, 2"""
 
-ORACLE["stream_signal_weights"] = _learn_head(NO_STATE) + FINAL_STATE
+ORACLE["stream_signal_weights"] = ORACLE["signal_weights"]
 
 ORACLE["influential_headlines"] = _ROUT + """,
 s AS (SELECT *, sentiment_confidence * greatest(abs(CASE sentiment_label WHEN 'positive' THEN 1
