@@ -563,6 +563,7 @@ import uuid  # noqa: E402
 from tidings.session import cut_lineage, literal_table, scratch_path, written  # noqa: E402
 from tidings.sources import feeds as fd  # noqa: E402
 from tidings.sources import tables as tb  # noqa: E402
+from tidings.sources.buckets import BucketedTable  # noqa: E402
 
 
 @query("feed_roundtrip")
@@ -613,25 +614,36 @@ def _label_versions(spark, sf_dir):
     return target, updates
 
 
+def _label_table(spark, sf_dir):
+    """The labels as a bucketed table in the scratch folder, and the updates."""
+    t, u = _label_versions(spark, sf_dir)
+    table = BucketedTable(_scratch(spark, "labels"), t.schema, ("doc_id",), 16)
+    table.create(t)
+    return table, u
+
+
 @query("upsert_labels")
 def q_upsert(spark, sf_dir):
     """Label table after an upsert (last version wins per doc)."""
-    t, u = _label_versions(spark, sf_dir)
-    return tb.upsert(t, u, ["doc_id"], "version")
+    table, u = _label_table(spark, sf_dir)
+    table.upsert(u, "version")
+    return table.read(spark)
 
 
 @query("insert_ignore_labels")
 def q_insert_ignore(spark, sf_dir):
     """Existing labels win, new docs are added."""
-    t, u = _label_versions(spark, sf_dir)
-    return tb.insert_ignore(t, u, ["doc_id"])
+    table, u = _label_table(spark, sf_dir)
+    table.insert_ignore(u)
+    return table.read(spark)
 
 
 @query("patch_labels")
 def q_patch(spark, sf_dir):
     """Quality patched where a patch row exists."""
-    t, u = _label_versions(spark, sf_dir)
-    return tb.update_columns(t, u.select("doc_id", "quality"), ["doc_id"], ["quality"])
+    table, u = _label_table(spark, sf_dir)
+    table.patch(u, ["quality"])
+    return table.read(spark)
 
 
 @query("seed_signal_weights")
