@@ -854,7 +854,7 @@ def q_stream_sources(spark, sf_dir):
 def q_stream_retrain(spark, sf_dir):
     """The check after the last batch; equal to retrain_trigger."""
     sink = _scratch(spark, "retrain")
-    labeled = rt.labeled_news(_news(spark, sf_dir)).agg(F.count(F.lit(1)).alias("total_labeled"))
+    labeled = lambda: rt.labeled_news(_news(spark, sf_dir)).agg(F.count(F.lit(1)).alias("total_labeled"))
     sm.retrain_job(_file_stream(spark, _index_outcomes(spark, sf_dir), "outcomes"), labeled, LAST_RETRAIN, sink,
                    _scratch(spark, "retrain-ckpt")).awaitTermination()
     return rounded(sm.latest_batch(spark, sink), {"cumulative_weight_drift", "last_n_accuracy"})

@@ -20,12 +20,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidings.functions.columns import sentiment_sign
-from tidings.operators.learning import (adjust_weights, drift_since, last_n_accuracy, resolve_outcomes, retrain_trigger,
-                                        source_credibility)
+from tidings.operators.learning import adjust_weights, drift_since, last_n_accuracy, resolve_outcomes, retrain_trigger
 from tidings.operators.routing import labeled_news, route
 from tidings.operators.text import apply_label_rules
 from tidings.sources.feeds import FEED_SCHEMA, flatten_articles
 from tidings.sources.tables import first_by_key
+from tidings.streaming.digests import DigestIndex, append_unseen
 
 LATENESS = "2 days"
 
@@ -78,30 +78,24 @@ def store_batch(df: DataFrame, path: str, epoch: int) -> None:
     df.write.mode("overwrite").parquet(_batch_folder(path, epoch))
 
 
-KEY_SCHEMA = T.StructType([T.StructField("digest", T.StringType())])
-
-
 def append_batches(stream: DataFrame, sink: str, key: str, order: list[str], checkpoint: str,
                    once: bool = True, enrich: Callable[[DataFrame], DataFrame] | None = None,
                    every: str = "1 hour") -> StreamingQuery:
     """R2 (exact) + R5: each micro-batch keeps the first row per key
     (``order``) whose key was never stored, optionally enriches it (score,
     rules, routing) and appends it. ``sink`` is a Parquet folder with one
-    sub-folder per batch; the SHA-256 of every stored key is kept beside it,
-    so a batch is compared with digests, not with the stored texts. The
-    checkpoint makes a restarted job resume after the last committed batch."""
-    spark = stream.sparkSession
-    keys = f"{sink}-keys"
-    start_folder(spark, keys, KEY_SCHEMA)
+    sub-folder per batch; the SHA-256 of every stored key is kept beside it in
+    a ``DigestIndex``, so a batch reads the digest files that may hold one of
+    its keys, not the stored texts. The checkpoint makes a restarted job resume
+    after the last committed batch."""
+    index = DigestIndex(stream.sparkSession, f"{sink}-keys")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        digested = batch.withColumn("digest", F.sha2(F.col(key), 256))
-        seen = stored_batches(spark, keys, KEY_SCHEMA, epoch)
-        valid = digested.where(F.col(key).isNotNull() & (F.length(F.col(key)) > 0))
-        new = first_by_key(valid, ["digest"], order).join(seen, "digest", "left_anti")
-        store_batch(new.select("digest"), keys, epoch)
+        new = append_unseen(index, batch, key, epoch, lambda d: first_by_key(d, ["digest"], order)).persist()
         rows = new.select(*batch.columns)
         store_batch(rows if enrich is None else enrich(rows), sink, epoch)
+        index.add(new, epoch)
+        new.unpersist()
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**trigger_kwargs(once, every)).start())
@@ -148,13 +142,20 @@ def latest_rows(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
 
 
-def resolve_job(returns: DataFrame, log: DataFrame, sink: str, checkpoint: str, resolved: DataFrame | None = None,
+def _now(table):
+    """A table, or what a reader gives at this moment."""
+    return table() if callable(table) else table
+
+
+def resolve_job(returns: DataFrame, log: DataFrame | Callable[[], DataFrame], sink: str, checkpoint: str, resolved: DataFrame | None = None,
                 once: bool = True, every: str = "1 day") -> StreamingQuery:
     """Whenever actual returns (news_date, actual_pct_change) arrive,
     resolve the logged predictions that have no outcome yet, neither in
-    ``resolved`` nor in an earlier batch, and append their outcomes."""
-    spark = returns.sparkSession
-    schema = resolve_outcomes(log, log.select("date").limit(0), log.select(
+    ``resolved`` nor in an earlier batch, and append their outcomes. ``log`` is
+    a table or a reader that each batch calls. ``resolution.resolution_job``
+    takes the log as a stream of its own."""
+    spark, first = returns.sparkSession, _now(log)
+    schema = resolve_outcomes(first, first.select("date").limit(0), first.select(
         "news_date", F.lit(0.0).alias("actual_pct_change"))).schema
     start_folder(spark, sink, schema)
 
@@ -162,7 +163,7 @@ def resolve_job(returns: DataFrame, log: DataFrame, sink: str, checkpoint: str,
         known = stored_batches(spark, sink, schema, epoch).select("date")
         if resolved is not None:
             known = known.unionByName(resolved.select("date"))
-        store_batch(resolve_outcomes(log, known, batch), sink, epoch)
+        store_batch(resolve_outcomes(_now(log), known, batch), sink, epoch)
 
     return (returns.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**trigger_kwargs(once, every)).start())
@@ -189,20 +190,15 @@ def latest_batch(spark: SparkSession, sink: str) -> DataFrame:
     return rows.where(F.col("batch") == rows.agg(F.max("batch")).scalar()).drop("batch")
 
 
-def credibility_job(outcomes: DataFrame, routed: DataFrame, index_ticker: str, sink: str, checkpoint: str,
-                    **options) -> StreamingQuery:
-    """Source credibility after each batch of outcomes."""
-    return history_job(outcomes, lambda o: source_credibility(o, routed, index_ticker), sink, checkpoint, **options)
-
-
-def retrain_job(outcomes: DataFrame, labeled_count: DataFrame, last_retrain, sink: str, checkpoint: str,
+def retrain_job(outcomes: DataFrame, labeled_count: DataFrame | Callable[[], DataFrame], last_retrain, sink: str, checkpoint: str,
                 last_count: int = 0, **options) -> StreamingQuery:
-    """The retrain check after each batch of outcomes."""
+    """The retrain check after each batch of outcomes; ``labeled_count`` is
+    a table or a reader that each batch calls."""
     def check(o: DataFrame) -> DataFrame:
         state = adjust_weights(o.withColumnRenamed("judged_signal", "signal"), ["signal"])
         drift = drift_since(state, ["signal"], last_retrain) \
             .withColumn("last_retrain_headline_count", F.lit(last_count).cast("long"))
-        return retrain_trigger(drift, labeled_count, last_n_accuracy(o))
+        return retrain_trigger(drift, _now(labeled_count), last_n_accuracy(o))
     return history_job(outcomes, check, sink, checkpoint, **options)
 
 
