@@ -31,17 +31,21 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _held: list[np.ndarray] = []
+HELD = 1 << 18  # longer tables are not kept: they would stay in every worker
 
 
 def _powers(n: int) -> list[np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2^64: at least n; the
-    longest tables so far are kept."""
-    if not _held or len(_held[0]) < n:
-        up = np.full(n, ODD, np.uint64)
-        down = np.full(n, pow(int(ODD), -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        _held[:] = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
-    return _held
+    longest tables of at most ``HELD`` so far are kept."""
+    if _held and len(_held[0]) >= n:
+        return _held
+    up = np.full(n, ODD, np.uint64)
+    down = np.full(n, pow(int(ODD), -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    made = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
+    if n <= HELD:
+        _held[:] = made
+    return made
 
 
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -7,8 +7,10 @@ space begins and between a word and the stops after it. Texts are therefore
 cut there, short pieces are encoded once per worker by the library, and the
 ids are put together again. A piece that is one plain word is one pre-token,
 so the library's model gets it directly; others take the library's whole way.
-Texts that hold a special string go to it whole. The memo is bounded: long
-pieces are not kept, and it is emptied when full.
+Texts that hold a special string go to it whole. The memo is bounded by its
+bytes: long pieces are not kept, and when it is full it becomes the older of two
+generations, from which pieces that are used again come back, so the words of
+the language stay and those seen once go.
 """
 
 from __future__ import annotations
@@ -33,9 +35,14 @@ WORD_CHUNKS = f"[{LETTER}]+(?=[ \t\n\r.,;:!?]|\\Z)|[.,;:!?]+(?=[ \t\n\r]|\\Z)|[^
 #: Characters that may follow a word and are no part of a contraction.
 STOPS = ".,;:!?"
 
-MEMO_ENTRIES = 500_000
+#: Bytes of one generation of a memo (dictionary, pieces and ids): of the
+#: vocabulary that drops white space, and of the other, which the pipeline holds
+#: beside what its earlier stages have left.
+MEMO_BYTES = {True: 64 << 20, False: 16 << 20}
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
-MEMO_CHARS = 16
+MEMO_CHARS = 20
+#: What an entry takes besides its text and ids: two objects, a place in the dictionary.
+ENTRY_BYTES = 190
 
 
 def path_of(name: str) -> str:
@@ -57,18 +64,28 @@ class _Whole(Exception):
 
 
 class _Memo(dict):
-    """Ids of pieces; what is missing is computed, and kept if it is short."""
+    """Ids of pieces; what is missing is taken from the older generation or
+    computed, and kept if it is short."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, most: int):
         super().__init__()
-        self.compute = compute
+        self.compute, self.most, self.older, self.size = compute, most, {}, 0
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.compute(piece)
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.compute(piece)
         if len(piece) <= MEMO_CHARS:
             self[piece] = ids
+            self.size += ENTRY_BYTES + len(piece) + len(ids)
         return ids
 
+    def age(self) -> None:
+        """Between texts: a full generation becomes the older one."""
+        if self.size > self.most:
+            self.older, self.size = dict(self), 0
+            self.clear()
+
 
 class Encoder:
     """Encode texts to little-endian unsigned 32-bit ids, as bytes."""
@@ -88,8 +105,8 @@ class Encoder:
         self.lower = '"Lowercase"' in self.tokenizer.to_str()
         self.plain = re.compile(f"([{LETTER}]+)([{STOPS}]*)").fullmatch
         self.symbols = {b: s for b, s in enumerate(byte_symbols())}
-        self.chunk_ids = _Memo(self._library)  # as they stand
-        self.piece_ids = _Memo(self._piece)  # after a blank
+        self.chunk_ids = _Memo(self._library, MEMO_BYTES[words] // 2)  # as they stand
+        self.piece_ids = _Memo(self._piece, MEMO_BYTES[words])  # after a blank
 
     @classmethod
     def shared(cls, path: str, words: bool) -> Encoder:
@@ -145,7 +162,6 @@ class Encoder:
         out = []
         for t in texts:
             for memo in (self.chunk_ids, self.piece_ids):
-                if len(memo) > MEMO_ENTRIES:
-                    memo.clear()
+                memo.age()
             out.append(self._text(t) if t else b"")
         return out
