@@ -66,3 +66,12 @@ def test_folds_and_holdout_with_large_ids(spark):
     assert sorted(f) == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
     one = {r.id for r in ev.holdout(df, "id", 0.3).where("holdout = 1").collect()}
     assert len(one) == 3 and one == {r.id for r in ev.holdout(df.repartition(3), "id", 0.3).where("holdout = 1").collect()}
+
+
+def test_live_models_are_refused_with_a_reason(spark):
+    import datetime as dt
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    rows = lambda n, labels: spark.createDataFrame([(day(i), labels[i % len(labels)]) for i in range(n)], "date date, label string")
+    assert ev.refusal(rows(19, ["UP", "DOWN"])) == "only 19 labelled rows (< 20)"
+    assert ev.refusal(rows(40, ["UP"])) == "fewer than 2 classes in the train slice"
+    assert ev.refusal(rows(40, ["UP", "DOWN"])) is None

@@ -36,6 +36,16 @@ def test_restart_neither_loses_nor_repeats(spark, tmp_path):
     assert _run(spark, base) == ["a", "b", "c", "d"]
 
 
+def test_batches_count_themselves(spark, tmp_path):
+    base = str(tmp_path)
+    _feed(f"{base}/src", "1", ["a", "b", "a", ""])
+    _run(spark, base)
+    _feed(f"{base}/src", "2", ["b", "c", "", ""])
+    _run(spark, base)
+    got = {r.batch: (r.fetched, r.skipped, r.inserted, r.duplicates) for r in sm.ingest_counters(spark, f"{base}/sink").collect()}
+    assert got == {0: (4, 1, 2, 1), 1: (4, 2, 1, 1)}
+
+
 def test_watermark_drops_repeats(spark, tmp_path):
     rows = [("a", dt.datetime(2024, 1, 1)), ("a", dt.datetime(2024, 1, 2)), ("b", dt.datetime(2024, 1, 1))]
     df = spark.createDataFrame(rows, "headline string, published_ts timestamp")

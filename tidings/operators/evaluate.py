@@ -164,6 +164,11 @@ def split_guard(parts: DataFrame, label: str, min_rows: int = MIN_ROWS) -> DataF
     return a.select(reason.isNull().cast("int").alias("ok"), reason.alias("reason"), "rows", "train", "test", "classes")
 
 
+def refusal(labelled: DataFrame, label: str = "label", date_col: str = "date", min_rows: int = LIVE_MIN_ROWS) -> str | None:
+    """Why no model may be trained on these rows, or None."""
+    return split_guard(time_split(labelled, date_col), label, min_rows).first()["reason"]
+
+
 def training_guard(df: DataFrame, label: str, min_rows: int = MIN_ROWS) -> DataFrame:
     """One row (ok, reason): at least ``min_rows`` labelled rows and at
     least two classes."""

@@ -745,6 +745,7 @@ def q_in_flight(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 from tidings.streaming import ingest as sm  # noqa: E402
+from tidings.streaming.digests import DigestIndex  # noqa: E402
 from tidings.streaming import resolution as rs  # noqa: E402
 
 
@@ -772,6 +773,21 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.parquet(sink).select(F.sha2(F.col("headline"), 256).alias("text_sha256"))
 
 
+@query("stream_ingest_stats")
+def q_stream_stats(spark, sf_dir):
+    """A22 on the stream: counters observed per batch, over a sink whose index
+    holds the stored articles already; equal to ingest_stats."""
+    src, sink, ckpt = _scratch(spark, "stats-src"), _scratch(spark, "stats-sink"), _scratch(spark, "stats-ckpt")
+    stored, batch = _stored_and_batch(spark, sf_dir)
+    batch.select("id", "body").repartition(2).write.parquet(src)
+    DigestIndex(spark, f"{sink}-keys").add(stored.select(F.sha2("body", 256).alias("digest")).dropna().distinct(), -1)
+    stream = spark.readStream.schema(batch.select("id", "body").schema).option("maxFilesPerTrigger", 1).parquet(src)
+    sm.append_batches(stream, sink, "body", ["id"], ckpt).awaitTermination()
+    held = stored.agg(F.count(F.lit(1)).alias("held")).scalar()
+    sums = [F.sum(c).alias(c) for c in ("fetched", "skipped", "inserted", "duplicates")]
+    return sm.ingest_counters(spark, sink).agg(*sums).withColumn("total", F.col("inserted") + held)
+
+
 def _news_stream(spark, sf_dir):
     """The articles as a file stream, with the digest of the text as id."""
     src = _scratch(spark, "news-src")
@@ -899,11 +915,13 @@ def _labelled_split(spark, sf_dir):
 @query("boosted_direction_model")
 def q_boosted(spark, sf_dir):
     """M8 + M13: one-vs-rest boosted trees fitted on the train part of the
-    time split; predictions for the test part."""
+    time split; predictions for the test part, none if the guard refuses (M14)."""
     p = _labelled_split(spark, sf_dir)
     train, test = p.where(F.col("part") == "train"), p.where(F.col("part") == "test")
-    m = md.train_boosted(train)
-    out = md.predict(m, test)
+    if ev.split_guard(p, "label").first()["ok"]:
+        out = md.predict(md.train_boosted(train), test)
+    else:
+        out = test.limit(0).withColumn("predicted_label", F.lit(None).cast("string"))
     return out.select("ticker", iso(F.col("date")).alias("date"), "sector", "label", "predicted_label")
 
 
@@ -919,8 +937,10 @@ def q_importance(spark, sf_dir):
 def q_live(spark, sf_dir):
     """M9 + M10 + M11 + O9: the signal-weighted model fitted on resolved
     rows scores the in-flight rows: direction, confidence and top 3 signals,
-    ranked by confidence."""
+    ranked by confidence. No rows if the guard refuses (M14)."""
     ds = _model_input(spark, sf_dir)
+    if ev.refusal(ds.where(F.col("label").isNotNull())):
+        return spark.createDataFrame([], "ticker string, date string, predicted_label string, confidence double, top_signal string")
     m = md.train_weighted(ds.where(F.col("label").isNotNull()))
     scored = md.contributions(m, md.predict(m, ds.where(F.col("label").isNull())))
     return scored.select("ticker", iso(F.col("date")).alias("date"), "predicted_label",

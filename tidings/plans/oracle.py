@@ -249,16 +249,16 @@ TOPICS = "topics(topic, sector) AS (VALUES " + ", ".join(
     f"({sql_str(t)}, {sql_str(s)})" for t, s in TOPIC_SECTORS) + ")"
 
 MATCHES = r"""
-raw_matches AS (
+raw_matches AS MATERIALIZED (
   SELECT n.id, d.ticker, d.name, d.sector,
          length(regexp_extract(n.body, '(?s)^(.*?(?:^|' || '""" + NW + r"""' || '))(?i:' || d.pat || ')(?:'
                 || '""" + NW + r"""' || '|$)', 1)) + 1 AS start,
          length(d.name) AS len
   FROM news n, dict d
-  WHERE d.sector <> 'Index'
+  WHERE d.sector <> 'Index' AND contains(lower(n.body), lower(d.name))
     AND regexp_matches(n.body, '(?i)(?:^|' || '""" + NW + r"""' || ')(?:' || d.pat || ')(?:' || '""" + NW + r"""'
                        || '|$)')),
-matches AS (
+matches AS MATERIALIZED (
   SELECT a.id, a.ticker, a.name, a.sector, a.start, a.start + a.len AS "end" FROM raw_matches a
   WHERE NOT EXISTS (
     SELECT 1 FROM raw_matches b
@@ -268,6 +268,9 @@ matches AS (
 ORACLE["term_matches"] = with_(NEWS, DICT, MATCHES) + """
 SELECT id AS article_id, ticker, CAST(start AS INTEGER) AS start, CAST("end" AS INTEGER) AS "end" FROM matches"""
 
+#: Terms are sought in labelled articles alone where only those are routed.
+LABELED_MATCHES = MATCHES.replace("FROM news n, dict d", "FROM (SELECT * FROM news WHERE sentiment_label IS NOT NULL) n, dict d")
+
 ROUTED = """
 labeled AS (SELECT * FROM news WHERE sentiment_label IS NOT NULL),
 by_name AS (
@@ -285,12 +288,12 @@ by_topic AS (
   WHERE NOT EXISTS (SELECT 1 FROM matches m WHERE m.id = f.article_id AND m.ticker = f.ticker)),
 routed AS (SELECT * FROM by_name UNION ALL SELECT * FROM by_topic)"""
 
-ORACLE["routed_events"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED) + """
+ORACLE["routed_events"] = with_(NEWS, DICT, TOPICS, LABELED_MATCHES, ROUTED) + """
 SELECT article_id, headline, topic, source, strftime(published_at, '%Y-%m-%d') AS published_at, sentiment_label,
        round(sentiment_confidence, 6) AS sentiment_confidence, ticker, company_name, sector, matched_via
 FROM routed"""
 
-ORACLE["routing_summary"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED) + """
+ORACLE["routing_summary"] = with_(NEWS, DICT, TOPICS, LABELED_MATCHES, ROUTED) + """
 SELECT 'matched_via' AS dimension, matched_via AS value, count(*) AS n_rows, count(DISTINCT article_id) AS n_articles
 FROM routed GROUP BY 2
 UNION ALL
@@ -298,7 +301,7 @@ SELECT 'sector', sector, count(*), count(DISTINCT article_id) FROM routed GROUP
 UNION ALL
 SELECT 'sentiment_label', sentiment_label, count(*), count(DISTINCT article_id) FROM routed GROUP BY 2"""
 
-ORACLE["unrouted_articles"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED) + """
+ORACLE["unrouted_articles"] = with_(NEWS, DICT, TOPICS, LABELED_MATCHES, ROUTED) + """
 SELECT id, topic, source FROM labeled WHERE id NOT IN (SELECT article_id FROM routed)"""
 
 # ---------------------------------------------------------------- features
@@ -801,7 +804,7 @@ SELECT DISTINCT signal AS signal_name, CAST(1.0 AS DOUBLE) AS current_weight, 0
 FROM sig_outcomes"""
 
 # ---------------------------------------------------------------- views
-_ROUT = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED)
+_ROUT = with_(NEWS, DICT, TOPICS, LABELED_MATCHES, ROUTED)
 
 ORACLE["sentiment_by_day"] = _ROUT + """
 SELECT CAST(CAST(published_at AS DATE) AS VARCHAR) AS day,
@@ -890,10 +893,11 @@ FROM events GROUP BY event_type"""
 
 ORACLE["stream_dedup_watermark"] = ORACLE["stream_ingest"]
 ORACLE["stream_outcomes"] = ORACLE["resolved_outcomes"]
+ORACLE["stream_ingest_stats"] = ORACLE["ingest_stats"]
 ORACLE["stream_source_credibility"] = ORACLE["source_credibility"]
 ORACLE["stream_retrain_check"] = ORACLE["retrain_trigger"]
 
-ORACLE["stream_routed"] = with_(NEWS, DICT, TOPICS, MATCHES, ROUTED) + """,
+ORACLE["stream_routed"] = with_(NEWS, DICT, TOPICS, LABELED_MATCHES, ROUTED) + """,
 f AS (SELECT arg_min(id, (published_at, source, topic, sentiment_confidence)) AS id FROM labeled WHERE length(body) > 0 GROUP BY body)
 SELECT sha256(r.headline) AS text_sha256, r.source, r.ticker, r.sector, r.matched_via
 FROM routed r JOIN f ON r.article_id = f.id"""

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -87,20 +87,38 @@ def append_batches(stream: DataFrame, sink: str, key: str, order: list[str], che
     sub-folder per batch; the SHA-256 of every stored key is kept beside it in
     a ``DigestIndex``, so a batch reads the digest files that may hold one of
     its keys, not the stored texts. The checkpoint makes a restarted job resume
-    after the last committed batch."""
-    index = DigestIndex(stream.sparkSession, f"{sink}-keys")
+    after the last committed batch.
+
+    A22: rows fetched, skipped (empty key) and inserted are observed while the
+    batch is written and stored beside it (``ingest_counters``)."""
+    spark = stream.sparkSession
+    index = DigestIndex(spark, f"{sink}-keys")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        new = append_unseen(index, batch, key, epoch, lambda d: first_by_key(d, ["digest"], order)).persist()
+        seen, kept = Observation(), Observation()
+        empty = F.col(key).isNull() | (F.length(F.col(key)) == 0)
+        read = batch.observe(seen, F.count(F.lit(1)).alias("fetched"), F.count_if(empty).alias("skipped"))
+        new = append_unseen(index, read, key, epoch, lambda d: first_by_key(d, ["digest"], order))
+        new = new.observe(kept, F.count(F.lit(1)).alias("inserted")).persist()
         rows = new.select(*batch.columns)
         store_batch(rows if enrich is None else enrich(rows), sink, epoch)
         index.add(new, epoch)
+        counts = [*seen.get.values(), *kept.get.values()]
+        store_batch(spark.createDataFrame([tuple(map(int, counts))], "fetched long, skipped long, inserted long").coalesce(1),
+                    f"{sink}-counters", epoch)
         new.unpersist()
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**trigger_kwargs(once, every)).start())
 
 
+def ingest_counters(spark: SparkSession, sink: str) -> DataFrame:
+    """Per batch of ``append_batches`` the rows fetched, skipped, inserted
+    and duplicate; no article is read."""
+    return spark.read.parquet(f"{sink}-counters").withColumn(
+        "duplicates", F.col("fetched") - F.col("skipped") - F.col("inserted"))
+
+
 def enrich_chain(dim: DataFrame, topic_map: DataFrame, index_ticker: str, text: str = "headline",
                  score: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame], DataFrame]:
     """Score, correct by the label rules, route. ``score`` adds
