@@ -265,11 +265,12 @@ def anchors(texts: DataFrame, length: int, span: int) -> DataFrame:
     return texts.select("id", "text", "copies").mapInPandas(run, "id long, copies int, hash long, at long")
 
 
-def _beside(texts: DataFrame, lists: DataFrame) -> DataFrame:
+def _beside(texts: DataFrame, lists: DataFrame, how: str = "inner") -> DataFrame:
     """``lists`` (keyed by the text's id) beside the texts: only ids move, as
-    the texts lie in buckets of the digest that the second join is by."""
+    the texts lie in buckets of the digest that the second join is by. The
+    short lists of a bucket are hashed, so its texts need no sort."""
     named = lists.join(texts.select("id", "t"), "id").drop("id")
-    return texts.join(named, "t")
+    return texts.join(named.hint("shuffle_hash"), "t", how)
 
 
 def _cut(data: bytes, packed: int, length: int, span: int) -> tuple[bytes, bytes, bytes, bytes]:
@@ -462,7 +463,7 @@ def repeats(texts: DataFrame, seen: DataFrame, length: int, span: int, group: in
     places = written(repeated_places(_pass(state, columns), span), "suffix-places")
     # a suffix of s symbols holds the name, what is behind the anchor and the anchor's place
     place = lambda x: (x - F.col("behind") - F.lit(4)).cast("int")
-    return (named.join(places, "piece").select("run", F.explode("sizes").alias("s"), "behind")
+    return (named.join(places.hint("shuffle_hash"), "piece").select("run", F.explode("sizes").alias("s"), "behind")
             .select("run", place(F.col("s.a")).alias("a"), place(F.col("s.b")).alias("b")))
 
 
@@ -476,7 +477,7 @@ def text_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gr
     hit = written(repeats(texts, seen, length, span, group), "suffix-repeats")
     at = F.shiftright("at", 16)
     high, low = F.shiftright("at", 8).bitwiseAND(F.lit(255)), F.col("at").bitwiseAND(F.lit(255))
-    spans = (seen.select("id", "at", "run").join(hit, "run").where((F.col("a") <= high) & (F.col("b") >= low))
+    spans = (seen.select("id", "at", "run").join(hit.hint("shuffle_hash"), "run").where((F.col("a") <= high) & (F.col("b") >= low))
              .select("id", F.struct((at - F.least("b", high)).alias("a"), (at - F.greatest("a", low) + length).alias("b")).alias("s")))
     return texts, spans.groupBy("id").agg(F.collect_list("s").alias("spans"))
 
@@ -502,8 +503,7 @@ def clean_texts(texts: DataFrame, spans: DataFrame, with_text: bool = True) -> D
                 rows.append((t, len(data), len(data) - len(kept), [{"a": a, "b": b} for a, b in joined],
                              kept if with_text else None, hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(rows, columns=["t", "n_bytes", "n_removed", "removed", "kept", "kept_sha256"])
-    named = spans.join(texts.select("id", "t"), "id").drop("id")
-    return texts.join(named, "t", "left").select("t", "text", "spans").mapInPandas(run, _RESULT)
+    return _beside(texts, spans, "left").select("t", "text", "spans").mapInPandas(run, _RESULT)
 
 
 def drop_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, group: int = GROUP,
