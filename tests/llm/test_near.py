@@ -223,3 +223,14 @@ def test_frequencies_are_exact_and_scale_with_the_corpus(spark, monkeypatch):
     scaled = np.log(101 / (1 + np.maximum(1, n / 10))) / np.log(101)
     found = weightedhash.shingle_frequencies(df)
     assert np.allclose(found.of(one), scaled, atol=1e-6) and len(found.h) == (n > 10).sum()
+
+
+def test_every_row_of_repeated_ids_stays(spark):
+    """Rows of one id are vectors of their own; very large and small components link."""
+    rows = [(7, [1.0, 0.0, 1.0]), (7, [1.0, 0.01, 1.0]), (8, None), (8, [1e200, 0.0, 1e200]), (9, [1e-200, 0.0, 1e-200]),
+            (9, [0.0, 1.0, 0.0]), (5, [0.0, 1.0, 0.1]), (None, [1.0, 0.0, 1.0]), (8, [0.0, 0.0, 0.0]), (6, [5e-324, 0.0, 5e-324])]
+    got = multiindex.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect()
+    assert sorted((r.vec_id is None, r.vec_id or 0, r.n_links, r.component_id or 0) for r in got) == sorted([
+        (False, 7, 4, 6), (False, 7, 4, 6), (False, 8, 4, 6), (False, 9, 4, 6), (False, 6, 4, 6),
+        (False, 8, 0, 8), (False, 8, 0, 8), (False, 9, 1, 5), (False, 5, 1, 5), (True, 0, 0, 0)])
+    assert {(r.vec_id, r.kept) for r in got if r.n_links} == {(7, False), (8, False), (9, False), (6, True), (5, True)}
