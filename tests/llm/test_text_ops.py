@@ -200,3 +200,27 @@ def test_title_and_lead_beside_the_body_stay(spark):
     for r in got:
         host = r.url[7:-5]
         assert r.text == (cases[host][1] if host in cases else whole if r.page_id == 99 else plain), (host, r.page_id)
+
+
+def test_names_only_vote(spark):
+    """Wrappers whose names hold a listed word keep the article; named boilerplate
+    goes by its links, its words or its host's pages."""
+    long = "Words of the article that this page alone has, number {0}, in its own place. "
+    text = "<p>" + long + "</p><p>" + long * 2 + "</p>"
+    wrappers = ["<div class='content has-sidebar'>{}</div>", "<div class='elementor-widget-container'>{}</div>",
+                "<div id='page' class='site menu-open'>{}</div>", "<section class='social-policy'>{}</section>",
+                "<div class='wrap has-sidebar'><article>{}</article></div>", "<div class='sidebar'><article>{}</article></div>",
+                "<div class='widget'>{}</div>"]
+    rows = [(k, f"http://w{k}.org/", page(w.format(text.format(k)))) for k, w in enumerate(wrappers)]
+    whole = lambda k: long.format(k).strip() + "\n" + (long * 2).format(k).strip()
+    want = {k: whole(k) for k in range(len(wrappers))}
+    parts = ("<blockquote class='social-quote'>A quote of {0}.</blockquote>", "<div class='share-box'><a href='/'>Share this</a> now</div>",
+             "<div class='promo-box'>Buy our book, 3 left.</div>", "<div class='comment-list'><p>" + long * 3 + "</p></div>", "<div class='ad'>Buy {0}</div>")
+    for k in range(100, 106):
+        word = "abcdef"[k - 100]
+        rows.append((k, "http://host.org/x", page("<article>" + text.format(k) + "".join(parts).format(word) + "</article>")))
+        want[k] = whole(k) + f"\nA quote of {word}."
+    rows += [rows[-1]] * 9  # copies of one page do not make its quote boilerplate
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, host string, paths string")
+    got = [(r.page_id, r.text) for r in hostpaths.extract_text(df.repartition(3)).collect()]
+    assert len(got) == len(rows) and dict(got) == want
