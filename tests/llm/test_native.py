@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidings.llm import linefreq, mixing
+from tidings.llm import langid, linefreq, mixing
 from tidings.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -118,8 +118,26 @@ def test_line_frequency_against_brute_force(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     want, got = con.sql(ORACLE[name]).df(), QUERIES[name](spark, SF).toPandas()
     cols = sorted(got.columns)
-    want, got = (x[cols].sort_values(["doc_id"]).reset_index(drop=True) for x in (want, got))
+    key = "vec_id" if "vec_id" in cols else "doc_id"
+    want, got = (x[cols].sort_values([key]).reset_index(drop=True) for x in (want, got))
     pd.testing.assert_frame_equal(want, got, check_dtype=False)
+
+
+def test_clashing_names_of_columns(spark):
+    """Working columns never replace or meet the input's own."""
+    rows = [(k, f"menu\nown line {k}", "h", 1, 2, 3, 4) for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _host int, HOST int, _flagged int, kept int")
+    out = linefreq.drop_boilerplate(df).collect()
+    assert {(r.text, r.n_dropped, r["_host"], r["HOST"], r["_flagged"], r["kept"]) for r in out} == \
+        {(f"own line {k}", 1, 1, 2, 3, 4) for k in range(30)}
+    train = spark.createDataFrame([("the cat sat on the mat and the dog", "en"), ("der hund und die katze auf der matte", "de")], "text string, lang string")
+    prototypes = langid.train(train)
+    odd = spark.createDataFrame([(1, "the dog and the cat", "a", 1, "b", 2.0, 3)],
+                                "doc_id long, text string, _found string, judged int, lang_pred string, score double, Size int")
+    assert [tuple(r) for r in langid.accepted(odd, prototypes).collect()] == [(1, "the dog and the cat", "a", 1, "b", 2.0, 3)]
+    one = langid.identify(odd, prototypes).first()
+    assert (one.lang_pred, one["_found"], one.judged, one["Size"]) == ("en", "a", 1, 3)

@@ -26,7 +26,9 @@ few n-grams prove little, and the shorter a text, the more passes.
 
 Null texts and texts without a letter are ``und`` with score 0. So is every
 text when no training row has a language. Ties go to the language that sorts
-first. Rows are judged one by one, so repeated rows and ids do not matter.
+first. Rows are judged one by one, so repeated rows and ids do not matter; an
+empty table gives an empty result. Very long texts are bundled in slices. Other
+columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidings.llm.names import unused
+
 UNKNOWN = "und"
 DIMS = 512
 NGRAM = 3
@@ -168,10 +172,11 @@ def identify(docs: DataFrame, prototypes: list[tuple[str, np.ndarray]], text_col
         for texts in batches:
             yield judge(texts.tolist())
 
-    added = {lang_col: F.col("_found.lang"), score_col: F.col("_found.score")}
+    judged, = unused([*docs.columns, lang_col, score_col, size_col or ""], "judged")
+    added = {lang_col: F.col(judged)["lang"], score_col: F.col(judged)["score"]}
     if size_col:
-        added[size_col] = F.col("_found.size")
-    return docs.drop(*added).withColumn("_found", predict(F.col(text_col))).withColumns(added).drop("_found")
+        added[size_col] = F.col(judged)["size"]
+    return docs.withColumn(judged, predict(F.col(text_col))).drop(*added).withColumns(added).drop(judged)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -195,13 +200,14 @@ def accepted(docs: DataFrame, prototypes: list[tuple[str, np.ndarray]], text_col
     """The documents in one of the languages: with a letter, and as close to a
     prototype as their size lets expect of the language's texts. ``least`` has
     the floors; a language without one asks ``LEAST``."""
-    found = identify(docs, prototypes, text_col, "_lang", "_score", "_size")
+    guess, score, size = unused(docs.columns, "lang_pred", "score", "size")
+    found = identify(docs, prototypes, text_col, guess, score, size)
     floor = F.lit(LEAST)
     if least:
         items = sorted(least.items())
-        floor = F.when(F.col("_lang") == items[0][0], items[0][1])
+        floor = F.when(F.col(guess) == items[0][0], items[0][1])
         for lang, value in items[1:]:
-            floor = floor.when(F.col("_lang") == lang, value)
+            floor = floor.when(F.col(guess) == lang, value)
         floor = floor.otherwise(LEAST)
-    clear = F.col("_score") >= floor * F.sqrt("_size") - CHANCE
-    return found.where((F.col("_lang") != UNKNOWN) & clear).select(*docs.columns)
+    clear = F.col(score) >= floor * F.sqrt(size) - CHANCE
+    return found.where((F.col(guess) != UNKNOWN) & clear).select(*docs.columns)

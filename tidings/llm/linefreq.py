@@ -15,7 +15,9 @@ one task, as one row per map task.
 
 Blank lines are never counted or dropped. Lines are compared without outer
 blanks. Null hosts form one host; null text stays null and counts as a
-page without lines; repeated rows count as separate pages.
+page without lines; repeated rows count as separate pages. Very long texts
+are split within their row. An empty table gives an empty result. Other columns
+stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidings.llm.names import unused
 from tidings.session import written
 
 RATIO = 0.1
@@ -53,12 +56,13 @@ def drop_boilerplate(pages: DataFrame, host_col: str = "source", text_col: str =
     """The input's columns with the text cleaned, then n_lines and n_dropped.
     Input columns of those two names are replaced."""
     flagged = written(boilerplate(pages, host_col, text_col, ratio, min_pages, min_count), "line-frequency")
-    flagged = flagged.select(F.col("host").alias("_host"), F.col("flagged").alias("_flagged"))
-    out = pages.drop("n_lines", "n_dropped").join(flagged, F.col(host_col).eqNullSafe(F.col("_host")), "left")
+    pages = pages.drop("n_lines", "n_dropped")
+    host, marked, kept = unused(pages.columns + ["n_lines", "n_dropped"], "host", "flagged", "kept")
+    flagged = flagged.select(F.col("host").alias(host), F.col("flagged").alias(marked))
+    out = pages.join(flagged, F.col(host_col).eqNullSafe(F.col(host)), "left")
     lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("_flagged"), _digest(x)))
-    keep = [c for c in out.columns if c not in ("_host", "_flagged")]
-    return (out.withColumn("_kept", F.when(F.col("_flagged").isNotNull(), kept).otherwise(lines))
-            .select(*[F.array_join("_kept", "\n").alias(c) if c == text_col else F.col(c) for c in keep],
+    left = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(marked), _digest(x)))
+    return (out.withColumn(kept, F.when(F.col(marked).isNotNull(), left).otherwise(lines))
+            .select(*[F.array_join(kept, "\n").alias(c) if c == text_col else F.col(c) for c in pages.columns],
                     F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
-                    F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).alias("n_dropped")))
+                    F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).alias("n_dropped")))
