@@ -1,8 +1,16 @@
 """TF-IDF weights and cosine similarity as relational operators (M5-M7),
 plus a skew-safe per-group top-k (O5-O7).
 
-A text's vector is built where it is read. Blocks of document vectors meet the
-query vectors as a stream; only the best documents leave a task.
+For each query's own best documents (O7) a stated set of queries meets blocks
+of document vectors as a stream. The best documents for any of many queries
+(M6) come from an inverted index. Terms have one order, rarest first. A first
+pass scores each query against the heaviest documents of its strongest terms;
+the k-th best score found is a floor. A pair can only reach the floor if the
+first term it shares is early enough in both vectors: what is left of the query
+from there on, with the largest weight of each term in any document, must reach
+it, and so must the product of the norms of what is left of both. Postings are
+kept under such terms alone, and a query meets only the documents under its own
+terms: the work follows the postings, not queries times documents.
 """
 
 from __future__ import annotations
@@ -15,13 +23,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.functions.stopwords import ENGLISH_STOP_WORDS
-from tidings.session import literal_table
+from tidings.session import literal_table, written
 
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"  # tokens of at least two word characters
 MAX_TERMS = 2000
 TOP_K = 3
 MIN_CORPUS = 5
-DOC_BLOCK = 4096  # documents that meet the queries in one task
+DOC_BLOCK = 4096  # documents (of a term) that meet queries in one group
+CHAMPIONS = 4  # heaviest documents per term, for the floors
+PROBES = 3  # strongest terms of a query, whose champions give its floor
+SLACK = 1e-9  # scores are compared by 10 decimals
 CHUNK = 1024  # documents that are dense at once
 
 
@@ -78,11 +89,62 @@ def _best(q: np.ndarray, c: np.ndarray, similarity: np.ndarray, k: int) -> pd.Da
             .drop(columns="r"))
 
 
+def _left_norm(x: np.ndarray) -> np.ndarray:
+    """The norm of a vector from each of its places on."""
+    return np.sqrt(np.cumsum((x * x)[::-1])[::-1])
+
+
+def champions(docs: DataFrame, per_term: int = CHAMPIONS) -> DataFrame:
+    """(c, at, x) -> (t, c, w, at, x): the ``per_term`` documents with the
+    largest weight of each term. A task passes on its own best alone."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
+        for b in batches:
+            b = b[b["at"].map(len) > 0]
+            if not len(b):
+                continue
+            row = np.repeat(np.arange(len(b)), b["at"].map(len))
+            now = pd.DataFrame({"t": np.concatenate(b["at"].tolist()), "w": np.concatenate(b["x"].tolist()), "row": row})
+            now = now.sort_values(["t", "w"], ascending=[True, False]).groupby("t").head(per_term)
+            now = b.iloc[now["row"]].reset_index(drop=True).assign(t=now["t"].to_numpy(np.int32), w=now["w"].to_numpy())
+            best = now if best is None else pd.concat([best, now], ignore_index=True)
+            best = best.sort_values(["t", "w", "c"], ascending=[True, False, True]).groupby("t").head(per_term)
+        if best is not None:
+            yield best[["t", "c", "w", "at", "x"]]
+
+    types = {f.name: f.dataType.simpleString() for f in docs.schema}
+    held = docs.select("c", "at", "x").mapInPandas(run, f"t int, c {types['c']}, w double, at array<int>, x array<double>")
+    return top_k_per_group(held, ["t"], [F.col("w").desc(), F.col("c").asc()], per_term).drop("rank")
+
+
+def _floor(asked: DataFrame, heavy: DataFrame, most: np.ndarray, k: int) -> float:
+    """No more than the k-th best score that a document has with any query; 0
+    when fewer documents are known."""
+    def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(t=[at[np.argsort(-x * most[at], kind="stable")[:PROBES]] for at, x in zip(b["at"], b["x"])])
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sims = []
+            for at, x, c_at, c_x in zip(b["at"], b["x"], b["c_at"], b["c_x"]):
+                _, i, j = np.intersect1d(at, c_at, assume_unique=True, return_indices=True)
+                sims.append(float(x[i] @ c_x[j]))
+            yield pd.DataFrame({"c": b["c"], "similarity": sims})
+
+    c_type = heavy.schema["c"].dataType.simpleString()
+    probed = asked.select("at", "x").mapInPandas(probes, "at array<int>, x array<double>, t array<int>")
+    met = (probed.withColumn("t", F.explode("t"))
+           .join(heavy.select("t", "c", F.col("at").alias("c_at"), F.col("x").alias("c_x")), "t")
+           .mapInPandas(score, f"c {c_type}, similarity double"))
+    best = met.groupBy("c").agg(F.max("similarity").alias("s")).orderBy(F.col("s").desc()).limit(k).collect()  # k numbers
+    return min(r["s"] for r in best) - SLACK if len(best) == k else 0.0
+
+
 def best_matches(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str, c_id: str, c_text: str, k: int,
-                 per_query: bool, max_terms: int = MAX_TERMS, n_docs: int | None = None) -> DataFrame:
+                 max_terms: int = MAX_TERMS, n_docs: int | None = None) -> DataFrame:
     """Candidates for the ``k`` most similar documents: per block of documents
-    the best k of each query (``per_query``: query, document, similarity), or
-    the best k by the maximum over the queries (document, similarity).
+    the best k of each query (query, document, similarity).
 
     Documents are dealt into blocks of about ``DOC_BLOCK`` vectors; every query
     vector goes to every block, after the block's documents, and is multiplied
@@ -104,20 +166,11 @@ def best_matches(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str,
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held, whole, top = None, [], None, None
-
-        def best_of_block() -> pd.DataFrame | None:
-            if per_query or whole is None or not (top > 0).any():
-                return None
-            return _best(np.zeros((top > 0).sum(), np.int32), whole["c"].to_numpy()[top > 0], top[top > 0], k)
-
+        key, held, whole = None, [], None
         for batch in batches:
             for block, b in batch.groupby("block", sort=False):
                 if block != key:
-                    last = best_of_block()
-                    if last is not None:
-                        yield last
-                    key, held, whole, top = block, [], None, None
+                    key, held, whole = block, [], None
                 if (b["kind"] == 0).any():
                     held.append(b[b["kind"] == 0])
                 b = b[b["kind"] == 1]
@@ -125,27 +178,129 @@ def best_matches(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str,
                     continue
                 if whole is None:
                     whole = pd.concat(held)
-                    top = np.zeros(len(whole))
                 ids, matrix, found = b["q"].to_numpy(), _dense(b, len(idf)), []
                 for at in range(0, len(whole), CHUNK):
                     part = whole.iloc[at:at + CHUNK]
                     sims = matrix @ _dense(part, len(idf)).T
-                    if not per_query:
-                        top[at:at + CHUNK] = np.maximum(top[at:at + CHUNK], sims.max(axis=0, initial=0.0))
-                        continue
                     rounded = sims.round(10)
                     least = np.partition(rounded, -min(k, len(part)), axis=1)[:, -min(k, len(part))]
                     i, j = np.nonzero((sims > 0) & (rounded >= least[:, None]))  # ties at the last place stay
                     found.append((ids[i], part["c"].to_numpy()[j], sims[i, j]))
                 if found:
                     yield _best(*[np.concatenate(x) for x in zip(*found)], k)
-        last = best_of_block()
+
+    found = (docs.unionByName(asked).repartition("block").sortWithinPartitions("block", "kind")
+             .mapInPandas(score, f"q {q_type}, c {c_type}, similarity double"))
+    return found.select(F.col("q").alias(q_id), F.col("c").alias(c_id), "similarity")
+
+
+def best_of_any(queries: DataFrame, corpus: DataFrame, q_text: str, c_id: str, c_text: str, k: int,
+                max_terms: int = MAX_TERMS, n_docs: int | None = None) -> DataFrame:
+    """Candidates that hold the ``k`` documents most similar to any query, by the
+    maximum over the queries (document, similarity), a row each.
+
+    A term's documents are dealt into groups of about ``DOC_BLOCK`` vectors;
+    the queries under the term follow them as a stream and are multiplied in
+    batches. A pair is scored from the group's term on, which is its whole
+    score at the first term it shares; elsewhere less, so the maximum counts.
+    Only the best ``k`` of a group leave it. The driver holds numbers per term
+    of the vocabulary (``max_terms``); no text, query or pair reaches it.
+    """
+    n = n_docs if n_docs is not None else corpus.count()
+    # rarest terms first: a term's place is its order
+    vocab = vocabulary(corpus, c_text, max_terms, n).select("term", "idf", "df").orderBy("df", "term").toPandas()
+    index, idf = {t: i for i, t in enumerate(vocab["term"])}, vocab["idf"].to_numpy(np.float64)
+    c_type = corpus.schema[c_id].dataType.simpleString()
+    # the other side's id is a filler that is not null: whole numbers stay whole in pandas
+    docs = _vectors(corpus.select(F.lit(0).alias("q"), F.col(c_id).alias("c"), F.lit(0).alias("kind"),
+                                  tokens(F.coalesce(c_text, F.lit(""))).alias("w")), index, idf)
+    docs = written(docs.where(F.size("at") > 0), "similar-documents")
+    asked = _vectors(queries.select(F.lit(0).alias("q"), F.lit(0).cast(c_type).alias("c"), F.lit(1).alias("kind"),
+                                    tokens(F.coalesce(q_text, F.lit(""))).alias("w")), index, idf)
+    asked = written(asked.where(F.size("at") > 0).distinct(), "similar-queries")
+    heavy = written(champions(docs), "similar-champions")  # at most CHAMPIONS rows a term
+    top = heavy.groupBy("t").agg(F.max("w").alias("w")).toPandas()
+    most = np.zeros(len(idf))
+    most[top["t"]] = top["w"]
+
+    def under_terms(b: pd.DataFrame, keep) -> pd.DataFrame:
+        """A row for each place that ``keep`` (places, values, norms from each
+        place on) keeps: its term, and the vector from there on."""
+        row, terms, places, values, need = [], [], [], [], []
+        for r, (at, x) in enumerate(zip(b["at"], b["x"])):
+            left = _left_norm(x)
+            for i in np.flatnonzero(keep(at, x, left)):
+                row.append(r)
+                terms.append(at[i])
+                places.append(at[i:])
+                values.append(x[i:])
+                need.append(floor / left[i])
+        out = b[["c", "kind"]].iloc[row].reset_index(drop=True)
+        return out.assign(at=pd.Series(places, dtype=object), x=pd.Series(values, dtype=object),
+                          t=np.array(terms, np.int32), need=np.array(need, np.float64))
+
+    def query_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def keep(at, x, left):
+            return np.minimum(np.cumsum((x * most[at])[::-1])[::-1], left) + SLACK >= floor
+        for b in batches:
+            yield under_terms(b, keep)
+
+    shape = f"c {c_type}, kind int, at array<int>, x array<double>, t int, need double"
+    floor = _floor(asked, heavy, most, k)
+    asked = written(asked.mapInPandas(query_terms, shape), "similar-asked")
+    # a document's norm from the term on that the least demanding query under it asks
+    least = asked.groupBy("t").agg(F.min("need").alias("need")).toPandas()
+    needs = np.full(len(idf), np.inf)
+    needs[least["t"]] = least["need"]
+
+    def doc_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield under_terms(b, lambda at, x, left: left + SLACK >= needs[at])
+
+    docs = written(docs.mapInPandas(doc_terms, shape), "similar-postings")
+    parts = docs.groupBy("t").agg(F.ceil(F.count(F.lit(1)) / DOC_BLOCK).cast("int").alias("parts"))
+    parts = written(parts, "similar-parts")  # at most one row per term
+    dealt = (docs.join(parts, "t").withColumn("part", F.pmod(F.xxhash64("c", "at", "x"), F.col("parts")).cast("int"))
+             .unionByName(asked.join(parts, "t")
+                          .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+             .drop("parts"))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held, whole, top = None, [], None, None
+
+        def best_of_group() -> pd.DataFrame | None:
+            if whole is None or not (top > 0).any():
+                return None
+            return _best(np.zeros((top > 0).sum(), np.int32), whole["c"].to_numpy()[top > 0], top[top > 0], k)
+
+        for batch in batches:
+            for group, b in batch.groupby(["t", "part"], sort=False):
+                if group != key:
+                    last = best_of_group()
+                    if last is not None:
+                        yield last
+                    key, held, whole, top = group, [], None, None
+                if (b["kind"] == 0).any():
+                    held.append(b[b["kind"] == 0])
+                b = b[b["kind"] == 1]
+                if not len(b) or not held:
+                    continue
+                if whole is None:
+                    whole = pd.concat(held)
+                    top = np.zeros(len(whole))
+                first = group[0]
+                matrix = _dense(b, len(idf))[:, first:]
+                for at in range(0, len(whole), CHUNK):
+                    part = whole.iloc[at:at + CHUNK]
+                    sims = matrix @ _dense(part, len(idf))[:, first:].T
+                    top[at:at + CHUNK] = np.maximum(top[at:at + CHUNK], sims.max(axis=0, initial=0.0))
+        last = best_of_group()
         if last is not None:
             yield last
 
-    found = (docs.unionByName(asked).repartition("block").sortWithinPartitions("block", "kind")
-             .mapInPandas(score, f"q {q_type if per_query else 'int'}, c {c_type}, similarity double"))
-    return found.select(*([F.col("q").alias(q_id)] if per_query else []), F.col("c").alias(c_id), "similarity")
+    found = (dealt.repartition("t", "part").sortWithinPartitions("t", "part", "kind")
+             .mapInPandas(score, f"q int, c {c_type}, similarity double"))
+    return found.groupBy("c").agg(F.max("similarity").alias("similarity")).withColumnRenamed("c", c_id)
 
 
 def top_k_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int, salt_col: Column | None = None,
@@ -173,8 +328,7 @@ def similar_docs(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str,
     n_docs = corpus.count()
     if n_docs < min_corpus:
         return corpus.sparkSession.createDataFrame([], f"{c_id} long, similarity double, rank int")
-    best = best_matches(queries, corpus, q_id, q_text, c_id, c_text, k, False, max_terms, n_docs) \
-        .groupBy(c_id).agg(F.max("similarity").alias("similarity"))
+    best = best_of_any(queries, corpus, q_text, c_id, c_text, k, max_terms, n_docs)
     key = [F.round("similarity", 10).desc(), F.col(c_id).asc()]
     return best.orderBy(*key).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*key)).cast("int"))
 
@@ -182,6 +336,6 @@ def similar_docs(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str,
 def similar_per_query(queries: DataFrame, corpus: DataFrame, q_id: str, q_text: str, c_id: str, c_text: str,
                       k: int = TOP_K, max_terms: int = MAX_TERMS) -> DataFrame:
     """For every query its ``k`` most similar corpus documents (> 0)."""
-    sims = best_matches(queries, corpus, q_id, q_text, c_id, c_text, k, True, max_terms)
+    sims = best_matches(queries, corpus, q_id, q_text, c_id, c_text, k, max_terms)
     return top_k_per_group(sims, [q_id], [F.round("similarity", 10).desc(), F.col(c_id).asc()], k,
                            salt_col=F.xxhash64(F.col(c_id)))
