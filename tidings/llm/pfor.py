@@ -51,6 +51,33 @@ def _bit_length(x: np.ndarray) -> np.ndarray:
     return np.frexp(x.astype(np.float64))[1].astype(np.uint8)
 
 
+def _overlaps(w: int) -> list[tuple[int, int, int]]:
+    """Eight values of ``w`` bits fill ``w`` bytes, high bits first: (value, byte,
+    left shift of the value into the byte) wherever both share bits."""
+    return [(j, k, 8 * (k + 1) - (j + 1) * w) for j in range(8) for k in range(j * w // 8, -(-(j + 1) * w // 8))]
+
+
+def _pack(values: np.ndarray, w: int) -> np.ndarray:
+    """(blocks, BLOCK) -> (blocks, bytes): the low ``w`` bits of each value."""
+    word = "u4" if w <= 24 else "u8"
+    v = values.astype(word, copy=False).reshape(-1, 8) & np.array((1 << w) - 1, word)
+    v = np.ascontiguousarray(v.T)
+    out = np.zeros((w, v.shape[1]), "u1")
+    for j, k, shift in _overlaps(w):
+        out[k] |= (v[j] << shift if shift >= 0 else v[j] >> -shift).astype("u1")
+    return np.ascontiguousarray(out.T).reshape(len(values), -1)
+
+
+def _unpack(packed: np.ndarray, w: int) -> np.ndarray:
+    """The inverse of ``_pack``."""
+    word = "u4" if w <= 24 else "u8"
+    p = np.ascontiguousarray(packed.reshape(-1, w).T).astype(word)
+    out = np.zeros((8, p.shape[1]), word)
+    for j, k, shift in _overlaps(w):
+        out[j] |= p[k] >> shift if shift >= 0 else p[k] << -shift
+    return (out & np.array((1 << w) - 1, word)).T.reshape(len(packed), BLOCK).astype("u4")
+
+
 def pack_blocks(ids: np.ndarray) -> list[bytes]:
     """Sections of the blocks of a frame: minimum, width, number of
     exceptions, start, payload, exception places, exception bits."""
@@ -72,10 +99,7 @@ def pack_blocks(ids: np.ndarray) -> list[bytes]:
     for w in np.unique(width):
         if w:
             which = np.flatnonzero(width == w)
-            big = rest[which].astype(">u2" if w <= 16 else ">u4")
-            size = big.dtype.itemsize * 8
-            bits = np.unpackbits(big.view("u1").reshape(len(which), BLOCK, size // 8), axis=2)[:, :, size - w:]
-            packed = np.packbits(bits.reshape(len(which), -1), axis=1)
+            packed = _pack(rest[which], int(w))
             payload[start[which].astype("i8")[:, None] + np.arange(packed.shape[1])] = packed
     return [x.tobytes() for x in (low.astype("<u4"), width, np.bincount(row, minlength=n).astype("<u2"),
                                   start[:-1].astype("<u4"), payload, place.astype("<u2"), over[row, place].astype("<u4"))]
@@ -88,10 +112,7 @@ def unpack_blocks(n_ids: int, low, width, n_over, start, payload, place, bits) -
         if w:
             which = np.flatnonzero(width == w)
             packed = payload[start[which].astype("i8")[:, None] + np.arange(int(w) * BLOCK // 8)]
-            size = 16 if w <= 16 else 32
-            wide = np.zeros((len(which), BLOCK, size), "u1")
-            wide[:, :, size - w:] = np.unpackbits(packed, axis=1).reshape(len(which), BLOCK, w)
-            grid[which] = np.packbits(wide, axis=2).view(f">u{size // 8}")[:, :, 0]
+            grid[which] = _unpack(packed, int(w))
     row = np.repeat(np.arange(n), n_over)
     grid[row, place] |= bits << width[row].astype("u4")
     return (grid + low[:, None]).reshape(-1)[:n_ids]
