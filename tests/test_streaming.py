@@ -46,6 +46,16 @@ def test_batches_count_themselves(spark, tmp_path):
     assert got == {0: (4, 1, 2, 1), 1: (4, 2, 1, 1)}
 
 
+def test_batches_without_new_rows_count_themselves(spark, tmp_path):
+    base = str(tmp_path)
+    for name, titles in [("1", [""]), ("2", ["a"]), ("3", ["a", "a"]), ("4", ["", ""]), ("5", ["b"])]:
+        _feed(f"{base}/src", name, titles)
+        got = _run(spark, base)
+    assert got == ["a", "b"]
+    got = {r.batch: (r.fetched, r.skipped, r.inserted, r.duplicates) for r in sm.ingest_counters(spark, f"{base}/sink").collect()}
+    assert got == {0: (1, 1, 0, 0), 1: (1, 0, 1, 0), 2: (2, 0, 0, 2), 3: (2, 2, 0, 0), 4: (1, 0, 1, 0)}
+
+
 def test_watermark_drops_repeats(spark, tmp_path):
     rows = [("a", dt.datetime(2024, 1, 1)), ("a", dt.datetime(2024, 1, 2)), ("b", dt.datetime(2024, 1, 1))]
     df = spark.createDataFrame(rows, "headline string, published_ts timestamp")

@@ -775,7 +775,7 @@ def q_stream_ingest(spark, sf_dir):
 
 @query("stream_ingest_stats")
 def q_stream_stats(spark, sf_dir):
-    """A22 on the stream: counters observed per batch, over a sink whose index
+    """A22 on the stream: counters per batch, over a sink whose index
     holds the stored articles already; equal to ingest_stats."""
     src, sink, ckpt = _scratch(spark, "stats-src"), _scratch(spark, "stats-sink"), _scratch(spark, "stats-ckpt")
     stored, batch = _stored_and_batch(spark, sf_dir)
