@@ -121,3 +121,24 @@ def test_queries_stay_in_spark(spark, monkeypatch, per_query):
     got = run(asked, corpus, "q", "text", "d", "text", max_terms=20).selectExpr("* except (similarity)", "round(similarity, 9)")
     assert max(map(len, rows)) <= 20
     assert sorted(map(str, got.collect())) == want and len(want) == (2100 if per_query else 3)
+
+
+def test_best_of_any_moves_a_document_once(spark, monkeypatch):
+    import random
+    rnd, held = random.Random(3), {}
+    words = [f"word{i}" for i in range(80)]
+    rows = [(i, " ".join(rnd.sample(words, 25))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    asked = spark.createDataFrame([(i, " ".join(rnd.sample(words, 25))) for i in range(30)], "q long, text string")
+    real = sim.written
+
+    def spy(df, name):
+        out = real(df, name)
+        held[name] = out.count()
+        return out
+    monkeypatch.setattr(sim, "written", spy)
+    monkeypatch.setattr(sim, "ANY_BLOCK", 50, raising=False)
+    got = [(r.id, round(r.similarity, 9)) for r in sim.similar_docs(asked, docs, "q", "text", "id", "text").orderBy("rank").collect()]
+    best = sim.best_matches(asked, docs, "q", "text", "id", "text", len(rows)).groupBy("id").max("similarity").collect()
+    assert got == sorted(((r[0], round(r[1], 9)) for r in best), key=lambda r: (-r[1], r[0]))[:3]
+    assert max(n for name, n in held.items() if name != "similar-champions") <= len(rows)

@@ -8,9 +8,10 @@ pass scores each query against the heaviest documents of its strongest terms;
 the k-th best score found is a floor. A pair can only reach the floor if the
 first term it shares is early enough in both vectors: what is left of the query
 from there on, with the largest weight of each term in any document, must reach
-it, and so must the product of the norms of what is left of both. Postings are
-kept under such terms alone, and a query meets only the documents under its own
-terms: the work follows the postings, not queries times documents.
+it, and so must the product of the norms of what is left of both. Documents
+without such a term are left out; the others are dealt into blocks, once each,
+and postings are kept under such terms alone, inside a block: vectors are not
+copied per term, and a query meets only the documents under its own terms.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ TOKEN_PATTERN = r"(?U)\b\w\w+\b"  # tokens of at least two word characters
 MAX_TERMS = 2000
 TOP_K = 3
 MIN_CORPUS = 5
-DOC_BLOCK = 4096  # documents (of a term) that meet queries in one group
+DOC_BLOCK = 4096  # documents that meet queries in one group
+ANY_BLOCK = 16384  # documents that the queries of best_of_any meet in one group
+DENSE_ROW = 32  # making a dense row costs as much as so many products with one
 CHAMPIONS = 4  # heaviest documents per term, for the floors
 PROBES = 3  # strongest terms of a query, whose champions give its floor
 SLACK = 1e-9  # scores are compared by 10 decimals
@@ -199,12 +202,14 @@ def best_of_any(queries: DataFrame, corpus: DataFrame, q_text: str, c_id: str, c
     """Candidates that hold the ``k`` documents most similar to any query, by the
     maximum over the queries (document, similarity), a row each.
 
-    A term's documents are dealt into groups of about ``DOC_BLOCK`` vectors;
-    the queries under the term follow them as a stream and are multiplied in
-    batches. A pair is scored from the group's term on, which is its whole
-    score at the first term it shares; elsewhere less, so the maximum counts.
-    Only the best ``k`` of a group leave it. The driver holds numbers per term
-    of the vocabulary (``max_terms``); no text, query or pair reaches it.
+    Documents that can reach the floor are dealt, once each, into blocks of
+    about ``ANY_BLOCK`` vectors; the queries that can reach it follow them as a
+    stream. In a block queries and documents meet under the terms that both keep
+    (a pair is scored from the term on, which is its whole score at the first
+    term it shares; elsewhere less, so the maximum counts), or all with all
+    where that is less work. Only the best ``k`` of a block leave it. The driver
+    holds numbers per term of the vocabulary (``max_terms``); no text, query or
+    pair reaches it.
     """
     n = n_docs if n_docs is not None else corpus.count()
     # rarest terms first: a term's place is its order
@@ -223,82 +228,95 @@ def best_of_any(queries: DataFrame, corpus: DataFrame, q_text: str, c_id: str, c
     most = np.zeros(len(idf))
     most[top["t"]] = top["w"]
 
-    def under_terms(b: pd.DataFrame, keep) -> pd.DataFrame:
-        """A row for each place that ``keep`` (places, values, norms from each
-        place on) keeps: its term, and the vector from there on."""
-        row, terms, places, values, need = [], [], [], [], []
-        for r, (at, x) in enumerate(zip(b["at"], b["x"])):
-            left = _left_norm(x)
-            for i in np.flatnonzero(keep(at, x, left)):
-                row.append(r)
-                terms.append(at[i])
-                places.append(at[i:])
-                values.append(x[i:])
-                need.append(floor / left[i])
-        out = b[["c", "kind"]].iloc[row].reset_index(drop=True)
-        return out.assign(at=pd.Series(places, dtype=object), x=pd.Series(values, dtype=object),
-                          t=np.array(terms, np.int32), need=np.array(need, np.float64))
-
-    def query_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def keep(at, x, left):
-            return np.minimum(np.cumsum((x * most[at])[::-1])[::-1], left) + SLACK >= floor
+    terms = len(idf)
+    floor = _floor(asked, heavy, most, k)
+
+    def query_keeps(at, x, left):
+        return np.minimum(np.cumsum((x * most[at])[::-1])[::-1], left) + SLACK >= floor
+
+    def needed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        need = np.full(terms, np.inf)
         for b in batches:
-            yield under_terms(b, keep)
+            for at, x in zip(b["at"], b["x"]):
+                left = _left_norm(x)
+                kept = query_keeps(at, x, left)
+                need[at[kept]] = np.minimum(need[at[kept]], floor / left[kept])
+        t = np.flatnonzero(np.isfinite(need))
+        yield pd.DataFrame({"t": t.astype(np.int32), "need": need[t]})
 
-    shape = f"c {c_type}, kind int, at array<int>, x array<double>, t int, need double"
-    floor = _floor(asked, heavy, most, k)
-    asked = written(asked.mapInPandas(query_terms, shape), "similar-asked")
     # a document's norm from the term on that the least demanding query under it asks
-    least = asked.groupBy("t").agg(F.min("need").alias("need")).toPandas()
-    needs = np.full(len(idf), np.inf)
+    least = asked.select("at", "x").mapInPandas(needed, "t int, need double").groupBy("t").agg(F.min("need").alias("need")).toPandas()
+    needs = np.full(terms, np.inf)
     needs[least["t"]] = least["need"]
 
-    def doc_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield under_terms(b, lambda at, x, left: left + SLACK >= needs[at])
-
-    docs = written(docs.mapInPandas(doc_terms, shape), "similar-postings")
-    parts = docs.groupBy("t").agg(F.ceil(F.count(F.lit(1)) / DOC_BLOCK).cast("int").alias("parts"))
-    parts = written(parts, "similar-parts")  # at most one row per term
-    dealt = (docs.join(parts, "t").withColumn("part", F.pmod(F.xxhash64("c", "at", "x"), F.col("parts")).cast("int"))
-             .unionByName(asked.join(parts, "t")
-                          .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
-             .drop("parts"))
+    def doc_keeps(at, x, left):
+        return left + SLACK >= needs[at]
+
+    def reaching(keep):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield b[np.array([keep(at, x, _left_norm(x)).any() for at, x in zip(b["at"], b["x"])], bool)]
+        return run
+
+    shape = f"c {c_type}, kind int, at array<int>, x array<double>"
+    docs = written(docs.select("c", "kind", "at", "x").mapInPandas(reaching(doc_keeps), shape), "similar-reaching")
+    asked = asked.select("c", "kind", "at", "x").mapInPandas(reaching(query_keeps), shape)
+    left_docs, cores = docs.count(), corpus.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-left_docs // ANY_BLOCK), min(cores, -(-left_docs // CHUNK)))
+    dealt = (docs.withColumn("block", F.pmod(F.xxhash64("c", "at", "x"), F.lit(blocks)).cast("int"))
+             .unionByName(asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))))
+
+    def under(b: pd.DataFrame, keep) -> dict[int, np.ndarray]:
+        """The rows that keep each term."""
+        kept = [at[keep(at, x, _left_norm(x))] for at, x in zip(b["at"], b["x"])]
+        t, row = np.concatenate(kept), np.repeat(np.arange(len(b)), [len(x) for x in kept])
+        order = np.argsort(t, kind="stable")
+        places, starts = np.unique(t[order], return_index=True)
+        return dict(zip(places.tolist(), np.split(row[order], starts[1:])))
+
+    def meet(asked: pd.DataFrame, whole: pd.DataFrame, rows: np.ndarray | None, first: int, top: np.ndarray) -> None:
+        matrix = _dense(asked, terms)[:, first:]
+        rows = np.arange(len(whole)) if rows is None else rows
+        for at in range(0, len(rows), CHUNK):
+            some = rows[at:at + CHUNK]
+            sims = matrix @ _dense(whole.iloc[some], terms)[:, first:].T
+            top[some] = np.maximum(top[some], sims.max(axis=0, initial=0.0))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, held, whole, top = None, [], None, None
 
-        def best_of_group() -> pd.DataFrame | None:
+        def best_of_block() -> pd.DataFrame | None:
             if whole is None or not (top > 0).any():
                 return None
             return _best(np.zeros((top > 0).sum(), np.int32), whole["c"].to_numpy()[top > 0], top[top > 0], k)
 
         for batch in batches:
-            for group, b in batch.groupby(["t", "part"], sort=False):
-                if group != key:
-                    last = best_of_group()
+            for block, b in batch.groupby("block", sort=False):
+                if block != key:
+                    last = best_of_block()
                     if last is not None:
                         yield last
-                    key, held, whole, top = group, [], None, None
+                    key, held, whole, top = block, [], None, None
                 if (b["kind"] == 0).any():
                     held.append(b[b["kind"] == 0])
                 b = b[b["kind"] == 1]
                 if not len(b) or not held:
                     continue
                 if whole is None:
-                    whole = pd.concat(held)
-                    top = np.zeros(len(whole))
-                first = group[0]
-                matrix = _dense(b, len(idf))[:, first:]
-                for at in range(0, len(whole), CHUNK):
-                    part = whole.iloc[at:at + CHUNK]
-                    sims = matrix @ _dense(part, len(idf))[:, first:].T
-                    top[at:at + CHUNK] = np.maximum(top[at:at + CHUNK], sims.max(axis=0, initial=0.0))
-        last = best_of_group()
+                    whole = pd.concat(held, ignore_index=True)
+                    held, top, postings = [whole], np.zeros(len(whole)), under(whole, doc_keeps)
+                met = [(t, q, postings[t]) for t, q in under(b, query_keeps).items() if t in postings]
+                by_term = sum(len(q) * len(d) * (terms - t) + DENSE_ROW * (len(q) + len(d)) * terms for t, q, d in met)
+                if by_term < (len(b) * len(whole) + DENSE_ROW * (len(b) + len(whole))) * terms:
+                    for t, q, d in met:
+                        meet(b.iloc[q], whole, d, t, top)
+                else:
+                    meet(b, whole, None, 0, top)
+        last = best_of_block()
         if last is not None:
             yield last
 
-    found = (dealt.repartition("t", "part").sortWithinPartitions("t", "part", "kind")
+    found = (dealt.repartition("block").sortWithinPartitions("block", "kind")
              .mapInPandas(score, f"q int, c {c_type}, similarity double"))
     return found.groupBy("c").agg(F.max("similarity").alias("similarity")).withColumnRenamed("c", c_id)
 
