@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from tidings.operators import learning as lr
+from tidings.sources import feeds as fd
 from tidings.streaming import ingest as sm
 
 
@@ -56,6 +57,23 @@ def test_batches_without_new_rows_count_themselves(spark, tmp_path):
     assert got == {0: (1, 1, 0, 0), 1: (1, 0, 1, 0), 2: (2, 0, 0, 2), 3: (2, 2, 0, 0), 4: (1, 0, 1, 0)}
 
 
+def test_large_topics_are_written_in_parts(spark):
+    rows = [(i, "en", "x" * 100) for i in range(200)] + [(i, None, "y" * 100) for i in range(5)] + [(7, "fr", None), (None, "de", "z")]
+    df = spark.createDataFrame(rows, "id long, topic string, headline string")
+    dealt = fd.in_parts(df, "topic", "headline", part_bytes=2000)
+    assert sorted(dealt.drop("_part").collect(), key=str) == sorted(df.collect(), key=str)
+    parts = {r.topic: (r.parts, r.most) for r in dealt.groupBy("topic", "_part").count().groupBy("topic")
+             .agg(F.count(F.lit(1)).alias("parts"), F.max("count").alias("most")).collect()}
+    assert parts["en"][0] == 10 and parts["en"][1] < 50
+    assert parts[None] == (1, 5) and parts["fr"] == parts["de"] == (1, 1)
+
+
+def test_parts_grow_with_the_rows(spark):
+    df = spark.createDataFrame([("x" * 100,)] * 50 + [(None,)], "body string")
+    assert fd.part_count(df, "body", least=2, part_bytes=1000) == 5
+    assert fd.part_count(df, "body", least=2) == fd.part_count(df.limit(0), "body", least=2) == 2
+
+
 def test_watermark_drops_repeats(spark, tmp_path):
     rows = [("a", dt.datetime(2024, 1, 1)), ("a", dt.datetime(2024, 1, 2)), ("b", dt.datetime(2024, 1, 1))]
     df = spark.createDataFrame(rows, "headline string, published_ts timestamp")

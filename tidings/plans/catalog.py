@@ -760,9 +760,10 @@ def q_stream_ingest(spark, sf_dir):
     the label rules. Result: one row per distinct text (its SHA-256)."""
     src, sink, ckpt = _scratch(spark, "feed-src"), _scratch(spark, "feed-sink"), _scratch(spark, "feed-ckpt")
     news = _news(spark, sf_dir)
-    feed = fd.to_feed(news.select("topic", "headline", "source", "published_at", F.lit(None).cast("string").alias("url"),
-                                  F.col("sentiment_label").alias("description")))
-    feed.repartition("topic").write.partitionBy("topic").json(src)  # a file or more per topic
+    rows = news.select("id", "topic", "headline", "source", "published_at", F.lit(None).cast("string").alias("url"),
+                       F.col("sentiment_label").alias("description"))
+    rows = fd.in_parts(rows, "topic", "headline").repartition("topic", "_part")
+    fd.to_feed(rows).write.partitionBy("topic").json(src)  # a file or more per topic
     stream = sm.feed_stream(spark, src, max_files=1)
 
     def enrich(df):

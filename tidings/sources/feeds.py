@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+PART_BYTES = 256 << 20  # of text that one task writes to one feed file
+
 FEED_SCHEMA = T.StructType([
     T.StructField("articles", T.ArrayType(T.StructType([
         T.StructField("title", T.StringType()),
@@ -67,6 +69,22 @@ def to_feed(news: DataFrame, topic_col: str = "topic") -> DataFrame:
     return news.select(F.col(topic_col).alias("topic"), F.array(art).alias("articles"))
 
 
+def in_parts(rows: DataFrame, key: str, text: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """``rows`` with a ``_part``: a key's rows are dealt by a hash into as many
+    parts of about ``part_bytes`` of text as they need, so that no key is one
+    task's work when it is written."""
+    sizes = rows.groupBy(F.col(key).alias("_key")).agg(
+        F.greatest(F.ceil(F.sum(F.coalesce(F.octet_length(text), F.lit(0))) / part_bytes), F.lit(1)).alias("_parts"))
+    dealt = rows.join(sizes, F.col(key).eqNullSafe(F.col("_key")))
+    return dealt.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.col("_parts")).cast("int")).drop("_key", "_parts")
+
+
+def part_count(rows: DataFrame, text: str, least: int = 1, part_bytes: int = PART_BYTES) -> int:
+    """Parts of about ``part_bytes`` of text that the rows need, ``least`` at least."""
+    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(least, -(-size // part_bytes))
+
+
 def read_prices_wide(spark: SparkSession, path: str, date_col: str = "Date") -> DataFrame:
     """A wide CSV (date + one column per series) as long rows."""
     wide = spark.read.option("header", True).option("inferSchema", False).csv(path)
