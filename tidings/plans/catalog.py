@@ -780,7 +780,7 @@ def q_stream_stats(spark, sf_dir):
     holds the stored articles already; equal to ingest_stats."""
     src, sink, ckpt = _scratch(spark, "stats-src"), _scratch(spark, "stats-sink"), _scratch(spark, "stats-ckpt")
     stored, batch = _stored_and_batch(spark, sf_dir)
-    batch.select("id", "body").repartition(2).write.parquet(src)
+    batch.select("id", "body").repartition(fd.part_count(batch, "body", least=2)).write.parquet(src)
     DigestIndex(spark, f"{sink}-keys").add(stored.select(F.sha2("body", 256).alias("digest")).dropna().distinct(), -1)
     stream = spark.readStream.schema(batch.select("id", "body").schema).option("maxFilesPerTrigger", 1).parquet(src)
     sm.append_batches(stream, sink, "body", ["id"], ckpt).awaitTermination()
