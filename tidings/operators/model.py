@@ -9,6 +9,9 @@ classifier standing in for the pretrained scorer (not available offline).
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.feature import (HashingTF, IDF, RegexTokenizer, StandardScaler, StopWordsRemover, StringIndexer,
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions.columns import DIRECTIONS, direction_index
 from tidings.operators.learning import DEFAULT_WEIGHT, SIGNAL_FEATURES
-from tidings.session import literal_table
+from tidings.session import literal_table, written
 
 # The feature columns, in order.
 FEATURE_COLS = ["n_headlines", "pct_positive", "pct_negative", "pct_neutral", "avg_confidence", "net_sentiment",
@@ -147,23 +150,55 @@ def load_metadata(path: str) -> dict[str, str]:
 
 # ---------------------------------------------------------------- text classifier (M1-M4)
 
-def text_pipeline(text: str = "text", label_idx: str = "label_idx", weight: str | None = "weight",
-                  num_features: int = 1 << 18, reg: float = 0.01, max_iter: int = 25) -> Pipeline:
-    """M2: tokens -> stop words out -> hashed term counts -> idf ->
-    multinomial logistic regression (class-weighted)."""
-    lr = LogisticRegression(featuresCol="tfidf", labelCol=label_idx, family="multinomial", regParam=reg,
-                            maxIter=max_iter)
-    if weight:
-        lr = lr.setWeightCol(weight)
+def text_terms(text: str = "text", num_features: int = 1 << 18) -> Pipeline:
+    """Tokens -> stop words out -> hashed term counts (``_tf``): nothing is
+    learned, so one pass over the texts serves every fit on them."""
     return Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="_tok", pattern=r"(?U)\w\w+", gaps=False, toLowercase=True),
         StopWordsRemover(inputCol="_tok", outputCol="_tok2"),
         HashingTF(inputCol="_tok2", outputCol="_tf", numFeatures=num_features),
-        IDF(inputCol="_tf", outputCol="tfidf"),
-        lr,
     ])
 
 
+def text_regression(label_idx: str = "label_idx", weight: str | None = "weight", reg: float = 0.01,
+                    max_iter: int = 25) -> LogisticRegression:
+    """Multinomial logistic regression (class-weighted) on ``tfidf``."""
+    lr = LogisticRegression(featuresCol="tfidf", labelCol=label_idx, family="multinomial", regParam=reg,
+                            maxIter=max_iter)
+    return lr.setWeightCol(weight) if weight else lr
+
+
+def text_pipeline(text: str = "text", label_idx: str = "label_idx", weight: str | None = "weight",
+                  num_features: int = 1 << 18, reg: float = 0.01, max_iter: int = 25) -> Pipeline:
+    """M2: tokens -> stop words out -> hashed term counts -> idf ->
+    multinomial logistic regression (class-weighted)."""
+    return Pipeline(stages=[*text_terms(text, num_features).getStages(), IDF(inputCol="_tf", outputCol="tfidf"),
+                            text_regression(label_idx, weight, reg, max_iter)])
+
+
+def text_cv(folded: DataFrame, regs: tuple[float, ...], text: str = "text", label_idx: str = "label_idx",
+            weight: str = "weight", parallelism: int = 2) -> list[tuple[float, int, float]]:
+    """M3: (reg, fold, accuracy) of ``text_pipeline`` for every strength and
+    ``fold``. Term counts are written once, a fold's idf serves all strengths,
+    and ``parallelism`` fits run at a time."""
+    counts = written(text_terms(text).fit(folded).transform(folded).select("fold", label_idx, weight, "_tf"), "term-counts")
+    folds = sorted(r["fold"] for r in counts.select("fold").distinct().collect())
+
+    def one(fold: int) -> list[tuple[float, int, float]]:
+        train, test = counts.where(F.col("fold") != fold), counts.where(F.col("fold") == fold)
+        idf = IDF(inputCol="_tf", outputCol="tfidf").fit(train)
+        out = []
+        for reg in regs:
+            m = text_regression(label_idx, weight, reg).fit(idf.transform(train))
+            acc = m.transform(idf.transform(test)).agg(
+                F.avg((F.col("prediction") == F.col(label_idx)).cast("int"))).first()[0]
+            out.append((reg, fold, float(acc)))
+        return out
+
+    with ThreadPool(parallelism) as pool:
+        return sorted(x for rows in pool.map(inheritable_thread_target(folded.sparkSession)(one), folds) for x in rows)
+
+
 def score_text(model: PipelineModel, df: DataFrame, classes: list[str]) -> DataFrame:
     """M1: label and score (highest probability, 4 places) per text."""
     out = model.transform(df)

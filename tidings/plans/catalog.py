@@ -965,13 +965,7 @@ def q_text_cv(spark, sf_dir):
     per config mean and population std of the fold accuracy, best config
     flagged."""
     data = cut_lineage(ev.stratified_folds(_text_labels(spark, sf_dir), "doc_id", "quality", 5, 42))
-    rows = []
-    for reg in (0.01, 0.1):
-        for k in range(5):
-            m = md.text_pipeline(reg=reg).fit(data.where(F.col("fold") != k))
-            acc = m.transform(data.where(F.col("fold") == k)).agg(
-                F.avg((F.col("prediction") == F.col("label_idx")).cast("int"))).first()[0]
-            rows.append((reg, k, float(acc)))
+    rows = md.text_cv(data, (0.01, 0.1))
     per = spark.createDataFrame(rows, "reg double, fold int, accuracy double")
     summ = per.groupBy("reg").agg(F.avg("accuracy").alias("mean"), F.stddev_pop("accuracy").alias("std"),
                                   F.count(F.lit(1)).alias("n_folds"))
