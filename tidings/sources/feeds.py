@@ -75,7 +75,7 @@ def in_parts(rows: DataFrame, key: str, text: str, part_bytes: int = PART_BYTES)
     task's work when it is written."""
     sizes = rows.groupBy(F.col(key).alias("_key")).agg(
         F.greatest(F.ceil(F.sum(F.coalesce(F.octet_length(text), F.lit(0))) / part_bytes), F.lit(1)).alias("_parts"))
-    dealt = rows.join(sizes, F.col(key).eqNullSafe(F.col("_key")))
+    dealt = rows.join(F.broadcast(sizes), F.col(key).eqNullSafe(F.col("_key")))  # a row per key; rows are not shuffled by key
     return dealt.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.col("_parts")).cast("int")).drop("_key", "_parts")
 
 
