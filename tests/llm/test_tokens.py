@@ -3,9 +3,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidings.llm import packing, pfor, tokencount
+from tidings.llm import packing, pfor, tokencount, vocab
 from tidings.llm.vocab import SPACE, Encoder, path_of
 
 ALPHABET = ("\t\n\x0b\x0c\r \x85\xa0  　\x1c\x1f᠎​﻿" + "   \n\n ab'sTt9ééΣσSßİहि"
@@ -29,6 +30,37 @@ def test_memoised_ids_equal_the_library(name, words):
     assert len(SPACE) > 10
 
 
+@pytest.mark.parametrize("name,words", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_a_batch_encodes_each_distinct_chunk_once(name, words, monkeypatch):
+    """However little the memo holds, and with marks behind the words."""
+    monkeypatch.setitem(vocab.MEMO_BYTES, words, 0)
+    e = Encoder(path_of(name), words)
+    calls = []
+
+    class Model:
+        def tokenize(self, text, model=e.model):
+            calls.append(text)
+            return model.tokenize(text)
+    e.model = Model()
+    made = [f"go {a}{m} {b}{m}" for m in ("", ".", "?!", "***") for a in ("alpha", "\xe9t\xe9") for b in ("beta", "Gamma")] * 3
+    got = e.encode(made)
+    assert sorted(set(calls)) == sorted(calls)
+    assert got == [np.array(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch(made, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("name,words", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_cuts_of_marks_and_white_space(name, words):
+    e = Encoder(path_of(name), words)
+    rnd = random.Random(4)
+    parts = ["a", "Zo", "\xe9", "\xd7", "\xf7", "\xdf", "\u2026", "\u0301", "\u0338", "'", "'s", ",", "=", "_", "...", "7", " ", "  ", "\n", "\t",
+             "\x0b", "\x0c", "\x85", "\xa0", "\u2028", "\x1c", "<|endoftext|>", "<", "\u0142", "\u6f22", "\0"]
+    made = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(20000)]
+    want = [np.array(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch(made, add_special_tokens=False)]
+    assert e.encode(made) == want
+    whole = pa.array([None, "x,", *made])
+    assert e.encode(whole.slice(2)) == want and e.encode(whole.slice(0, 1)) == [b""] and e.encode(whole.slice(0, 0)) == []
+
+
 def test_counts_equal_the_library():
     e = Encoder(path_of("byte_bpe_50k.json"), words=False)
     counter = tokencount.MergeCounter(path_of("byte_bpe_50k.json"))

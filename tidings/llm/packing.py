@@ -28,7 +28,9 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,18 +90,20 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     """(doc_id, piece, start, length, ids_crc32) of every document."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.shared(path_of(vocabulary), words=False)
         end = end_id.to_bytes(4, "little")
         for b in batches:
             rows = []
-            for i, ids in zip(b["doc_id"], encoder.encode(b["text"])):
+            for i, ids in enumerate(encoder.encode(b.column("text"))):
                 ids = memoryview(ids + end)
                 for k, (s, n) in enumerate(cut(len(ids) // 4, size)):
                     rows.append((i, k, s, n, zlib.crc32(ids[4 * s:4 * (s + n)])))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            i, *rest = np.array(rows, "i8").reshape(-1, 5).T
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(i)), pa.array(rest[0], pa.int32()), *map(pa.array, rest[1:])],
+                                             ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return slim.mapInPandas(run, PIECE.format(id=slim.schema["doc_id"].dataType.simpleString()))
+    return slim.mapInArrow(run, PIECE.format(id=slim.schema["doc_id"].dataType.simpleString()))
 
 
 def pack(pieces: DataFrame, size: int = 1024, open_bins: int = 2048, pieces_per_bucket: int = 100_000) -> DataFrame:
