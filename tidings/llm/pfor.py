@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -185,26 +186,29 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def row(frame: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([frame], pa.binary())], ["frame"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.shared(path_of(vocabulary), words=True)
         end = end_id.to_bytes(4, "little")
         doc_ids, held, size, first, n_frames = [], [], 0, 0, 0
         for b in batches:
-            for d, ids in zip(b["doc_id"].astype(object).where(b["doc_id"].notna(), None), encoder.encode(b["text"])):
-                doc_ids.append(None if d is None else int(d))
+            for d, ids in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text"))):
+                doc_ids.append(d)
                 held.append(ids + end)
                 size += len(ids) // 4 + 1
                 if size >= FRAME_IDS:
-                    yield pd.DataFrame({"frame": [encode_frame(doc_ids, held, first)]})
+                    yield row(encode_frame(doc_ids, held, first))
                     first, n_frames = first + size, n_frames + 1
                     doc_ids, held, size = [], [], 0
         if held:
-            yield pd.DataFrame({"frame": [encode_frame(doc_ids, held, first)]})
+            yield row(encode_frame(doc_ids, held, first))
             first, n_frames = first + size, n_frames + 1
         if n_frames:
-            yield pd.DataFrame({"frame": [footer(TaskContext.get().partitionId(), first, n_frames)]})
+            yield row(footer(TaskContext.get().partitionId(), first, n_frames))
 
-    ordered.mapInPandas(run, "frame binary").select(F.col("frame").cast("string")).write.text(path)
+    ordered.mapInArrow(run, "frame binary").select(F.col("frame").cast("string")).write.text(path)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
