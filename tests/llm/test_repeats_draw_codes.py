@@ -220,3 +220,15 @@ def test_odd_vectors_have_codes(spark):
     assert len(got) == 5 and all(r.error == 0 and len(r.code) == 8 for r in got)  # every vector is an entry
     none = spark.createDataFrame([(1, None, 1)], "vec_id long, embedding array<double>, label int")
     assert codebooks.compress(none).count() == 0 and codebooks.compress(none.limit(0)).count() == 0
+
+
+def test_sorted_pairs_of_a_column_take_four_bytes():
+    """Symbol and place, up to the highest symbol, before and after columns were inserted."""
+    bwt = np.array([suffixes.END, 0, suffixes.MARK, 0, 97, suffixes.END], np.uint8)
+    keys = suffixes._keys(bwt)
+    assert keys.dtype.itemsize == 4
+    assert [(int(k) >> 24, int(k) & 0xFFFFFF) for k in keys] == sorted((int(b), i) for i, b in enumerate(bwt))
+    docs = [b"ab\xfeab", b"b\xfea", b"\xf4\xfe", b"ab\xfeab"]
+    c = suffixes.insert_columns(suffixes.insert_columns(suffixes.new_collection(docs), 3), 3)
+    whole = sorted((d[k:] + bytes([0]), i, d[k - 1] if k else suffixes.END) for i, d in enumerate(docs) for k in range(len(d) + 1))
+    assert sorted(c["bwt"].tolist()) == sorted(x for *_, x in whole) and (c["at"] == -1).all()

@@ -138,7 +138,7 @@ def new_collection(docs: list[bytes], twins=None) -> dict:
 def _keys(bwt: np.ndarray) -> np.ndarray:
     """The transform as sorted (symbol, position) pairs of 8 and 24 bits."""
     order = np.argsort(bwt, kind="stable")
-    return (bwt[order].astype(np.int64) << 24) | order
+    return (bwt[order].astype("u4") << np.uint32(24)) | order.astype("u4")
 
 
 def _minima(lcp: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -159,33 +159,33 @@ def insert_columns(c: dict, rounds: int) -> dict:
     A suffix goes where its symbol ranks among equal symbols of the transform,
     so its pair's index in ``_keys`` is its place behind the documents' ends."""
     lcp, left, symbols, starts, docs = c["lcp"], c["left"].copy(), c["symbols"], c["starts"], c["docs"]
-    keys, low = _keys(c["bwt"]), (1 << 24) - 1
+    keys, low, high = _keys(c["bwt"]), np.uint32((1 << 24) - 1), np.uint32(24)
     doc = np.flatnonzero(c["at"] >= 0)
-    k = np.searchsorted(keys, (c["bwt"][c["at"][doc]].astype(np.int64) << 24) | c["at"][doc])
+    k = np.searchsorted(keys, (c["bwt"][c["at"][doc]].astype("u4") << high) | c["at"][doc].astype("u4"))
     for _ in range(rounds):
         if not len(doc):
             break
         byplace = np.argsort(k)
         doc, k = doc[byplace], k[byplace]
         pair, before, after = keys[k], keys[np.maximum(k - 1, 0)], keys[np.minimum(k + 1, len(keys) - 1)]
-        p = pair & low
-        has_before = np.flatnonzero((k > 0) & (before >> 24 == pair >> 24))
-        has_after = np.flatnonzero((k + 1 < len(keys)) & (after >> 24 == pair >> 24))
+        p = (pair & low).astype(np.int64)
+        has_before = np.flatnonzero((k > 0) & (before >> high == pair >> high))
+        has_after = np.flatnonzero((k + 1 < len(keys)) & (after >> high == pair >> high))
         up = np.zeros(len(k), np.uint8)
-        up[has_before] = _minima(lcp, (before[has_before] & low) + 1, p[has_before] + 1) + 1
-        down = _minima(lcp, p[has_after] + 1, (after[has_after] & low) + 1) + 1
+        up[has_before] = _minima(lcp, (before[has_before] & low).astype(np.int64) + 1, p[has_before] + 1) + 1
+        down = _minima(lcp, p[has_after] + 1, (after[has_after] & low).astype(np.int64) + 1) + 1
         put, more = docs + k, left[doc] > 0
         ahead = np.full(len(k), END)
         ahead[more] = symbols[starts[doc[more]] + left[doc[more]] - 1]
         # what lies behind a new suffix moves on
         behind = np.diff(np.concatenate(([0], put - np.arange(len(put)), [len(keys)])))
-        keys += np.repeat(np.arange(len(put) + 1, dtype=np.int32), behind)[keys & low]
-        new = (ahead << 24) | put
+        keys += np.repeat(np.arange(len(put) + 1, dtype="u4"), behind).take((keys & low).astype(np.intp), mode="clip")
+        new = ((ahead << 24) | put).astype("u4")
         order = np.argsort(new)
         k = np.searchsorted(keys, new[order]) + np.arange(len(new))
         old = np.ones(len(keys) + len(new), bool)
         old[k] = False
-        grown = np.empty(len(old), np.int64)
+        grown = np.empty(len(old), "u4")
         grown[old], grown[k] = keys, new[order]
         keys = grown
         old[:] = True
@@ -198,7 +198,7 @@ def insert_columns(c: dict, rounds: int) -> dict:
         on = more[order]
         doc, k = doc[order][on], k[on]
     bwt = np.empty(len(keys), np.uint8)
-    bwt[keys & low] = keys >> 24
+    bwt[keys & low] = keys >> high
     at = np.full(docs, -1)
     at[doc] = keys[k] & low
     return {**c, "bwt": bwt, "lcp": lcp, "at": at, "left": left}
