@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from tidings.llm.vocab import Encoder, path_of
-from tidings.session import written
+from tidings.session import BASE_CONF, written
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["op1_language_id", "op2_token_shards", "op3_source_mix", "op4_token_counts", "op5_multi_index", "op6_weighted_minhash",
@@ -30,6 +30,18 @@ def stages(spark):
     return out
 
 
+def test_a_stage_alone_sets_the_batches_of_its_tasks(spark):
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(rows)
+        try:
+            stage(spark, docs, SF)
+            assert spark.conf.get(rows) == BASE_CONF[rows], name
+        finally:
+            spark.conf.set(rows, BASE_CONF[rows])
+
+
 def test_stage_columns_and_decisions(stages):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "line dedup", "MinHash near-dedup", "source mix", "best-fit packing"]
     for _, _, after in stages[:4]:

@@ -145,6 +145,15 @@ def test_best_fit_against_plain_search():
             assert fit.open == len(open_) <= open_bins
 
 
+def test_large_batches_are_cut_into_slices():
+    """However many rows the session puts into a batch."""
+    made = pa.array([None, "", *["word " * 20] * 50, "long " * 3000, None, "x"])
+    parts = list(vocab.slices(pa.RecordBatch.from_arrays([made], ["text"]), most=1000))
+    assert [t for p in parts for t in p.column("text").to_pylist()] == made.to_pylist()
+    assert all(sum(len(t or "") for t in p.column("text").to_pylist()[:-1]) <= 1000 for p in parts)
+    assert list(vocab.slices(pa.RecordBatch.from_arrays([made[:0]], ["text"]))) == []
+
+
 def test_cut():
     assert packing.cut(1, 4) == [(0, 1)] and packing.cut(4, 4) == [(0, 4)]
     assert packing.cut(9, 4) == [(0, 1), (1, 4), (5, 4)] and packing.cut(8, 4) == [(0, 4), (4, 4)]

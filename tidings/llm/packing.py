@@ -1,6 +1,6 @@
 """Best-fit packing of token pieces into fixed-length sequences.
 
-Documents are tokenised where they lie; only piece headers (id, piece,
+Documents are tokenised where they lie, in slices of bounded bytes; only piece headers (id, piece,
 start, length, checksum) are shuffled. A document longer than the sequence
 length is cut into full pieces; the first piece takes the remainder. Pieces
 are dealt by hash to buckets of about ``pieces_per_bucket`` and packed in
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.vocab import Encoder, path_of
+from tidings.llm.vocab import Encoder, path_of, slices
 from tidings.session import written
 
 PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
@@ -93,7 +93,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.shared(path_of(vocabulary), words=False)
         end = end_id.to_bytes(4, "little")
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             rows = []
             for i, ids in enumerate(encoder.encode(b.column("text"))):
                 ids = memoryview(ids + end)

@@ -25,6 +25,7 @@ import struct
 import sys
 from array import array
 from codecs import charmap_decode
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,21 @@ MEMO_CHARS = 20
 ENTRY_BYTES = 190
 
 
+#: Bytes of text encoded at once: the arrays of a slice take many times its bytes.
+SLICE_BYTES = 2 << 20
+
+
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, in order, in runs of about ``most`` bytes of text,
+    however many rows the session puts into a batch. A longer text is in one run."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype("i8")
+    run = (np.cumsum(size) - size) // most
+    cuts = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(size)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
 def path_of(name: str) -> str:
     """A vocabulary file of the installed public tokenizers."""
     import public_tokenizers
