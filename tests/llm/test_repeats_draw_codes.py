@@ -1,5 +1,6 @@
 """Column-wise repeat removal, importance draw and metric-tree codebooks
 against brute force, SQL and edge cases."""
+import os
 import hashlib
 import math
 import random
@@ -232,3 +233,30 @@ def test_sorted_pairs_of_a_column_take_four_bytes():
     c = suffixes.insert_columns(suffixes.insert_columns(suffixes.new_collection(docs), 3), 3)
     whole = sorted((d[k:] + bytes([0]), i, d[k - 1] if k else suffixes.END) for i, d in enumerate(docs) for k in range(len(d) + 1))
     assert sorted(c["bwt"].tolist()) == sorted(x for *_, x in whole) and (c["at"] == -1).all()
+
+
+def test_a_round_sorts_single_bytes_only(monkeypatch):
+    """Places rise from round to round, so only the symbols ahead are sorted."""
+    docs = [b"ab\xfeab", b"b\xfea", b"\xf4\xfe", b"ab\xfeab", b"abab\xfeab"]
+    sorts = {}
+    for rounds in (2, 4):
+        seen = []
+        with monkeypatch.context() as m:
+            m.setattr(np, "argsort", lambda x, *a, f=np.argsort, **b: seen.append(np.asarray(x).itemsize) or f(x, *a, **b))
+            c = suffixes.insert_columns(suffixes.new_collection(docs), rounds)
+        sorts[rounds] = seen
+    assert sum(x > 1 for x in sorts[2]) == sum(x > 1 for x in sorts[4])
+    c = suffixes.insert_columns(c, 9)
+    whole = sorted((d[k:] + bytes([0]), i) for i, d in enumerate(docs) for k in range(len(d) + 1))
+    common = [len(os.path.commonprefix([a[:-1], b[:-1]])) for (a, _), (b, _) in zip(whole, whole[1:])]
+    assert sorted(c["lcp"].tolist()) == sorted([0, *common])
+
+
+def test_minima_on_both_sides():
+    rnd = np.random.default_rng(3)
+    lcp = rnd.integers(0, 99, 50).astype(np.uint8)
+    p = np.arange(48, 0, -3)
+    before, after = p - rnd.integers(1, p + 1), p + rnd.integers(1, 50 - p)
+    up, down = suffixes._minima(lcp, before, p, after)
+    assert up.tolist() == [lcp[b + 1:x + 1].min() for b, x in zip(before, p)]
+    assert down.tolist() == [lcp[x + 1:a + 1].min() for x, a in zip(p, after)]

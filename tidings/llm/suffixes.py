@@ -141,15 +141,12 @@ def _keys(bwt: np.ndarray) -> np.ndarray:
     return (bwt[order].astype("u4") << np.uint32(24)) | order.astype("u4")
 
 
-def _minima(lcp: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """min(lcp[start:end]) of each interval, start < end."""
-    if not len(start):
-        return np.empty(0, np.uint8)
-    back = np.argsort(start)[::-1]  # so the stretch between two intervals is never read
-    pairs = np.stack((start[back], end[back]), 1).ravel()
-    out = np.empty(len(start), np.uint8)
-    out[back] = np.minimum.reduceat(np.append(lcp, np.uint8(0)), pairs)[::2]
-    return out
+def _minima(lcp: np.ndarray, before: np.ndarray, p: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """min(lcp[before + 1:p + 1]) and min(lcp[p + 1:after + 1]) where before < p < after.
+    ``p`` falls, so the stretch between two intervals is never read."""
+    edges = np.stack((np.minimum(before, p - 1) + 1, p + 1, after + 1), 1).ravel()
+    out = np.minimum.reduceat(np.append(lcp, np.uint8(0)), edges)
+    return out[::3], out[1::3]
 
 
 def insert_columns(c: dict, rounds: int) -> dict:
@@ -162,40 +159,45 @@ def insert_columns(c: dict, rounds: int) -> dict:
     keys, low, high = _keys(c["bwt"]), np.uint32((1 << 24) - 1), np.uint32(24)
     doc = np.flatnonzero(c["at"] >= 0)
     k = np.searchsorted(keys, (c["bwt"][c["at"][doc]].astype("u4") << high) | c["at"][doc].astype("u4"))
+    byplace = np.argsort(k)
+    doc, k = doc[byplace], k[byplace]
+    bypos = np.argsort(keys[k] & low)  # documents by the place of their last suffix
     for _ in range(rounds):
         if not len(doc):
             break
-        byplace = np.argsort(k)
-        doc, k = doc[byplace], k[byplace]
         pair, before, after = keys[k], keys[np.maximum(k - 1, 0)], keys[np.minimum(k + 1, len(keys) - 1)]
-        p = (pair & low).astype(np.int64)
-        has_before = np.flatnonzero((k > 0) & (before >> high == pair >> high))
-        has_after = np.flatnonzero((k + 1 < len(keys)) & (after >> high == pair >> high))
-        up = np.zeros(len(k), np.uint8)
-        up[has_before] = _minima(lcp, (before[has_before] & low).astype(np.int64) + 1, p[has_before] + 1) + 1
-        down = _minima(lcp, p[has_after] + 1, (after[has_after] & low).astype(np.int64) + 1) + 1
+        has_before, has_after = (k > 0) & (before >> high == pair >> high), (k + 1 < len(keys)) & (after >> high == pair >> high)
+        down = bypos[::-1]
+        low_up, low_down = _minima(lcp, *((x[down] & low).astype(np.int64) for x in (
+            np.where(has_before, before, pair), pair, np.where(has_after, after, pair))))
+        up, after_up = np.empty(len(k), np.uint8), np.empty(len(k), np.uint8)
+        up[down], after_up[down] = low_up, low_down
+        up = np.where(has_before, up + np.uint8(1), np.uint8(0))
         put, more = docs + k, left[doc] > 0
-        ahead = np.full(len(k), END)
+        ahead = np.full(len(k), END, np.uint8)
         ahead[more] = symbols[starts[doc[more]] + left[doc[more]] - 1]
         # what lies behind a new suffix moves on
         behind = np.diff(np.concatenate(([0], put - np.arange(len(put)), [len(keys)])))
-        keys += np.repeat(np.arange(len(put) + 1, dtype="u4"), behind).take((keys & low).astype(np.intp), mode="clip")
-        new = ((ahead << 24) | put).astype("u4")
-        order = np.argsort(new)
-        k = np.searchsorted(keys, new[order]) + np.arange(len(new))
+        steps = np.arange(len(put) + 1, dtype="u2" if len(put) < 1 << 16 else "u4")  # short, so that gathering stays in the cache
+        keys += np.repeat(steps, behind).take((keys & low).astype(np.intp), mode="clip")
+        order = np.argsort(ahead, kind="stable")  # places rise; the complete documents come last
+        new = (ahead[order].astype("u4") << high) | put[order].astype("u4")
+        k = np.searchsorted(keys, new) + np.arange(len(new))
         old = np.ones(len(keys) + len(new), bool)
         old[k] = False
         grown = np.empty(len(old), "u4")
-        grown[old], grown[k] = keys, new[order]
+        grown[old], grown[k] = keys, new
         keys = grown
-        old[:] = True
+        old[k] = True
         old[put] = False
         prefixes = np.empty(len(old), np.uint8)
         prefixes[old], prefixes[put] = lcp, up
-        prefixes[put[has_after] + 1] = down
+        prefixes[put[has_after] + 1] = after_up[has_after] + np.uint8(1)
         lcp = prefixes
         left[doc] -= 1
-        on = more[order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        bypos, on = rank[more], more[order]
         doc, k = doc[order][on], k[on]
     bwt = np.empty(len(keys), np.uint8)
     bwt[keys & low] = keys >> high
@@ -289,17 +291,25 @@ def occurrences(texts: DataFrame, found: DataFrame, length: int, span: int) -> D
     often = written(often, "suffix-often").hint("shuffle_hash")
     wanted = found.join(often, "hash").groupBy("id").agg(F.collect_list("at").alias("ats"))
 
+    def frame(held: list, cuts: list) -> pd.DataFrame:
+        n = [len(ats) for *_, ats in held]
+        return pd.DataFrame({"id": np.repeat(np.array([i for i, *_ in held], np.int64), n),
+                             "at": np.concatenate([ats for *_, ats in held]),
+                             "copies": np.repeat(np.array([c for _, c, _ in held], np.int32), n),
+                             "run": [run for run, *_ in cuts], "key": [key for _, key, *_ in cuts]})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = []
+        held, cuts = [], []
         for batch in batches:
             for i, text, copies, ats in zip(batch["id"], batch["text"], batch["copies"], batch["ats"]):
                 data = text.encode()
-                rows += [(i, at, copies, *_cut(data, at, length, span)[:2]) for at in ats.tolist()]
-                if len(rows) >= ROWS:
-                    yield pd.DataFrame(rows, columns=["id", "at", "copies", "run", "key"])
-                    rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=["id", "at", "copies", "run", "key"])
+                held.append((i, copies, ats))
+                cuts += [_cut(data, at, length, span) for at in ats.tolist()]
+                if len(cuts) >= ROWS:
+                    yield frame(held, cuts)
+                    held, cuts = [], []
+        if held:
+            yield frame(held, cuts)
     return _beside(texts, wanted).select("id", "text", "copies", "ats").mapInPandas(
         run, "id long, at long, copies int, run binary, key binary")
 
@@ -409,32 +419,24 @@ def _pass(state: DataFrame, columns: int) -> DataFrame:
 
 
 def repeated_places(state: DataFrame, span: int) -> DataFrame:
-    """(piece, places): for each document, the ranges (from, to) of places of
-    the anchor at which its string is repeated."""
+    """(piece, a, b): for each document, the ranges of lengths of the suffixes
+    whose string is repeated."""
     common = span + 4
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for names, held in zip(batch["runs"], batch["state"]):
-                c, found = pickle.loads(held), {}
-                lengths = np.zeros(c["docs"], np.int64)
-                flagged = []
-                for size, docs, flags in repeated_suffixes(c, common):
-                    lengths[docs] = size
-                    flagged.append((docs[flags], np.full(flags.sum(), size)))
-                docs = np.concatenate([d for d, _ in flagged])
-                sizes = np.concatenate([s for _, s in flagged])
+                flagged = [(docs[flags], np.full(flags.sum(), size)) for size, docs, flags in repeated_suffixes(pickle.loads(held), common)]
+                if not flagged:
+                    continue
+                docs, sizes = (np.concatenate(x) for x in zip(*flagged))
                 order = np.lexsort((sizes, docs))
                 docs, sizes = docs[order], sizes[order]
-                new = np.concatenate(([True], (docs[1:] != docs[:-1]) | (sizes[1:] != sizes[:-1] + 1))) if len(docs) else []
-                first = np.flatnonzero(new)
-                last = np.concatenate((first[1:] - 1, [len(docs) - 1])) if len(docs) else first
-                for d, f, t in zip(docs[first].tolist(), sizes[first].tolist(), sizes[last].tolist()):
-                    found.setdefault(bytes(names[d]), set()).add((f, t))
-                if found:
-                    yield pd.DataFrame({"piece": list(found), "sizes": [[{"a": f, "b": t} for f, t in sorted(x)]
-                                                                       for x in found.values()]})
-    return state.mapInPandas(run, "piece binary, sizes array<struct<a:int,b:int>>")
+                apart = (docs[1:] != docs[:-1]) | (sizes[1:] != sizes[:-1] + 1)
+                first, last = np.append(True, apart)[:len(docs)], np.append(apart, True)[:len(docs)]
+                if len(docs):
+                    yield pd.DataFrame({"piece": names[docs[first]], "a": sizes[first], "b": sizes[last]})
+    return state.mapInPandas(run, "piece binary, a int, b int")
 
 
 def repeats(texts: DataFrame, seen: DataFrame, length: int, span: int, group: int = GROUP, columns: int = COLUMNS,
@@ -463,8 +465,8 @@ def repeats(texts: DataFrame, seen: DataFrame, length: int, span: int, group: in
     places = written(repeated_places(_pass(state, columns), span), "suffix-places")
     # a suffix of s symbols holds the name, what is behind the anchor and the anchor's place
     place = lambda x: (x - F.col("behind") - F.lit(4)).cast("int")
-    return (named.join(places.hint("shuffle_hash"), "piece").select("run", F.explode("sizes").alias("s"), "behind")
-            .select("run", place(F.col("s.a")).alias("a"), place(F.col("s.b")).alias("b")))
+    return (named.join(places.hint("shuffle_hash"), "piece")
+            .select("run", place(F.col("a")).alias("a"), place(F.col("b")).alias("b")))
 
 
 def text_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
