@@ -1,4 +1,5 @@
 """Near-duplicate operators against brute force on planted groups."""
+import os
 import random
 import re
 
@@ -6,6 +7,7 @@ import numpy as np
 import pytest
 
 from tidings.llm import graph, multiindex, shingles, weightedhash
+from tidings.session import ensure_checkpoint_dir
 
 
 def union(pairs, ids):
@@ -187,6 +189,69 @@ def test_grid_order_is_by_distance():
         assert np.allclose(total[cells], np.sort(total)[:20])
 
 
+def test_reach_holds_the_nearest_cells_and_few_more():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    grid = multiindex.Grid(x[:60, :16], x[60:130, 16:])
+    left, right = grid.halves(x)
+    for cells in (1, 7, 300, 4199, 4200):
+        reach = grid.reach(left, right, cells)
+        within = np.array([(left[q][:, None] + right[q][None, :] <= reach[q]).sum() for q in range(len(x))])
+        assert (within >= cells).all() and within.mean() <= 1.2 * cells + 2
+
+
+def index_entries(rng, grid, visit, kind):
+    """Near groups with a few cosines on either side of 0.9, as rows of the index hold them."""
+    base = np.repeat(rng.normal(size=(40, 16)), 10, axis=0)
+    raw = (base + 0.25 * rng.normal(size=base.shape)).astype(kind)
+    x, largest, norm = multiindex.unit(raw)
+    e = {"v": raw, "largest": largest, "norm": norm, "rep": np.arange(len(raw)) * 3, "n": rng.integers(1, 4, len(raw))}
+    left, right = grid.halves(multiindex._single(e))
+    e |= {"cell": left.argmin(1) * right.shape[1] + right.argmin(1), "reach": grid.reach(left, right, visit), "near": right.min(1)}
+    visits = left[:, e["cell"] // right.shape[1]] + right[:, e["cell"] % right.shape[1]] <= e["reach"][:, None]
+    return e, (x @ x.T >= 0.9) & ~np.eye(len(x), dtype=bool), visits
+
+
+@pytest.mark.parametrize("kind, visit", [("<f4", 2), ("<f8", 6), ("<f4", 90)])
+def test_links_found_from_one_side_count_for_both(monkeypatch, kind, visit):
+    rng = np.random.default_rng(4)
+    codes = rng.normal(size=(19, 8))
+    codes /= 1.5 * np.linalg.norm(codes, axis=1)[:, None]
+    grid = multiindex.Grid(codes[:10], codes[10:])
+    e, near, visits = index_entries(rng, grid, visit, kind)
+    monkeypatch.setattr(multiindex, "VISITS", 500)
+    monkeypatch.setattr(multiindex, "PRODUCT", 64)
+    order = e["cell"].argsort(kind="stable")
+    n, links = np.zeros(len(order), int), []
+    for at in np.array_split(order, 3):  # parts; a cell may be in two
+        part = multiindex.Part({k: v[at] for k, v in e.items()}, grid)
+        for some in np.array_split(order[::-1], 2):
+            counts, edges = part.meet({k: v[some] for k, v in e.items()}, 0.9)
+            np.add.at(n, counts["a"].to_numpy() // 3, counts["n"].to_numpy())
+            links += list(zip(edges["a"], edges["b"], strict=True))
+    found = near & (visits | visits.T)
+    assert (found & ~(visits & visits.T)).any() or visit == 90
+    assert (n == found @ e["n"]).all()
+    assert union(links, e["rep"]) == union([(a * 3, b * 3) for a, b in np.argwhere(found)], e["rep"])
+
+
+def test_disk_follows_the_table_not_the_visits(spark):
+    """A query visits a third of the cells; neither visits nor vectors per visit are written."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+
+    def disk():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        tables = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables")
+        return (sum(files.apply(i).length() for i in range(files.size()))
+                + sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(tables) for f in names))
+    before = disk()
+    assert multiindex.near_vectors(df).count() == len(x)
+    assert disk() - before < 8 * x.size * 4  # the shuffles of the input and of the checks of this test included
+
+
 def test_rare_links_are_found(spark):
     """No calibration query has a link; the planted ones beside them are found."""
     rng = np.random.default_rng(8)
